@@ -18,21 +18,25 @@ def batch_width(length: Column, batch: list[str]) -> Column:
     return F.max(length).over(Window.partitionBy(*batch))
 
 
+def _measured(df: DataFrame, values: str, batch: list[str]) -> DataFrame:
+    # The length is kept as a column of its own: inside the mask's lambda, the name of the padded column
+    # would mean the padded value.
+    return df.withColumns({"_length": F.size(values), "_width": batch_width(F.size(values), batch)})
+
+
 def pad_right_batch(df: DataFrame, values: str, batch: list[str], fill: Column | int = 0, mask: str = "mask") -> DataFrame:
     """Values padded on the right to the batch maximum, and a mask of the real positions."""
     fill = A._int(fill) if isinstance(fill, int) else fill
-    df = df.withColumn("_width", batch_width(F.size(values), batch))
-    return df.withColumns(
-        {mask: A.right_mask(F.size(values), F.col("_width")), values: A.pad_right(values, F.col("_width"), fill)}
-    ).drop("_width")
+    df = _measured(df, values, batch)
+    padded = A.pad_right(values, F.col("_width"), fill)
+    return df.withColumns({mask: A.right_mask(F.col("_length"), F.col("_width")), values: padded}).drop("_width", "_length")
 
 
 def pad_left_batch(df: DataFrame, values: str, batch: list[str], fill: Column | int = 0, mask: str = "mask") -> DataFrame:
     fill = A._int(fill) if isinstance(fill, int) else fill
-    df = df.withColumn("_width", batch_width(F.size(values), batch))
-    return df.withColumns(
-        {mask: A.left_mask(F.size(values), F.col("_width")), values: A.pad_left(values, F.col("_width"), fill)}
-    ).drop("_width")
+    df = _measured(df, values, batch)
+    padded = A.pad_left(values, F.col("_width"), fill)
+    return df.withColumns({mask: A.left_mask(F.col("_length"), F.col("_width")), values: padded}).drop("_width", "_length")
 
 
 def instruct_pad_mask(df: DataFrame, ids: str, batch: list[str], mask: str = "instruct_mask") -> DataFrame:

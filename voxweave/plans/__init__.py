@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .registry import ORACLES, QUERIES
 
-MODULES = ("corpus", "tokens")
+MODULES = ("corpus", "tokens", "request_tables", "vector_queries")
 
 
 def _load() -> None:

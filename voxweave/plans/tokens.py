@@ -19,14 +19,17 @@ BATCH = ["source", "batch"]
 
 @query(
     "parse_codes",
-    f"""WITH {CODES} SELECT doc_id, CASE WHEN doc_id % 4 = 3 THEN NULL ELSE {I.sql_rows('codes')} END AS codes,
- CASE WHEN doc_id % 4 = 3 THEN NULL ELSE {I.sql_show('list_transform(codes, lambda f: f[1])')} END AS c0 FROM c""",
+    f"""WITH {CODES}, p AS (SELECT doc_id, CASE WHEN doc_id % 4 <> 3 THEN codes
+ WHEN len(codes) = 16 THEN list_transform(range(1, 16), lambda q: list_transform(codes, lambda f: f[q])) END AS codes FROM c)
+ SELECT doc_id, CASE WHEN codes IS NOT NULL THEN {I.sql_rows('codes')} END AS codes,
+ CASE WHEN codes IS NOT NULL THEN {I.sql_show('list_transform(codes, lambda f: f[1])')} END AS c0 FROM p""",
 )
 def parse_codes(spark, sf):
     rows = I.code_rows(spark, sf)
     turned = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda q: F.transform("codes", lambda f: F.get(f, q)))
     flat = F.transform("codes", lambda f: F.slice(f, 1, 15))
-    # A 16-frame document is square when turned, so it is left upright.
+    # A 16-frame document is square when turned, so it is left upright. Frames of 15 codes are an error, except
+    # that 16 of them read as a turned matrix.
     shape = F.when((F.col("doc_id") % 4 == 1) & (F.size("codes") != 16), turned).when(F.col("doc_id") % 4 == 3, flat)
     given = rows.withColumn("codes", F.coalesce(shape, "codes"))
     parsed = given.withColumn("codes", A.parse_codes("codes"))
