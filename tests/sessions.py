@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import os
+
 
 from pyspark.sql import SparkSession
 
 
 def session(cpus: str = "8") -> SparkSession:
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    os.environ["PYTHONPATH"] = root + os.pathsep + os.environ.get("PYTHONPATH", "")
+
+
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("voxweave-check")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import struct
-from functools import lru_cache
 
 import numpy as np
 
@@ -52,7 +51,6 @@ def decode_wav(data: bytes) -> tuple[np.ndarray, int] | None:
     return wide[: frames * channels].reshape(frames, channels).mean(1), rate
 
 
-@lru_cache(maxsize=32)
 def mel_bank(rate: int, n_fft: int, bins: int, low: float, high: float) -> np.ndarray:
     """Triangular filters on the Slaney mel scale, each with unit area: (bins, n_fft // 2 + 1)."""
     # The scale is linear (200/3 Hz per mel) up to 1 kHz and logarithmic above, 27 steps per factor 6.4.
@@ -74,7 +72,6 @@ def mel_bank(rate: int, n_fft: int, bins: int, low: float, high: float) -> np.nd
     return np.maximum(0.0, np.minimum(rise, fall)) * (2.0 / (right - left))
 
 
-@lru_cache(maxsize=32)
 def hann(length: int, n_fft: int) -> np.ndarray:
     """Periodic Hann window centred in ``n_fft`` zeros."""
     window = 0.5 - 0.5 * np.cos(2.0 * np.pi * np.arange(length) / length)
@@ -90,20 +87,22 @@ def frames_of(samples: np.ndarray, n_fft: int, hop: int, pad: int) -> np.ndarray
     return np.lib.stride_tricks.sliding_window_view(padded, n_fft)[::hop]
 
 
-def log_mel(samples: np.ndarray, rate: int, n_fft: int, hop: int, window: int, bins: int, low: float, high: float) -> np.ndarray:
+def log_mel(samples: np.ndarray, bank: np.ndarray, window: np.ndarray, hop: int) -> np.ndarray:
     """Natural-log mel magnitudes, (frames, bins)."""
+    n_fft = len(window)
     cut = frames_of(np.asarray(samples, np.float64), n_fft, hop, (n_fft - hop) // 2)
-    spectrum = np.fft.rfft(cut * hann(window, n_fft), axis=1)
+    spectrum = np.fft.rfft(cut * window, axis=1)
     magnitude = np.sqrt(spectrum.real**2 + spectrum.imag**2 + 1e-9)
-    return np.log(np.maximum(magnitude @ mel_bank(rate, n_fft, bins, low, high).T, 1e-5))
+    return np.log(np.maximum(magnitude @ bank.T, 1e-5))
 
 
-def asr_log_mel(samples: np.ndarray, bins: int, n_fft: int = 400, hop: int = 160, rate: int = 16000, padding: int = 0) -> np.ndarray:
+def asr_log_mel(samples: np.ndarray, bank: np.ndarray, window: np.ndarray, hop: int, padding: int = 0) -> np.ndarray:
     """Log10 power mel with a floor 8 below the clip's own maximum, scaled by (x + 4) / 4; (frames, bins)."""
+    n_fft = len(window)
     clip = np.pad(np.asarray(samples, np.float64), (0, padding))
     cut = frames_of(clip, n_fft, hop, n_fft // 2)[:-1]
-    power = np.abs(np.fft.rfft(cut * hann(n_fft, n_fft), axis=1)) ** 2
-    logs = np.log10(np.maximum(power @ mel_bank(rate, n_fft, bins, 0.0, rate / 2).T, 1e-10))
+    power = np.abs(np.fft.rfft(cut * window, axis=1)) ** 2
+    logs = np.log10(np.maximum(power @ bank.T, 1e-10))
     if logs.size:
         logs = np.maximum(logs, logs.max() - 8.0)
     return (logs + 4.0) / 4.0

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import audio as U
-from ..functions import signal as S
+from ..functions.signal import asr_log_mel as asr_kernel
+from ..functions.signal import decode_wav, encode_wav, hann, mel_bank, resample
+from ..functions.signal import log_mel as mel_kernel
 from ..functions.text import _col
 
 DECODED = "struct<samples:array<float>,rate:int>"
@@ -20,36 +22,35 @@ def _lists(rows: list[np.ndarray | None], kind: pa.DataType) -> pa.Array:
     return pa.array([None if r is None else r.astype(np.float32).tolist() for r in rows], kind)
 
 
-@F.arrow_udf("binary")
-def _wav_bytes(samples: pa.Array, rate: pa.Array) -> pa.Array:
-    made = [
-        None if s is None or r is None else S.encode_wav(np.asarray(s, np.float64), r)
-        for s, r in zip(samples.to_pylist(), rate.to_pylist())
-    ]
-    return pa.array(made, pa.binary())
-
-
 def wav_bytes(samples: Column | str, rate: Column | str) -> Column:
     """16-bit PCM WAV of a sample array."""
-    return _wav_bytes(_col(samples), _col(rate).cast("int"))
 
+    @F.arrow_udf("binary")
+    def made(wave: pa.Array, rates: pa.Array) -> pa.Array:
+        pairs = zip(wave.to_pylist(), rates.to_pylist())
+        return pa.array(
+            [None if w is None or r is None else encode_wav(np.asarray(w, np.float64), r) for w, r in pairs], pa.binary()
+        )
 
-def encode_clips(df: DataFrame, samples: str = "samples", rate: str = "rate", into: str = "bytes") -> DataFrame:
-    return df.withColumn(into, wav_bytes(samples, rate))
+    return made(_col(samples), _col(rate).cast("int"))
 
 
-@F.arrow_udf(DECODED)
-def _decoded(data: pa.Array) -> pa.Array:
-    made = []
-    for item in data:
-        clip = S.decode_wav(item.as_py())
-        made.append(None if clip is None else {"samples": clip[0].astype(np.float32).tolist(), "rate": clip[1]})
-    return pa.array(made, pa.struct([("samples", pa.list_(pa.float32())), ("rate", pa.int32())]))
+def encode_clips(df: DataFrame, samples: str = "samples", rate: str = "rate", into: str = "bytes") -> DataFrame:
+    return df.withColumn(into, wav_bytes(samples, rate))
 
 
 def decode_clips(df: DataFrame, data: str = "bytes") -> DataFrame:
     """Mono samples and rate of every clip; ``undecodable`` marks clips that are no WAV."""
-    out = df.withColumn("_clip", _decoded(F.col(data)))
+
+    @F.arrow_udf(DECODED)
+    def decoded(items: pa.Array) -> pa.Array:
+        made = []
+        for item in items:
+            clip = decode_wav(item.as_py())
+            made.append(None if clip is None else {"samples": clip[0].astype(np.float32).tolist(), "rate": clip[1]})
+        return pa.array(made, pa.struct([("samples", pa.list_(pa.float32())), ("rate", pa.int32())]))
+
+    out = df.withColumn("_clip", decoded(F.col(data)))
     return out.withColumns(
         {
             "samples": F.col("_clip")["samples"],
@@ -65,7 +66,7 @@ def resample_clips(df: DataFrame, target: int = K.CODEC_RATE, samples: str = "sa
     @F.arrow_udf("array<float>")
     def moved(wave: pa.Array, rates: pa.Array) -> pa.Array:
         made = [
-            None if w is None or r is None else S.resample(np.asarray(w, np.float64), r, target)
+            None if w is None or r is None else resample(np.asarray(w, np.float64), r, target)
             for w, r in zip(wave.to_pylist(), rates.to_pylist())
         ]
         return _lists(made, pa.list_(pa.float32()))
@@ -128,17 +129,20 @@ def _feature(df: DataFrame, samples: str, into: str, kernel) -> DataFrame:
 def log_mel_features(df: DataFrame, rate: int = 24000, n_fft: int = 1024, hop: int = 256, window: int = 1024, bins: int = 128,
                      low: float = 0.0, high: float = 12000.0, samples: str = "samples", into: str = "mel") -> DataFrame:
     """Natural-log mel features (frames x bins). The 16 kHz setting is 1024/160/640, 80 bins, 0-8 kHz."""
-    return _feature(df, samples, into, lambda w: S.log_mel(w, rate, n_fft, hop, window, bins, low, high))
+    bank, shape = mel_bank(rate, n_fft, bins, low, high), hann(window, n_fft)
+    return _feature(df, samples, into, lambda w: mel_kernel(w, bank, shape, hop))
 
 
-def asr_log_mel(df: DataFrame, bins: int = 128, samples: str = "samples", into: str = "mel", block: int | None = None) -> DataFrame:
+def asr_log_mel(df: DataFrame, bins: int = 128, samples: str = "samples", into: str = "mel", block: int | None = None,
+                n_fft: int = 400, hop: int = 160, rate: int = 16000) -> DataFrame:
     """Speech-recognition features (frames x bins) of 16 kHz clips.
 
     ``block`` pads a clip with zeros to a multiple of that many samples first. The floor depends on the maximum of
     the whole clip, so a clip is one call.
     """
+    bank, shape = mel_bank(rate, n_fft, bins, 0.0, rate / 2), hann(n_fft, n_fft)
 
     def kernel(wave: np.ndarray) -> np.ndarray:
-        return S.asr_log_mel(wave, bins, padding=-len(wave) % block if block else 0)
+        return asr_kernel(wave, bank, shape, hop, -len(wave) % block if block else 0)
 
     return _feature(df, samples, into, kernel)

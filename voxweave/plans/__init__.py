@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .registry import ORACLES, QUERIES
 
-MODULES = ("corpus", "tokens", "request_tables", "vector_queries")
+MODULES = ("corpus", "tokens", "request_tables", "vector_queries", "clip_queries", "storage_queries")
 
 
 def _load() -> None:

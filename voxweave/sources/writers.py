@@ -107,7 +107,7 @@ def shard_plan(df: DataFrame, order: list[str], span: Column | None = None, limi
                 shard, filled = shard + 1, 0
         return pd.DataFrame({"_block": pdf["_block"], "shard": shards})
 
-    shards = blocks.groupBy(F.lit(0)).applyInPandas(close, "_block long, shard int")
+    shards = blocks.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(close, "_block long, shard int")
     return placed.join(shards, "_block").drop("_block")
 
 
