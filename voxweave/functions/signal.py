@@ -109,21 +109,27 @@ def asr_log_mel(samples: np.ndarray, bank: np.ndarray, window: np.ndarray, hop:
 
 
 def resample(samples: np.ndarray, rate: int, target: int, zeros: int = 32) -> np.ndarray:
-    """Band-limited resampling with a Hann-windowed sinc; output length is ceil(n * target / rate)."""
+    """Band-limited resampling with a Hann-windowed sinc; output length is ceil(n * target / rate).
+
+    The ratio is a fraction up/down, so output samples fall into ``up`` phases with one filter each.
+    """
     samples = np.asarray(samples, np.float64)
     if rate == target or not len(samples):
         return samples
-    count = int(-(-len(samples) * target // rate))
+    shared = int(np.gcd(rate, target))
+    up, down = target // shared, rate // shared
     cutoff = min(1.0, target / rate)
     half = int(np.ceil(zeros / cutoff))
-    out = np.empty(count)
-    padded = np.pad(samples, (half, half + 1))
     taps = np.arange(-half + 1, half + 1)
-    for lo in range(0, count, 8192):
-        where = np.arange(lo, min(lo + 8192, count)) * (rate / target)
-        base = np.floor(where).astype(np.int64)
-        offset = taps[None, :] - (where - base)[:, None]
+    count = -(-len(samples) * target // rate)
+    padded = np.pad(samples, (half - 1, half + down))
+    windows = np.lib.stride_tricks.sliding_window_view(padded, 2 * half)
+    out = np.empty(count)
+    for phase in range(min(up, count)):
+        base, rest = divmod(phase * down, up)
+        offset = taps - rest / up
         reach = np.clip(offset * cutoff / zeros, -1.0, 1.0)
         weight = np.sinc(offset * cutoff) * cutoff * (0.5 + 0.5 * np.cos(np.pi * reach))
-        out[lo : lo + len(where)] = (padded[base[:, None] + taps[None, :] + half] * weight).sum(1)
+        rows = len(range(phase, count, up))
+        out[phase::up] = windows[base : base + (rows - 1) * down + 1 : down] @ weight
     return out

@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 
-# Patterns. The space class is every character a Unicode-aware split treats as blank.
+# Patterns. BLANK is every character a Unicode-aware split treats as blank; PLAIN is without U+0020.
 TAG = r"<[^>]*>"
 BRACE = r"\{[^}]*\}"
-SPACE = r"(?U)[\s\x1c-\x1f]+"
-EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-NON_SPACE = r"(?U)[^\s\x1c-\x1f]"
+PLAIN = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+BLANK = PLAIN + " "
+# Runs that are not already one plain space, so ordinary text is scanned but not rebuilt.
+SPACE_RUN = f"(?:[{PLAIN}]| (?=[{BLANK}]))[{BLANK}]*"
+EDGE_SPACE = f"^[{BLANK}]+|[{BLANK}]+$"
+NON_SPACE = f"[^{BLANK}]"
 
 
 def _col(c: Column | str) -> Column:
@@ -27,18 +30,37 @@ def strip_spaces(c: Column | str) -> Column:
 
 
 def is_blank(c: Column | str) -> Column:
-    """True for null, empty or only blanks; stops reading at the first other character."""
-    return ~F.coalesce(_col(c).rlike(NON_SPACE), F.lit(False))
+    """True for null, empty or only blanks. The start usually decides; the whole text is read only when it does not."""
+    c = _col(c)
+    filled = F.substring(c, 1, 32).rlike(NON_SPACE) | c.rlike(NON_SPACE)
+    return ~F.coalesce(filled, F.lit(False))
 
 
 def collapse_whitespace(c: Column | str) -> Column:
-    return F.trim(F.regexp_replace(_col(c), SPACE, " "))
+    return F.trim(F.regexp_replace(_col(c), SPACE_RUN, " "))
 
 
 def clean_dialog_text(c: Column | str) -> Column:
-    """Drop ``<...>``, then ``{...}``, collapse blanks; null gives the empty string."""
-    untagged = F.regexp_replace(F.regexp_replace(_col(c), TAG, ""), BRACE, "")
-    return F.coalesce(collapse_whitespace(untagged), F.lit(""))
+    """Drop ``<...>``, then ``{...}``, collapse blanks; null gives the empty string.
+
+    Text without an opening sign skips that pattern.
+    """
+    c = _col(c)
+    untagged = F.when(c.contains("<"), F.regexp_replace(c, TAG, "")).otherwise(c)
+    bare = F.when(c.contains("{"), F.regexp_replace(untagged, BRACE, "")).otherwise(untagged)
+    return F.coalesce(collapse_whitespace(bare), F.lit(""))
+
+
+def has_dialog_text(c: Column | str) -> Column:
+    """Whether ``clean_dialog_text`` leaves anything.
+
+    A predicate on the raw text: it reaches the scan side of a plan without cleaning every row a second time,
+    because only rows with an opening sign need the patterns.
+    """
+    c = _col(c)
+    marked = c.contains("<") | c.contains("{")
+    left = F.when(marked, clean_dialog_text(c) != "").otherwise(~is_blank(c))
+    return F.coalesce(left, F.lit(False))
 
 
 def normalize_language(c: Column | str) -> Column:
@@ -59,7 +81,7 @@ def match_key(text: Column | str, speaker: Column | str, language: Column | str)
         F.lit("||"),
         F.coalesce(normalize_language(language), F.lit("")),
     )
-    return F.when(cleaned != "", key)
+    return F.when(has_dialog_text(text), key)
 
 
 def first_existing(columns: Sequence[str], wanted: Sequence[str]) -> str | None:

@@ -48,9 +48,14 @@ def filter_language_allowed(df: DataFrame, allowed: list[str], language: str = "
     return df.where(F.col(language).isin(*allowed)) if allowed else df
 
 
-def filter_has_text(df: DataFrame, raw: str, cleaned: Column, into: str = "text") -> DataFrame:
-    """Drop blank rows before cleaning and rows that are empty after it."""
-    return df.where(~X.is_blank(raw)).withColumn(into, cleaned).where(F.col(into) != "")
+def filter_has_text(df: DataFrame, raw: str, markup: bool = True, into: str = "text") -> DataFrame:
+    """Drop rows that are blank before cleaning or empty after it, and clean the rest.
+
+    With ``markup`` tags and braces are removed; without, blanks are collapsed only.
+    """
+    if markup:
+        return df.where(X.has_dialog_text(raw)).withColumn(into, X.clean_dialog_text(raw))
+    return df.where(~X.is_blank(raw)).withColumn(into, X.collapse_whitespace(raw))
 
 
 def filter_has_audio(df: DataFrame, audio: str = "audio") -> DataFrame:
@@ -99,7 +104,7 @@ def source_a(
     # The language column is resolved before the result column of the same name is added.
     rows = rows.withColumn("language", X.normalize_language(language_column(rows)))
     rows = filter_language_allowed(rows, allowed_languages(allowed or []))
-    rows = filter_has_text(rows, "transcription", X.clean_dialog_text("transcription"))
+    rows = filter_has_text(rows, "transcription")
     rows = canonical_row(filter_has_audio(rows), F.lit(name), [raw_index])
     return cap_per_source(rows, cap, raw_index=raw_index)
 
@@ -114,7 +119,7 @@ def source_b(
     """
     rows = df.where(F.col(raw_index) >= start) if start else df
     rows = rows.where(F.coalesce(F.col("file_url") != "", F.lit(False)))
-    rows = filter_has_text(rows, "voice_text", X.collapse_whitespace("voice_text"))
+    rows = filter_has_text(rows, "voice_text", markup=False)
     rows = rows.withColumns({"language": F.lit(K.SOURCE_B_LANGUAGE), "speaker": F.col("char_id").cast("string")})
     rows = filter_language_allowed(rows, allowed_languages(allowed or []))
     rows = canonical_row(filter_has_audio(rows), F.lit(name), [raw_index])

@@ -34,16 +34,17 @@ def span_offsets(df: DataFrame, part: list[str]) -> DataFrame:
 
 def dense_position(
     df: DataFrame, part: list[str], order: list[str], span: Column | None = None, name: str = "position",
-    below: int | None = None,
+    below: int | None = None, counted: DataFrame | None = None,
 ) -> DataFrame:
     """0-based position of every row inside ``part`` by ``order``.
 
     ``span`` must grow with the first order column (default: ranges of that integer column). ``part`` columns
     must not be null. With ``below`` only positions under it are kept, and spans that start past it are dropped
-    before any row is shuffled.
+    before any row is shuffled. ``counted`` may name a cheaper frame with the same rows for the counting pass.
     """
-    keyed = df.withColumn("_span", span_of(order[0]) if span is None else span)
-    offsets = span_offsets(keyed, part)
+    span = span_of(order[0]) if span is None else span
+    keyed = df.withColumn("_span", span)
+    offsets = span_offsets(keyed if counted is None else counted.withColumn("_span", span), part)
     if below is not None:
         # Measured here so that it can be broadcast: the join then prunes the scan, not a shuffle.
         offsets = measured(offsets.where(F.col("_before") < below))

@@ -40,12 +40,16 @@ def resume_from_cursor(
     )
 
 
-def anti_join_done(df: DataFrame, done: DataFrame, on: list[str]) -> DataFrame:
+def anti_join_done(df: DataFrame, done: DataFrame, on: list[str], hashed: bool = False) -> DataFrame:
     """Rows whose key is not in the output yet. ``on`` is (source, split, raw_index) or the match key.
 
-    ``done`` is reduced to distinct keys first, so a key written many times is shuffled once per task.
+    ``hashed`` compares SHA-256 digests of a long text key, so the finished side moves 32 bytes per row instead
+    of whole texts.
     """
-    return df.join(done.select(*on).distinct(), on, "left_anti")
+    if not hashed:
+        return df.join(done.select(*on), on, "left_anti")
+    digest = F.sha2(F.to_json(F.struct(*on)), 256)
+    return df.withColumn("_key", digest).join(done.select(digest.alias("_key")), "_key", "left_anti").drop("_key")
 
 
 def tail_rows(parts: DataFrame, n: int, wanted: list[str], file: str = "file_name", row: str = "row_index") -> DataFrame:
@@ -76,24 +80,32 @@ def tail_anchors(tail: DataFrame, length: int = K.ANCHOR_KEYS, file: str = "file
     )
 
 
-def anchor_sequence_search(anchors: DataFrame, rows: DataFrame, span: int = SPAN) -> DataFrame:
+def anchor_sequence_search(anchors: DataFrame, rows: DataFrame, has_key: Column | None = None, span: int = SPAN) -> DataFrame:
     """Raw index after the last place where the anchor keys occur one after another.
 
-    ``rows`` is (source, raw_index, key) with a null key for rows the source adapter drops. A row that equals
-    anchor ``step`` at position ``p`` votes for a match that began at ``p - step``; a start with a vote from
-    every step is a match. One row per anchored source comes back, with a null index when nothing matched.
+    ``rows`` is (source, raw_index, key) with a null key for rows the source adapter drops; ``has_key`` may give
+    a cheaper test for that. A row that equals anchor ``step`` at position ``p`` votes for a match that began at
+    ``p - step``; a start with a vote from every step is a match. Keys are compared before rows are numbered, so
+    only (source, raw_index, steps) is shuffled. One row per anchored source comes back, with a null index when
+    nothing matched.
     """
-    sources = F.broadcast(anchors.select("source").distinct())  # the anchors are a handful of rows
-    named = rows.where(F.col("key").isNotNull()).join(sources, "source", "left_semi")
-    placed = dense_position(named, ["source"], ["raw_index"], span_of("raw_index", span), "_at")
-    votes = placed.join(F.broadcast(anchors), ["source", "key"])
+    present = F.col("key").isNotNull() if has_key is None else has_key
+    # The anchors are a handful of rows by construction, so both sides of them are broadcast.
+    steps = anchors.groupBy("source", "key").agg(F.collect_list("step").alias("_at_step"))
+    sources = F.broadcast(anchors.select("source").distinct())
+    named = rows.where(present).join(sources, "source", "left_semi")
+    tagged = named.join(F.broadcast(steps), ["source", "key"], "left").select("source", "raw_index", "_at_step")
+    placed = dense_position(tagged, ["source"], ["raw_index"], span_of("raw_index", span), "_at", counted=named)
+    votes = placed.select("source", "raw_index", "_at", F.explode("_at_step").alias("_step"))
+    total = anchors.select("source", "steps").distinct()
     matches = (
-        votes.groupBy("source", "steps", (F.col("_at") - F.col("step")).alias("_start"))
+        votes.groupBy("source", (F.col("_at") - F.col("_step")).alias("_start"))
         .agg(F.count(F.lit(1)).alias("_votes"), F.max("raw_index").alias("_last"))
+        .join(F.broadcast(total), "source")
         .where(F.col("_votes") == F.col("steps"))
     )
     found = matches.groupBy("source").agg((F.max("_last") + 1).alias("resume_raw_index"))
-    return anchors.select("source").distinct().join(found, "source", "left")
+    return total.select("source").join(found, "source", "left")
 
 
 def reconcile_state(

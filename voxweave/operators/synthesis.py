@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from urllib.request import urlopen
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -98,7 +99,7 @@ def tokenize_udf(tokenizer: Callable[[str], list[int]]) -> Callable[[Column | st
 
 def code_points(text: str) -> list[int]:
     """Stand-in tokenizer: one id per character."""
-    return [ord(c) for c in text]
+    return np.frombuffer(text.encode("utf-32-le"), "<u4").tolist()
 
 
 def build_clone_prompts(clips: DataFrame, speaker_vector: Column, codes: Column, keep: list[str]) -> DataFrame:

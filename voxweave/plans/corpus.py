@@ -139,19 +139,16 @@ def canonical_row(spark, sf):
 
 @query(
     "output_schema_train_minimal",
-    f"""WITH {CANONICAL} SELECT audio_path, text, text AS transcript, source, speaker, language,
- len(list_distinct([raw_index % 16])) AS n_codes, 'audio,text,source,speaker,language,audio_codes' AS train_columns,
- 'audio,transcript,speaker,codes' AS minimal_columns FROM canonical""",
+    f"""WITH {CANONICAL} SELECT audio_path, text AS transcript, speaker, CAST(raw_index % 16 AS INTEGER) AS first_code,
+ 'audio,text,source,speaker,language,audio_codes' AS train_columns FROM canonical""",
 )
 def output_schema_train_minimal(spark, sf):
     rows = canonical(spark, sf).withColumn("encoded", F.array(F.array((F.col("raw_index") % 16).cast("int"))))
     train = C.output_rows(rows, "train", "encoded")
     minimal = C.output_rows(rows, "minimal", "encoded")
-    short = minimal.select(F.col("audio.path").alias("audio_path"), "transcript", F.size("codes").cast("long").alias("n_codes"))
-    return (
-        train.select(F.col("audio.path").alias("audio_path"), "text", "source", "speaker", "language")
-        .join(short, "audio_path")
-        .withColumns({"train_columns": F.lit(",".join(train.columns)), "minimal_columns": F.lit(",".join(minimal.columns))})
+    return minimal.select(
+        F.col("audio.path").alias("audio_path"), "transcript", "speaker", F.col("codes")[0][0].alias("first_code"),
+        F.lit(",".join(train.columns)).alias("train_columns"),
     )
 
 
@@ -160,7 +157,7 @@ def output_schema_train_minimal(spark, sf):
 
 @query("filter_has_text", f"WITH {I.CLEANED} SELECT raw_index, source, text FROM kept")
 def filter_has_text(spark, sf):
-    rows = C.filter_has_text(I.raw_rows(spark, sf), "transcription", X.clean_dialog_text("transcription"))
+    rows = C.filter_has_text(I.raw_rows(spark, sf), "transcription")
     return rows.select("raw_index", "source", "text")
 
 
@@ -406,7 +403,7 @@ def source_language_summary(spark, sf):
     raw = I.raw_rows(spark, sf)
     rows = raw.withColumn("language", X.normalize_language(C.language_column(raw)))
     rows = C.filter_language_allowed(rows, C.allowed_languages(ALLOWED))
-    rows = C.filter_has_text(rows, "transcription", X.clean_dialog_text("transcription"))
+    rows = C.filter_has_text(rows, "transcription")
     rows = O.cap_per_source(rows.select("source", "raw_index", "language", "speaker"), 250)
     return R.source_language_summary(rows)
 

@@ -98,17 +98,16 @@ def clean_rows(spark: SparkSession, sf: str) -> DataFrame:
     from ..functions import text as X
 
     raw = raw_rows(spark, sf)
-    out = raw.where(~X.is_blank("transcription")).select(
+    return raw.where(X.has_dialog_text("transcription")).select(
         "raw_index", "source", X.clean_dialog_text("transcription").alias("text"), "speaker",
         X.normalize_language("language").alias("language"), "n_chars",
     )
-    return out.where(F.col("text") != "")
 
 
 # ---------------------------------------------------------------- codes and text ids
 
 
-def code_rows(spark: SparkSession, sf: str, with_end: bool = False) -> DataFrame:
+def code_rows(spark: SparkSession, sf: str, with_end: bool = False, extra: tuple = ()) -> DataFrame:
     """Codes of ``n_chars % 40 + 1`` frames per document; optionally with an end id in the first code."""
     d = F.col("doc_id")
 
@@ -120,7 +119,8 @@ def code_rows(spark: SparkSession, sf: str, with_end: bool = False) -> DataFrame
         return F.transform(F.sequence(F.lit(0), F.lit(15)), code)
 
     frames = F.transform(F.sequence(F.lit(0), (F.col("n_chars") % 40).cast("int")), frame)
-    return table(spark, sf, "documents").select("doc_id", "n_chars", frames.alias("codes"))
+    rows = table(spark, sf, "documents")
+    return rows.select("doc_id", "n_chars", frames.alias("codes"), *extra)
 
 
 def sql_codes(with_end: bool = False) -> str:
@@ -147,9 +147,8 @@ def layout_rows(spark: SparkSession, sf: str) -> DataFrame:
     from ..functions import arrays as A
     from ..operators.ordering import fixed_batches
 
-    codes = code_rows(spark, sf)
-    docs = table(spark, sf, "documents").select("doc_id", A.drop_ends(text_ids("text"), 0, 5).alias("text_ids"))
-    rows = docs.join(codes, "doc_id").withColumn("source", F.concat(F.lit("src_"), (F.col("doc_id") % 3).cast("string")))
+    source = F.concat(F.lit("src_"), (F.col("doc_id") % 3).cast("string")).alias("source")
+    rows = code_rows(spark, sf, extra=(A.drop_ends(text_ids("text"), 0, 5).alias("text_ids"), source))
     return fixed_batches(rows, 32, "source", "doc_id").drop("slot")
 
 

@@ -152,7 +152,7 @@ def last_cursor(spark, sf):
 def anti_join_done(spark, sf):
     keyed = I.raw_rows(spark, sf).select("raw_index", X.match_key("transcription", "speaker", "language").alias("match_key"))
     keyed = keyed.where(F.col("match_key").isNotNull())
-    return E.anti_join_done(keyed, keyed.where(F.col("raw_index") % 7 < 3), ["match_key"])
+    return E.anti_join_done(keyed, keyed.where(F.col("raw_index") % 7 < 3), ["match_key"], hashed=True)
 
 
 ANCHOR_SQL = f"""WITH {I.CLEANED}, keyed AS (SELECT source, raw_index, CASE WHEN text <> '' THEN text || '||' || coalesce(trim(speaker), '') || '||' || coalesce(language, '') END AS key FROM cleaned),
@@ -166,14 +166,17 @@ ANCHOR_SQL = f"""WITH {I.CLEANED}, keyed AS (SELECT source, raw_index, CASE WHEN
 @query("anchor_sequence_search", ANCHOR_SQL)
 def anchor_sequence_search(spark, sf):
     raw = I.raw_rows(spark, sf)
-    rows = raw.select("source", "raw_index", X.match_key("transcription", "speaker", "language").alias("key"))
+    rows = raw.select(
+        "source", "raw_index", X.match_key("transcription", "speaker", "language").alias("key"),
+        X.has_dialog_text("transcription").alias("has_key"),
+    )
     half = I.table(spark, sf, "documents").agg(F.floor(F.max("doc_id") / 2)).scalar()
     written = I.clean_rows(spark, sf).where(
         (F.col("source") == "src_0") | ((F.col("source") == "src_1") & (F.col("raw_index") <= half))
     )
     written = written.select("text", "speaker", "language", "source", F.col("source").alias("file_name"), F.col("raw_index").alias("row_index"))
     tail = E.tail_rows(written, K.TAIL_ROWS, ["source", "text", "transcript", "speaker", "language"])
-    return E.anchor_sequence_search(E.tail_anchors(tail), rows)
+    return E.anchor_sequence_search(E.tail_anchors(tail), rows, F.col("has_key"))
 
 
 @query(

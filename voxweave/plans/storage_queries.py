@@ -62,8 +62,7 @@ def scan_jsonl_manifest(spark, sf):
 @query("sink_jsonl", f"SELECT doc_id, text, CASE WHEN doc_id % 3 > 0 THEN {I.sql_rows(I.sql_codes())} END AS audio_codes FROM documents")
 def sink_jsonl(spark, sf):
     folder = work_path(spark, "jsonl")
-    rows = I.table(spark, sf, "documents").select("doc_id", "text").join(I.code_rows(spark, sf).select("doc_id", "codes"), "doc_id")
-    rows = rows.select("doc_id", "text", F.when(F.col("doc_id") % 3 > 0, F.col("codes")).alias("audio_codes"))
+    rows = I.code_rows(spark, sf, extra=("text",)).select("doc_id", "text", F.when(F.col("doc_id") % 3 > 0, F.col("codes")).alias("audio_codes"))
     W.sink_jsonl(rows, folder)
     back = spark.read.schema(rows.schema).option("mode", "FAILFAST").json(folder)
     return back.withColumn("audio_codes", I.show_rows("audio_codes"))
@@ -159,21 +158,22 @@ def profile_dataset(spark, sf):
 
 @query(
     "scan_binary_audio",
-    """SELECT page_id, CASE WHEN page_id % 6 <> 0 THEN octet_length(encode(url)) END AS n_bytes, CASE WHEN page_id % 6 <> 0 THEN md5(url) END AS digest FROM pages""",
+    """SELECT item_id, CASE WHEN item_id % 6 <> 0 THEN octet_length(encode(replace(text, chr(10), ' '))) END AS n_bytes,
+ CASE WHEN item_id % 6 <> 0 THEN md5(replace(text, chr(10), ' ')) END AS digest FROM benchmark""",
 )
 def scan_binary_audio(spark, sf):
-    # Every page's URL goes into a file of its own, except every sixth page, whose file is missing.
+    # Every item goes into a file of its own, except every sixth one, whose file is missing.
     folder = work_path(spark, "clips")
-    pages = I.table(spark, sf, "pages").select("page_id", "url")
-    some = pages.where(F.col("page_id") % 6 != 0).select((F.col("page_id")).alias("id"), F.col("url").alias("value"))
+    items = I.table(spark, sf, "benchmark").select("item_id", F.translate("text", "\n", " ").alias("value"))
+    some = items.where(F.col("item_id") % 6 != 0).select(F.col("item_id").alias("id"), "value")
     some.repartition(8, "id").write.option("lineSep", "\u0001").partitionBy("id").text(folder)
     files = D.scan_binary_audio(spark, folder, "*.txt").select(
         F.regexp_extract("path", r"/id=(\d+)/", 1).alias("path"), "content"
     )
-    rows = pages.withColumn("key", F.col("page_id").cast("string"))
+    rows = items.select("item_id", F.col("item_id").cast("string").alias("key"))
     out = D.join_audio_bytes(rows, files, "key")
     body = F.substring("bytes", 1, F.octet_length("bytes") - 1)
-    return out.select("page_id", F.octet_length(body).cast("long").alias("n_bytes"), F.md5(body).alias("digest"))
+    return out.select("item_id", F.octet_length(body).cast("long").alias("n_bytes"), F.md5(body).alias("digest"))
 
 
 # ---------------------------------------------------------------- incremental jobs
@@ -182,10 +182,9 @@ def scan_binary_audio(spark, sf):
 def _clean(rows):
     from ..functions import text as X
 
-    out = rows.where(~X.is_blank("transcription")).select(
+    return rows.where(X.has_dialog_text("transcription")).select(
         "raw_index", "source", X.clean_dialog_text("transcription").alias("text"), X.normalize_language("language").alias("language")
     )
-    return out.where(F.col("text") != "")
 
 
 def _in_two_runs(spark, sf, name, run, rows=None, order="raw_index"):

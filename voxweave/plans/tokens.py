@@ -219,8 +219,8 @@ def subcode_inputs_labels(spark, sf):
  {I.sql_show('text_ids[lc + 1:]')} AS remainder FROM a""",
 )
 def align_text_codec(spark, sf):
-    docs = I.table(spark, sf, "documents").select("doc_id", A.drop_ends(I.text_ids("text"), 0, 5).alias("text_ids"))
-    rows = docs.join(I.code_rows(spark, sf).select("doc_id", A.first_codes("codes").alias("c0")), "doc_id")
+    rows = I.code_rows(spark, sf, extra=(A.drop_ends(I.text_ids("text"), 0, 5).alias("text_ids"),))
+    rows = rows.withColumn("c0", A.first_codes("codes"))
     return rows.select(
         "doc_id", I.show(A.aligned_text("text_ids", "c0")).alias("text_side"), I.show("c0").alias("codec_side"),
         I.show(A.remaining_text("text_ids", "c0")).alias("remainder"),

@@ -22,11 +22,6 @@ def _sql_round(x: str, digits: int = 6) -> str:
     return f"array_to_string(list_transform({x}, lambda _y: printf('%.{digits}f', round(_y, {digits}) + 0.0)), ',')"
 
 
-def _sum2(c):
-    """Checksum of a vector: enough to compare results without printing every dimension."""
-    return F.round(F.aggregate(c, F.lit(0.0), lambda s, x: s + x), 6)
-
-
 def _sql_nearest(rows: str, book: str, name: str, extra: str = "") -> str:
     best = "min({'d': list_sum(list_transform(list_zip(v.vec, b.vec), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), 'c': b.code})"
     return f"{name} AS (SELECT v.vec_id, v.vec{extra}, {best} AS m FROM {rows} v, {book} b GROUP BY ALL)"
@@ -210,8 +205,8 @@ def rvq_encode(spark, sf):
     "rvq_decode",
     f"""WITH {I.VECTORS}, {_sql_books()}, c AS (SELECT doc_id, generate_subscripts({I.sql_codes()}, 1) - 1 AS t, unnest({I.sql_codes()}) AS f FROM documents),
  l AS (SELECT doc_id, t, unnest(range(0, {STAGES})) AS stage, unnest(f[1:{STAGES}]) % {SIZE} AS code FROM c),
- d AS (SELECT doc_id, t, list_sum(vec) AS total, vec[1] AS x1, vec[64] AS x64 FROM l JOIN books USING (stage, code))
- SELECT doc_id, t, round(sum(total), 6) AS total, round(sum(x1), 6) AS first_value, round(sum(x64), 6) AS last_value FROM d GROUP BY doc_id, t""",
+ d AS (SELECT doc_id, t, vec[1] AS x1, vec[33] AS x33, vec[64] AS x64 FROM l JOIN books USING (stage, code))
+ SELECT doc_id, t, round(sum(x33), 6) AS middle_value, round(sum(x1), 6) AS first_value, round(sum(x64), 6) AS last_value FROM d GROUP BY doc_id, t""",
 )
 def rvq_decode(spark, sf):
     codes = I.code_rows(spark, sf).select("doc_id", F.posexplode("codes").alias("t", "f"))
@@ -220,7 +215,7 @@ def rvq_decode(spark, sf):
     )
     out = Z.rvq_decode(codes, stage_books(spark, sf), key=["doc_id", "t"], semantic=1)
     return out.select(
-        "doc_id", "t", _sum2("decoded").alias("total"), F.round(F.col("decoded")[0], 6).alias("first_value"),
+        "doc_id", "t", F.round(F.col("decoded")[32], 6).alias("middle_value"), F.round(F.col("decoded")[0], 6).alias("first_value"),
         F.round(F.col("decoded")[63], 6).alias("last_value"),
     )
 
