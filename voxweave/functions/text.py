@@ -9,15 +9,13 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 
-# Patterns. BLANK is every character a Unicode-aware split treats as blank; PLAIN is without U+0020.
+# Patterns. BLANK is every character a Unicode-aware split treats as blank.
 TAG = r"<[^>]*>"
 BRACE = r"\{[^}]*\}"
-PLAIN = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-BLANK = PLAIN + " "
-# Runs that are not already one plain space, so ordinary text is scanned but not rebuilt.
-SPACE_RUN = f"(?:[{PLAIN}]| (?=[{BLANK}]))[{BLANK}]*"
-EDGE_SPACE = f"^[{BLANK}]+|[{BLANK}]+$"
-NON_SPACE = f"[^{BLANK}]"
+BLANK = r"\s\x1c-\x1f"
+SPACE_RUN = f"(?U)[{BLANK}]++"
+EDGE_SPACE = f"(?U)^[{BLANK}]++|[{BLANK}]++$"
+NON_SPACE = f"(?U)[^{BLANK}]"
 
 
 def _col(c: Column | str) -> Column:

@@ -98,15 +98,17 @@ def source_a(
 ) -> DataFrame:
     """Transcribed source: language from the first existing column, tags and braces removed, audio required.
 
-    Text and language predicates come before the audio one, so clips of dropped rows are never read.
+    Text and language predicates come before the audio one, so clips of dropped rows are never read; text is
+    cleaned after the cap, so only for rows that stay.
     """
     rows = df.where(F.col(raw_index) >= start) if start else df
     # The language column is resolved before the result column of the same name is added.
     rows = rows.withColumn("language", X.normalize_language(language_column(rows)))
     rows = filter_language_allowed(rows, allowed_languages(allowed or []))
-    rows = filter_has_text(rows, "transcription")
-    rows = canonical_row(filter_has_audio(rows), F.lit(name), [raw_index])
-    return cap_per_source(rows, cap, raw_index=raw_index)
+    rows = filter_has_audio(rows.where(X.has_dialog_text("transcription"))).withColumn("source", F.lit(name))
+    rows = cap_per_source(rows, cap, raw_index=raw_index)
+    rows = rows.withColumn("text", X.clean_dialog_text("transcription"))
+    return canonical_row(rows, F.lit(name), [raw_index])
 
 
 def source_b(
@@ -119,11 +121,13 @@ def source_b(
     """
     rows = df.where(F.col(raw_index) >= start) if start else df
     rows = rows.where(F.coalesce(F.col("file_url") != "", F.lit(False)))
-    rows = filter_has_text(rows, "voice_text", markup=False)
-    rows = rows.withColumns({"language": F.lit(K.SOURCE_B_LANGUAGE), "speaker": F.col("char_id").cast("string")})
+    rows = filter_has_audio(rows.where(~X.is_blank("voice_text"))).withColumns(
+        {"language": F.lit(K.SOURCE_B_LANGUAGE), "speaker": F.col("char_id").cast("string"), "source": F.lit(name)}
+    )
     rows = filter_language_allowed(rows, allowed_languages(allowed or []))
-    rows = canonical_row(filter_has_audio(rows), F.lit(name), [raw_index])
-    return cap_per_source(rows, cap, raw_index=raw_index)
+    rows = cap_per_source(rows, cap, raw_index=raw_index)
+    rows = rows.withColumn("text", X.collapse_whitespace("voice_text"))
+    return canonical_row(rows, F.lit(name), [raw_index])
 
 
 def union_sources(frames: list[DataFrame]) -> DataFrame:

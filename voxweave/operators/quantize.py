@@ -17,19 +17,28 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.text import _col
 from ..functions.vectors import at, matrix, nearest_rows, vector_sum
-from ..session import BROADCAST_BYTES, cut_lineage
+from ..session import BROADCAST_BYTES, cut_lineage, join_small_or_salted
 from .ordering import sample_vectors
 
 NEAREST = "struct<code:int,dist:double>"
 
 
+def _ordered(rows) -> tuple[np.ndarray, np.ndarray]:
+    rows = sorted(rows, key=lambda r: r["code"])
+    return np.array([r["code"] for r in rows], np.int32), np.array([r["vec"] for r in rows], np.float64)
+
+
 class Words:
     """A codebook that has been measured and, block by block, brought to the driver for shipping."""
 
-    def __init__(self, codebook: DataFrame, limit_bytes: int = BROADCAST_BYTES, code: str = "code", vec: str = "vec"):
-        self._rows = codebook.select(F.col(code).cast("int").alias("code"), F.col(vec).cast("array<double>").alias("vec"))
-        size = self._rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dim")).first()
-        self.count, self.dim = size["n"], size["dim"] or 0
+    def __init__(self, codebook: DataFrame, limit_bytes: int = BROADCAST_BYTES, rows: list | None = None):
+        self._table = codebook.select(F.col("code").cast("int").alias("code"), F.col("vec").cast("array<double>").alias("vec"))
+        self._rows = rows
+        if rows is None:
+            size = self._table.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dim")).first()
+            self.count, self.dim = size["n"], size["dim"] or 0
+        else:
+            self.count, self.dim = len(rows), len(rows[0]["vec"]) if rows else 0
         per_block = max(1, limit_bytes // max(1, 8 * self.dim))
         self.blocks = max(1, -(-self.count // per_block))
 
@@ -39,9 +48,23 @@ class Words:
 
     def block(self, number: int) -> tuple[np.ndarray, np.ndarray]:
         """Codes and vectors of one block, in code order."""
-        part = self._rows if self.fits else self._rows.where(F.pmod(F.xxhash64("code"), F.lit(self.blocks)) == number)
-        rows = sorted(part.collect(), key=lambda r: r["code"])
-        return np.array([r["code"] for r in rows], np.int32), np.array([r["vec"] for r in rows], np.float64)
+        if self._rows is not None and self.fits:
+            return _ordered(self._rows)
+        mine = F.pmod(F.xxhash64("code"), F.lit(self.blocks)) == number
+        return _ordered((self._table if self.fits else self._table.where(mine)).collect())
+
+
+def load_books(codebooks: DataFrame, keys: list[str], limit_bytes: int = BROADCAST_BYTES) -> tuple[list[tuple], dict | None]:
+    """Keys of a set of codebooks in order, and their words per key when all of them fit the limit together."""
+    sizes = codebooks.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.max(F.size("vec")).alias("_dim")).collect()
+    names = sorted(tuple(r[k] for k in keys) for r in sizes)
+    if sum(r["_n"] * (r["_dim"] or 0) * 8 for r in sizes) > limit_bytes:
+        return names, None
+    rows = codebooks.select(*keys, F.col("code").cast("int").alias("code"), F.col("vec").cast("array<double>").alias("vec")).collect()
+    grouped: dict = {name: [] for name in names}
+    for r in rows:
+        grouped[tuple(r[k] for k in keys)].append(r)
+    return names, {name: _ordered(found) for name, found in grouped.items()}
 
 
 def _nearest_column(codes: np.ndarray, words: np.ndarray):
@@ -97,10 +120,6 @@ def kmeans_fit(df: DataFrame, k: int, rounds: int = K.KMEANS_ROUNDS, vec: str =
     means = start.select("code", F.col("vec").cast("array<double>").alias("vec"), F.lit(0).cast("long").alias("members"))
     spark = df.sparkSession
 
-    def settle(frame: DataFrame, small: bool) -> DataFrame:
-        # A codebook within the limit is brought back as data; a larger one goes to the shared folder.
-        return spark.createDataFrame(frame.collect(), frame.schema) if small else cut_lineage(frame)
-
     words = Words(means, limit_bytes)
     for _ in range(rounds):
         sums = _member_sums(df, words, vec)
@@ -110,8 +129,14 @@ def kmeans_fit(df: DataFrame, k: int, rounds: int = K.KMEANS_ROUNDS, vec: str =
             .join(sums.withColumnRenamed("members", "_n"), "code", "left")
             .select("code", F.coalesce(moved, "vec").alias("vec"), F.coalesce("_n", F.lit(0)).alias("members"))
         )
-        means = settle(means, words.fits)
-        words = Words(means, limit_bytes)
+        if words.fits:
+            # A codebook within the limit is brought back as data, which also ends its history.
+            rows = means.collect()
+            means = spark.createDataFrame(rows, means.schema)
+            words = Words(means, limit_bytes, rows)
+        else:
+            means = cut_lineage(means)
+            words = Words(means, limit_bytes)
     return means
 
 
@@ -169,34 +194,50 @@ def commitment_loss(df: DataFrame, codebook: DataFrame, vec: str = "vec", weight
 # ---------------------------------------------------------------- residual and grouped codes
 
 
-def _stages(codebooks: DataFrame) -> list[int]:
-    return [r["stage"] for r in codebooks.select("stage").distinct().orderBy("stage").collect()]
+def _encode_column(shipped: list):
+    @F.arrow_udf("array<int>")
+    def encode(column: pa.Array) -> pa.Array:
+        residual = matrix(column).copy()
+        out = np.empty((len(residual), len(shipped)), np.int32)
+        for i, (codes, words) in enumerate(shipped):
+            row, _ = nearest_rows(residual, words)
+            residual -= words[row]
+            out[:, i] = codes[row]
+        offsets = np.arange(len(out) + 1, dtype=np.int32) * len(shipped)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel()))
+
+    return encode
+
+
+def _decode_column(shipped: list, semantic: int):
+    dim = shipped[0][1].shape[1]
+
+    @F.arrow_udf("array<double>")
+    def decode(column: pa.Array) -> pa.Array:
+        ids = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+        halves = [np.zeros((len(ids), dim)), np.zeros((len(ids), dim))]
+        for i, (known, words) in enumerate(shipped[: ids.shape[1]]):
+            halves[i >= semantic] += words[np.searchsorted(known, ids[:, i])]
+        out = halves[0] + halves[1]
+        offsets = np.arange(len(out) + 1, dtype=np.int32) * dim
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel()))
+
+    return decode
 
 
 def rvq_encode(df: DataFrame, codebooks: DataFrame, vec: str = "vec", into: str = "codes", limit_bytes: int = BROADCAST_BYTES,
                stages: int | None = None) -> DataFrame:
     """Residual codes: nearest word, subtract it, go on with the next stage. ``codebooks`` is (stage, code, vec)."""
-    books = [Words(codebooks.where(F.col("stage") == s), limit_bytes) for s in _stages(codebooks)[:stages]]
-    if all(b.fits for b in books) and sum(b.count * b.dim * 8 for b in books) <= limit_bytes:
-        shipped = [b.block(0) for b in books]
-
-        @F.arrow_udf("array<int>")
-        def encode(column: pa.Array) -> pa.Array:
-            residual = matrix(column).copy()
-            out = np.empty((len(residual), len(shipped)), np.int32)
-            for i, (codes, words) in enumerate(shipped):
-                row, _ = nearest_rows(residual, words)
-                residual -= words[row]
-                out[:, i] = codes[row]
-            offsets = np.arange(0, out.size + 1, max(1, len(shipped)), dtype=np.int32)[: len(out) + 1]
-            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel()))
-
-        return df.withColumn(into, encode(F.col(vec).cast("array<double>")))
+    names, books = load_books(codebooks, ["stage"], limit_bytes)
+    if books is not None:
+        return df.withColumn(into, _encode_column([books[n] for n in names[:stages]])(F.col(vec).cast("array<double>")))
     out = df.withColumns({"_residual": F.col(vec).cast("array<double>"), into: F.array().cast("array<int>")})
-    for stage, book in zip(_stages(codebooks), books):
-        words = codebooks.where(F.col("stage") == stage).select(F.col("code").cast("int").alias("_code"), F.col("vec").alias("_word"))
-        out = nearest_codeword_join(out, book, "_residual", "_near").withColumn("_code", F.col("_near")["code"])
-        out = out.join(words, "_code").withColumns(
+    for (stage,) in names[:stages]:
+        book = codebooks.where(F.col("stage") == stage)
+        words = book.select(F.col("code").cast("int").alias("_code"), F.col("vec").alias("_word"))
+        out = nearest_codeword_join(out, book, "_residual", "_near", limit_bytes).withColumn("_code", F.col("_near")["code"])
+        # One word may be the nearest of very many rows: a small book is broadcast by Spark, a large one is salted.
+        out = join_small_or_salted(out, words, "_code", "inner", limit_bytes=limit_bytes, row_bytes=8 * 64).withColumns(
             {
                 "_residual": F.zip_with("_residual", "_word", lambda r, w: r - w),
                 into: F.concat(into, F.array("_code")),
@@ -214,31 +255,18 @@ def rvq_decode(df: DataFrame, codebooks: DataFrame, codes: str = "codes", into:
     Codebooks within the limit are gathered inside the tasks; otherwise codes are joined to their words and
     summed per ``key``.
     """
-    order = _stages(codebooks)
-    books = [Words(codebooks.where(F.col("stage") == s), limit_bytes) for s in order]
-    if sum(b.count * b.dim * 8 for b in books) <= limit_bytes:
-        shipped = [b.block(0) for b in books]
-        dim = books[0].dim
-
-        @F.arrow_udf("array<double>")
-        def decode(column: pa.Array) -> pa.Array:
-            ids = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
-            halves = [np.zeros((len(ids), dim)), np.zeros((len(ids), dim))]
-            for i, (known, words) in enumerate(shipped[: ids.shape[1]]):
-                halves[i >= semantic] += words[np.searchsorted(known, ids[:, i])]
-            out = halves[0] + halves[1]
-            offsets = np.arange(0, out.size + 1, dim, dtype=np.int32)[: len(out) + 1]
-            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel()))
-
-        return df.withColumn(into, decode(F.col(codes)))
+    names, books = load_books(codebooks, ["stage"], limit_bytes)
+    if books is not None:
+        return df.withColumn(into, _decode_column([books[n] for n in names], semantic)(F.col(codes)))
     if not key:
         raise ValueError("codebooks beyond the broadcast limit need the key columns of a frame")
+    dim = codebooks.agg(F.max(F.size("vec"))).first()[0]
     long = df.select(*key, F.posexplode(codes).alias("_at", "code")).withColumn(
-        "stage", F.get(F.array(*[F.lit(s) for s in order]), F.col("_at"))
+        "stage", F.get(F.array(*[F.lit(s) for (s,) in names]), F.col("_at"))
     )
     words = codeword_lookup(long, codebooks, ["stage", "code"])
-    half = words.groupBy(*key, (F.col("_at") >= semantic).alias("_half")).agg(vector_sum(books[0].dim, lambda i: at("vec", i)).alias("_v"))
-    sums = half.groupBy(*key).agg(vector_sum(books[0].dim, lambda i: at("_v", i)).alias(into))
+    half = words.groupBy(*key, (F.col("_at") >= semantic).alias("_half")).agg(vector_sum(dim, lambda i: at("vec", i)).alias("_v"))
+    sums = half.groupBy(*key).agg(vector_sum(dim, lambda i: at("_v", i)).alias(into))
     return df.join(sums, key)
 
 
@@ -249,22 +277,32 @@ def split_groups(vec: Column | str, dim: int, groups: int) -> list[Column]:
     return [F.slice(_col(vec), s + 1, min(width, dim - s)) for s in starts]
 
 
-def grouped_rvq_encode(df: DataFrame, codebooks: DataFrame, dim: int, groups: int, vec: str = "vec", into: str = "codes") -> DataFrame:
+def grouped_rvq_encode(df: DataFrame, codebooks: DataFrame, dim: int, groups: int, vec: str = "vec", into: str = "codes",
+                       limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Residual codes of each chunk. ``codebooks`` is (group, stage, code, vec); the result is array<array<int>>."""
-    for g, chunk in enumerate(split_groups(vec, dim, groups)):
+    chunks = split_groups(F.col(vec).cast("array<double>"), dim, groups)
+    names, books = load_books(codebooks, ["group", "stage"], limit_bytes)
+    if books is not None:
+        shipped = [[books[n] for n in names if n[0] == g] for g in range(len(chunks))]
+        return df.withColumn(into, F.array(*[_encode_column(s)(c) for s, c in zip(shipped, chunks)]))
+    for g, chunk in enumerate(chunks):
         book = codebooks.where(F.col("group") == g).drop("group")
-        df = rvq_encode(df.withColumn("_chunk", chunk), book, "_chunk", f"_g{g}").drop("_chunk")
-    names = [f"_g{g}" for g in range(len(split_groups(vec, dim, groups)))]
-    return df.withColumn(into, F.array(*names)).drop(*names)
+        df = rvq_encode(df.withColumn("_chunk", chunk), book, "_chunk", f"_g{g}", limit_bytes).drop("_chunk")
+    parts = [f"_g{g}" for g in range(len(chunks))]
+    return df.withColumn(into, F.array(*parts)).drop(*parts)
 
 
 def grouped_rvq_decode(df: DataFrame, codebooks: DataFrame, groups: int, codes: str = "codes", into: str = "decoded",
-                       key: list[str] | None = None) -> DataFrame:
+                       key: list[str] | None = None, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    names, books = load_books(codebooks, ["group", "stage"], limit_bytes)
+    if books is not None:
+        shipped = [[books[n] for n in names if n[0] == g] for g in range(groups)]
+        return df.withColumn(into, F.concat(*[_decode_column(s, 0)(F.get(codes, F.lit(g))) for g, s in enumerate(shipped)]))
     for g in range(groups):
         book = codebooks.where(F.col("group") == g).drop("group")
-        df = rvq_decode(df.withColumn("_c", F.get(codes, F.lit(g))), book, "_c", f"_d{g}", key).drop("_c")
-    names = [f"_d{g}" for g in range(groups)]
-    return df.withColumn(into, F.concat(*names)).drop(*names)
+        df = rvq_decode(df.withColumn("_c", F.get(codes, F.lit(g))), book, "_c", f"_d{g}", key, 0, limit_bytes).drop("_c")
+    parts = [f"_d{g}" for g in range(groups)]
+    return df.withColumn(into, F.concat(*parts)).drop(*parts)
 
 
 # ---------------------------------------------------------------- statistics over frames

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.text import _col, match_key
+from ..session import measured
 from .ordering import SPAN, dense_position, source_rank, span_of
 
 STATE_JSON = (
@@ -48,7 +49,8 @@ def anti_join_done(df: DataFrame, done: DataFrame, on: list[str], hashed: bool =
     """
     if not hashed:
         return df.join(done.select(*on), on, "left_anti")
-    digest = F.sha2(F.to_json(F.struct(*on)), 256)
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in on]
+    digest = F.sha2(F.concat_ws("\x1f", *parts), 256)
     return df.withColumn("_key", digest).join(done.select(digest.alias("_key")), "_key", "left_anti").drop("_key")
 
 
@@ -90,7 +92,8 @@ def anchor_sequence_search(anchors: DataFrame, rows: DataFrame, has_key: Column
     nothing matched.
     """
     present = F.col("key").isNotNull() if has_key is None else has_key
-    # The anchors are a handful of rows by construction, so both sides of them are broadcast.
+    # The anchors are a handful of rows by construction: found once, then broadcast.
+    anchors = measured(anchors)
     steps = anchors.groupBy("source", "key").agg(F.collect_list("step").alias("_at_step"))
     sources = F.broadcast(anchors.select("source").distinct())
     named = rows.where(present).join(sources, "source", "left_semi")

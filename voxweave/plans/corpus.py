@@ -322,7 +322,9 @@ def assign_global_index(spark, sf):
  SELECT source, raw_index, text FROM n WHERE rn <= 100""",
 )
 def cap_per_source(spark, sf):
-    return O.cap_per_source(I.clean_rows(spark, sf).select("source", "raw_index", "text"), 100)
+    # Capped on the raw rows that will survive, then cleaned.
+    rows = I.raw_rows(spark, sf).where(X.has_dialog_text("transcription")).select("source", "raw_index", "transcription")
+    return O.cap_per_source(rows, 100).select("source", "raw_index", X.clean_dialog_text("transcription").alias("text"))
 
 
 @query(

@@ -15,18 +15,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def show(c: Column | str) -> Column:
     """An array as comma-separated text (booleans as 0/1), so results compare as plain strings."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+    return F.array_join(c.cast("array<string>"), ",")
 
 
 def show_flags(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    return F.array_join(F.transform(c, lambda x: x.cast("int").cast("string")), "")
+    return F.array_join(c.cast("array<int>").cast("array<string>"), "")
 
 
 def show_rows(c: Column | str) -> Column:
     """A matrix as text, rows separated by semicolons."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.array_join(F.transform(c, lambda r: F.array_join(F.transform(r, lambda x: x.cast("string")), ",")), ";")
+    return F.array_join(F.transform(c, lambda r: F.array_join(r.cast("array<string>"), ",")), ";")
 
 
 def sql_show(x: str) -> str:

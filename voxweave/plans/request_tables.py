@@ -171,10 +171,13 @@ def anchor_sequence_search(spark, sf):
         X.has_dialog_text("transcription").alias("has_key"),
     )
     half = I.table(spark, sf, "documents").agg(F.floor(F.max("doc_id") / 2)).scalar()
-    written = I.clean_rows(spark, sf).where(
+    written = raw.where(X.has_dialog_text("transcription")).where(
         (F.col("source") == "src_0") | ((F.col("source") == "src_1") & (F.col("raw_index") <= half))
     )
-    written = written.select("text", "speaker", "language", "source", F.col("source").alias("file_name"), F.col("raw_index").alias("row_index"))
+    written = written.select(
+        F.col("transcription").alias("text"), "speaker", "language", "source", F.col("source").alias("file_name"),
+        F.col("raw_index").alias("row_index"),
+    )
     tail = E.tail_rows(written, K.TAIL_ROWS, ["source", "text", "transcript", "speaker", "language"])
     return E.anchor_sequence_search(E.tail_anchors(tail), rows, F.col("has_key"))
 

@@ -202,7 +202,7 @@ def stream_prepare(spark, sf):
     out = work_path(spark, "prepared")
 
     def run(folder, schema, checkpoint):
-        return T.stream_prepare(T.new_rows(spark, folder, schema, 1), _clean, out, checkpoint)
+        return T.stream_prepare(T.new_rows(spark, folder, schema, 2), _clean, out, checkpoint)
 
     _in_two_runs(spark, sf, "prepare", run)
     return spark.read.schema("raw_index long, source string, text string, language string").parquet(out)
@@ -213,7 +213,7 @@ def stream_exactly_once(spark, sf):
     out, progress = work_path(spark, "once"), work_path(spark, "once-progress")
 
     def run(folder, schema, checkpoint):
-        return T.stream_exactly_once(T.new_rows(spark, folder, schema, 1), _clean, out, checkpoint, progress)
+        return T.stream_exactly_once(T.new_rows(spark, folder, schema, 2), _clean, out, checkpoint, progress)
 
     _in_two_runs(spark, sf, "once", run)
     done = spark.read.parquet(progress)
@@ -228,7 +228,7 @@ def stream_attach_codes(spark, sf):
         return Y.attach_codes(rows.select("clip_id", "samples"), parity_encoder)
 
     def run(folder, schema, checkpoint):
-        return T.stream_attach_codes(T.new_rows(spark, folder, schema, 1), encode, out, checkpoint)
+        return T.stream_attach_codes(T.new_rows(spark, folder, schema, 2), encode, out, checkpoint)
 
     _in_two_runs(spark, sf, "attach", run, I.clips(spark, sf).select("clip_id", "samples"), "clip_id")
     rows = spark.read.schema("clip_id long, samples array<float>, audio_codes array<array<int>>").parquet(out)
@@ -240,7 +240,7 @@ def stream_progress(spark, sf):
     out = work_path(spark, "progress")
 
     def run(folder, schema, checkpoint):
-        return T.stream_progress(T.new_rows(spark, folder, schema, 1), out, checkpoint)
+        return T.stream_progress(T.new_rows(spark, folder, schema, 2), out, checkpoint)
 
     _in_two_runs(spark, sf, "progress", run)
     return T.latest_report(spark, out)
