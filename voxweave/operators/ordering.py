@@ -151,7 +151,7 @@ def _jumps(lengths: np.ndarray, ratio: float, size: int) -> np.ndarray:
     taken = np.full(rows, size, np.int64)
     open_ = np.ones(rows, bool)
     top = lengths.astype(np.float64).copy()
-    for k in range(1, size):
+    for k in range(1, min(size, rows)):
         nxt = np.full(rows, np.nan)
         nxt[: rows - k] = lengths[k:]
         cut = open_ & (nxt > ratio * top)
@@ -172,6 +172,7 @@ def length_ratio_batches(
     These small tables are walked chunk by chunk, and each chunk then numbers its rows from its true entry.
     The result equals one pass over the whole source, but no task sees more than a chunk.
     """
+    chunk = max(chunk, size)  # a batch reaches into the next chunk only
     slim = df.select(source, raw_index, F.col(length).cast("double").alias("_len"))
     placed = dense_position(slim, [source], [raw_index], span_of(raw_index, span), "_at")
     chunked = placed.withColumn("_chunk", F.floor(F.col("_at") / F.lit(chunk)))
