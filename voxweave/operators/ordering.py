@@ -113,7 +113,7 @@ def shuffle_key(row_id: Column | str, epoch: Column | int, seed: int = 0) -> Col
     return F.md5(F.concat_ws(":", _col(row_id).cast("string"), epoch.cast("string"), F.lit(str(seed))))
 
 
-def epoch_shuffle(df: DataFrame, row_id: str, epoch: int, seed: int = 0, digits: int = 3) -> DataFrame:
+def epoch_shuffle(df: DataFrame, row_id: str, epoch: int, seed: int = 0, digits: int = 4) -> DataFrame:
     """All rows in a new order per epoch: ``shuffled_at`` is the position in that order.
 
     Spans are the leading ``digits`` hex digits of the key, so they are even whatever the data looks like.

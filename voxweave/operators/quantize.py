@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.text import _col
 from ..functions.vectors import at, matrix, nearest_rows, vector_sum
-from ..session import BROADCAST_BYTES, cut_lineage, join_small_or_salted
+from ..session import BROADCAST_BYTES, cut_lineage, join_small_or_salted, measured
 from .ordering import sample_vectors
 
 NEAREST = "struct<code:int,dist:double>"
@@ -96,9 +96,10 @@ def nearest_codeword_join(df: DataFrame, codebook: DataFrame | Words, vec: str =
     return df.withColumn(into, pair).drop("_best")
 
 
-def codeword_lookup(codes: DataFrame, codebook: DataFrame, on: list[str]) -> DataFrame:
-    """Centroid of every code: an equi-join, broadcast by Spark itself while the codebook is small."""
-    return codes.join(codebook.select(*on, "vec"), on)
+def codeword_lookup(codes: DataFrame, codebook: DataFrame, on: list[str], dim: int = 64, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Centroid of every code: a broadcast join while the codebook fits, else salted, because few codes are hot."""
+    words = codebook.select(*on, "vec")
+    return join_small_or_salted(codes, words, on, "inner", limit_bytes=limit_bytes, row_bytes=8 * dim)
 
 
 def _member_sums(df: DataFrame, codebook: Words, vec: str) -> DataFrame:
@@ -264,7 +265,7 @@ def rvq_decode(df: DataFrame, codebooks: DataFrame, codes: str = "codes", into:
     long = df.select(*key, F.posexplode(codes).alias("_at", "code")).withColumn(
         "stage", F.get(F.array(*[F.lit(s) for (s,) in names]), F.col("_at"))
     )
-    words = codeword_lookup(long, codebooks, ["stage", "code"])
+    words = codeword_lookup(long, codebooks, ["stage", "code"], dim, limit_bytes)
     half = words.groupBy(*key, (F.col("_at") >= semantic).alias("_half")).agg(vector_sum(dim, lambda i: at("vec", i)).alias("_v"))
     sums = half.groupBy(*key).agg(vector_sum(dim, lambda i: at("_v", i)).alias(into))
     return df.join(sums, key)
@@ -314,13 +315,21 @@ def _frame_means(frames: DataFrame, key: str, vec: str, dim: int, weight: Column
     )
 
 
+def _few(means: DataFrame, dim: int) -> DataFrame:
+    """Means worked out once and broadcast while they are few; a long clip then stays where its frames are.
+
+    More of them are joined by shuffle, where adaptive execution splits a clip with very many frames.
+    """
+    return measured(means, max(1, (BROADCAST_BYTES >> 3) // (8 * dim)))
+
+
 def mean_center_frames(frames: DataFrame, key: str, vec: str, dim: int, into: str = "centered") -> DataFrame:
     """Subtract the per-dimension mean over all frames of a clip."""
     means = _frame_means(frames, key, vec, dim, F.lit(1.0)).select(
         key, F.transform("_sum", lambda s: s / F.col("_weight")).alias("_mean")
     )
     centered = F.zip_with(F.col(vec).cast("array<double>"), "_mean", lambda x, m: x - m)
-    return frames.join(means, key).withColumn(into, centered).drop("_mean")
+    return frames.join(_few(means, dim), key).withColumn(into, centered).drop("_mean")
 
 
 def weighted_mean_std_pool(frames: DataFrame, key: str, vec: str, weight: str, dim: int, epsilon: float = 1e-12) -> DataFrame:
@@ -329,6 +338,7 @@ def weighted_mean_std_pool(frames: DataFrame, key: str, vec: str, weight: str, d
     Two passes, so the variance is a sum of squares of true deviations.
     """
     means = _frame_means(frames, key, vec, dim, F.col(weight).cast("double")).select(key, F.col("_sum").alias("mean"))
+    means = _few(means, dim)
     spread = frames.join(means, key).groupBy(key).agg(
         vector_sum(dim, lambda i: F.col(weight).cast("double") * F.pow(at(vec, i) - at("mean", i), F.lit(2.0))).alias("_var")
     )

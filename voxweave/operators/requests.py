@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..session import join_small_or_salted
+from ..session import join_small_or_salted, measured
 
 
 def join_codes_by_row(rows: DataFrame, codes: DataFrame, on: str = "sample_id") -> DataFrame:
@@ -26,7 +26,7 @@ def join_language_id(requests: DataFrame, languages: DataFrame, column: str = "l
 
     ``languages`` is (language, language_id) with lower-case names.
     """
-    ids = languages.select(F.lower("language").alias("_language"), "language_id")
+    ids = measured(languages.select(F.lower("language").alias("_language"), "language_id"))
     out = requests.withColumn("_language", F.lower(column)).join(ids, "_language", "left")
     auto = F.coalesce(F.col("_language") == "auto", F.lit(False))
     return out.withColumns(
@@ -47,7 +47,7 @@ def join_speaker_dialect(requests: DataFrame, speakers: DataFrame, languages: Da
     out = requests.withColumn("_speaker", F.lower("speaker"))
     # Only dialect speakers matter; they are looked up once, against a table of speakers.
     with_ids = dialects.where(F.col("_dialect").isNotNull()).join(ids, "_dialect").drop("_dialect")
-    out = out.join(with_ids, "_speaker", "left")
+    out = out.join(measured(with_ids), "_speaker", "left")
     applies = F.lower("language").isin("chinese", "auto") & F.col("_dialect_id").isNotNull()
     return out.withColumn(
         "language_id", F.when(applies, F.col("_dialect_id")).otherwise(F.col("language_id"))

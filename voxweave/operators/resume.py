@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.text import _col, match_key
-from ..session import measured
+from ..session import fits_rows, measured
 from .ordering import SPAN, dense_position, source_rank, span_of
 
 STATE_JSON = (
@@ -44,19 +44,39 @@ def resume_from_cursor(
 def anti_join_done(df: DataFrame, done: DataFrame, on: list[str], hashed: bool = False) -> DataFrame:
     """Rows whose key is not in the output yet. ``on`` is (source, split, raw_index) or the match key.
 
-    ``hashed`` compares SHA-256 digests of a long text key, so the finished side moves 32 bytes per row instead
-    of whole texts.
+    ``done`` is reduced to distinct keys on the map side, so a text that was written very often is one row of a
+    join partition; the join then uses the same partitioning. ``hashed`` compares SHA-256 digests of a long text
+    key, so the finished side moves 32 bytes per row instead of whole texts.
     """
     if not hashed:
-        return df.join(done.select(*on), on, "left_anti")
+        return df.join(done.select(*on).distinct(), on, "left_anti")
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in on]
-    digest = F.sha2(F.concat_ws("\x1f", *parts), 256)
-    return df.withColumn("_key", digest).join(done.select(digest.alias("_key")), "_key", "left_anti").drop("_key")
+    digest = F.unhex(F.sha2(F.concat_ws("\x1f", *parts), 256))
+    keys = done.select(digest.alias("_key")).distinct()
+    return df.withColumn("_key", digest).join(keys, "_key", "left_anti").drop("_key")
 
 
-def tail_rows(parts: DataFrame, n: int, wanted: list[str], file: str = "file_name", row: str = "row_index") -> DataFrame:
-    """Last ``n`` rows over files in name order, with the wanted columns that exist, oldest first."""
+def _newest_files(parts: DataFrame, n: int, file: str) -> DataFrame:
+    """Only as many of the last files as hold ``n`` rows; the name predicate prunes files, not rows."""
+    names = sorted({path.rsplit("/", 1)[-1] for path in parts.inputFiles()})
+    take = 1
+    while take < len(names):
+        newest = parts.where(F.col(file) >= names[-take])
+        if not fits_rows(newest.select(file), n - 1):
+            return newest
+        take *= 2
+    return parts
+
+
+def tail_rows(parts: DataFrame, n: int, wanted: list[str], file: str = "file_name", row: str = "row_index",
+              newest_files: bool = False) -> DataFrame:
+    """Last ``n`` rows over files in name order, with the wanted columns that exist, oldest first.
+
+    With ``newest_files`` (for a frame read straight from parts) older files are not opened at all.
+    """
     columns = [c for c in wanted if c in parts.columns and c not in (file, row)]
+    if newest_files and n > 0:
+        parts = _newest_files(parts, n, file)
     last = parts.select(*columns, file, row).orderBy(F.desc(file), F.desc(row)).limit(max(n, 0))
     return last.orderBy(file, row)
 

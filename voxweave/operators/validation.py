@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import arrays as A
+from ..session import measured
 
 
 def reject_or_raise(rejects: DataFrame, what: str, show: list[str], limit: int = 20) -> None:
@@ -17,7 +18,8 @@ def reject_or_raise(rejects: DataFrame, what: str, show: list[str], limit: int =
 
 def unsupported(df: DataFrame, column: str, supported: DataFrame, name: str, null_is_bad: bool) -> DataFrame:
     """Rows whose value is not a supported name, compared without case."""
-    names = supported.select(F.lower(name).alias("_name")).distinct()
+    # A few languages cover the whole table, so the names are measured and broadcast rather than shuffled against.
+    names = measured(supported.select(F.lower(name).alias("_name")).distinct())
     checked = df if null_is_bad else df.where(F.coalesce(F.col(column) != "", F.lit(False)))
     return checked.withColumn("_name", F.lower(column)).join(names, "_name", "left_anti").drop("_name")
 
@@ -41,7 +43,7 @@ def validate_speakers(df: DataFrame, speakers: DataFrame, column: str = "speaker
 
 def validate_model_kind(requests: DataFrame, models: DataFrame) -> DataFrame:
     """Requests whose kind differs from the kind of the model they name (or whose model does not exist)."""
-    return requests.join(models.select("model", "kind"), ["model", "kind"], "left_anti")
+    return requests.join(measured(models.select("model", "kind").distinct()), ["model", "kind"], "left_anti")
 
 
 def validate_prompt_rows(prompts: DataFrame) -> DataFrame:

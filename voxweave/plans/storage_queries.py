@@ -41,7 +41,7 @@ def scan_parquet_parts(spark, sf):
 @query("tail_rows", f"WITH {I.RAW} SELECT raw_index, source, speaker FROM raw ORDER BY raw_index DESC LIMIT 200")
 def tail_rows(spark, sf):
     parts = D.scan_parquet_parts(spark, _parts(spark, sf, "tail"))
-    return E.tail_rows(parts, K.TAIL_ROWS, ["raw_index", "source", "speaker", "transcript"]).drop("file_name", "row_index")
+    return E.tail_rows(parts, K.TAIL_ROWS, ["raw_index", "source", "speaker", "transcript"], newest_files=True).drop("file_name", "row_index")
 
 
 @query(

@@ -60,7 +60,7 @@ def measured(df: DataFrame, rows: int = 200_000) -> DataFrame:
 
 
 def join_small_or_salted(
-    left: DataFrame, right: DataFrame, on: str, how: str = "left", bytes_column: str | None = None,
+    left: DataFrame, right: DataFrame, on: str | list[str], how: str = "left", bytes_column: str | None = None,
     salts: int = 64, limit_bytes: int = BROADCAST_BYTES, salt_by: str | None = None, row_bytes: int = 256,
 ) -> DataFrame:
     """Equi-join for a key that one value may dominate.
@@ -69,10 +69,11 @@ def join_small_or_salted(
     repeated ``salts`` times and joined on (key, salt), so the hottest key of ``left`` is spread over
     ``salts`` tasks. Both ways give the same rows.
     """
+    keys = [on] if isinstance(on, str) else list(on)
     width = F.coalesce(F.length(bytes_column), F.lit(0)) + 64 if bytes_column else F.lit(row_bytes)
     size = right.agg(F.sum(width.cast("long")).alias("n")).first()["n"] or 0
     if size <= limit_bytes:
-        return left.join(F.broadcast(right), on, how)
+        return left.join(F.broadcast(right), keys, how)
     spread = F.pmod(F.xxhash64(*([salt_by] if salt_by else left.columns)), F.lit(salts)).cast("int")
     repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.withColumn("_salt", spread).join(repeated, [on, "_salt"], how).drop("_salt")
+    return left.withColumn("_salt", spread).join(repeated, [*keys, "_salt"], how).drop("_salt")
