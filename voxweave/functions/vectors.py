@@ -25,19 +25,6 @@ def codebook_from_sums(sums: Column | str, usage: Column | str, epsilon: float =
     return F.transform(_col(sums), lambda x: x / size)
 
 
-def vector_sum(dim: int, element) -> Column:
-    """Aggregate: array of ``dim`` sums, combined on the map side; ``element`` maps an index to a number column.
-
-    Elements are addressed one by one so the sums stay inside generated code.
-    """
-    return F.array(*[F.sum(element(i)) for i in range(dim)])
-
-
-def at(c: Column | str, i: int) -> Column:
-    """Element ``i`` as a double."""
-    return F.get(_col(c), F.lit(i)).cast("double")
-
-
 def log_softmax_at(logits: Column | str, label: Column | str) -> Column:
     """Log-softmax at one label, shifted by the maximum so large logits do not overflow."""
     logits = _col(logits)

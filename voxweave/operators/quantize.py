@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.text import _col
-from ..functions.vectors import at, matrix, nearest_rows, vector_sum
+from ..functions.vectors import matrix, nearest_rows
 from ..session import BROADCAST_BYTES, cut_lineage, join_small_or_salted, measured
 from .ordering import sample_vectors
 
@@ -102,13 +102,55 @@ def codeword_lookup(codes: DataFrame, codebook: DataFrame, on: list[str], dim: i
     return join_small_or_salted(codes, words, on, "inner", limit_bytes=limit_bytes, row_bytes=8 * dim)
 
 
-def _member_sums(df: DataFrame, codebook: Words, vec: str) -> DataFrame:
-    found = nearest_codeword_join(df.select(F.col(vec).alias("vec")), codebook)
-    return found.groupBy(F.col("nearest")["code"].alias("code")).agg(
-        F.count(F.lit(1)).alias("members"), vector_sum(codebook.dim, lambda i: at("vec", i)).alias("total")
+def sum_vectors(df: DataFrame, keys: list[str], vec: str, into: str = "total", value: Column | None = None, also: list[Column] | None = None) -> DataFrame:
+    """Element-wise sum of a vector column per group.
+
+    Elements are summed as (keys, position) rows with map-side combine, so a hot group is ``dim`` small rows per
+    task; they become arrays again only once they are final. ``value`` may be an expression over ``_x`` and the
+    other columns; ``also`` are sums taken alongside (the same for every position).
+    """
+    value = F.col("_x").cast("double") if value is None else value
+    long = df.select("*", F.posexplode(vec).alias("_i", "_x"))
+    sums = long.groupBy(*keys, "_i").agg(F.sum(value).alias("_s"), *(also or []))
+    kept = [c for c in sums.columns if c not in (*keys, "_i", "_s")]
+    ordered = F.array_sort(F.collect_list(F.struct("_i", "_s")))
+    return sums.groupBy(*keys).agg(
+        F.transform(ordered, lambda p: p["_s"]).alias(into), *[F.max(c).alias(c) for c in kept]
     )
 
 
+def _member_sums(df: DataFrame, words: Words, vec: str) -> DataFrame:
+    """(code, total, members) over the vectors closest to each word; words without members are absent."""
+    if not words.fits:
+        found = nearest_codeword_join(df.select(F.col(vec).alias("vec")), words)
+        found = found.select(F.col("nearest")["code"].alias("code"), "vec")
+        return sum_vectors(found, ["code"], "vec", also=[F.count(F.lit(1)).alias("members")])
+    codes, vectors = words.block(0)
+
+    def gather(batches):
+        """One sum per word and partition, so no vector leaves its task."""
+        total, members = np.zeros_like(vectors), np.zeros(len(codes), np.int64)
+        for batch in batches:
+            x = matrix(batch.column(0))
+            if not len(x):
+                continue
+            row, _ = nearest_rows(x, vectors)
+            order = np.argsort(row, kind="stable")
+            starts = np.flatnonzero(np.diff(row[order], prepend=-1))
+            total[row[order][starts]] += np.add.reduceat(x[order], starts, axis=0)
+            members += np.bincount(row, minlength=len(codes))
+        used = np.flatnonzero(members)
+        offsets = np.arange(len(used) + 1, dtype=np.int32) * vectors.shape[1]
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(total[used].ravel()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(codes[used]), pa.array(members[used]), lists], names=["code", "_members", "vec"]
+        )
+
+    vectors_only = df.select(F.col(vec).cast("array<double>").alias("vec"))
+    partial = vectors_only.mapInArrow(gather, "code int, _members long, vec array<double>")
+    return sum_vectors(partial, ["code"], "vec", also=[F.sum("_members").alias("members")])
+
+
 def kmeans_fit(df: DataFrame, k: int, rounds: int = K.KMEANS_ROUNDS, vec: str = "vec", row_id: str = "vec_id",
                seed: int = 0, start: DataFrame | None = None, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(code, vec, members) after ``rounds`` rounds from ``k`` sampled start vectors.
@@ -266,9 +308,8 @@ def rvq_decode(df: DataFrame, codebooks: DataFrame, codes: str = "codes", into:
         "stage", F.get(F.array(*[F.lit(s) for (s,) in names]), F.col("_at"))
     )
     words = codeword_lookup(long, codebooks, ["stage", "code"], dim, limit_bytes)
-    half = words.groupBy(*key, (F.col("_at") >= semantic).alias("_half")).agg(vector_sum(dim, lambda i: at("vec", i)).alias("_v"))
-    sums = half.groupBy(*key).agg(vector_sum(dim, lambda i: at("_v", i)).alias(into))
-    return df.join(sums, key)
+    half = sum_vectors(words.withColumn("_half", F.col("_at") >= semantic), [*key, "_half"], "vec", "_v")
+    return df.join(sum_vectors(half, key, "_v", into), key)
 
 
 def split_groups(vec: Column | str, dim: int, groups: int) -> list[Column]:
@@ -309,10 +350,10 @@ def grouped_rvq_decode(df: DataFrame, codebooks: DataFrame, groups: int, codes:
 # ---------------------------------------------------------------- statistics over frames
 
 
-def _frame_means(frames: DataFrame, key: str, vec: str, dim: int, weight: Column) -> DataFrame:
-    return frames.withColumn("_w", weight).groupBy(key).agg(
-        vector_sum(dim, lambda i: at(vec, i) * F.col("_w")).alias("_sum"), F.sum("_w").alias("_weight")
-    )
+def _frame_means(frames: DataFrame, key: str, vec: str, weight: Column) -> DataFrame:
+    slim = frames.select(key, F.col(vec).alias("_v"), weight.alias("_w"))
+    value = F.col("_x").cast("double") * F.col("_w")
+    return sum_vectors(slim, [key], "_v", "_sum", value, [F.sum("_w").alias("_weight")])
 
 
 def _few(means: DataFrame, dim: int) -> DataFrame:
@@ -325,7 +366,7 @@ def _few(means: DataFrame, dim: int) -> DataFrame:
 
 def mean_center_frames(frames: DataFrame, key: str, vec: str, dim: int, into: str = "centered") -> DataFrame:
     """Subtract the per-dimension mean over all frames of a clip."""
-    means = _frame_means(frames, key, vec, dim, F.lit(1.0)).select(
+    means = _frame_means(frames, key, vec, F.lit(1.0)).select(
         key, F.transform("_sum", lambda s: s / F.col("_weight")).alias("_mean")
     )
     centered = F.zip_with(F.col(vec).cast("array<double>"), "_mean", lambda x, m: x - m)
@@ -337,10 +378,11 @@ def weighted_mean_std_pool(frames: DataFrame, key: str, vec: str, weight: str, d
 
     Two passes, so the variance is a sum of squares of true deviations.
     """
-    means = _frame_means(frames, key, vec, dim, F.col(weight).cast("double")).select(key, F.col("_sum").alias("mean"))
+    means = _frame_means(frames, key, vec, F.col(weight).cast("double")).select(key, F.col("_sum").alias("mean"))
     means = _few(means, dim)
-    spread = frames.join(means, key).groupBy(key).agg(
-        vector_sum(dim, lambda i: F.col(weight).cast("double") * F.pow(at(vec, i) - at("mean", i), F.lit(2.0))).alias("_var")
-    )
+    slim = frames.select(key, F.col(vec).cast("array<double>").alias("_v"), F.col(weight).cast("double").alias("_w"))
+    pairs = slim.join(means, key).select(key, "_w", F.arrays_zip(F.col("_v").alias("v"), F.col("mean").alias("m")).alias("_p"))
+    gap = F.col("_x")["v"] - F.col("_x")["m"]
+    spread = sum_vectors(pairs, [key], "_p", "_var", F.col("_w") * gap * gap)
     std = F.transform("_var", lambda v: F.sqrt(F.greatest(v, F.lit(epsilon))))
     return means.join(spread, key).select(key, "mean", std.alias("std"))

@@ -191,7 +191,7 @@ def anchor_sequence_search(spark, sf):
  CASE WHEN k % 11 = 10 THEN 'gone' ELSE source END AS cname FROM s),
  u AS (SELECT *, CASE WHEN has_state AND r > 0 AND (mode = 'dataset' OR written = r) THEN greatest(nxt, r) ELSE r END AS resume_from,
  has_state AND cname <> 'gone' AND CASE WHEN r > 0 THEN written = r ELSE mode <> 'dataset' END AS keep FROM t)
- SELECT source, mode, resume_from, CASE WHEN keep THEN cname END AS cursor_name, CASE WHEN keep THEN k * 10 END AS cursor_raw_index FROM u""",
+ SELECT source, mode, resume_from, CASE WHEN keep THEN cname END AS cursor_name, CAST(CASE WHEN keep THEN k * 10 END AS BIGINT) AS cursor_raw_index FROM u""",
 )
 def reconcile_state(spark, sf):
     k = F.substring("source", 4, 10).cast("int")
