@@ -36,7 +36,7 @@ def test_cap(rows, cap):
 
 
 def test_cap_without_broadcast(rows, monkeypatch):
-    monkeypatch.setattr(O, "measured", lambda df: df)
+    monkeypatch.setattr(O, "measured", lambda df: df)  # as if there were too many spans
     got = sorted((r.source, r.raw_index) for r in O.cap_per_source(rows, 37, span=16).collect())
     assert got == sorted((s, i) for s, ids in by_source().items() for i in ids[:37])
 

@@ -20,34 +20,43 @@ from ..session import measured
 SPAN = 1 << 20
 
 
+def whole(c: Column | str, by: int) -> Column:
+    """Integer division, exact for every long (a plain ``/`` goes through doubles)."""
+    return F.call_function("div", _col(c), F.lit(by))
+
+
 def span_of(order: Column | str, width: int = SPAN) -> Column:
     """Range number of an integer order column."""
-    return F.floor(_col(order) / F.lit(width))
+    return whole(order, width)
 
 
-def span_offsets(df: DataFrame, part: list[str]) -> DataFrame:
-    """Rows before each span: one small row per (part, span) of ``df``, which has a ``_span`` column."""
+def span_offsets(df: DataFrame, part: list[str], below: int | None = None) -> DataFrame:
+    """Rows in and before each span: one small row per (part, span) of ``df``, which has a ``_span`` column.
+
+    The counts are worked out here, once. While they are few they are broadcast, so joining them prunes and marks
+    rows where they are scanned; more of them are joined by shuffle on the window's own partitioning.
+    """
     counts = df.groupBy(*part, "_span").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy(*part).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    offsets = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    return measured(offsets if below is None else offsets.where(F.col("_before") < below))
 
 
 def dense_position(
     df: DataFrame, part: list[str], order: list[str], span: Column | None = None, name: str = "position",
-    below: int | None = None, counted: DataFrame | None = None,
+    below: int | None = None, counted: DataFrame | None = None, offsets: DataFrame | None = None,
 ) -> DataFrame:
     """0-based position of every row inside ``part`` by ``order``.
 
     ``span`` must grow with the first order column (default: ranges of that integer column). ``part`` columns
     must not be null. With ``below`` only positions under it are kept, and spans that start past it are dropped
-    before any row is shuffled. ``counted`` may name a cheaper frame with the same rows for the counting pass.
+    before any row is shuffled. ``counted`` may name a cheaper frame with the same rows for the counting pass,
+    ``offsets`` counts that are already there.
     """
     span = span_of(order[0]) if span is None else span
     keyed = df.withColumn("_span", span)
-    offsets = span_offsets(keyed if counted is None else counted.withColumn("_span", span), part)
-    if below is not None:
-        # Measured here so that it can be broadcast: the join then prunes the scan, not a shuffle.
-        offsets = measured(offsets.where(F.col("_before") < below))
+    if offsets is None:
+        offsets = span_offsets(keyed if counted is None else counted.withColumn("_span", span), part, below)
     inside = Window.partitionBy(*part, "_span").orderBy(*order)
     numbered = (
         keyed.join(offsets.drop("_rows"), [*part, "_span"])
@@ -70,14 +79,15 @@ def assign_global_index(df: DataFrame, sources: list[str], raw_index: str = "raw
     list, so no window runs over the whole table.
     """
     known = df.withColumn("_rank", source_rank(source, sources)).where(F.col("_rank") >= 0)
-    totals = known.groupBy("_rank").agg(F.count(F.lit(1)).alias("_n"))
+    spans = span_of(raw_index, span)
+    offsets = span_offsets(known.withColumn("_span", spans), ["_rank"])
     ahead = (
-        totals.select("_n", F.explode(F.sequence(F.col("_rank"), F.lit(len(sources) - 1))).alias("_later"), "_rank")
+        offsets.select("_rows", F.explode(F.sequence(F.col("_rank"), F.lit(len(sources) - 1))).alias("_later"), "_rank")
         .groupBy(F.col("_later").alias("_rank_"))
-        .agg(F.sum(F.when(F.col("_later") > F.col("_rank"), F.col("_n")).otherwise(0)).alias("_ahead"))
+        .agg(F.sum(F.when(F.col("_later") > F.col("_rank"), F.col("_rows")).otherwise(0)).alias("_ahead"))
         .withColumnRenamed("_rank_", "_rank")
     )
-    placed = dense_position(known, ["_rank"], [raw_index], span_of(raw_index, span), "_inside")
+    placed = dense_position(known, ["_rank"], [raw_index], spans, "_inside", offsets=offsets)
     return (
         placed.join(F.broadcast(ahead), "_rank")  # one row per configured source
         .withColumn("global_index", F.col("_ahead") + F.col("_inside"))
@@ -97,7 +107,7 @@ def fixed_batches(df: DataFrame, size: int = K.ENCODE_BATCH, source: str = "sour
                   span: int = SPAN) -> DataFrame:
     """Batch number and slot inside a source; a batch never spans two sources and the last may be short."""
     placed = dense_position(df, [source], [raw_index], span_of(raw_index, span), "_at")
-    return placed.withColumn("batch", F.floor(F.col("_at") / F.lit(size))).withColumn(
+    return placed.withColumn("batch", whole("_at", size)).withColumn(
         "slot", F.col("_at") % size
     ).drop("_at")
 
@@ -175,7 +185,7 @@ def length_ratio_batches(
     chunk = max(chunk, size)  # a batch reaches into the next chunk only
     slim = df.select(source, raw_index, F.col(length).cast("double").alias("_len"))
     placed = dense_position(slim, [source], [raw_index], span_of(raw_index, span), "_at")
-    chunked = placed.withColumn("_chunk", F.floor(F.col("_at") / F.lit(chunk)))
+    chunked = placed.withColumn("_chunk", whole("_at", chunk))
     # The first size-1 rows of a chunk are also lookahead for the chunk before.
     edge = (F.col("_at") % chunk < size - 1) & (F.col("_chunk") > 0)
     spread = chunked.withColumn(

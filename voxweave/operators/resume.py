@@ -51,7 +51,8 @@ def anti_join_done(df: DataFrame, done: DataFrame, on: list[str], hashed: bool =
     if not hashed:
         return df.join(done.select(*on).distinct(), on, "left_anti")
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in on]
-    digest = F.unhex(F.sha2(F.concat_ws("\x1f", *parts), 256))
+    # Never null, so the join adds no not-null filter that would work the key out once more.
+    digest = F.coalesce(F.unhex(F.sha2(F.concat_ws("\x1f", *parts), 256)), F.lit(b""))
     keys = done.select(digest.alias("_key")).distinct()
     return df.withColumn("_key", digest).join(keys, "_key", "left_anti").drop("_key")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as K
-from ..operators.ordering import dense_position
+from ..operators.ordering import dense_position, whole
 
 
 class SchemaMismatch(ValueError):
@@ -94,7 +94,7 @@ def shard_plan(df: DataFrame, order: list[str], span: Column | None = None, limi
     """
     weighed = df.withColumn("_bytes", row_bytes(df) if size is None else size).withColumn("_all", F.lit(0))
     placed = dense_position(weighed, ["_all"], order, span, "position").drop("_all")
-    placed = placed.withColumn("_block", F.floor(F.col("position") / F.lit(block_rows)))
+    placed = placed.withColumn("_block", whole("position", block_rows))
     blocks = placed.groupBy("_block").agg(F.sum("_bytes").alias("_bytes"))
 
     def close(pdf: pd.DataFrame) -> pd.DataFrame:
