@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -72,3 +73,24 @@ def matrix(column) -> np.ndarray:
     rows = len(column)
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     return flat.reshape(rows, -1) if rows else flat.reshape(0, 0)
+
+
+def waves(column) -> list:
+    """Arrow list column as NumPy arrays (null for null), sliced from the column's own buffer."""
+    flat = column.values.to_numpy(zero_copy_only=False)
+    ends = column.offsets.to_numpy()
+    valid = column.is_valid().to_numpy(zero_copy_only=False)
+    return [flat[a:b] if ok else None for a, b, ok in zip(ends[:-1], ends[1:], valid)]
+
+
+def list_column(rows: list):
+    """NumPy arrays (or null) as an Arrow list column of floats; matrices become lists of rows."""
+    sizes = np.array([0 if r is None else len(r) for r in rows], np.int64)
+    offsets = pa.array(np.concatenate([[0], sizes.cumsum()]).astype(np.int32))
+    nulls = pa.array([r is None for r in rows], pa.bool_())
+    found = [np.asarray(r, np.float32) for r in rows if r is not None]
+    values = np.concatenate(found) if found else np.empty(0, np.float32)
+    inner = pa.array(values.ravel())
+    if values.ndim == 2:
+        inner = pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]), inner)
+    return pa.ListArray.from_arrays(offsets, inner, mask=nulls)

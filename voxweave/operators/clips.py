@@ -13,26 +13,21 @@ from ..functions.signal import asr_log_mel as asr_kernel
 from ..functions.signal import decode_wav, encode_wav, hann, mel_bank, resample
 from ..functions.signal import log_mel as mel_kernel
 from ..functions.text import _col
+from ..functions.vectors import list_column, waves
 
 DECODED = "struct<samples:array<float>,rate:int>"
 FEATURES = "array<array<float>>"
 
 
-def _lists(rows: list[np.ndarray | None], kind: pa.DataType) -> pa.Array:
-    return pa.array([None if r is None else r.astype(np.float32).tolist() for r in rows], kind)
-
-
 def wav_bytes(samples: Column | str, rate: Column | str) -> Column:
     """16-bit PCM WAV of a sample array."""
 
     @F.arrow_udf("binary")
     def made(wave: pa.Array, rates: pa.Array) -> pa.Array:
-        pairs = zip(wave.to_pylist(), rates.to_pylist())
-        return pa.array(
-            [None if w is None or r is None else encode_wav(np.asarray(w, np.float64), r) for w, r in pairs], pa.binary()
-        )
+        pairs = zip(waves(wave), rates.to_pylist())
+        return pa.array([None if w is None or r is None else encode_wav(w, r) for w, r in pairs], pa.binary())
 
-    return made(_col(samples), _col(rate).cast("int"))
+    return made(_col(samples).cast("array<double>"), _col(rate).cast("int"))
 
 
 def encode_clips(df: DataFrame, samples: str = "samples", rate: str = "rate", into: str = "bytes") -> DataFrame:
@@ -44,11 +39,11 @@ def decode_clips(df: DataFrame, data: str = "bytes") -> DataFrame:
 
     @F.arrow_udf(DECODED)
     def decoded(items: pa.Array) -> pa.Array:
-        made = []
-        for item in items:
-            clip = decode_wav(item.as_py())
-            made.append(None if clip is None else {"samples": clip[0].astype(np.float32).tolist(), "rate": clip[1]})
-        return pa.array(made, pa.struct([("samples", pa.list_(pa.float32())), ("rate", pa.int32())]))
+        made = [decode_wav(item.as_py()) for item in items]
+        samples = list_column([None if clip is None else clip[0] for clip in made])
+        rates = pa.array([None if clip is None else clip[1] for clip in made], pa.int32())
+        lost = pa.array([clip is None for clip in made], pa.bool_())
+        return pa.StructArray.from_arrays([samples, rates], names=["samples", "rate"], mask=lost)
 
     out = df.withColumn("_clip", decoded(F.col(data)))
     return out.withColumns(
@@ -65,11 +60,8 @@ def resample_clips(df: DataFrame, target: int = K.CODEC_RATE, samples: str = "sa
 
     @F.arrow_udf("array<float>")
     def moved(wave: pa.Array, rates: pa.Array) -> pa.Array:
-        made = [
-            None if w is None or r is None else resample(np.asarray(w, np.float64), r, target)
-            for w, r in zip(wave.to_pylist(), rates.to_pylist())
-        ]
-        return _lists(made, pa.list_(pa.float32()))
+        pairs = zip(waves(wave), rates.to_pylist())
+        return list_column([None if w is None or r is None else resample(w, r, target) for w, r in pairs])
 
     other = F.col(rate) != target
     converted = moved(F.when(other, F.col(samples)).cast("array<float>"), F.when(other, F.col(rate)).cast("int"))
@@ -120,8 +112,10 @@ def frame_signal(df: DataFrame, keep: list[str], n_fft: int, hop: int, samples:
 def _feature(df: DataFrame, samples: str, into: str, kernel) -> DataFrame:
     @F.arrow_udf(FEATURES)
     def features(wave: pa.Array) -> pa.Array:
-        made = [None if w is None else kernel(np.asarray(w, np.float64)) for w in wave.to_pylist()]
-        return _lists(made, pa.list_(pa.list_(pa.float32())))
+        made = [None if w is None else kernel(w) for w in waves(wave)]
+        if any(m is not None for m in made):
+            return list_column(made)
+        return pa.array(made, pa.list_(pa.list_(pa.float32())))
 
     return df.withColumn(into, features(F.col(samples).cast("array<float>")))
 

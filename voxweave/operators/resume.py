@@ -44,7 +44,7 @@ def resume_from_cursor(
 def anti_join_done(df: DataFrame, done: DataFrame, on: list[str], hashed: bool = False) -> DataFrame:
     """Rows whose key is not in the output yet. ``on`` is (source, split, raw_index) or the match key.
 
-    ``done`` is reduced to distinct keys on the map side, so a text that was written very often is one row of a
+    Plain keys must not be null; ``hashed`` ones may. ``done`` is reduced to distinct keys on the map side, so a text that was written very often is one row of a
     join partition; the join then uses the same partitioning. ``hashed`` compares SHA-256 digests of a long text
     key, so the finished side moves 32 bytes per row instead of whole texts.
     """

@@ -122,7 +122,7 @@ def shard_by_size(df: DataFrame, folder: str, split: str, order: list[str], span
     plan = shard_plan(df, order, span, limit_bytes, block_rows)
     total = (plan.agg(F.max("shard").alias("m")).first()["m"] or 0) + 1
     staged = f"{folder}/_staged_{split}"
-    rows = plan.repartition(total, "shard").sortWithinPartitions("shard", "position").drop("_bytes", "position")
+    rows = plan.repartitionById(total, F.col("shard")).sortWithinPartitions("shard", "position").drop("_bytes", "position")
     rows.write.mode("overwrite").partitionBy("shard").parquet(staged)
     names = [f"{split}-{i:05d}-of-{total:05d}.parquet" for i in range(total)]
     path = spark._jvm.org.apache.hadoop.fs.Path
