@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import substrings
+from . import language, quality, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 _SPACE = r"[\x20\x09-\x0D]"
@@ -16,11 +17,25 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text of ``documents``."""
+    docs = _table(spark, sf_dir, "documents")
+    named = language.identify(docs.select("doc_id", "text"), language.fit(docs))
+    held_out = F.coalesce(language.fold(F.col("doc_id")) == 2, F.lit(False))
+    return named.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that repeat a window of 20 words, removed from every text of ``documents``."""
     return substrings.repeated_windows(_table(spark, sf_dir, "documents")).drop("span_starts", "span_ends")
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict for every whole text of ``documents``."""
+    docs = _table(spark, sf_dir, "documents")
+    return quality.rate(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 SQL6 = rf"""
 WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPACE}+'), lambda x: x <> '') AS words FROM documents),
 s AS (SELECT doc_id, unnest(range(1, len(words) - 18)) AS start, words FROM w WHERE len(words) >= 20),
@@ -33,5 +48,5 @@ SELECT w.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::B
 FROM w LEFT JOIN kept USING (doc_id)
 """
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op6_substring_dedup,)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_language_id, op6_substring_dedup, op9_quality_rules)}
 ORACLES: dict[str, str] = {"op6_substring_dedup": SQL6}
