@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, quality, substrings
+from . import language, pieces, quality, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _SPACE = r"[\x20\x09-\x0D]"
@@ -25,11 +25,22 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every whole text of ``documents``, each decoded again and compared."""
+    return pieces.tokenize(_table(spark, sf_dir, "documents"), pieces.load())
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that repeat a window of 20 words, removed from every text of ``documents``."""
     return substrings.repeated_windows(_table(spark, sf_dir, "documents")).drop("span_starts", "span_ends")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every whole text of ``documents``."""
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.grade(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict for every whole text of ``documents``."""
     docs = _table(spark, sf_dir, "documents")
@@ -48,5 +59,5 @@ SELECT w.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::B
 FROM w LEFT JOIN kept USING (doc_id)
 """
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_language_id, op6_substring_dedup, op9_quality_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_language_id, op5_sentencepiece, op6_substring_dedup, op7_toxicity, op9_quality_rules)}
 ORACLES: dict[str, str] = {"op6_substring_dedup": SQL6}
