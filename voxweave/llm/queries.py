@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, pieces, quality, substrings, toxicity
+from . import language, lines, pieces, quality, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _SPACE = r"[\x20\x09-\x0D]"
@@ -25,6 +25,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without multi-line chunks that occur earlier."""
+    return lines.drop_repeated_chunks(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every whole text of ``documents``, each decoded again and compared."""
     return pieces.tokenize(_table(spark, sf_dir, "documents"), pieces.load())
@@ -59,5 +64,20 @@ SELECT w.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::B
 FROM w LEFT JOIN kept USING (doc_id)
 """
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_language_id, op5_sentencepiece, op6_substring_dedup, op7_toxicity, op9_quality_rules)}
-ORACLES: dict[str, str] = {"op6_substring_dedup": SQL6}
+SQL4 = """
+WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
+u AS (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i, len(lines) AS n FROM l),
+h AS (SELECT *, ('0x' || substr(md5(line), 1, 15))::BIGINT % 2147483647 AS v FROM u),
+b AS (SELECT *, (coalesce(lag(v) OVER (PARTITION BY doc_id ORDER BY i), 0) * 1000003 + v) % 2147483647 % 4 = 0 OR i = n AS ends FROM h),
+c AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM b),
+k AS (SELECT doc_id, min(i) AS first, max(i) AS last, string_agg(line, chr(10) ORDER BY i) AS body FROM c GROUP BY doc_id, chunk HAVING count(*) > 1),
+f AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, first) AS nth FROM k WHERE regexp_matches(body, '[^\\x20\\x09-\\x0D]')),
+gone AS (SELECT doc_id, unnest(range(first, last + 1)) AS i FROM f WHERE nth > 1),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n FROM u ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text, coalesce(len(l.lines), 0)::BIGINT AS n_lines,
+       (coalesce(len(l.lines), 0) - coalesce(k.n, 0))::BIGINT AS n_removed
+FROM documents d LEFT JOIN l USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_language_id, op4_line_dedup, op5_sentencepiece, op6_substring_dedup, op7_toxicity, op9_quality_rules)}
+ORACLES: dict[str, str] = {"op4_line_dedup": SQL4, "op6_substring_dedup": SQL6}
