@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, lines, pieces, quality, substrings, toxicity
+from . import decontaminate, language, lines, pieces, quality, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _SPACE = r"[\x20\x09-\x0D]"
@@ -17,6 +17,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item or its template, and which one."""
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every whole text of ``documents``."""
     docs = _table(spark, sf_dir, "documents")
@@ -79,5 +84,5 @@ SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS t
 FROM documents d LEFT JOIN l USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_language_id, op4_line_dedup, op5_sentencepiece, op6_substring_dedup, op7_toxicity, op9_quality_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontamination, op2_language_id, op4_line_dedup, op5_sentencepiece, op6_substring_dedup, op7_toxicity, op9_quality_rules)}
 ORACLES: dict[str, str] = {"op4_line_dedup": SQL4, "op6_substring_dedup": SQL6}
