@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, lines, pieces, quality, substrings, toxicity
+from . import decontaminate, jaccard, language, licenses, lines, pieces, quality, substrings, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 _SPACE = r"[\x20\x09-\x0D]"
@@ -30,6 +30,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of ``documents`` by shingle sets."""
+    return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text without multi-line chunks that occur earlier."""
     return lines.drop_repeated_chunks(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
@@ -51,12 +56,23 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.grade(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict for the URL of every page."""
+    return urls.judge(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict for every whole text of ``documents``."""
     docs = _table(spark, sf_dir, "documents")
     return quality.rate(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs of every whole text of ``documents`` that are about a licence."""
+    docs = _table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.fit(docs))
+
+
 SQL6 = rf"""
 WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPACE}+'), lambda x: x <> '') AS words FROM documents),
 s AS (SELECT doc_id, unnest(range(1, len(words) - 18)) AS start, words FROM w WHERE len(words) >= 20),
@@ -69,6 +85,21 @@ SELECT w.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::B
 FROM w LEFT JOIN kept USING (doc_id)
 """
 
+SQL3 = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_SPACE}+'), lambda x: x <> '') AS words
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS g FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM w WHERE len(words) >= 5)
+  UNION ALL SELECT doc_id, array_to_string(words, ' ') AS g FROM w WHERE len(words) BETWEEN 1 AND 4),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM o JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 75 * (p.n + q.n - c)),
+r AS (SELECT doc_id, doc_id AS root FROM w UNION SELECT e.y, r.root FROM r JOIN e ON e.x = r.doc_id)
+SELECT w.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.root) AS component_id
+FROM w JOIN r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY w.doc_id
+"""
+
 SQL4 = """
 WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
 u AS (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i, len(lines) AS n FROM l),
@@ -84,5 +115,5 @@ SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS t
 FROM documents d LEFT JOIN l USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontamination, op2_language_id, op4_line_dedup, op5_sentencepiece, op6_substring_dedup, op7_toxicity, op9_quality_rules)}
-ORACLES: dict[str, str] = {"op4_line_dedup": SQL4, "op6_substring_dedup": SQL6}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontamination, op2_language_id, op3_jaccard_join, op4_line_dedup, op5_sentencepiece, op6_substring_dedup, op7_toxicity, op8_url_filters, op9_quality_rules, op10_license_scan)}
+ORACLES: dict[str, str] = {"op3_jaccard_join": SQL3, "op4_line_dedup": SQL4, "op6_substring_dedup": SQL6}

@@ -22,46 +22,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
+from .packing import NULL_ID, home, pack, texts_by_home, unpack
 from .sizing import groups_for, text_bytes
 
 WINDOW = 20
 BATCH_WORDS = 1 << 20
 BUCKET_BYTES = 8 << 20
-NULL_ID = -(1 << 63)
 BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 PACKED = "bucket int, entries binary, known binary"
 
 
-def _home(ids: np.ndarray, groups: int) -> np.ndarray:
-    return (K.mix(ids.astype(np.uint64)) % np.uint64(groups)).astype(np.int64)
-
-
-def _pack(ids: np.ndarray, lengths: np.ndarray, places: np.ndarray) -> bytes:
-    """Places in the words of a batch, in order, with the documents they fall in.
-
-    Layout: number of documents, their ids, their word counts, packed places where the documents that hold none are
-    left out of the count.
-    """
-    first = np.concatenate([[0], np.cumsum(lengths)])
-    doc = np.searchsorted(first, places, "right") - 1
-    held = np.unique(doc)
-    new_first = np.concatenate([[0], np.cumsum(lengths[held])])
-    moved = places - first[doc] + new_first[np.searchsorted(held, doc)]
-    head = np.array([len(held)], np.int64).tobytes() + ids[held].tobytes() + lengths[held].astype(np.uint32).tobytes()
-    return head + K.pack_gaps(moved)
-
-
-def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Document id and place in the document of every packed place."""
-    n = int(np.frombuffer(data, np.int64, 1)[0])
-    ids = np.frombuffer(data, np.int64, n, 8)
-    lengths = np.frombuffer(data, np.uint32, n, 8 + 8 * n).astype(np.int64)
-    places = K.unpack_gaps(memoryview(data)[8 + 12 * n :])
-    first = np.concatenate([[0], np.cumsum(lengths)])
-    doc = np.searchsorted(first, places, "right") - 1
-    return ids[doc], places - first[doc]
-
-
 class _Batch:
     """Hashed words of documents until there are enough to send."""
 
@@ -110,14 +80,14 @@ class _Batch:
         new = np.ones(len(by), bool)
         new[by[same]] = False
         if later.any():
-            yield int(bucket[later][0]), None, _pack(ids, lengths, starts[later])
+            yield int(bucket[later][0]), None, pack(ids, lengths, starts[later])
         keep = np.flatnonzero(new)
         keep = keep[np.argsort(bucket[keep], kind="stable")]
         bounds = K.group_bounds(bucket[keep])
         for a, b in zip(bounds[:-1], bounds[1:]):
             part = keep[a:b]
             head = np.array([b - a], np.int64).tobytes() + hashes[part].tobytes()
-            yield int(bucket[part[0]]), head + _pack(ids, lengths, starts[part]), None
+            yield int(bucket[part[0]]), head + pack(ids, lengths, starts[part]), None
 
 
 def _arrow(rows: list[tuple]) -> pa.RecordBatch:
@@ -149,11 +119,11 @@ def _later_places(groups: int):
         hashes, ids, places, known = [], [], [], []
         for entries, marked in zip(table.column("entries").to_pylist(), table.column("known").to_pylist()):
             if marked is not None:
-                known.append(_unpack(marked))
+                known.append(unpack(marked))
             if entries is not None:
                 n = int(np.frombuffer(entries, np.int64, 1)[0])
                 hashes.append(np.frombuffer(entries, np.uint64, n, 8))
-                one = _unpack(entries[8 + 8 * n :])
+                one = unpack(entries[8 + 8 * n :])
                 ids.append(one[0])
                 places.append(one[1])
         out_ids, out_places = [k[0] for k in known], [k[1] for k in known]
@@ -175,17 +145,17 @@ def _later_places(groups: int):
             out_places.append(p[later])
         i = np.concatenate([np.zeros(0, np.int64), *out_ids])
         p = np.concatenate([np.zeros(0, np.int64), *out_places])
-        home = _home(i, groups)
-        by = np.lexsort((p, i, home))
-        home, i, p = home[by], i[by], p[by]
-        bounds = K.group_bounds(home)
+        to = home(i, groups)
+        by = np.lexsort((p, i, to))
+        to, i, p = to[by], i[by], p[by]
+        bounds = K.group_bounds(to)
         rows = []
         for a, b in zip(bounds[:-1], bounds[1:]):
             docs = K.group_bounds(i[a:b])
             own, where = i[a:b][docs[:-1]], p[a:b]
             last = where[docs[1:] - 1] + 1
             shift = np.repeat(np.concatenate([[0], np.cumsum(last)[:-1]]), np.diff(docs))
-            rows.append((int(home[a]), _pack(own, last, where + shift)))
+            rows.append((int(to[a]), pack(own, last, where + shift)))
         return pa.table({"home": pa.array([r[0] for r in rows], pa.int32()), "marks": pa.array([r[1] for r in rows], pa.binary())})
 
     return run
@@ -199,30 +169,12 @@ def _spans(starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     return starts[np.concatenate([[0], cut])], starts[np.concatenate([cut - 1, [len(starts) - 1]])] + window
 
 
-def _texts_by_home(groups: int):
-    """Texts of each group of documents as compressed Arrow streams, which take half the room of rows in a shuffle."""
-
-    def run(batches):
-        for whole in batches:
-            for batch in K.slices(whole, "text"):
-                ids = batch.column(0).fill_null(NULL_ID).to_numpy(zero_copy_only=False).astype(np.int64)
-                home = _home(ids, groups)
-                by = np.argsort(home, kind="stable")
-                bounds = K.group_bounds(home[by])
-                blobs = [K.to_stream(batch.take(pa.array(by[a:b]))) for a, b in zip(bounds[:-1], bounds[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(home[by][bounds[:-1]].astype(np.int32)), pa.array(blobs, pa.binary())], names=["home", "texts"]
-                )
-
-    return run
-
-
 def _rewrite(window: int):
     """Join a group's texts with its marks: one row a document."""
 
     def run(streams: pa.Table, marks: pa.Table) -> pa.Table:
         texts = K.from_streams(streams.column("texts"), {"doc_id": pa.int64(), "text": pa.string()})
-        found = [_unpack(m) for m in marks.column("marks").to_pylist()]
+        found = [unpack(m) for m in marks.column("marks").to_pylist()]
         ids = np.concatenate([np.zeros(0, np.int64), *[f[0] for f in found]])
         places = np.concatenate([np.zeros(0, np.int64), *[f[1] for f in found]])
         by = np.lexsort((places, ids))
@@ -276,6 +228,6 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         .groupBy("bucket")
         .applyInArrow(_later_places(buckets), "home int, marks binary")
     )
-    texts = docs.mapInArrow(_texts_by_home(buckets), "home int, texts binary")
+    texts = docs.mapInArrow(texts_by_home(buckets), "home int, texts binary")
     out = "doc_id long, n_words long, n_removed long, kept_sha256 string, span_starts array<long>, span_ends array<long>"
     return texts.groupBy("home").cogroup(later.groupBy("home")).applyInArrow(_rewrite(window), out)
