@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from voxweave.session import cut_lineage
 
+from .native import hold
+
 FEATURES = 1 << 12
 LEAST_ROWS = 4
 SAMPLE = 3000
@@ -121,7 +123,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     families = learner.fit(rows.where(~F.col("held")))
     checked = _best(families.transform(rows.where("held")))
     right = (F.col("_class") == F.col("label")).cast("double")
-    odds = checked.where(F.col("_top") > F.col("_ordinary")).select("_odds", right.alias("label"))
+    odds = hold(checked.select("_odds", "_top", "_ordinary", "_class", "label")).where(F.col("_top") > F.col("_ordinary")).select("_odds", right.alias("label"))
     soft = docs.sparkSession.createDataFrame([(-3.0, 0.0), (-1.0, 0.0), (1.0, 1.0), (3.0, 1.0)], "_odds double, label double")
     single = VectorAssembler(inputCols=["_odds"], outputCol="features").transform(odds.unionAll(soft))
     platt = LogisticRegression(regParam=1e-2, maxIter=50).fit(cut_lineage(single))
@@ -131,7 +133,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
 def scan(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, line, family, probability, confirmed) of every paragraph with licence wording."""
     spark = docs.sparkSession
-    scored = _best(model.families.transform(model.terms.transform(_termed(paragraphs(docs))).drop("terms"))).where(F.col("_top") > F.col("_ordinary"))
+    scored = _best(model.families.transform(model.terms.transform(_termed(paragraphs(docs)))))
+    scored = hold(scored.select("doc_id", "line", "pairs", "_ordinary", "_top", "_class", "_odds")).where(F.col("_top") > F.col("_ordinary"))
     probability = 1 / (1 + F.exp(-(F.col("_odds") * model.slope + model.offset)))
     names = F.array(*[F.lit(c) for c in CLASSES])
     rows = scored.select("doc_id", "line", "pairs", F.element_at(names, F.col("_class") + 1).alias("_family"), probability.alias("probability"))

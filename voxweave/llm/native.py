@@ -14,3 +14,13 @@ def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     """``df``, written to the shared folder, with a broadcast hint if it has at most ``rows`` narrow rows."""
     df = cut_lineage(df)
     return F.broadcast(df) if df.count() <= rows else df
+
+
+def hold(df: DataFrame) -> DataFrame:
+    """``df`` behind a barrier: filters above it see values, not the expressions that they come from.
+
+    Otherwise a filter moves below the projections and takes a copy of their expressions into itself, into lambdas too,
+    where they run once for each element.
+    """
+    held = df.select(F.explode_outer(F.array(F.struct(*df.columns))).alias("_held"))
+    return held.select("_held.*")
