@@ -147,5 +147,5 @@ def _with_items(pairs: DataFrame, n_windows: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without contaminated documents, columns as they are."""
-    found = contaminated(docs, benchmark).select(F.col("doc_id").alias("_doc")).distinct()
-    return docs.join(small(found), F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")), "left_anti")
+    found = small(contaminated(docs, benchmark).select(F.col("doc_id").alias("_doc")).distinct())
+    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["_doc"]), "left_anti")

@@ -19,14 +19,16 @@ from pyspark.sql import functions as F
 
 from voxweave.session import cut_lineage
 
+from .native import shielded
+
 DIVISOR = 4
 PRIME = (1 << 31) - 1
 BASE = 1_000_003
-_NO_ID = F.lit(-(1 << 63)).cast("long")
+NULL_ID = -(1 << 63)
 
 
 def _id():
-    return F.coalesce(F.col("doc_id").cast("long"), _NO_ID)
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
 
 
 def _lines(text):
@@ -80,8 +82,9 @@ def repeated(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
 
 def drop_repeated_chunks(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     """``docs`` with repeated chunks taken out of ``text``, and ``n_lines`` and ``n_removed`` added."""
-    kept = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
-    at = docs.columns.index("text")
+    outer = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    docs, names = shielded(docs.select(*outer), "doc_id", "text")
+    kept = [c for c in names if c != "text"]
     docs = docs.select(*kept, F.col("text").cast("string").alias("text"))
     rows = docs.withColumn("_id", _id()).join(repeated(docs, divisor), "_id", "left")
     rows = rows.withColumn("_lines", _lines(F.col("text")))
@@ -90,10 +93,10 @@ def drop_repeated_chunks(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     left = F.filter("_lines", lambda x, i: ~F.array_contains("_gone", i + 1))
     rows = rows.withColumn("_gone", gone)
     text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(_join(left))
-    names = kept[:at] + ["text"] + kept[at:]
-    return rows.select(
+    rows = rows.select(
         *kept,
         text.alias("text"),
         F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).cast("long").alias("n_lines"),
         F.coalesce(n_removed, F.lit(0)).cast("long").alias("n_removed"),
-    ).select(*names, "n_lines", "n_removed")
+    )
+    return rows.select(*names, "n_lines", "n_removed").toDF(*outer, "n_lines", "n_removed")

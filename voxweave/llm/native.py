@@ -24,3 +24,12 @@ def hold(df: DataFrame) -> DataFrame:
     """
     held = df.select(F.explode_outer(F.array(F.struct(*df.columns))).alias("_held"))
     return held.select("_held.*")
+
+
+def shielded(df: DataFrame, *used: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with every column but the used ones under a name of its own, and those names in the order of ``df``.
+
+    Working columns can then have any name without meeting one of the caller's.
+    """
+    names = [c if c in used else f"kept_{k}_" for k, c in enumerate(df.columns)]
+    return df.toDF(*names), names
