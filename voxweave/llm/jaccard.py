@@ -272,7 +272,7 @@ def _cost_rows(shared):
                 if not len(n):
                     continue
                 size = np.diff(first)
-                scan = np.add.reduceat(np.exp2(own / 6.0), first[:-1])
+                scan = np.add.reduceat(1 + own / 6.0, first[:-1])
                 step = (8 * np.log2(n)).astype(np.int32)
                 u, inverse = np.unique(step, return_inverse=True)
                 yield pa.RecordBatch.from_arrays(
@@ -285,7 +285,8 @@ def _cost_rows(shared):
 def boundary(sets: DataFrame, shared) -> int:
     """Largest light size: the cut with the least work, pairs filed by light sets against lists scanned for heavy ones.
 
-    A scanned shingle costs its list's expected length, a filed pair one row.
+    A filed pair is one row. A scanned shingle is one row, and one comparison more each time its list doubles: members
+    that a first comparison puts into one component need no other.
     """
     rows = sets.select("_id", "n", "tokens").mapInArrow(_cost_rows(shared), "step int, pairs double, scan double")
     cost = sorted(rows.groupBy("step").agg(F.sum("pairs"), F.sum("scan")).collect())

@@ -31,15 +31,20 @@ SUPPORT_ROWS = 20
 BLOCK = "label=block"
 
 
+def _rest(url: Column) -> Column:
+    """What follows the first ``://``; null if there is none."""
+    return F.when(F.instr(url, "://") > 0, F.substr(url, F.instr(url, "://") + 3))
+
+
 def host(url: Column) -> Column:
     """After the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z in lower case; else empty."""
-    rest = F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    return F.coalesce(F.translate(rest, upper, lower), F.lit(""))
+    return F.coalesce(F.translate(F.regexp_extract(_rest(url), "^([^/?#]*)", 1), upper, lower), F.lit(""))
 
 
 def path(url: Column) -> Column:
-    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1), F.lit(""))
+    """What follows the host, up to ``?``, ``#`` or the end; else empty."""
+    return F.coalesce(F.regexp_extract(_rest(url), "^[^/?#]*(/[^?#]*)", 1), F.lit(""))
 
 
 def fixed_rule(host_column: Column, path_column: Column, rules=RULES) -> tuple[Column, Column]:
@@ -63,7 +68,7 @@ def tokens(url: Column) -> Column:
     ending = F.regexp_extract(p, r"\.([A-Za-z0-9]{1,5})$", 1)
     query = F.regexp_extract(url, r"\?([^#]*)", 1)
     names = F.transform(F.filter(F.split(query, "&"), lambda x: x != ""), lambda x: F.concat(F.lit("query="), F.split(x, "=")[0]))
-    fixed = F.array(F.concat(F.lit("scheme="), F.regexp_extract(url, r"(?s)^(.*?)://", 1)), F.concat(F.lit("first="), labels[0]), F.concat(F.lit("ending="), ending))
+    fixed = F.array(F.concat(F.lit("scheme="), F.substring_index(url, "://", 1)), F.concat(F.lit("first="), labels[0]), F.concat(F.lit("ending="), ending))
     held = F.filter(fixed, lambda x: ~x.endswith("="))
     return F.when(h == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.concat(held, parents, segments, names)))
 
