@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -69,9 +70,14 @@ def nearest_rows(x: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def matrix(column) -> np.ndarray:
-    """Arrow list column of equal-length vectors as a float64 matrix."""
-    rows = len(column)
+    """Arrow list column of equal-length vectors as a float64 matrix; nulls are left out, other lengths are an error."""
+    rows = len(column) - column.null_count
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    sizes = np.unique(pc.list_value_length(column).drop_null().to_numpy(zero_copy_only=False))
+    if len(sizes) > 1:
+        lengths = pc.list_value_length(column).to_pylist()
+        odd = next(i for i, n in enumerate(lengths) if n is not None and n != lengths[0])
+        raise ValueError(f"vectors of unequal length: row {odd} of the batch has {lengths[odd]} values")
     return flat.reshape(rows, -1) if rows else flat.reshape(0, 0)
 
 

@@ -47,7 +47,7 @@ def prepare_corpus(sources: list[DataFrame], out: str, encoder: Encoder | None =
     so it holds over all runs together.
     """
     rows = cleaning.union_sources(sources).drop("source_order")
-    rows = rows if "split" in rows.columns else rows.withColumn("split", F.lit(split))
+    rows = rows.withColumn("split", F.coalesce("split", F.lit(split)) if "split" in rows.columns else F.lit(split))
     rows = remaining(rows, out)
     if encoder is not None:
         rows = encoded(rows, encoder)

@@ -63,10 +63,10 @@ def filter_has_audio(df: DataFrame, audio: str = "audio") -> DataFrame:
 
 
 def filter_max_duration(df: DataFrame, seconds: float | None, frames: str, rate: str) -> DataFrame:
-    """Drop clips longer than ``seconds``; null means no limit."""
+    """Drop clips longer than ``seconds``; null means no limit. A clip at rate 0 has no duration and is dropped."""
     if seconds is None:
         return df
-    return df.where(F.col(frames) / F.col(rate) <= seconds)
+    return df.where(F.try_divide(F.col(frames), F.col(rate)) <= seconds)
 
 
 def canonical_row(df: DataFrame, source: Column, extra: list[str] | None = None) -> DataFrame:

@@ -35,7 +35,10 @@ def encode_clips(df: DataFrame, samples: str = "samples", rate: str = "rate", in
 
 
 def decode_clips(df: DataFrame, data: str = "bytes") -> DataFrame:
-    """Mono samples and rate of every clip; ``undecodable`` marks clips that are no WAV."""
+    """Mono samples and rate of every clip; ``undecodable`` marks clips that are no WAV.
+
+    Every clip is decoded once, also under filters on the result.
+    """
 
     @F.arrow_udf(DECODED)
     def decoded(items: pa.Array) -> pa.Array:
@@ -45,7 +48,7 @@ def decode_clips(df: DataFrame, data: str = "bytes") -> DataFrame:
         lost = pa.array([clip is None for clip in made], pa.bool_())
         return pa.StructArray.from_arrays([samples, rates], names=["samples", "rate"], mask=lost)
 
-    out = df.withColumn("_clip", decoded(F.col(data)))
+    out = df.withColumn("_clip", decoded.asNondeterministic()(F.col(data)))
     return out.withColumns(
         {
             "samples": F.col("_clip")["samples"],
@@ -64,7 +67,7 @@ def resample_clips(df: DataFrame, target: int = K.CODEC_RATE, samples: str = "sa
         return list_column([None if w is None or r is None else resample(w, r, target) for w, r in pairs])
 
     other = F.col(rate) != target
-    converted = moved(F.when(other, F.col(samples)).cast("array<float>"), F.when(other, F.col(rate)).cast("int"))
+    converted = moved.asNondeterministic()(F.when(other, F.col(samples)).cast("array<float>"), F.when(other, F.col(rate)).cast("int"))
     return df.withColumns(
         {samples: F.when(other, converted).otherwise(F.col(samples).cast("array<float>")), rate: F.lit(target)}
     )
@@ -77,7 +80,7 @@ def clip_report(df: DataFrame, samples: str = "samples", rate: str = "rate", tar
     return df.withColumns(
         {
             "n_samples": n,
-            "seconds": n / F.col(rate),
+            "seconds": F.try_divide(n, F.col(rate)),
             "codec_samples": U.resampled_length(n, rate, target),
             "code_frames": U.code_frames(U.resampled_length(n, rate, target)),
             "out_of_range": F.coalesce(outside, F.lit(False)),

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,11 +68,21 @@ def load_books(codebooks: DataFrame, keys: list[str], limit_bytes: int = BROADCA
     return names, {name: _ordered(found) for name, found in grouped.items()}
 
 
+def spread(found: pa.Array, lost: pa.Array) -> pa.Array:
+    """Results of the rows that are not null, in their places among the nulls."""
+    if not lost.true_count:
+        return found
+    gone = lost.to_numpy(zero_copy_only=False)
+    return found.take(pa.array(np.cumsum(~gone) - 1, mask=gone))
+
+
 def _nearest_column(codes: np.ndarray, words: np.ndarray):
     @F.arrow_udf(NEAREST)
     def nearest(vec: pa.Array) -> pa.Array:
+        lost = vec.is_null()
         row, dist = nearest_rows(matrix(vec), words)
-        return pa.StructArray.from_arrays([pa.array(codes[row]), pa.array(dist)], names=["code", "dist"])
+        found = pa.StructArray.from_arrays([pa.array(codes[row]), pa.array(dist)], names=["code", "dist"])
+        return spread(found, lost)
 
     return nearest
 
@@ -93,13 +104,15 @@ def nearest_codeword_join(df: DataFrame, codebook: DataFrame | Words, vec: str =
         best = order if "_best" not in df.columns else F.least("_best", order)
         df = cut_lineage(df.withColumn("_best", best).drop("_found"))
     pair = F.struct(F.col("_best")["code"].alias("code"), F.col("_best")["dist"].alias("dist"))
-    return df.withColumn(into, pair).drop("_best")
+    return df.withColumn(into, F.when(F.col("_best")["code"].isNotNull(), pair)).drop("_best")
 
 
-def codeword_lookup(codes: DataFrame, codebook: DataFrame, on: list[str], dim: int = 64, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def codeword_lookup(codes: DataFrame, codebook: DataFrame, on: list[str], dim: int | None = None, limit_bytes: int = BROADCAST_BYTES,
+                    how: str = "inner") -> DataFrame:
     """Centroid of every code: a broadcast join while the codebook fits, else salted, because few codes are hot."""
     words = codebook.select(*on, "vec")
-    return join_small_or_salted(codes, words, on, "inner", limit_bytes=limit_bytes, row_bytes=8 * dim)
+    width = dim or codebook.agg(F.max(F.size("vec"))).first()[0] or 1
+    return join_small_or_salted(codes, words, on, how, limit_bytes=limit_bytes, row_bytes=8 * width)
 
 
 def sum_vectors(df: DataFrame, keys: list[str], vec: str, into: str = "total", value: Column | None = None, also: list[Column] | None = None) -> DataFrame:
@@ -240,6 +253,7 @@ def commitment_loss(df: DataFrame, codebook: DataFrame, vec: str = "vec", weight
 def _encode_column(shipped: list):
     @F.arrow_udf("array<int>")
     def encode(column: pa.Array) -> pa.Array:
+        lost = column.is_null()
         residual = matrix(column).copy()
         out = np.empty((len(residual), len(shipped)), np.int32)
         for i, (codes, words) in enumerate(shipped):
@@ -247,7 +261,7 @@ def _encode_column(shipped: list):
             residual -= words[row]
             out[:, i] = codes[row]
         offsets = np.arange(len(out) + 1, dtype=np.int32) * len(shipped)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel()))
+        return spread(pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel())), lost)
 
     return encode
 
@@ -257,13 +271,21 @@ def _decode_column(shipped: list, semantic: int):
 
     @F.arrow_udf("array<double>")
     def decode(column: pa.Array) -> pa.Array:
-        ids = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
-        halves = [np.zeros((len(ids), dim)), np.zeros((len(ids), dim))]
-        for i, (known, words) in enumerate(shipped[: ids.shape[1]]):
-            halves[i >= semantic] += words[np.searchsorted(known, ids[:, i])]
+        lost = column.is_null()
+        rows = column.drop_null()
+        ids = rows.flatten().to_numpy(zero_copy_only=False)
+        first = np.concatenate([[0], np.cumsum(pc.list_value_length(rows).to_numpy(zero_copy_only=False))]).astype(np.int64)
+        halves = [np.zeros((len(rows), dim)), np.zeros((len(rows), dim))]
+        for i, (known, words) in enumerate(shipped):
+            own = np.flatnonzero(np.diff(first) > i)
+            wanted = ids[first[own] + i]
+            at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+            if (known[at] != wanted).any():
+                raise ValueError(f"stage {i} has no word {wanted[known[at] != wanted][0]}")
+            halves[i >= semantic][own] += words[at]
         out = halves[0] + halves[1]
         offsets = np.arange(len(out) + 1, dtype=np.int32) * dim
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel()))
+        return spread(pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel())), lost)
 
     return decode
 
@@ -274,16 +296,17 @@ def rvq_encode(df: DataFrame, codebooks: DataFrame, vec: str = "vec", into: str
     names, books = load_books(codebooks, ["stage"], limit_bytes)
     if books is not None:
         return df.withColumn(into, _encode_column([books[n] for n in names[:stages]])(F.col(vec).cast("array<double>")))
+    width = codebooks.agg(F.max(F.size("vec"))).first()[0]
     out = df.withColumns({"_residual": F.col(vec).cast("array<double>"), into: F.array().cast("array<int>")})
     for (stage,) in names[:stages]:
         book = codebooks.where(F.col("stage") == stage)
         words = book.select(F.col("code").cast("int").alias("_code"), F.col("vec").alias("_word"))
         out = nearest_codeword_join(out, book, "_residual", "_near", limit_bytes).withColumn("_code", F.col("_near")["code"])
         # One word may be the nearest of very many rows: a small book is broadcast by Spark, a large one is salted.
-        out = join_small_or_salted(out, words, "_code", "inner", limit_bytes=limit_bytes, row_bytes=8 * 64).withColumns(
+        out = join_small_or_salted(out, words, "_code", "left", limit_bytes=limit_bytes, row_bytes=8 * width).withColumns(
             {
                 "_residual": F.zip_with("_residual", "_word", lambda r, w: r - w),
-                into: F.concat(into, F.array("_code")),
+                into: F.when(F.col("_code").isNotNull(), F.concat(into, F.array("_code"))),
             }
         )
         out = cut_lineage(out.drop("_near", "_code", "_word"))
@@ -296,7 +319,8 @@ def rvq_decode(df: DataFrame, codebooks: DataFrame, codes: str = "codes", into:
 
     With ``semantic`` the first stages and the rest are summed apart and then added, as split quantisers do.
     Codebooks within the limit are gathered inside the tasks; otherwise codes are joined to their words and
-    summed per ``key``.
+    summed per ``key``. Either way null codes give null, a row with fewer codes than stages sums those it has (none:
+    zeros), and a code without a word is an error.
     """
     names, books = load_books(codebooks, ["stage"], limit_bytes)
     if books is not None:
@@ -304,12 +328,17 @@ def rvq_decode(df: DataFrame, codebooks: DataFrame, codes: str = "codes", into:
     if not key:
         raise ValueError("codebooks beyond the broadcast limit need the key columns of a frame")
     dim = codebooks.agg(F.max(F.size("vec"))).first()[0]
-    long = df.select(*key, F.posexplode(codes).alias("_at", "code")).withColumn(
+    long = df.select(*key, F.posexplode(F.slice(codes, 1, len(names))).alias("_at", "code")).withColumn(
         "stage", F.get(F.array(*[F.lit(s) for (s,) in names]), F.col("_at"))
     )
-    words = codeword_lookup(long, codebooks, ["stage", "code"], dim, limit_bytes)
+    words = codeword_lookup(long, codebooks, ["stage", "code"], dim, limit_bytes, "left")
+    lost = F.raise_error(F.format_string("stage %d has no word %d", F.col("_at"), F.col("code"))).cast("array<double>")
+    words = words.withColumn("vec", F.coalesce("vec", lost))
     half = sum_vectors(words.withColumn("_half", F.col("_at") >= semantic), [*key, "_half"], "vec", "_v")
-    return df.join(sum_vectors(half, key, "_v", into), key)
+    sums = sum_vectors(half, key, "_v", into)
+    zeros = F.array_repeat(F.lit(0.0), dim)
+    found = df.join(sums, key, "left")
+    return found.withColumn(into, F.when(F.col(codes).isNotNull(), F.coalesce(F.col(into), zeros)))
 
 
 def split_groups(vec: Column | str, dim: int, groups: int) -> list[Column]:

@@ -88,12 +88,15 @@ def merge_defaults(user: DataFrame, file_defaults: DataFrame, request: str = "re
     """Final generation parameters per request: the user's value, else the file's, else the fixed default.
 
     ``user`` is (request, params map<string,string>), ``file_defaults`` one row with a ``defaults`` map. A key that
-    the file holds with a null value gives null, because what counts is that the key exists.
+    the file holds with a null value gives null, because what counts is that the key exists. Parameters of the user
+    beyond the fixed names are passed on as they are.
     """
     file_map = file_defaults.agg(F.first("defaults")).scalar()
     fixed = F.create_map(*[F.lit(x) for pair in K.GENERATION_DEFAULTS.items() for x in pair])
+    known = F.array(*[F.lit(n) for n in K.GENERATION_DEFAULTS])
+    names = F.array_union(known, F.coalesce(F.map_keys("params"), F.array().cast("array<string>")))
     rows = user.select(
-        request, "params", F.explode(F.array(*[F.lit(n) for n in K.GENERATION_DEFAULTS])).alias("name")
+        request, "params", F.explode(names).alias("name")
     ).withColumns({"_file": file_map, "_fixed": fixed})
     own = F.try_element_at("params", F.col("name"))
     fallback = F.when(
@@ -106,12 +109,15 @@ def pair_preferences(rows: DataFrame, on: list[str], verdict: str, carry: list[s
     """Chosen and rejected answer of one prompt side by side.
 
     ``verdict`` is true for the chosen row. The key is unique per verdict (a prompt, or a prompt and a rank), so
-    both land in one aggregation buffer and the rows are shuffled once instead of twice for a self-join.
+    both land in one aggregation buffer and the rows are shuffled once instead of twice for a self-join. A key with
+    two rows of one verdict, in a pair, is an error when the result is computed.
     """
-    sides = []
-    for label, want in (("chosen", True), ("rejected", False)):
-        for c in carry:
-            sides.append(F.max(F.when(F.col(verdict) == want, F.col(c))).alias(f"{label}_{c}"))
-    seen = F.count_if(F.col(verdict)), F.count_if(~F.col(verdict))
-    out = rows.groupBy(*on).agg(*sides, seen[0].alias("_c"), seen[1].alias("_r"))
-    return out.where((F.col("_c") > 0) & (F.col("_r") > 0)).drop("_c", "_r")
+    sides = ("chosen", F.col(verdict)), ("rejected", ~F.col(verdict))
+    counts = [F.count_if(own).alias(f"_n_{label}") for label, own in sides]
+    taken = [F.any_value(F.when(own, F.struct(*carry)), True).alias(f"_{label}") for label, own in sides]
+    out = rows.groupBy(*on).agg(*counts, *taken).where("_n_chosen > 0 and _n_rejected > 0")
+    twice = F.greatest("_n_chosen", "_n_rejected") > 1
+    message = F.concat(F.lit("more than one row of a verdict for key "), F.to_json(F.struct(*on)))
+    picked = [F.col(f"_{label}")[c].alias(f"{label}_{c}") for label, _ in sides for c in carry]
+    checked = F.when(twice, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return out.where(checked).select(*on, *picked)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,12 +47,14 @@ def resume_from_cursor(
 def anti_join_done(df: DataFrame, done: DataFrame, on: list[str], hashed: bool = False) -> DataFrame:
     """Rows whose key is not in the output yet. ``on`` is (source, split, raw_index) or the match key.
 
-    Plain keys must not be null; ``hashed`` ones may. ``done`` is reduced to distinct keys on the map side, so a text that was written very often is one row of a
+    A null key equals a null key. ``done`` is reduced to distinct keys on the map side, so a text that was written very often is one row of a
     join partition; the join then uses the same partitioning. ``hashed`` compares SHA-256 digests of a long text
     key, so the finished side moves 32 bytes per row instead of whole texts.
     """
     if not hashed:
-        return df.join(done.select(*on).distinct(), on, "left_anti")
+        keys = done.select(*[F.col(c).alias(f"_done_{k}") for k, c in enumerate(on)]).distinct()
+        same = [df[c].eqNullSafe(keys[f"_done_{k}"]) for k, c in enumerate(on)]
+        return df.join(keys, reduce(and_, same), "left_anti")
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in on]
     # Never null, so the join adds no not-null filter that would work the key out once more.
     digest = F.coalesce(F.unhex(F.sha2(F.concat_ws("\x1f", *parts), 256)), F.lit(b""))

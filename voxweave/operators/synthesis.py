@@ -59,7 +59,8 @@ def batch_map(df: DataFrame, call: Callable[[pd.DataFrame], list], into: str, ki
               inputs: list[str] | None = None) -> DataFrame:
     """Add a column computed by a batch callable, ``size`` rows per call.
 
-    The callable sees at most ``size`` rows whatever the Arrow batch size is, and only the ``inputs`` columns.
+    The callable sees at most ``size`` rows whatever the Arrow batch size is, and only the ``inputs`` columns. It is
+    marked as not deterministic, so a filter on the result stays above it and every row reaches it once.
     """
     wanted = F.struct(*(inputs or df.columns))
 
@@ -71,7 +72,7 @@ def batch_map(df: DataFrame, call: Callable[[pd.DataFrame], list], into: str, ki
                 out.extend(call(batch.iloc[lo : lo + size]))
             yield pd.Series(out, index=batch.index, dtype=object)
 
-    return df.withColumn(into, mapped(wanted))
+    return df.withColumn(into, mapped.asNondeterministic()(wanted))
 
 
 def batch_encoder_udf(df: DataFrame, encoder: Callable[[pd.DataFrame], list], into: str = "audio_codes", size: int = K.ENCODE_BATCH,

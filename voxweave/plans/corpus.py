@@ -111,15 +111,15 @@ def match_key(spark, sf):
 
 
 CANONICAL = f"""{I.CLEANED}, canonical AS (SELECT raw_index, source, text, speaker, nullif(language, '') AS language,
- encode(substr(text, 1, 64)) AS audio_bytes, 'clips/' || raw_index || '.wav' AS audio_path FROM kept)"""
+ encode(text) AS audio_bytes, 'clips/' || raw_index || '.wav' AS audio_path FROM kept)"""
 
 
 def canonical(spark, sf):
-    """Cleaned rows in canonical form; the start of the text stands in for the clip."""
+    """Cleaned rows in canonical form; the text's bytes stand in for the clip."""
     rows = I.clean_rows(spark, sf).withColumn(
         "audio",
         F.struct(
-            F.encode(F.substring("text", 1, 64), "utf-8").alias("bytes"),
+            F.encode("text", "utf-8").alias("bytes"),
             F.concat(F.lit("clips/"), F.col("raw_index").cast("string"), F.lit(".wav")).alias("path"),
         ),
     )
@@ -257,12 +257,12 @@ def filter_special_codes(spark, sf):
 
 @query(
     "scan_source_a",
-    f"""WITH {CANONICAL}, a AS (SELECT * FROM canonical WHERE raw_index % 3 = 0 AND language IN {ALLOWED_SQL} AND raw_index >= 30),
- n AS (SELECT *, row_number() OVER (ORDER BY raw_index) AS rn FROM a) SELECT raw_index, text, 'src_0' AS source, speaker, language, audio_path FROM n WHERE rn <= 200""",
+    f"""WITH {CANONICAL}, a AS (SELECT * FROM canonical WHERE raw_index % 3 = 0 AND language IN {ALLOWED_SQL})
+ SELECT raw_index, text, 'src_0' AS source, speaker, language, audio_path FROM a""",
 )
 def scan_source_a(spark, sf):
     raw = _with_audio(I.raw_rows(spark, sf)).where(F.col("source") == "src_0")
-    rows = C.source_a(raw, "src_0", ALLOWED, 200, 30)
+    rows = C.source_a(raw, "src_0", ALLOWED)
     return rows.select("raw_index", "text", "source", "speaker", "language", F.col("audio.path").alias("audio_path"))
 
 
@@ -270,7 +270,7 @@ def _with_audio(raw):
     return raw.withColumn(
         "audio",
         F.struct(
-            F.encode(F.substring("transcription", 1, 64), "utf-8").alias("bytes"),
+            F.encode("transcription", "utf-8").alias("bytes"),
             F.concat(F.lit("clips/"), F.col("raw_index").cast("string"), F.lit(".wav")).alias("path"),
         ),
     )
@@ -279,8 +279,8 @@ def _with_audio(raw):
 @query(
     "scan_source_b",
     """WITH b AS (SELECT page_id AS raw_index, trim(regexp_replace(html, '\\s+', ' ', 'g')) AS text, CAST(page_id % 11 AS VARCHAR) AS speaker
- FROM pages WHERE page_id % 4 <> 0 AND page_id % 5 <> 0), n AS (SELECT *, row_number() OVER (ORDER BY raw_index) AS rn FROM b)
- SELECT raw_index, text, 'src_b' AS source, speaker, 'korean' AS language FROM n WHERE rn <= 150""",
+ FROM pages WHERE page_id % 4 <> 0 AND page_id % 5 <> 0)
+ SELECT raw_index, text, 'src_b' AS source, speaker, 'korean' AS language FROM b""",
 )
 def scan_source_b(spark, sf):
     p = F.col("page_id")
@@ -289,7 +289,7 @@ def scan_source_b(spark, sf):
         (p % 11).alias("char_id"),
         F.struct(F.when(p % 5 != 0, F.encode("url", "utf-8")).alias("bytes"), F.col("url").alias("path")).alias("audio"),
     )
-    return C.source_b(rows, "src_b", 150).select("raw_index", "text", "source", "speaker", "language")
+    return C.source_b(rows, "src_b").select("raw_index", "text", "source", "speaker", "language")
 
 
 @query(
@@ -399,16 +399,15 @@ def drop_reason_counts(spark, sf):
 
 @query(
     "source_language_summary",
-    f"""WITH {I.CLEANED}, n AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY raw_index) AS rn FROM kept WHERE language IN {ALLOWED_SQL})
- SELECT source, language, count(*) AS n_rows, count(DISTINCT speaker) AS n_speakers FROM n WHERE rn <= 250 GROUP BY ALL""",
+    f"""WITH {I.CLEANED} SELECT source, language, count(*) AS n_rows, count(DISTINCT speaker) AS n_speakers
+ FROM kept WHERE language IN {ALLOWED_SQL} GROUP BY ALL""",
 )
 def source_language_summary(spark, sf):
     raw = I.raw_rows(spark, sf)
     rows = raw.withColumn("language", X.normalize_language(C.language_column(raw)))
     rows = C.filter_language_allowed(rows, C.allowed_languages(ALLOWED))
     rows = C.filter_has_text(rows, "transcription")
-    rows = O.cap_per_source(rows.select("source", "raw_index", "language", "speaker"), 250)
-    return R.source_language_summary(rows)
+    return R.source_language_summary(rows.select("source", "language", "speaker"))
 
 
 @query(

@@ -131,15 +131,15 @@ def sql_codes(with_end: bool = False) -> str:
 
 
 def text_ids(c: Column | str) -> Column:
-    """Template ids around the code points of the first 32 characters."""
+    """Template ids around the code points of a text."""
     c = F.col(c) if isinstance(c, str) else c
-    points = F.transform(F.split(F.substring(c, 1, 32), ""), lambda ch: F.ascii(ch).cast("int"))
+    points = F.transform(F.split(c, ""), lambda ch: F.ascii(ch).cast("int"))
     fixed = [F.array(*[F.lit(i).cast("int") for i in ids]) for ids in ((1, 2, 3), (4, 5, 6, 7, 8))]
     return F.concat(fixed[0], F.filter(points, lambda p: p > 0), fixed[1])
 
 
 def sql_text_ids(x: str) -> str:
-    return f"list_concat(list_concat([1,2,3], list_transform(string_split(substr({x}, 1, 32), ''), lambda ch: unicode(ch))), [4,5,6,7,8])"
+    return f"list_concat(list_concat([1,2,3], list_transform(string_split({x}, ''), lambda ch: unicode(ch))), [4,5,6,7,8])"
 
 
 def layout_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -247,11 +247,11 @@ def requests(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.concat(F.lit("Supplier#"), F.lpad((d % 20).cast("string"), 9, "0")))
     )
     return table(spark, sf, "documents").select(
-        d.alias("request_id"), F.substring("text", 1, 40).alias("text"), language.alias("language"), speaker.alias("speaker")
+        d.alias("request_id"), "text", language.alias("language"), speaker.alias("speaker")
     )
 
 
-REQUESTS = """requests AS (SELECT doc_id AS request_id, substr(text, 1, 40) AS text,
+REQUESTS = """requests AS (SELECT doc_id AS request_id, text,
  CASE doc_id % 7 WHEN 0 THEN 'Auto' WHEN 1 THEN 'Chinese' WHEN 2 THEN 'Klingon' WHEN 3 THEN NULL
   ELSE upper(lang[1]) || lower(lang[2:]) END AS language,
  CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'Nobody' || (doc_id % 10)

@@ -30,9 +30,9 @@ def scan_jsonl_manifest(spark: SparkSession, path: str, schema: T.StructType = M
 
 
 def scan_binary_audio(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """(path, name, content) of every file below ``folder``; ``path`` has no URI scheme."""
+    """(path, name, content) of every file below ``folder``; ``path`` has no URI scheme or authority."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(folder)
-    plain = F.regexp_replace("path", r"^file:/+", "/")
+    plain = F.regexp_replace("path", r"^[A-Za-z][A-Za-z0-9+.\-]*:(?://[^/]*)?/+", "/")
     return files.select(plain.alias("path"), F.regexp_extract(plain, r"([^/]*)$", 1).alias("name"), "content", "length")
 
 

@@ -45,7 +45,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def sink_parquet(df: DataFrame, path: str, overwrite: bool = False, append: bool = False, rows_per_file: int | None = None) -> None:
-    """Write a directory of parts under the commit protocol: readers see all of a write or nothing.
+    """Write a directory of parts under the commit protocol.
 
     A non-empty target is refused unless overwriting (old parts go first) or appending, which checks the schema
     of what is there.
@@ -117,37 +117,50 @@ def shard_name(split: str, shard: Column, total: Column) -> Column:
 
 def shard_by_size(df: DataFrame, folder: str, split: str, order: list[str], span: Column | None = None,
                   limit_bytes: int = K.SHARD_BYTES, block_rows: int = K.SHARD_BLOCK_ROWS) -> list[str]:
-    """Write ``{split}-{i:05d}-of-{n:05d}.parquet`` files in row order; no rows still give one empty shard."""
+    """Write ``{split}-{i:05d}-of-{n:05d}.parquet`` files in row order; no rows still give one empty shard.
+
+    A folder that already has shards of the split is refused. Every shard is one file whatever the session says about
+    rows in a file; a shard in several files, a rename that fails or a wrong number of rows is an error.
+    """
     spark = df.sparkSession
     plan = shard_plan(df, order, span, limit_bytes, block_rows)
-    total = (plan.agg(F.max("shard").alias("m")).first()["m"] or 0) + 1
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.globStatus(path(f"{folder}/{split}-*-of-*.parquet")):
+        raise FileExistsError(f"{folder} has shards of {split}")
+    last, expected = plan.agg(F.max("shard"), F.count(F.lit(1))).first()
+    total = (last or 0) + 1
     staged = f"{folder}/_staged_{split}"
     rows = plan.repartitionById(total, F.col("shard")).sortWithinPartitions("shard", "position").drop("_bytes", "position")
-    rows.write.mode("overwrite").partitionBy("shard").parquet(staged)
+    rows.write.mode("overwrite").option("maxRecordsPerFile", 0).partitionBy("shard").parquet(staged)
     names = [f"{split}-{i:05d}-of-{total:05d}.parquet" for i in range(total)]
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    system = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     for i, name in enumerate(names):
         parts = system.globStatus(path(f"{staged}/shard={i}/part-*"))
         if not parts:  # only an empty table has a shard without files
             df.limit(0).coalesce(1).write.mode("overwrite").parquet(f"{staged}/shard={i}")
             parts = system.globStatus(path(f"{staged}/shard={i}/part-*"))
-        system.rename(parts[0].getPath(), path(f"{folder}/{name}"))
+        if len(parts) != 1:
+            raise ValueError(f"shard {i} has {len(parts)} files")
+        if not system.rename(parts[0].getPath(), path(f"{folder}/{name}")):
+            raise OSError(f"cannot move shard {i} to {folder}/{name}")
     system.delete(path(staged), True)
+    written = spark.read.parquet(*[f"{folder}/{name}" for name in names]).count()
+    if written != expected:
+        raise ValueError(f"wrote {written} of {expected} rows")
     return [f"{folder}/{name}" for name in names]
 
 
-def merge_shards(parts: DataFrame, folder: str, rows_per_file: int = 10_000_000) -> int:
+def merge_shards(parts: DataFrame, folder: str, rows_per_file: int = 10_000_000, bytes_per_file: int = 1 << 30) -> int:
     """Concatenate parts in (file, row) order and return the row count.
 
-    A table within ``rows_per_file`` becomes one file. A larger one becomes range-partitioned files whose name
-    order is the row order, so no task holds the whole table.
+    The result is as many range-partitioned files as its bytes (estimated by ``row_bytes``) or rows ask for, named in
+    row order, so no task holds more than about one file.
     """
     spark = parts.sparkSession
-    expected = parts.count()
-    files = max(1, -(-expected // rows_per_file))
+    expected, size = parts.agg(F.count(F.lit(1)), F.sum(row_bytes(parts))).first()
+    files = max(1, -(-expected // rows_per_file), -(-(size or 0) // bytes_per_file))
     keys = ["file_name", "row_index"]
-    rows = parts.repartitionByRange(files, *keys) if files > 1 else parts.coalesce(1)
+    rows = parts.repartitionByRange(files, *keys)
     columns = [c for c in parts.columns if c not in (*keys, "part")]
     rows.sortWithinPartitions(*keys).select(*columns).write.mode("overwrite").parquet(folder)
     written = spark.read.parquet(folder).count()
