@@ -18,6 +18,7 @@ from ..functions.text import _col
 from ..session import measured
 
 SPAN = 1 << 20
+LAST_SPAN = (1 << 63) - 1  # of rows without an order key
 
 
 def whole(c: Column | str, by: int) -> Column:
@@ -48,18 +49,23 @@ def dense_position(
 ) -> DataFrame:
     """0-based position of every row inside ``part`` by ``order``.
 
-    ``span`` must grow with the first order column (default: ranges of that integer column). ``part`` columns
-    must not be null. With ``below`` only positions under it are kept, and spans that start past it are dropped
+    ``span`` must grow with the first order column (default: ranges of that integer column). Rows whose first order
+    column is null come last; a null ``part`` is a part of its own. With ``below`` only positions under it are kept, and spans that start past it are dropped
     before any row is shuffled. ``counted`` may name a cheaper frame with the same rows for the counting pass,
     ``offsets`` counts that are already there.
     """
-    span = span_of(order[0]) if span is None else span
+    span = F.coalesce(span_of(order[0]) if span is None else span, F.lit(LAST_SPAN))
     keyed = df.withColumn("_span", span)
     if offsets is None:
         offsets = span_offsets(keyed if counted is None else counted.withColumn("_span", span), part, below)
-    inside = Window.partitionBy(*part, "_span").orderBy(*order)
+    inside = Window.partitionBy(*part, "_span").orderBy(*[F.asc_nulls_last(c) for c in order])
+    marks = offsets.select("_before", F.col("_span").alias("_at_span"), *[F.col(c).alias(f"_at_{k}") for k, c in enumerate(part)])
+    same = F.col("_span") == F.col("_at_span")
+    for k, c in enumerate(part):
+        same = same & F.col(c).eqNullSafe(F.col(f"_at_{k}"))
     numbered = (
-        keyed.join(offsets.drop("_rows"), [*part, "_span"])
+        keyed.join(marks, same)
+        .drop("_at_span", *[f"_at_{k}" for k in range(len(part))])
         .withColumn(name, F.col("_before") + F.row_number().over(inside) - 1)
         .drop("_span", "_before")
     )

@@ -255,6 +255,8 @@ def _encode_column(shipped: list):
     def encode(column: pa.Array) -> pa.Array:
         lost = column.is_null()
         residual = matrix(column).copy()
+        if not len(residual):
+            return pa.nulls(len(column), pa.list_(pa.int32()))
         out = np.empty((len(residual), len(shipped)), np.int32)
         for i, (codes, words) in enumerate(shipped):
             row, _ = nearest_rows(residual, words)

@@ -294,12 +294,12 @@ def scan_source_b(spark, sf):
 
 @query(
     "union_sources",
-    f"""WITH {I.CLEANED} SELECT raw_index, source, text, language, 0 AS source_order FROM kept WHERE source = 'src_0'
- UNION ALL SELECT page_id, 'pages', url, NULL, 1 FROM pages UNION ALL SELECT item_id, 'benchmark', text, 'en', 2 FROM benchmark""",
+    f"""WITH {I.CLEANED} SELECT raw_index, source, text, language, 0 AS source_order FROM kept
+ UNION ALL SELECT page_id, 'pages', html, NULL, 1 FROM pages UNION ALL SELECT item_id, 'benchmark', text, 'en', 2 FROM benchmark""",
 )
 def union_sources(spark, sf):
-    first = I.clean_rows(spark, sf).where(F.col("source") == "src_0").select("raw_index", "source", "text", "language")
-    pages = I.table(spark, sf, "pages").select(F.col("page_id").alias("raw_index"), F.lit("pages").alias("source"), F.col("url").alias("text"))
+    first = I.clean_rows(spark, sf).select("raw_index", "source", "text", "language")
+    pages = I.table(spark, sf, "pages").select(F.col("page_id").alias("raw_index"), F.lit("pages").alias("source"), F.col("html").alias("text"))
     items = I.table(spark, sf, "benchmark").select(
         F.col("item_id").alias("raw_index"), F.lit("benchmark").alias("source"), "text", F.lit("en").alias("language")
     )

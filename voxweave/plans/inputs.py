@@ -108,7 +108,7 @@ def clean_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def code_rows(spark: SparkSession, sf: str, with_end: bool = False, extra: tuple = ()) -> DataFrame:
-    """Codes of ``n_chars % 40 + 1`` frames per document; optionally with an end id in the first code."""
+    """Codes of ``n_chars / 40 + 1`` frames per document; optionally with an end id in the first code."""
     d = F.col("doc_id")
 
     def frame(t: Column) -> Column:
@@ -118,7 +118,7 @@ def code_rows(spark: SparkSession, sf: str, with_end: bool = False, extra: tuple
 
         return F.transform(F.sequence(F.lit(0), F.lit(15)), code)
 
-    frames = F.transform(F.sequence(F.lit(0), (F.col("n_chars") % 40).cast("int")), frame)
+    frames = F.transform(F.sequence(F.lit(0), F.floor(F.col("n_chars") / 40).cast("int")), frame)
     rows = table(spark, sf, "documents")
     return rows.select("doc_id", "n_chars", frames.alias("codes"), *extra)
 
@@ -127,7 +127,7 @@ def sql_codes(with_end: bool = False) -> str:
     value = "(doc_id * 31 + t * 17 + q * 7) % 2048"
     if with_end:
         value = f"CASE WHEN q = 0 AND t = doc_id % 50 THEN 4198 ELSE {value} END"
-    return f"list_transform(range(0, n_chars % 40 + 1), lambda t: list_transform(range(0, 16), lambda q: {value}))"
+    return f"list_transform(range(0, n_chars // 40 + 1), lambda t: list_transform(range(0, 16), lambda q: {value}))"
 
 
 def text_ids(c: Column | str) -> Column:

@@ -108,14 +108,14 @@ SHARD_SQL = """WITH RECURSIVE p AS (SELECT l_orderkey, l_linenumber, row_number(
 def shard_by_size(spark, sf):
     rows = I.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
     size = (F.lit(60) + F.octet_length("l_returnflag") + F.octet_length("l_linestatus") + F.col("l_linenumber")).cast("long")
-    plan = W.shard_plan(rows, ["l_orderkey", "l_linenumber"], O.span_of("l_orderkey", 1 << 14), 300000, 512, size)
-    per_shard = plan.groupBy("shard").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum("_bytes").alias("bytes"), F.min("position").alias("first_position"),
-        F.max("position").alias("last_position"),
+    keys = ["l_orderkey", "l_linenumber"]
+    folder = work_path(spark, "shards")
+    numbered = O.dense_position(rows.withColumn("_all", F.lit(0)), ["_all"], keys, O.span_of("l_orderkey", 1 << 14), "pos").drop("_all")
+    W.shard_by_size(numbered, folder, "train", keys, O.span_of("l_orderkey", 1 << 14), 300000, 512, size)
+    written = spark.read.parquet(folder).select("*", F.col("_metadata.file_name").alias("file_name"))
+    return written.groupBy("file_name").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(size).alias("bytes"), F.min("pos").alias("first_position"), F.max("pos").alias("last_position")
     )
-    total = per_shard.agg((F.max("shard") + 1).cast("int")).scalar()
-    named = per_shard.withColumn("_total", total).withColumn("file_name", W.shard_name("train", F.col("shard"), F.col("_total")))
-    return named.drop("shard", "_total")
 
 
 @query(

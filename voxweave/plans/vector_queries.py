@@ -165,22 +165,23 @@ def commitment_loss(spark, sf):
 
 
 STAGES, SIZE = 3, 8
+ALL_STAGES, SMALL = 16, 4  # decoding uses every code of a frame
 
 
-def stage_books(spark, sf, dim_from: int = 0, dim: int = DIM):
-    """Three codebooks of eight vectors each; later stages are scaled down as residuals are."""
-    v = I.vectors(spark, sf).where(F.col("vec_id") < STAGES * SIZE)
-    stage = F.floor(F.col("vec_id") / SIZE).cast("int")
+def stage_books(spark, sf, dim_from: int = 0, dim: int = DIM, stages: int = STAGES, size: int = SIZE):
+    """Codebooks of ``size`` vectors for each stage; later stages are scaled down as residuals are."""
+    v = I.vectors(spark, sf).where(F.col("vec_id") < stages * size)
+    stage = F.floor(F.col("vec_id") / size).cast("int")
     scale = F.lit(1.0) / (stage + 1)
     return v.select(
-        stage.alias("stage"), (F.col("vec_id") % SIZE).cast("int").alias("code"),
+        stage.alias("stage"), (F.col("vec_id") % size).cast("int").alias("code"),
         F.transform(F.slice("vec", dim_from + 1, dim), lambda x: x * scale).alias("vec"),
     )
 
 
-def _sql_books(a: int = 1, b: int = DIM, name: str = "books") -> str:
-    return f"""{name} AS (SELECT CAST(vec_id // {SIZE} AS INTEGER) AS stage, CAST(vec_id % {SIZE} AS INTEGER) AS code,
- list_transform(vec[{a}:{b}], lambda x: x * (CAST(1.0 AS DOUBLE) / (vec_id // {SIZE} + 1))) AS vec FROM vectors WHERE vec_id < {STAGES * SIZE})"""
+def _sql_books(a: int = 1, b: int = DIM, name: str = "books", stages: int = STAGES, size: int = SIZE) -> str:
+    return f"""{name} AS (SELECT CAST(vec_id // {size} AS INTEGER) AS stage, CAST(vec_id % {size} AS INTEGER) AS code,
+ list_transform(vec[{a}:{b}], lambda x: x * (CAST(1.0 AS DOUBLE) / (vec_id // {size} + 1))) AS vec FROM vectors WHERE vec_id < {stages * size})"""
 
 
 def _sql_rvq(a: int, b: int, tag: str) -> str:
@@ -203,17 +204,17 @@ def rvq_encode(spark, sf):
 
 @query(
     "rvq_decode",
-    f"""WITH {I.VECTORS}, {_sql_books()}, c AS (SELECT doc_id, generate_subscripts({I.sql_codes()}, 1) - 1 AS t, unnest({I.sql_codes()}) AS f FROM documents),
- l AS (SELECT doc_id, t, unnest(range(0, {STAGES})) AS stage, unnest(f[1:{STAGES}]) % {SIZE} AS code FROM c),
+    f"""WITH {I.VECTORS}, {_sql_books(stages=ALL_STAGES, size=SMALL)}, c AS (SELECT doc_id, generate_subscripts({I.sql_codes()}, 1) - 1 AS t, unnest({I.sql_codes()}) AS f FROM documents),
+ l AS (SELECT doc_id, t, unnest(range(0, {ALL_STAGES})) AS stage, unnest(f) % {SMALL} AS code FROM c),
  d AS (SELECT doc_id, t, vec[1] AS x1, vec[33] AS x33, vec[64] AS x64 FROM l JOIN books USING (stage, code))
  SELECT doc_id, t, round(sum(x33), 6) AS middle_value, round(sum(x1), 6) AS first_value, round(sum(x64), 6) AS last_value FROM d GROUP BY doc_id, t""",
 )
 def rvq_decode(spark, sf):
     codes = I.code_rows(spark, sf).select("doc_id", F.posexplode("codes").alias("t", "f"))
     codes = codes.select(
-        "doc_id", F.col("t").cast("long").alias("t"), F.transform(F.slice("f", 1, STAGES), lambda c: (c % SIZE).cast("int")).alias("codes")
+        "doc_id", F.col("t").cast("long").alias("t"), F.transform("f", lambda c: (c % SMALL).cast("int")).alias("codes")
     )
-    out = Z.rvq_decode(codes, stage_books(spark, sf), key=["doc_id", "t"], semantic=1)
+    out = Z.rvq_decode(codes, stage_books(spark, sf, stages=ALL_STAGES, size=SMALL), key=["doc_id", "t"], semantic=1)
     return out.select(
         "doc_id", "t", F.round(F.col("decoded")[32], 6).alias("middle_value"), F.round(F.col("decoded")[0], 6).alias("first_value"),
         F.round(F.col("decoded")[63], 6).alias("last_value"),

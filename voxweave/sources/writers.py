@@ -116,14 +116,14 @@ def shard_name(split: str, shard: Column, total: Column) -> Column:
 
 
 def shard_by_size(df: DataFrame, folder: str, split: str, order: list[str], span: Column | None = None,
-                  limit_bytes: int = K.SHARD_BYTES, block_rows: int = K.SHARD_BLOCK_ROWS) -> list[str]:
+                  limit_bytes: int = K.SHARD_BYTES, block_rows: int = K.SHARD_BLOCK_ROWS, size: Column | None = None) -> list[str]:
     """Write ``{split}-{i:05d}-of-{n:05d}.parquet`` files in row order; no rows still give one empty shard.
 
     A folder that already has shards of the split is refused. Every shard is one file whatever the session says about
     rows in a file; a shard in several files, a rename that fails or a wrong number of rows is an error.
     """
     spark = df.sparkSession
-    plan = shard_plan(df, order, span, limit_bytes, block_rows)
+    plan = shard_plan(df, order, span, limit_bytes, block_rows, size)
     path = spark._jvm.org.apache.hadoop.fs.Path
     system = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     if system.globStatus(path(f"{folder}/{split}-*-of-*.parquet")):
