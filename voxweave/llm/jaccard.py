@@ -9,9 +9,12 @@
 3. Light sets, up to a size chosen by cost, file every pair of shingles in their first ``n // 4 + 2`` under the pair;
    heavy sets, and light ones large enough to be linked with them, file under each of their first ``n // 4 + 1``
    shingles, and these lists are scanned for heavy members. Two linked sets meet in one of the lists.
-4. In each list the members are compared with the first one; members already in one component need no comparison.
-   Lists that still hold several components go on with their next member, or with all pairs of different components
-   once these are few. Comparison is exact on whole sets. Nothing is capped.
+4. In each list the members are compared with the one that has least of its own, the likely middle of a group of copies;
+   members already in one component need no comparison. Lists that still hold several components go on with their next
+   member, or with all pairs of different components once these are few (``PAIRS``); before that, sets that have too few
+   shingles in common with other components are put aside. A pair is compared only if its sizes fit and what follows the
+   meeting place in both sets suffices. Lists with the same members count once. Comparison is exact
+   on whole sets. Nothing is capped.
 
 Rows: null, empty and blank texts have empty sets and are linked with nothing. A null id is the smallest. Rows that share
 an id are one node. Columns other than ``doc_id`` and ``text`` are not read.
@@ -19,16 +22,16 @@ an id are one node. Columns other than ``doc_id`` and ``text`` are not read.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxweave.session import cut_lineage
-
 from . import kernels as K
 from .graph import components
-from .native import small
+from .native import SMALL_ROWS, settle
 from .packing import NULL_ID, home, pack, texts_by_home, unpack
 from .sizing import groups_for, text_bytes
 
@@ -39,6 +42,7 @@ BUCKET_BYTES = 8 << 20
 SKETCH_BITS = 24
 SLICE_BITS = 16
 PART_ROWS = 400
+PAIRS = 1 << 24  # so many candidates, or 64 for each list entry, may be looked at in one step
 _U = np.uint64
 _BASE, _SHORT = 0x9FB21C651E98DF25, 0xD1B54A32D192ED03
 
@@ -251,7 +255,10 @@ def frequency_order(sets: DataFrame) -> np.ndarray:
 
 
 def _prefixes(level: np.ndarray, batch: pa.RecordBatch, more: int):
-    """Ids, sizes, first ``n // 4 + more`` shingles of every set in order of frequency, their levels, and bounds."""
+    """Ids, sizes, first ``n // 4 + more`` shingles of every set in order of frequency, their levels, bounds, and mean level.
+
+    The mean level of a whole set is high where the set has little of its own: at the middle of a group of copies.
+    """
     ids, h, first = _sets(batch)
     n = np.diff(first)
     own = level[(h >> _U(64 - SKETCH_BITS)).astype(np.int64)]
@@ -261,14 +268,16 @@ def _prefixes(level: np.ndarray, batch: pa.RecordBatch, more: int):
     index = np.arange(len(h)) - first[:-1].repeat(n)
     kept = by[index < np.minimum(n, n // 4 + more)[doc]]
     size = np.minimum(n, n // 4 + more)
-    return ids, n, h[kept], own[kept], np.concatenate([[0], np.cumsum(size)])
+    total = np.concatenate([[0], np.cumsum(own, dtype=np.int64)])
+    mean = ((total[first[1:]] - total[first[:-1]]) / np.maximum(n, 1)).astype(np.float32)
+    return ids, n, h[kept], own[kept], np.concatenate([[0], np.cumsum(size)]), mean
 
 
 def _cost_rows(shared):
     def run(batches):
         for whole in batches:
             for batch in K.slices(whole, "tokens"):
-                _, n, _, own, first = _prefixes(shared.value, batch, 2)
+                _, n, _, own, first, _ = _prefixes(shared.value, batch, 2)
                 if not len(n):
                     continue
                 size = np.diff(first)
@@ -298,45 +307,52 @@ def boundary(sets: DataFrame, shared) -> int:
     return cut
 
 
-_FILED = "key long, heavy boolean, _id long, n int"
+_FILED = "key long, heavy boolean, _id long, n int, w float, place int"
 
 
 def _file(shared, cut: int):
     def run(batches):
         for whole in batches:
             for batch in K.slices(whole, "tokens"):
-                ids, n, h, _, first = _prefixes(shared.value, batch, 2)
-                keys, heavy, who = [], [], []
+                ids, n, h, _, first, mean = _prefixes(shared.value, batch, 2)
+                keys, heavy, who, place = [], [], [], []
                 doc = np.repeat(np.arange(len(n)), np.diff(first))
                 index = np.arange(len(h)) - first[:-1].repeat(np.diff(first))
                 meets_heavy = 4 * n >= 3 * (cut + 1)
                 single = (index < (n // 4 + 1)[doc]) & meets_heavy[doc]
                 keys.append(K.mix(h[single] ^ _U(0x2545F4914F6CDD1D)))
                 who.append(doc[single])
+                place.append(index[single])
                 heavy.append(n[doc[single]] > cut)
                 for i in np.flatnonzero(n <= cut):
                     own = h[first[i] : first[i + 1]]
                     a, b = np.triu_indices(len(own), 1)
                     keys.append(K.mix(own[a] * _U(0x9E3779B97F4A7C15) + K.mix(own[b])))
                     who.append(np.full(len(a), i))
+                    place.append(a)
                     heavy.append(np.ones(len(a), bool))  # any two light sets that share a pair are compared
                 who = np.concatenate(who)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(heavy)), pa.array(ids[who]), pa.array(n[who].astype(np.int32))],
-                    names=["key", "heavy", "_id", "n"],
+                    [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(heavy)), pa.array(ids[who]), pa.array(n[who].astype(np.int32)), pa.array(mean[who]), pa.array(np.concatenate(place).astype(np.int32))],
+                    names=["key", "heavy", "_id", "n", "w", "place"],
                 )
 
     return run
 
 
 def lists(sets: DataFrame) -> DataFrame:
-    """(key, _id, n): members of every list that has two and, if one of single shingles, a heavy one."""
+    """(key, _id, n, w, place): members of every list that has two and, if one of single shingles, a heavy one."""
     spark = sets.sparkSession
     shared = spark.sparkContext.broadcast(frequency_order(sets))
     cut = boundary(sets, shared)
     filed = sets.select("_id", "n", "tokens").mapInArrow(_file(shared, cut), _FILED)
-    keys = filed.groupBy("key").agg(F.count("*").alias("c"), F.max("heavy").alias("heavy")).where("c > 1 and heavy")
-    return cut_lineage(filed.join(keys.select("key"), "key").select("key", "_id", "n"))
+    # Lists with the same members, as a shared passage makes them, become one, at the foremost place in each set.
+    marks = F.bit_xor(F.xxhash64("_id")), F.bit_xor(F.xxhash64("_id", F.lit(17)))
+    keys = filed.groupBy("key").agg(F.count("*").alias("c"), F.max("heavy").alias("heavy"), marks[0].alias("one"), marks[1].alias("two"))
+    keys = keys.where("c > 1 and heavy").select("key", F.xxhash64("one", "two", "c").alias("same"))
+    return settle(
+        filed.join(keys, "key").groupBy(F.col("same").alias("key"), "_id").agg(F.max("n").alias("n"), F.max("w").alias("w"), F.min("place").alias("place"))
+    )[0]
 
 
 def _compare(share: int):
@@ -361,61 +377,91 @@ def _compare(share: int):
     return run
 
 
-def links(pairs: DataFrame, sets: DataFrame, share: int = SHARE) -> DataFrame:
-    """Those of ``pairs`` (hub, _id) whose sets reach the similarity. A hub with many members is dealt out with salts."""
-    pairs = cut_lineage(pairs)
-    n = pairs.count()
-    parts = max(8, n // PART_ROWS)
+def links(pairs: DataFrame, sets: DataFrame, share: int = SHARE) -> tuple[DataFrame, int]:
+    """Those of ``pairs`` (hub, _id) whose sets reach the similarity, and how many pairs there were.
+
+    A hub with many members is dealt out with salts, its set once for each.
+    """
     salts = pairs.groupBy("hub").agg(F.ceil(F.count("*") / PART_ROWS).cast("int").alias("salts"))
-    members = pairs.join(small(salts), "hub").withColumn("salt", F.pmod(F.xxhash64("_id"), F.col("salts")).cast("int")).drop("salts")
-    centres = salts.select("hub", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    bodies = sets.select("_id", "tokens")
-    left = bodies.join(small(members), "_id").select("hub", "salt", "_id", "tokens", F.lit(False).alias("is_hub"))
-    right = bodies.withColumnRenamed("_id", "hub").join(small(centres), "hub").select("hub", "salt", F.col("hub").alias("_id"), "tokens", F.lit(True).alias("is_hub"))
-    rows = left.unionAll(right).withColumn("part", F.pmod(F.xxhash64("hub", "salt"), F.lit(parts)).cast("int"))
-    return rows.groupBy("part").applyInArrow(_compare(share), "a long, b long")
+    members = pairs.join(salts, "hub").select("_id", "hub", F.pmod(F.xxhash64("_id"), F.col("salts")).cast("int").alias("salt"), F.lit(False).alias("is_hub"))
+    centres = salts.select(
+        F.col("hub").alias("_id"), "hub", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(True).alias("is_hub")
+    )
+    wanted, n = settle(members.unionAll(centres))
+    rows = sets.select("_id", "tokens").join(F.broadcast(wanted) if n <= SMALL_ROWS else wanted, "_id")
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("hub", "salt"), F.lit(max(8, n // PART_ROWS))).cast("int"))
+    return settle(rows.groupBy("part").applyInArrow(_compare(share), "a long, b long"))
+
+
+def _tokens_of(batches):
+    for whole in batches:
+        for batch in K.slices(whole, "tokens", 1 << 20):
+            _, h, first = _sets(batch.select(["_id", "n", "tokens"]))
+            each = pa.array(np.repeat(np.arange(batch.num_rows), np.diff(first)))
+            kept = [batch.column(batch.schema.get_field_index(c)).take(each) for c in ("_id", "n", "c")]
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *kept], names=["token", "_id", "n", "c"])
+
+
+def _with_strangers(members: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+    """``members`` (with component ``c``) whose sets can still be linked with one of another component.
+
+    Such a link shares ``share`` per cent of the set, so at least as many of its shingles occur in other components.
+    """
+    ids, n = settle(members.select("_id", "c").distinct())
+    rows = sets.join(F.broadcast(ids) if n <= SMALL_ROWS else ids, "_id").select("_id", "n", "c", "tokens")
+    rows = rows.mapInArrow(_tokens_of, "token long, _id long, n long, c long")
+    cross = rows.groupBy("token").agg(F.min("c").alias("least"), F.max("c").alias("most")).where("least <> most").select("token")
+    able = rows.join(cross, "token").groupBy("_id", "n").count().where(100 * F.col("count") >= share * F.col("n")).select("_id")
+    return members.join(able, "_id", "left_semi")
 
 
 def linked_components(members: DataFrame, sets: DataFrame, share: int = SHARE) -> DataFrame:
     """(_id, component) of all sets that are linked with another, from the lists that they meet in."""
     spark = members.sparkSession
     labels = spark.createDataFrame([], "node long, component long")
-    found = spark.createDataFrame([], "a long, b long")
-    tested = spark.createDataFrame([], "hub long, _id long")
-    fits = (4 * F.col("n") * 100 >= 4 * share * F.col("hub_n")) & (100 * F.col("hub_n") >= share * F.col("n"))
-    rounds = 0
+    found, tested, rounds = [], [], 0
+    # Sizes fit, and what follows the meeting place in either set is enough for the overlap (sizes * share / (100 + share)).
+    fits = (100 * F.col("n") >= share * F.col("hub_n")) & (100 * F.col("hub_n") >= share * F.col("n"))
+    rest = F.least(F.col("n") - F.col("place"), F.col("hub_n") - F.col("hub_place"))
+    fits = fits & ((100 + share) * rest >= share * (F.col("n") + F.col("hub_n")))
     while True:
         rounds += 1
-        named = members.join(labels, F.col("_id") == F.col("node"), "left").select(
-            "key", "_id", "n", F.coalesce("component", "_id").alias("c")
-        )
-        open_keys = named.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most"), F.min(F.struct("_id", "n", "c")).alias("hub")).where("least <> most")
-        members = cut_lineage(named.join(open_keys.select("key", "hub"), "key"))
-        size = members.groupBy("key", "c").count().groupBy("key").agg(F.sum("count").alias("all"), F.sum(F.col("count") * F.col("count")).alias("own"))
-        n, left_over = size.agg(F.sum("all"), F.sum((F.col("all") * F.col("all") - F.col("own")) / 2)).first()
+        named = members.withColumn("c", F.col("_id"))
+        if found:
+            named = members.join(labels, F.col("_id") == F.col("node"), "left").select("key", "_id", "n", "w", "place", F.coalesce("component", "_id").alias("c"))
+        open_keys = named.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most"), F.max(F.struct("w", "_id", "n", "c", "place")).alias("hub")).where("least <> most")
+        members, n = settle(named.join(open_keys.select("key", "hub"), "key"))
         if not n:
             break
-        if rounds > 2 and left_over <= 8 * n:  # few: all pairs of different components
-            first = members.select("key", F.col("_id").alias("hub"), F.col("n").alias("hub_n"), F.col("c").alias("hub_c"))
-            pairs = first.join(members.select("key", "_id", "n", "c"), "key").where("hub_c < c")
-            last = True
+        if rounds in (2, 3):  # most of those left only share passages
+            members = _with_strangers(members, sets, share).select("key", "_id", "n", "w", "place")
+            continue
+        last = False
+        if rounds > 3:  # few pairs of different components: compare them all
+            size = members.groupBy("key", "c").count().groupBy("key").agg(F.sum("count").alias("all"), F.sum(F.col("count") * F.col("count")).alias("own"))
+            last = size.agg(F.sum((F.col("all") * F.col("all") - F.col("own")) / 2)).first()[0] <= max(64 * n, PAIRS)
+        if last:
+            first = members.select("key", F.col("_id").alias("hub"), F.col("n").alias("hub_n"), F.col("c").alias("hub_c"), F.col("place").alias("hub_place"))
+            pairs = first.join(members.select("key", "_id", "n", "c", "place"), "key").where("hub_c < c")
         else:
-            pairs = members.select("_id", "n", "c", F.col("hub._id").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.c").alias("hub_c")).where("hub_c <> c")
-            last = False
-        pairs = pairs.where(fits).select("hub", "_id").distinct()
-        pairs = pairs.join(tested, ["hub", "_id"], "left_anti")
-        if not last:  # a member's first hub settles most of them
-            pairs = cut_lineage(pairs.groupBy("_id").agg(F.min("hub").alias("hub")).select("hub", "_id"))
-            if pairs.isEmpty():
-                members = members.where(F.col("_id") != F.col("hub._id")).drop("hub").select("key", "_id", "n")
-                continue
-        new = cut_lineage(links(pairs, sets, share))
-        found = cut_lineage(found.unionAll(new))
-        labels = cut_lineage(components(found))
+            pairs = members.select("_id", "n", "c", "place", F.col("hub._id").alias("hub"), F.col("hub.place").alias("hub_place"), F.col("hub.n").alias("hub_n"), F.col("hub.c").alias("hub_c"), F.col("hub.w").alias("hub_w")).where("hub_c <> c")
+        pairs = pairs.where(fits).select("hub", "_id", *(["hub_w"] if rounds == 1 else [])).distinct()
+        for done in tested:
+            pairs = pairs.join(done, ["hub", "_id"], "left_anti")
+        if rounds == 1:  # a member's best hub settles most of them
+            pairs = pairs.groupBy("_id").agg(F.max(F.struct("hub_w", "hub")).alias("best")).select("best.hub", "_id")
+        pairs, n = settle(pairs)
+        if n:
+            new, n_links = links(pairs, sets, share)
+            if n_links:
+                found.append(new)
+                labels = components(reduce(DataFrame.unionAll, found))
+            tested.append(pairs)
         if last:
             break
-        tested = cut_lineage(tested.unionAll(pairs))
-        members = members.select("key", "_id", "n")
+        if not n or rounds > 1:  # the hubs are done with
+            members = members.where(F.col("_id") != F.col("hub._id"))
+        members = members.select("key", "_id", "n", "w", "place")
     return labels.select(F.col("node").alias("_id"), "component")
 
 
@@ -426,15 +472,15 @@ def jaccard_components(docs: DataFrame, share: int = SHARE) -> DataFrame:
     told = docs.mapInArrow(_send_halves(groups), "bucket int, entries binary, info binary").groupBy("bucket").applyInArrow(
         _count_alone(groups), "home int, alone binary, info binary"
     )
-    rows = cut_lineage(told.groupBy("home").applyInArrow(_sum_alone, _DOCS))
+    rows, _ = settle(told.groupBy("home").applyInArrow(_sum_alone, _DOCS))
     full = rows.where("n > 0")
-    classes = cut_lineage(
+    classes, _ = settle(
         full.groupBy("print1", "print2", "n").agg(F.min(F.struct("_id", "home")).alias("one"), F.count("*").alias("c"), F.min("isolated").alias("isolated"))
     )
     wanted = classes.where("n > 2 and not isolated").select(F.col("one.home").alias("home"), F.col("one._id").alias("_id"))
     texts = docs.mapInArrow(texts_by_home(groups), "home int, texts binary")
     sets = texts.groupBy("home").cogroup(wanted.groupBy("home")).applyInArrow(_sets_of, "_id long, n long, tokens binary")
-    sets = cut_lineage(sets)
+    sets, _ = settle(sets)
     linked = linked_components(lists(sets), sets, share)
     named = classes.select("print1", "print2", "n", F.col("one._id").alias("_rep")).join(linked.withColumnRenamed("_id", "_rep"), "_rep", "left")
     named = named.select("print1", "print2", "n", F.coalesce("component", "_rep").alias("component"))

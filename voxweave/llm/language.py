@@ -252,5 +252,5 @@ def _score(model: Model, at: int):
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``rejected`` added; the whole text is read."""
     docs = docs.drop("lang_pred", "score", "rejected")
-    schema = T.StructType([*docs.schema.fields, *T._parse_datatype_string("lang_pred string, score double, rejected boolean").fields])
+    schema = T.StructType(list(docs.schema.fields)).add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
     return docs.mapInArrow(_score(model, docs.columns.index(text)), schema)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from voxweave.session import cut_lineage
+from voxweave.session import cut_lineage, work_path
 
 SMALL_ROWS = 100_000
 
@@ -16,6 +16,13 @@ def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def settle(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` written to the shared folder and read from there, and its number of rows: one job, no recomputation."""
+    seen, path = Observation(), work_path(df.sparkSession, "settled")
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["n"]
+
+
 def hold(df: DataFrame) -> DataFrame:
     """``df`` behind a barrier: filters above it see values, not the expressions that they come from.
 
