@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -17,6 +17,7 @@ def session(cpus: str = "8") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tests-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -40,6 +40,26 @@ def test_every_job_step_runs_once(spark, folder):
     assert calls.value == 40
 
 
+def test_second_run_encodes_nothing(spark, folder):
+    calls = spark.sparkContext.accumulator(0)
+
+    def encoder(batch: pd.DataFrame) -> list:
+        calls.add(len(batch))
+        return [None if len(batch) % 2 else [[1]] for _ in range(len(batch))]
+
+    good = clips.encode_clips(spark.range(20).select(F.col("id").alias("raw_index"), F.array(F.lit(0.5), F.lit(0.1)).alias("samples"), F.lit(24000).alias("rate")))
+    rows = good.select("raw_index", F.lit("s").alias("source"), F.lit(None).cast("string").alias("split"),
+                       F.struct(F.when(F.col("raw_index") % 4 > 0, F.col("bytes")).otherwise(F.lit(b"broken")).alias("bytes")).alias("audio"))
+    rows.write.parquet(folder)
+    jobs.attach_codes(spark, folder, folder + "-out", encoder)
+    first = calls.value
+    assert first == 15
+    n = spark.read.parquet(folder + "-out").count()
+    assert n + spark.read.parquet(jobs.rejects_folder(folder + "-out")).count() == 20
+    jobs.attach_codes(spark, folder, folder + "-out", encoder)
+    assert calls.value == first and spark.read.parquet(folder + "-out").count() == n
+
+
 def test_shards_keep_all_rows(spark, folder):
     rows = spark.range(100).select("id", F.lit("x" * 20).alias("t"))
     spark.conf.set("spark.sql.files.maxRecordsPerFile", 10)

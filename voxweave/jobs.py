@@ -1,7 +1,8 @@
 """The two batch jobs a corpus goes through, put together from the operators. Both can be stopped and run again.
 
 What is done is read from the output itself: every stored row keeps its (source, split, raw_index). Rows and
-progress are therefore committed by the same write, so a stopped run neither loses nor repeats rows.
+progress are therefore committed by the same write, so a stopped run neither loses nor repeats rows. Rows that a run
+tried and could not use are listed by key in a folder beside the output, so that the next run does not try them again.
 """
 
 from __future__ import annotations
@@ -21,11 +22,23 @@ Encoder = Callable[[pd.DataFrame], list]
 
 
 def remaining(rows: DataFrame, out: str, keys: list[str] = KEYS) -> DataFrame:
-    """Rows that are not in the output folder yet; reads only the key columns of the output."""
+    """Rows that are neither in the output folder nor among its rejects; reads only their key columns."""
     spark = rows.sparkSession
-    if not writers.exists(spark, out):
-        return rows
-    return resume.anti_join_done(rows, spark.read.parquet(out), keys)
+    for folder in (out, rejects_folder(out)):
+        if writers.exists(spark, folder):
+            rows = resume.anti_join_done(rows, spark.read.parquet(folder), keys)
+    return rows
+
+
+def rejects_folder(out: str) -> str:
+    return out.rstrip("/") + "_rejects"
+
+
+def list_rejects(tried: DataFrame, out: str, keys: list[str] = KEYS) -> None:
+    """Append the keys of tried rows that did not reach the output. Only keys are read; nothing is encoded again."""
+    spark = tried.sparkSession
+    lost = resume.anti_join_done(tried.select(*keys), spark.read.parquet(out), keys)
+    writers.sink_parquet(lost.withColumn("reason", F.lit("no codes")), rejects_folder(out), append=True)
 
 
 def encoded(rows: DataFrame, encoder: Encoder, size: int = K.ENCODE_BATCH, target: int = K.CODEC_RATE) -> DataFrame:
@@ -49,9 +62,10 @@ def prepare_corpus(sources: list[DataFrame], out: str, encoder: Encoder | None =
     rows = cleaning.union_sources(sources).drop("source_order")
     rows = rows.withColumn("split", F.coalesce("split", F.lit(split)) if "split" in rows.columns else F.lit(split))
     rows = remaining(rows, out)
+    done = rows if encoder is None else encoded(rows, encoder)
+    writers.sink_parquet(done, out, append=True, rows_per_file=rows_per_file)
     if encoder is not None:
-        rows = encoded(rows, encoder)
-    writers.sink_parquet(rows, out, append=True, rows_per_file=rows_per_file)
+        list_rejects(rows, out)
 
 
 def attach_codes(spark: SparkSession, source: str, out: str, encoder: Encoder, keys: list[str] = KEYS,
@@ -61,6 +75,7 @@ def attach_codes(spark: SparkSession, source: str, out: str, encoder: Encoder, k
         raise ValueError("input and output are the same folder")
     rows = remaining(spark.read.parquet(source), out, keys)
     writers.sink_parquet(encoded(rows, encoder), out, append=True, rows_per_file=rows_per_file)
+    list_rejects(rows, out, keys)
 
 
 def published(spark: SparkSession, out: str, schema: str = "train") -> DataFrame:
