@@ -153,6 +153,28 @@ def test_inconsistent_slots(spark):
     assert got == {1}
 
 
+def test_copies_with_other_values(spark):
+    """Each copy is judged by itself: other values elsewhere in a document do not clear it."""
+    item = "if Eve has 3 apples and then gives 3 apples to Tom how many apples has Eve now"
+    copy = lambda a, n, b: f"if {a} has {n} apples and then gives {n} apples to {b} how many apples has {a} now"
+    chance = "if Bob has 5 apples and then gives 7 apples to Sam how many apples has Kim now"
+    filler = "then we went on to talk of rather different things for a while and "
+    other = "a tank holds 40 pails of clear water while two small pumps take 50 turns to move all of it over the yard when 30 valves stay shut"
+    w = other.split()
+    edited = " ".join(w[:7] + ["surely"] + w[7:14] + ["surely"] + w[14:21] + ["surely"] + w[21:])  # no single shift has enough windows
+    docs = [
+        row(1, item + " and " + copy("Bob", 5, "Sam")),
+        row(2, filler + " and ".join(copy(a, n, "Sam") for a, n in (("Bob", 5), ("Kim", 7), ("Ann", 9)))),
+        row(3, filler + item + " " + filler + chance),
+        row(4, filler + edited + " " + filler + edited.replace("40", "44").replace("50", "55").replace("30", "33")),
+        row(5, chance), row(6, chance + " " + filler + chance),
+    ]
+    bench = spark.createDataFrame([(1, item), (2, other)], "item_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.contaminated(frame(spark, docs), bench).collect()}
+    assert set(got) == {1, 2, 3, 4} and got[2].reparameterised and not got[3].reparameterised
+    assert all(r.clashes == 0 for r in got.values())
+
+
 def test_pipeline_stages(spark, folder, monkeypatch):
     rows = corpus()
     docs = frame(spark, rows)

@@ -5,8 +5,10 @@ unit's letters at its end), units, and names (capitalised words that do not begi
 case without punctuation. Windows of ``WINDOW`` such words are hashed and joined with the benchmark's, so a question
 whose numbers, names or units were changed still meets its template. Matched windows of a document and an item are
 then checked: the values in the slots of the item must map to the document's by a function (one item value, one document
-value) for all but ``MAX_CLASHES`` of them, else the match is by chance. A pair counts as contaminated from ``COVERAGE``
-of the item's windows on.
+value) for all but ``MAX_CLASHES`` of them, else the match is by chance. Both are judged over all places of a pair, over
+each group of places with near shifts (place in the document less place in the item: one copy, words put in or left out),
+and over each single shift, so that copies with other values do not speak against each other. A pair counts as
+contaminated if one of these has ``COVERAGE`` of the item's windows and passes; the widest that does is returned.
 
 Items of fewer words than a window have one window of their own length. Windows that are mostly placeholders are not
 looked for. Rows: null and empty texts have no words and match nothing; a null id is a document or item like any other;
@@ -15,7 +17,7 @@ copies of rows are one document. Columns other than ids and texts are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxweave.session import cut_lineage
@@ -109,35 +111,57 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     items = _clean(benchmark, "item_id", "item_id")
     n_words = items.select("item_id", F.size(words(F.col("text"))).alias("n"))
     n_windows = n_words.groupBy("item_id").agg(F.max(F.greatest(F.col("n") - window + 1, F.lit(1))).alias("item_windows"))
-    pairs = matches.groupBy("doc_id", "item_id").agg(F.countDistinct("item_place").alias("windows"))
+    aligned = cut_lineage(_alignments(matches, n_windows, window))
+    pairs = aligned.select("*", F.explode("_parts").alias("part")).groupBy("doc_id", "item_id", "part").agg(F.countDistinct("item_place").alias("windows"))
     pairs = _with_items(pairs, n_windows)
     pairs = pairs.where(F.col("windows") >= coverage * F.col("item_windows"))
-    aligned = matches.select("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("shift"), "item_place", "size")
     item_slots = _slots(items, "item_id", "slot", "item_value").withColumnRenamed("item_id", "_item")
     inside = aligned.join(
         small(item_slots),
         F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("slot") >= F.col("item_place")) & (F.col("slot") < F.col("item_place") + F.col("size")),
     )
-    inside = inside.select("doc_id", "item_id", "kind", "slot", "item_value", (F.col("slot") + F.col("shift")).alias("at")).distinct()
+    inside = inside.select("doc_id", "item_id", "kind", "slot", "item_value", (F.col("slot") + F.col("shift")).alias("at"), F.explode("_parts").alias("part")).distinct()
     inside = cut_lineage(inside)
     wanted = small(inside.select(F.col("doc_id").alias("_doc")).distinct())
     sources = _clean(docs, "doc_id", "doc_id").join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi")
     doc_slots = _slots(sources, "doc_id", "at", "doc_value").select(F.col("doc_id").alias("_doc"), F.col("at").alias("_at"), "doc_value")
     compared = inside.join(doc_slots, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("at") == F.col("_at")))
-    values = compared.groupBy("doc_id", "item_id", "kind", "item_value").agg(
+    values = compared.groupBy("doc_id", "item_id", "part", "kind", "item_value").agg(
         F.countDistinct("doc_value").alias("images"), F.max((F.col("doc_value") != F.col("item_value")).cast("int")).alias("changed")
     )
-    slots = values.groupBy("doc_id", "item_id").agg(
+    slots = values.groupBy("doc_id", "item_id", "part").agg(
         F.count("*").alias("slots"), F.sum((F.col("images") > 1).cast("long")).alias("clashes"), F.max("changed").alias("changed")
     )
-    slots = slots.select(F.col("doc_id").alias("_doc"), F.col("item_id").alias("_item"), "slots", "clashes", "changed")
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & F.col("item_id").eqNullSafe(F.col("_item"))
+    slots = slots.select(F.col("doc_id").alias("_doc"), F.col("item_id").alias("_item"), F.col("part").alias("_part"), "slots", "clashes", "changed")
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("part") == F.col("_part"))
     rows = pairs.join(slots, same, "left").select(
-        "doc_id", "item_id", F.col("windows").cast("long").alias("windows"), F.col("item_windows").cast("long").alias("item_windows"),
+        "doc_id", "item_id", "part", F.col("windows").cast("long").alias("windows"), F.col("item_windows").cast("long").alias("item_windows"),
         F.coalesce("slots", F.lit(0)).cast("long").alias("slots"), F.coalesce("clashes", F.lit(0)).cast("long").alias("clashes"),
         (F.coalesce("changed", F.lit(0)) > 0).alias("reparameterised"),
     )
-    return rows.where(F.col("clashes") <= MAX_CLASHES * F.col("slots"))
+    passed = rows.where(F.col("clashes") <= MAX_CLASHES * F.col("slots"))
+    shown = ("windows", "item_windows", "slots", "clashes", "reparameterised")
+    order = F.struct(F.col("part.level"), -F.col("windows"), F.col("clashes"), -F.col("slots"), F.col("part.at"))
+    best = passed.groupBy("doc_id", "item_id").agg(F.min_by(F.struct(*shown), order).alias("best"))
+    return best.select("doc_id", "item_id", *[f"best.{c}" for c in shown])
+
+
+def _alignments(matches: DataFrame, n_windows: DataFrame, window: int) -> DataFrame:
+    """``matches`` with ``shift`` and ``_parts``, the sets of places that a match is judged in, as (level, at).
+
+    Level 0 is the whole pair, 1 a group of shifts no further apart than half the item, 2 a single shift.
+    """
+    aligned = matches.select("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("shift"), "item_place", "size").distinct()
+    pair = Window.partitionBy("doc_id", "item_id")
+    order = pair.orderBy("shift")
+    far = F.col("shift") - F.lag("shift").over(order) > (F.col("item_windows") + window - 1) / 2
+    aligned = _with_items(aligned, n_windows).withColumn("_far", F.coalesce(far, F.lit(False)).cast("int"))
+    aligned = aligned.withColumn("_group", F.sum("_far").over(order)).withColumn("_one", F.min("shift").over(pair) == F.max("shift").over(pair))
+    part = lambda level, at: F.struct(F.lit(level).alias("level"), at.cast("long").alias("at"))
+    parts = F.when(F.col("_one"), F.array(part(0, F.lit(0)))).otherwise(
+        F.array(part(0, F.lit(0)), part(1, F.col("_group")), part(2, F.col("shift")))
+    )
+    return aligned.select("doc_id", "item_id", "shift", "item_place", "size", parts.alias("_parts"))
 
 
 def _with_items(pairs: DataFrame, n_windows: DataFrame) -> DataFrame:
