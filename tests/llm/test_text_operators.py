@@ -128,6 +128,28 @@ def test_jaccard_chain_and_unlinked_group(spark):
     assert Counter(tuple(r) for r in got) == components_by_hand(rows)
 
 
+def test_jaccard_of_shared_ids(spark):
+    """Rows of different texts and sizes under a null id and under one id, each with a near copy elsewhere."""
+    rng = random.Random(8)
+    rows = []
+
+    def near(body):
+        return " ".join([*body[:-1], "changed"])
+
+    for i, shared in enumerate((None, None, None, 40, 40, 40, 41, None, 41)):
+        body = prose(rng, 30 + 45 * i, 90000)
+        rows += [row(shared, " ".join(body)), row(200 + i, near(body))]
+    rows += [row(7, rows[6][1]), row(41, " "), row(None, None), row(300, ""), row(301, " ".join(prose(rng, 50, 90000)))]
+    for seed in (1, 2):
+        random.Random(seed).shuffle(rows)
+        got = jaccard.jaccard_components(frame(spark, rows)).collect()
+        assert Counter(tuple(r) for r in got) == components_by_hand(rows)
+    apart = [r for r in rows if r[0] not in (None, 41)]  # one id alone joins its texts
+    got = jaccard.jaccard_components(frame(spark, apart)).collect()
+    assert Counter(tuple(r) for r in got) == components_by_hand(apart)
+    assert {r.component_id for r in got if r.doc_id in (7, 40, 203, 204, 205)} == {7}
+
+
 def test_jaccard_of_nothing(spark):
     assert jaccard.jaccard_components(frame(spark, [])).count() == 0
     one = jaccard.jaccard_components(frame(spark, [row(4, None), row(5, " ")])).collect()

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from . import kernels as K
 from .graph import components
-from .native import SMALL_ROWS, settle
+from .native import SMALL_ROWS, settle, small
 from .packing import NULL_ID, home, pack, texts_by_home, unpack
 from .sizing import groups_for, text_bytes
 
@@ -80,6 +80,11 @@ def _ids(column: pa.Array) -> np.ndarray:
     return column.fill_null(NULL_ID).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def _keys(ids: np.ndarray, print1: np.ndarray) -> np.ndarray:
+    """A number for each row by id and text, so that rows which share an id are counted one by one."""
+    return (K.mix(ids.view(_U)) ^ print1.view(_U)).view(np.int64)
+
+
 class _Half:
     """Half sets of documents until there are enough to send."""
 
@@ -102,7 +107,8 @@ class _Half:
         prints = np.concatenate(self.prints, axis=1)
         self.clear()
         rows: list[tuple] = []
-        to = home(ids, self.buckets)
+        keys = _keys(ids, prints[0])
+        to = home(keys, self.buckets)
         by = np.argsort(to, kind="stable")
         bounds = K.group_bounds(to[by])
         for a, b in zip(bounds[:-1], bounds[1:]):
@@ -129,7 +135,7 @@ class _Half:
             for a, b in zip(bounds[:-1], bounds[1:]):
                 part = which[order[a:b]]
                 head = np.array([b - a, placed], np.int64).tobytes() + values[part].astype(np.uint32).tobytes()
-                rows.append((int(bucket[order[a]]), head + (pack(ids, sizes, half[part]) if placed else b""), None))
+                rows.append((int(bucket[order[a]]), head + (pack(keys, sizes, half[part]) if placed else b""), None))
         return pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())],
             names=["bucket", "entries", "info"],
@@ -151,10 +157,10 @@ def _send_halves(buckets: int):
 
 
 def _count_alone(groups: int):
-    """Of a bucket: how many of a document's shingles no other entry has, for each group of documents."""
+    """Of a bucket: how many of a row's shingles no other entry has, for each group of rows."""
 
     def run(table: pa.Table) -> pa.Table:
-        values, placed, ids, at, info = [], [], [], 0, []
+        values, placed, keys, info = [], [], [], []
         for entries, one in zip(table.column("entries").to_pylist(), table.column("info").to_pylist()):
             if one is not None:
                 info.append(one)
@@ -162,10 +168,11 @@ def _count_alone(groups: int):
             n, has = (int(x) for x in np.frombuffer(entries, np.int64, 2))
             values.append(np.frombuffer(entries, np.uint32, n, 16))
             placed.append(np.full(n, bool(has)))
-            ids.append(unpack(entries[16 + 4 * n :])[0] if has else np.zeros(n, np.int64))
-        rows = [(int(home(np.frombuffer(i, np.int64, 1), groups)[0]), None, i) for i in info]
+            keys.append(unpack(entries[16 + 4 * n :])[0] if has else np.zeros(n, np.int64))
+        firsts = [np.frombuffer(i, np.int64).reshape(4, -1)[:, :1] for i in info]
+        rows = [(int(home(_keys(x[0], x[2]), groups)[0]), None, i) for x, i in zip(firsts, info)]
         if values:
-            v, p, d = np.concatenate(values), np.concatenate(placed), np.concatenate(ids)
+            v, p, d = np.concatenate(values), np.concatenate(placed), np.concatenate(keys)
             by = np.argsort(v)
             equal = v[by][1:] == v[by][:-1]
             alone = np.ones(len(v), bool)
@@ -189,30 +196,44 @@ def _count_alone(groups: int):
 _DOCS = "home int, _id long, n long, print1 long, print2 long, isolated boolean"
 
 
-def _sum_alone(table: pa.Table) -> pa.Table:
-    """Set size, fingerprint and verdict of every row of a group of documents."""
-    info = [np.frombuffer(x, np.int64).reshape(4, -1) for x in table.column("info").to_pylist() if x is not None]
-    ids, n, one, two = np.concatenate([np.zeros((4, 0), np.int64), *info], axis=1)
-    told = [np.frombuffer(x, np.int64).reshape(2, -1) for x in table.column("alone").to_pylist() if x is not None]
-    who, count = np.concatenate([np.zeros((2, 0), np.int64), *told], axis=1)
-    u, inverse = np.unique(who, return_inverse=True)
-    total = np.bincount(inverse, count, len(u)) if len(u) else np.zeros(0)
-    at = np.minimum(np.searchsorted(u, ids), max(0, len(u) - 1))
-    own = np.where(u[at] == ids, total[at], 0) if len(u) else np.zeros(len(ids))
-    where = table.column("home")[0].as_py()
-    return pa.table({"home": pa.array(np.full(len(ids), where, np.int32)), "_id": ids, "n": n, "print1": one, "print2": two, "isolated": own > n // 4})
+def _sum_alone(groups: int):
+    """Set size, fingerprint and verdict of every row of a group of rows, and the group of its id."""
+
+    def run(table: pa.Table) -> pa.Table:
+        info = [np.frombuffer(x, np.int64).reshape(4, -1) for x in table.column("info").to_pylist() if x is not None]
+        ids, n, one, two = np.concatenate([np.zeros((4, 0), np.int64), *info], axis=1)
+        told = [np.frombuffer(x, np.int64).reshape(2, -1) for x in table.column("alone").to_pylist() if x is not None]
+        who, count = np.concatenate([np.zeros((2, 0), np.int64), *told], axis=1)
+        u, inverse = np.unique(who, return_inverse=True)
+        total = np.bincount(inverse, count, len(u)) if len(u) else np.zeros(0)
+        keys = _keys(ids, one)
+        at = np.minimum(np.searchsorted(u, keys), max(0, len(u) - 1))
+        own = np.where(u[at] == keys, total[at], 0) if len(u) else np.zeros(len(ids))
+        where = home(ids, groups).astype(np.int32)
+        return pa.table({"home": where, "_id": ids, "n": n, "print1": one, "print2": two, "isolated": own > n // 4})
+
+    return run
 
 
 def _sets_of(texts: pa.Table, wanted: pa.Table) -> pa.Table:
-    """Sets of the wanted documents of a group."""
+    """Sets of the wanted classes of a group, each under the class's node."""
     rows = K.from_streams(texts.column("texts"), {"doc_id": pa.int64(), "text": pa.string()})
     ids = _ids(rows.column("doc_id").combine_chunks())
-    held = np.isin(ids, wanted.column("_id").to_numpy())
-    rows = rows.filter(pa.array(held))
+    rows = rows.filter(pa.array(np.isin(ids, wanted.column("_id").to_numpy())))
     h, first = shingle_sets(*K.utf8(rows.column("text")))
-    body = pa.py_buffer(h.tobytes())
-    tokens = pa.Array.from_buffers(pa.large_binary(), len(first) - 1, [None, pa.py_buffer((first * 8).tobytes()), body])
-    return pa.table({"_id": pa.array(ids[held]), "n": pa.array(np.diff(first)), "tokens": tokens.cast(pa.binary())})
+    node = {(a, b, n): c for a, b, n, c in zip(*(wanted.column(x).to_pylist() for x in ("print1", "print2", "n", "node")))}
+    sizes, prints = np.diff(first), _fingerprints(h, first).view(np.int64)
+    # A row's id may be wanted for another of its texts, and a text may stand under an id more than once.
+    place = {}
+    for i, key in enumerate(zip(prints[0].tolist(), prints[1].tolist(), sizes.tolist())):
+        if key in node:
+            place.setdefault(node[key], i)
+    held = np.fromiter(place.values(), np.int64, len(place))
+    size = sizes[held]
+    at = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    h = h[np.repeat(first[:-1][held] - at[:-1], size) + np.arange(at[-1])]
+    tokens = pa.Array.from_buffers(pa.large_binary(), len(held), [None, pa.py_buffer((at * 8).tobytes()), pa.py_buffer(h.tobytes())])
+    return pa.table({"_id": pa.array(list(place), pa.int64()), "n": pa.array(size), "tokens": tokens.cast(pa.binary())})
 
 
 def _sets(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -472,19 +493,39 @@ def jaccard_components(docs: DataFrame, share: int = SHARE) -> DataFrame:
     told = docs.mapInArrow(_send_halves(groups), "bucket int, entries binary, info binary").groupBy("bucket").applyInArrow(
         _count_alone(groups), "home int, alone binary, info binary"
     )
-    rows, _ = settle(told.groupBy("home").applyInArrow(_sum_alone, _DOCS))
+    rows, _ = settle(told.groupBy("home").applyInArrow(_sum_alone(groups), _DOCS))
     full = rows.where("n > 0")
-    classes, _ = settle(
-        full.groupBy("print1", "print2", "n").agg(F.min(F.struct("_id", "home")).alias("one"), F.count("*").alias("c"), F.min("isolated").alias("isolated"))
-    )
-    wanted = classes.where("n > 2 and not isolated").select(F.col("one.home").alias("home"), F.col("one._id").alias("_id"))
+    prints = ["print1", "print2", "n"]
+    classes = full.groupBy(*prints).agg(F.min(F.struct("_id", "home")).alias("one"), F.min("isolated").alias("isolated"))
+    classes, _ = settle(classes.withColumn("node", F.monotonically_increasing_id()))
+    wanted = classes.where("n > 2 and not isolated").select(F.col("one.home").alias("home"), F.col("one._id").alias("_id"), *prints, "node")
     texts = docs.mapInArrow(texts_by_home(groups), "home int, texts binary")
     sets = texts.groupBy("home").cogroup(wanted.groupBy("home")).applyInArrow(_sets_of, "_id long, n long, tokens binary")
     sets, _ = settle(sets)
     linked = linked_components(lists(sets), sets, share)
-    named = classes.select("print1", "print2", "n", F.col("one._id").alias("_rep")).join(linked.withColumnRenamed("_id", "_rep"), "_rep", "left")
-    named = named.select("print1", "print2", "n", F.coalesce("component", "_rep").alias("component"))
-    joined = full.select("_id", "n", "print1", "print2").join(named, ["print1", "print2", "n"]).select("_id", "n", "component")
-    every = joined.unionAll(rows.where("n = 0").select("_id", "n", F.col("_id").alias("component")))
+    named = classes.join(linked.withColumnRenamed("_id", "node"), "node", "left")
+    named, _ = settle(named.select(*prints, F.col("one._id").alias("_id"), F.coalesce("component", "node").alias("c")))
+    named = _joined_by_ids(named, full, prints)
+    least = named.groupBy("c").agg(F.min("_id").alias("component"))
+    named = named.select(*prints, "c").join(least, "c").drop("c")
+    joined = full.select("_id", *prints).join(named, prints).select("_id", "n", "component")
+    empty = rows.where("n = 0").select("_id", "n")
+    # An empty row goes with other rows of its id.
+    others = joined.join(small(empty.select("_id").distinct()), "_id", "left_semi").groupBy("_id").agg(F.min("component").alias("component"))
+    empty = empty.join(small(others), "_id", "left").select("_id", "n", F.coalesce("component", "_id").alias("component"))
     known = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
-    return every.select(known("_id").alias("doc_id"), F.col("n").alias("n_shingles"), known("component").alias("component_id"))
+    return joined.unionAll(empty).select(known("_id").alias("doc_id"), F.col("n").alias("n_shingles"), known("component").alias("component_id"))
+
+
+def _joined_by_ids(named: DataFrame, full: DataFrame, prints: list[str]) -> DataFrame:
+    """``named`` (classes with component ``c``) after components that rows of one id fall in became one."""
+    of = F.struct(*prints)
+    several, n = settle(full.groupBy("_id").agg(F.min(of).alias("a"), F.max(of).alias("b")).where("a <> b").select("_id"))
+    if not n:
+        return named
+    rows = full.select("_id", *prints).join(F.broadcast(several) if n <= SMALL_ROWS else several, "_id").distinct()
+    rows, _ = settle(rows.join(named.select(*prints, "c"), prints).select("_id", "c").distinct())
+    least = rows.groupBy("_id").agg(F.min("c").alias("b"))
+    edges = rows.join(F.broadcast(least) if n <= SMALL_ROWS else least, "_id").where("c <> b").select(F.col("c").alias("a"), "b").distinct()
+    merged = components(edges).select(F.col("node").alias("c"), F.col("component").alias("_to"))
+    return named.join(merged, "c", "left").withColumn("c", F.coalesce("_to", "c")).drop("_to")
