@@ -1,6 +1,7 @@
 """Trained operators: accuracy on rows that were not trained on, and rows without content."""
 
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -139,6 +140,33 @@ def test_licences(spark, scanner):
     assert licenses.scan(frame(spark, []), model).count() == 0
 
 
+MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    'documentation files (the "Software"), to deal in the Software without restriction, including without limitation the '
+    "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+    "persons to whom the Software is furnished to do so, subject to the following conditions:"
+)
+BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met:"
+)
+GPL = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+    "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
+    "version."
+)
+
+
+def test_wrapped_licences(spark, scanner):
+    """Licence texts at their usual width, in paragraphs of several lines."""
+    _, model = scanner
+    wrapped = {f: textwrap.wrap(x, 78) for f, x in (("MIT", MIT), ("BSD", BSD), ("GPL-3.0", GPL))}
+    rows = [row(i, "\n".join(["th er", "", *x, " ", "ing ly"])) for i, x in enumerate(wrapped.values())]
+    got = licenses.scan(frame(spark, rows + [row(9, "th er\ning ly\n\nou wh")]), model).collect()
+    assert {(r.doc_id, r.family, r.line, r.last_line) for r in got} == {(i, f, 3, 2 + len(x)) for i, (f, x) in enumerate(wrapped.items())}
+    assert len(got) == 3 and all(r.confirmed for r in got)
+
+
 def test_fixed_url_rules(spark):
     cases = [
         ("http://Example.COM/en/1", "example.com", "/en/1", "example.com/en/", "block"),

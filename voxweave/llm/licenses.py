@@ -1,6 +1,7 @@
 """Licence scans: a trained paragraph classifier on DataFrame functions and Spark's own (JVM) learner.
 
-A paragraph is a line. Its distinct words and word pairs, as far as the training rows have them ``LEAST_ROWS`` times, are
+A paragraph is a run of lines up to a blank one. It is judged whole and line by line: a wrapped licence text shows only
+in the whole, a notice among other lines on its line. Its distinct words and word pairs, as far as the training rows have them ``LEAST_ROWS`` times, are
 its sparse features; multinomial logistic regression tells licence families, ``unknown`` licence wording and ordinary
 text apart. It is trained on the notices below, alone and inside
 sampled paragraphs of the corpus, with sampled paragraphs as ordinary text (``SAMPLE`` of them, chosen by hash: a bounded
@@ -8,8 +9,9 @@ sample). A quarter of the rows is held out; on it a one-variable logistic regres
 family into a calibrated probability. A family below ``LEAST_PROBABILITY`` becomes ``unknown``; so does one of which no
 notice is found in the paragraph by at least ``LEAST_SHARE`` of its word pairs.
 
-Rows: null and empty texts and blank lines have no paragraphs. One result row for each paragraph with licence wording,
-none for the rest. A null doc_id stays null. Columns other than doc_id and text are not read.
+Rows: null and empty texts and blank lines have no paragraphs. One result row for each line with licence wording
+(``line`` = ``last_line``). A paragraph of several lines has one of its own if it is confirmed for a family that none of
+its lines is, in place of its unknown lines, or if it has licence wording and none of its lines has. A null doc_id stays null. Columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from functools import reduce
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxweave.session import cut_lineage
@@ -48,6 +50,7 @@ NOTICES = {
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0.", "Licensed under the Mozilla Public License 2.0."),
     UNKNOWN: ("All rights reserved.", "This work is licensed under the Example Public License, version 1.", "Released under a custom license; see the license file.", "Licensed under the terms of our commercial license agreement.", "Distributed under the accompanying license terms.", "No part of this work may be reproduced without written permission of the copyright holder."),
 }
+_PLACE = ("doc_id", "_text", "_run", "line", "last_line")
 CLASSES = [*sorted(NOTICES), ORDINARY]
 
 
@@ -69,9 +72,21 @@ def _termed(rows: DataFrame) -> DataFrame:
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, paragraph) of every line with a word; lines count from 1."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(F.col("text").cast("string"), "\n", -1)).alias("line", "paragraph"))
-    return rows.select("doc_id", (F.col("line") + 1).alias("line"), "paragraph")
+    """(doc_id, _text, _run, line, last_line, paragraph) of every line that is not blank, and of every run of such lines.
+
+    Lines count from 1; ``_text`` is a hash of the text and ``_run`` the first line of the run.
+    """
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("_text"), F.split(text, "\n", -1).alias("_lines"))
+    blank = F.filter(F.transform("_lines", lambda x, i: F.when(~x.rlike(r"[\p{L}\p{N}]"), i + 1)), lambda i: i.isNotNull())
+    rows = rows.withColumn("_ends", F.concat(F.array(F.lit(0)), blank, F.array(F.size("_lines") + 1)))
+    bounds = F.zip_with(F.slice("_ends", F.lit(1), F.size("_ends") - 1), F.slice("_ends", F.lit(2), F.size("_ends") - 1), lambda a, b: F.struct((a + 1).alias("a"), b.alias("b")))
+    runs = F.transform(F.filter(bounds, lambda x: x["b"] > x["a"]), lambda x: F.struct(x["a"].alias("first"), F.slice("_lines", x["a"], x["b"] - x["a"]).alias("own")))
+    rows = rows.select("doc_id", "_text", F.explode(runs).alias("r")).select("doc_id", "_text", F.col("r.first").alias("_run"), "r.own")
+    one = F.transform("own", lambda x, i: F.struct((F.col("_run") + i).alias("line"), (F.col("_run") + i).alias("last_line"), x.alias("paragraph")))
+    whole = F.struct(F.col("_run").alias("line"), (F.col("_run") + F.size("own") - 1).alias("last_line"), F.array_join("own", "\n").alias("paragraph"))
+    rows = rows.select("doc_id", "_text", "_run", F.explode(F.when(F.size("own") > 1, F.concat(one, F.array(whole))).otherwise(one)).alias("p"))
+    return rows.select("doc_id", "_text", "_run", "p.*")
 
 
 def _training_rows(docs: DataFrame, sample: int) -> DataFrame:
@@ -131,13 +146,13 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, line, family, probability, confirmed) of every paragraph with licence wording."""
+    """(doc_id, line, family, probability, confirmed, last_line) of every paragraph with licence wording."""
     spark = docs.sparkSession
     scored = _best(model.families.transform(model.terms.transform(_termed(paragraphs(docs)))))
-    scored = hold(scored.select("doc_id", "line", "pairs", "_ordinary", "_top", "_class", "_odds")).where(F.col("_top") > F.col("_ordinary"))
+    scored = hold(scored.select(*_PLACE, "pairs", "_ordinary", "_top", "_class", "_odds")).where(F.col("_top") > F.col("_ordinary"))
     probability = 1 / (1 + F.exp(-(F.col("_odds") * model.slope + model.offset)))
     names = F.array(*[F.lit(c) for c in CLASSES])
-    rows = scored.select("doc_id", "line", "pairs", F.element_at(names, F.col("_class") + 1).alias("_family"), probability.alias("probability"))
+    rows = scored.select(*_PLACE, "pairs", F.element_at(names, F.col("_class") + 1).alias("_family"), probability.alias("probability"))
     known = spark.createDataFrame([(k, x) for k in sorted(NOTICES) if k != UNKNOWN for x in NOTICES[k]], "_family string, notice string")
     known = known.withColumn("_w", _words(F.col("notice"))).select("_family", F.array_distinct(_pairs("_w")).alias("_notice"))
     known = known.groupBy("_family").agg(F.collect_list("_notice").alias("_notices"))
@@ -145,4 +160,11 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     share = F.array_max(F.transform("_notices", lambda n: F.size(F.array_intersect(n, F.col("pairs"))) / F.size(n)))
     confirmed = F.coalesce(share, F.lit(0.0)) >= LEAST_SHARE
     family = F.when(confirmed & (F.col("probability") >= LEAST_PROBABILITY), F.col("_family")).otherwise(F.lit(UNKNOWN))
-    return rows.select("doc_id", "line", family.alias("family"), "probability", confirmed.alias("confirmed"))
+    rows = rows.select(*_PLACE, family.alias("family"), "probability", confirmed.alias("confirmed"))
+    run = Window.partitionBy("doc_id", "_text", "_run")
+    line, known = F.col("line") == F.col("last_line"), F.col("family") != UNKNOWN
+    rows = rows.withColumn("_named", F.collect_set(F.when(line & known, F.col("family"))).over(run)).withColumn("_found", F.max(line).over(run))
+    told = ~line & F.when(known, ~F.array_contains("_named", F.col("family"))).otherwise(~F.col("_found"))
+    rows = rows.withColumn("_told", told).withColumn("_whole", F.max(F.col("_told") & known).over(run))
+    rows = rows.where(F.when(line, known | ~F.col("_whole")).otherwise(F.col("_told")))
+    return rows.select("doc_id", "line", "family", "probability", "confirmed", "last_line")
