@@ -175,6 +175,19 @@ def test_copies_with_other_values(spark):
     assert all(r.clashes == 0 for r in got.values())
 
 
+def test_short_and_numeric_items(spark):
+    """Items under four words, and windows of mostly numbers, are found with their very values and no others."""
+    items = [(1, "Compute 12 + 35 - 7 * 20 / 4."), (2, "Define entropy."), (3, "Add 1 2 3 4 5 6 7 8 9 then tell me what comes out here")]
+    docs = [
+        row(1, "we read: compute 12 + 35 - 7 * 20 / 4. and more"), row(2, "we read: compute 12 + 35 - 7 * 20 / 5. and more"),
+        row(3, "now define Entropy, please"), row(4, "now define enthalpy, please"), row(5, "entropy define"),
+        row(6, "add 2 3 4 5 6 7 8 9 1 then tell me what comes out here"), row(7, "1 2 3 4 5 6 7 8"), row(8, "9 9 9 9 9 9 9 9"),
+    ]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(frame(spark, docs), bench).collect()}
+    assert got >= {(1, 1), (3, 2), (6, 3)} and not {d for d, _ in got} & {2, 4, 5, 8}
+
+
 def test_pipeline_stages(spark, folder, monkeypatch):
     rows = corpus()
     docs = frame(spark, rows)

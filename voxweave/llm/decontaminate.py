@@ -10,8 +10,9 @@ each group of places with near shifts (place in the document less place in the i
 and over each single shift, so that copies with other values do not speak against each other. A pair counts as
 contaminated if one of these has ``COVERAGE`` of the item's windows and passes; the widest that does is returned.
 
-Items of fewer words than a window have one window of their own length. Windows that are mostly placeholders are not
-looked for. Rows: null and empty texts have no words and match nothing; a null id is a document or item like any other;
+Items of fewer words than a window have one window of their own length. Windows that are mostly placeholders, and all of
+items under ``LEAST_WORDS`` words, are looked for by their values, in lower case and without punctuation around words, so
+they are found verbatim only. ``COVERAGE`` is of all windows, or of those with a template alone. Rows: null and empty texts have no words and match nothing; a null id is a document or item like any other;
 copies of rows are one document. Columns other than ids and texts are not read.
 """
 
@@ -62,11 +63,33 @@ def raw_words(text: Column) -> Column:
     return F.filter(F.split(text, _SPACE + "+"), lambda w: ~w.rlike(_EMPTY))
 
 
-def _windows(words_column: str, size: int) -> Column:
-    """(place, key) of every window of ``size`` words; places start at 0."""
-    places = F.sequence(F.lit(0), F.size(words_column) - size)
-    keys = F.transform(places, lambda i: F.xxhash64(F.slice(words_column, i + 1, size), F.lit(size)))
-    return F.when(F.size(words_column) >= size, keys)
+def _bare(raw: Column) -> Column:
+    return F.lower(F.regexp_replace(raw, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}%]+$", ""))
+
+
+def _worded(table: DataFrame, key: str) -> DataFrame:
+    """(key, w, m, b): canonical words, a mark for each (1: placeholder), and bare values where a window may need them."""
+    rows = table.select(key, "text", words(F.col("text")).alias("w"))
+    rows = rows.select(key, "text", "w", F.array_join(F.transform("w", lambda x: F.when(x.isin(NUMBER, MEASURE, UNIT, NAME), "1").otherwise("0")), "").alias("m"))
+    return rows.select(key, "w", "m", F.when(F.size("w") > 0, F.transform(raw_words(F.col("text")), _bare)).alias("b"))
+
+
+def _exact(m: Column, place: Column, size: int) -> Column:
+    """Whether a window is looked for by its values."""
+    if size < LEAST_WORDS:
+        return F.lit(True)
+    return 2 * F.length(F.translate(F.substring(m, place + 1, F.lit(size)), "1", "")) < size
+
+
+def _windows(size: int) -> Column:
+    """(place, (key, exact)) of every window of ``size`` words; places start at 0."""
+    places = F.sequence(F.lit(0), F.size("w") - size)
+    plain = lambda i: F.struct(F.xxhash64(F.slice("w", i + 1, size), F.lit(size)).alias("key"), F.lit(False).alias("exact"))
+    valued = lambda i: F.struct(F.xxhash64(F.slice("b", i + 1, size), F.lit(size), F.lit("exact")).alias("key"), F.lit(True).alias("exact"))
+    either = F.transform(places, lambda i: F.when(_exact(F.col("m"), i, size), valued(i)).otherwise(plain(i)))
+    # Few texts have enough placeholders for such a window.
+    some = F.lit(True) if size < LEAST_WORDS else F.length(F.translate("m", "0", "")) * 2 > size
+    return F.when(F.size("w") >= size, F.when(some, either).otherwise(F.transform(places, plain)))
 
 
 def _clean(table: DataFrame, key: str, name: str) -> DataFrame:
@@ -74,26 +97,23 @@ def _clean(table: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def template_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, item_id, size, place, item_place) of every window of a document that is a window of an item."""
-    items = _clean(benchmark, "item_id", "item_id").select("item_id", words(F.col("text")).alias("w"))
-    items = cut_lineage(items.where(F.size("w") >= LEAST_WORDS).distinct())
+    """(doc_id, item_id, size, place, item_place, exact) of every window of a document that is a window of an item."""
+    items = cut_lineage(_worded(_clean(benchmark, "item_id", "item_id"), "item_id").where(F.size("w") > 0).distinct())
     sizes = [r[0] for r in items.select(F.least(F.size("w"), F.lit(window)).alias("s")).distinct().collect()]
-    canonical = _clean(docs, "doc_id", "doc_id").select("doc_id", words(F.col("text")).alias("w"))
+    canonical = _worded(_clean(docs, "doc_id", "doc_id"), "doc_id")
     item_windows, doc_windows = [], []
     for size in sorted(sizes):
         own = items.where(F.least(F.size("w"), F.lit(window)) == size)
-        keys = own.select("item_id", "w", F.posexplode(_windows("w", size)).alias("item_place", "key"))
-        plain = F.size(F.filter(F.slice("w", F.col("item_place") + 1, size), lambda x: ~x.rlike(f"^{_SLOTS}$")))
-        item_windows.append(keys.where(2 * plain >= size).select(F.lit(size).alias("size"), "key", "item_id", "item_place"))
-        doc_windows.append(canonical.select("doc_id", F.lit(size).alias("size"), F.posexplode(_windows("w", size)).alias("place", "key")))
+        item_windows.append(own.select(F.lit(size).alias("size"), "item_id", F.posexplode(_windows(size)).alias("item_place", "k")).select("size", "k.key", "item_id", "item_place"))
+        doc_windows.append(canonical.select("doc_id", F.lit(size).alias("size"), F.posexplode(_windows(size)).alias("place", "k")).select("doc_id", "size", "place", "k.*"))
     if not sizes:
         spark = docs.sparkSession
-        return spark.createDataFrame([], "doc_id long, item_id long, size int, place int, item_place int")
+        return spark.createDataFrame([], "doc_id long, item_id long, size int, place int, item_place int, exact boolean")
     one, many = item_windows[0], doc_windows[0]
     for x, y in zip(item_windows[1:], doc_windows[1:]):
         one, many = one.unionAll(x), many.unionAll(y)
     found = many.join(small(one), ["key", "size"])
-    return found.select("doc_id", "item_id", "size", "place", "item_place")
+    return found.select("doc_id", "item_id", "size", "place", "item_place", "exact")
 
 
 def _slots(table: DataFrame, key: str, place: str, value: str) -> DataFrame:
@@ -101,20 +121,26 @@ def _slots(table: DataFrame, key: str, place: str, value: str) -> DataFrame:
     pairs = F.arrays_zip(words(F.col("text")).alias("w"), raw_words(F.col("text")).alias("r"))
     rows = table.select(key, F.posexplode(pairs).alias(place, "p"))
     rows = rows.where(F.col("p.w").rlike(f"^{_SLOTS}$"))
-    bare = F.lower(F.regexp_replace("p.r", r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}%]+$", ""))
-    return rows.select(key, place, F.col("p.w").alias("kind"), bare.alias(value))
+    return rows.select(key, place, F.col("p.w").alias("kind"), _bare(F.col("p.r")).alias(value))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """One row a contaminated (document, item): windows matched and in all, slots compared, clashes, and whether values differ."""
     matches = cut_lineage(template_matches(docs, benchmark, window))
     items = _clean(benchmark, "item_id", "item_id")
-    n_words = items.select("item_id", F.size(words(F.col("text"))).alias("n"))
-    n_windows = n_words.groupBy("item_id").agg(F.max(F.greatest(F.col("n") - window + 1, F.lit(1))).alias("item_windows"))
+    n_words = _worded(items, "item_id").select("item_id", "m", F.length("m").alias("n"))
+    places = F.sequence(F.lit(0), F.greatest(F.col("n") - window, F.lit(0)))
+    templates = F.when(F.col("n") >= window, F.size(F.filter(places, lambda i: ~_exact(F.col("m"), i, window)))).otherwise(F.lit(1))
+    n_windows = n_words.groupBy("item_id").agg(
+        F.max(F.greatest(F.col("n") - window + 1, F.lit(1))).alias("item_windows"), F.max(templates).alias("item_templates")
+    )
     aligned = cut_lineage(_alignments(matches, n_windows, window))
-    pairs = aligned.select("*", F.explode("_parts").alias("part")).groupBy("doc_id", "item_id", "part").agg(F.countDistinct("item_place").alias("windows"))
+    pairs = aligned.select("*", F.explode("_parts").alias("part")).groupBy("doc_id", "item_id", "part").agg(
+        F.countDistinct("item_place").alias("windows"), F.countDistinct(F.when(~F.col("exact"), F.col("item_place"))).alias("templates")
+    )
     pairs = _with_items(pairs, n_windows)
-    pairs = pairs.where(F.col("windows") >= coverage * F.col("item_windows"))
+    most = (F.col("templates") > 0) & (F.col("templates") >= coverage * F.col("item_templates"))
+    pairs = pairs.where((F.col("windows") >= coverage * F.col("item_windows")) | most)
     item_slots = _slots(items, "item_id", "slot", "item_value").withColumnRenamed("item_id", "_item")
     inside = aligned.join(
         small(item_slots),
@@ -151,7 +177,7 @@ def _alignments(matches: DataFrame, n_windows: DataFrame, window: int) -> DataFr
 
     Level 0 is the whole pair, 1 a group of shifts no further apart than half the item, 2 a single shift.
     """
-    aligned = matches.select("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("shift"), "item_place", "size").distinct()
+    aligned = matches.select("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("shift"), "item_place", "size", "exact").distinct()
     pair = Window.partitionBy("doc_id", "item_id")
     order = pair.orderBy("shift")
     far = F.col("shift") - F.lag("shift").over(order) > (F.col("item_windows") + window - 1) / 2
@@ -161,7 +187,7 @@ def _alignments(matches: DataFrame, n_windows: DataFrame, window: int) -> DataFr
     parts = F.when(F.col("_one"), F.array(part(0, F.lit(0)))).otherwise(
         F.array(part(0, F.lit(0)), part(1, F.col("_group")), part(2, F.col("shift")))
     )
-    return aligned.select("doc_id", "item_id", "shift", "item_place", "size", parts.alias("_parts"))
+    return aligned.select("doc_id", "item_id", "shift", "item_place", "size", "exact", parts.alias("_parts"))
 
 
 def _with_items(pairs: DataFrame, n_windows: DataFrame) -> DataFrame:
