@@ -37,7 +37,7 @@ BUCKETS = 10_000
 SEED = 2024
 LEAST_WORDS = 20
 PERCENT = 10
-PIVOTS = 16
+PIVOTS = 64
 SLICE = 4 << 20
 RANGE_ROWS = 1 << 20
 _word = K.class_table([*range(48, 58), *range(97, 123), *range(128, 256)])
@@ -124,8 +124,9 @@ def _key() -> Column:
     return F.struct((-F.col("score")).alias("a"), F.col("doc_id").isNull().alias("b"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("c"), F.col("n_features").alias("d"), F.col("weight").alias("e"))
 
 
-def _literal(key: tuple) -> Column:
-    return F.struct(*[F.lit(v).cast(t).alias(n) for v, t, n in zip(key, ("long", "boolean", "long", "long", "long"), "abcde")])
+def _literal(key: tuple) -> str:
+    """SQL of a key; one expression is far quicker to build than a column for each of its parts."""
+    return "struct({} AS a, {} AS b, {} AS c, {} AS d, {} AS e)".format(*[str(v).lower() if isinstance(v, bool) else f"bigint('{v}')" for v in key])
 
 
 def kth_key(rows: DataFrame, k: int, pivots: int = PIVOTS, seed: int = SEED) -> tuple:
@@ -134,25 +135,25 @@ def kth_key(rows: DataFrame, k: int, pivots: int = PIVOTS, seed: int = SEED) ->
     while True:
         open_rows = rows
         if least is not None:  # the bound on the score alone reaches the scan
-            open_rows = open_rows.where((F.col("score") <= -least[0]) & (F.col("_at") > _literal(least)))
+            open_rows = open_rows.where((F.col("score") <= -least[0]) & (F.col("_at") > F.expr(_literal(least))))
         if most is not None:
-            open_rows = open_rows.where((F.col("score") >= -most[0]) & (F.col("_at") < _literal(most)))
+            open_rows = open_rows.where((F.col("score") >= -most[0]) & (F.col("_at") < F.expr(_literal(most))))
         chosen = open_rows.select("_at").orderBy(F.xxhash64("_at", F.lit(seed + turn))).limit(pivots).collect()
         keys = sorted({tuple(r[0]) for r in chosen})
         if not keys:
             raise ValueError("fewer rows than k")
-        counts = [F.count_if(F.col("_at") < _literal(p)) for p in keys] + [F.count_if(F.col("_at") == _literal(p)) for p in keys]
-        found = open_rows.agg(*[c.alias(f"n{i}") for i, c in enumerate(counts)]).first()
+        among = F.expr("array(" + ", ".join(map(_literal, keys)) + ")")
+        place = F.size(F.filter(among, lambda p: p < F.col("_at"))).alias("above"), F.array_contains(among, F.col("_at")).alias("at")
+        found = {(above, at): n for above, at, n in open_rows.groupBy(*place).count().collect()}
         gone = 0
-        for i, p in enumerate(keys):
-            below, at = found[i], found[len(keys) + i]
-            if below < k <= below + at:
-                return p
-            if below + at < k:
-                least, gone = p, below + at
-            else:
+        for i, p in enumerate(keys):  # keys in the gap before a pivot, then those at it
+            below = gone + found.get((i, False), 0)
+            if k <= below:
                 most = p
                 break
+            if k <= below + found[i, True]:
+                return p
+            least, gone = p, below + found[i, True]
         k, turn = k - gone, turn + 1
 
 
@@ -178,7 +179,7 @@ def draw(scored: DataFrame, percent: int = PERCENT, least_words: int = LEAST_WOR
     unranked = F.lit(None).cast("long")
     if k == 0:
         return rows.withColumn("rank", unranked).drop("_row")
-    last = _literal(kth_key(rows.where(fits), k, pivots))
+    last = F.expr(_literal(kth_key(rows.where(fits), k, pivots)))
     winners = _ranked(rows.where(fits & (_key() <= last)), k)
     winners = winners.withColumn("rank", F.when(F.col("rank") <= k, F.col("rank")))
     rest = rows.where(~(fits & (_key() <= last))).withColumn("rank", unranked)
