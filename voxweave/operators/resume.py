@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.text import _col, match_key
-from ..session import fits_rows, measured
+from ..session import measured
 from .ordering import SPAN, dense_position, source_rank, span_of
 
 STATE_JSON = (
@@ -62,29 +62,31 @@ def anti_join_done(df: DataFrame, done: DataFrame, on: list[str], hashed: bool =
     return df.withColumn("_key", digest).join(keys, "_key", "left_anti").drop("_key")
 
 
-def _newest_files(parts: DataFrame, n: int, file: str) -> DataFrame:
-    """Only as many of the last files as hold ``n`` rows; the name predicate prunes files, not rows."""
-    names = sorted({path.rsplit("/", 1)[-1] for path in parts.inputFiles()})
-    take = 1
-    while take < len(names):
-        newest = parts.where(F.col(file) >= names[-take])
-        if not fits_rows(newest.select(file), n - 1):
-            return newest
-        take *= 2
-    return parts
+def _newest_files(parts: DataFrame, n: int, order: list[str]) -> DataFrame:
+    """Only as many of the last files as hold ``n`` rows; the path predicate prunes files, not rows.
+
+    Files are counted by a scan without columns; ``n`` paths at most come to the driver.
+    """
+    counts = parts.groupBy("file_path", *order).agg(F.count(F.lit(1)).alias("_n"))
+    newest = [F.desc(c) for c in order]
+    behind = Window.orderBy(*newest).rowsBetween(Window.unboundedPreceding, -1)
+    last = counts.orderBy(*newest).limit(n).withColumn("_behind", F.coalesce(F.sum("_n").over(behind), F.lit(0)))
+    return parts.where(F.col("file_path").isin([r[0] for r in last.where(F.col("_behind") < n).select("file_path").collect()]))
 
 
 def tail_rows(parts: DataFrame, n: int, wanted: list[str], file: str = "file_name", row: str = "row_index",
               newest_files: bool = False) -> DataFrame:
-    """Last ``n`` rows over files in name order, with the wanted columns that exist, oldest first.
+    """Last ``n`` rows over files in the order of part numbers, then names, with the wanted columns that exist, oldest first.
 
-    With ``newest_files`` (for a frame read straight from parts) older files are not opened at all.
+    With ``newest_files`` (for a frame read straight from parts) older files are not opened at all. A folder that is not
+    read yet is served by ``sources.parts.tail_of_parts``, which opens the last row groups only.
     """
     columns = [c for c in wanted if c in parts.columns and c not in (file, row)]
-    if newest_files and n > 0:
-        parts = _newest_files(parts, n, file)
-    last = parts.select(*columns, file, row).orderBy(F.desc(file), F.desc(row)).limit(max(n, 0))
-    return last.orderBy(file, row)
+    order = [c for c in ("part", file) if c in parts.columns and c not in columns]
+    if newest_files and n > 0 and "file_path" in parts.columns:
+        parts = _newest_files(parts, n, order)
+    last = parts.select(*columns, *order, row).orderBy(*[F.desc(c) for c in (*order, row)]).limit(max(n, 0))
+    return last.orderBy(*order, row).select(*columns, file, row)
 
 
 def tail_anchors(tail: DataFrame, length: int = K.ANCHOR_KEYS, file: str = "file_name", row: str = "row_index") -> DataFrame:

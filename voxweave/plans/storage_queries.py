@@ -10,6 +10,7 @@ from ..operators import reports as R
 from ..operators import resume as E
 from ..operators import synthesis as Y
 from ..session import work_path
+from ..sources import parts as P
 from ..sources import readers as D
 from ..sources import writers as W
 from ..streaming import incremental as T
@@ -33,15 +34,28 @@ def _parts(spark, sf, name, files=4, rows=None, order="raw_index"):
     f"WITH {I.RAW} SELECT raw_index, source, row_number() OVER (ORDER BY raw_index) - 1 AS global_row, true AS in_part FROM raw",
 )
 def scan_parquet_parts(spark, sf):
-    parts = D.scan_parquet_parts(spark, _parts(spark, sf, "parts"))
-    rows = D.with_global_row(parts)
-    return rows.select("raw_index", "source", "global_row", (F.col("part") >= 0).alias("in_part"))
+    """Two folders with the same part names, the second written in two appends; positions come from footers."""
+    folder = work_path(spark, "parts")
+    rows = I.raw_rows(spark, sf)
+    middle = rows.count() // 2
+    first, second = rows.where(F.col("raw_index") < middle), rows.where(F.col("raw_index") >= middle)
+    early, late = second.where(F.col("raw_index") < middle + middle // 2), second.where(F.col("raw_index") >= middle + middle // 2)
+    for where, some in (("a", first), ("b", early), ("b", late)):
+        W.sink_parquet(some.repartitionByRange(3, "raw_index").sortWithinPartitions("raw_index"), f"{folder}/{where}", append=True)
+    parts = D.scan_parquet_parts(spark, folder, recursive=True)
+    placed = D.with_global_row(parts, listed=P.footers(spark, folder, recursive=True))
+    return placed.select("raw_index", "source", "global_row", (F.col("part") >= 0).alias("in_part"))
 
 
 @query("tail_rows", f"WITH {I.RAW} SELECT raw_index, source, speaker FROM raw ORDER BY raw_index DESC LIMIT 200")
 def tail_rows(spark, sf):
-    parts = D.scan_parquet_parts(spark, _parts(spark, sf, "tail"))
-    return E.tail_rows(parts, K.TAIL_ROWS, ["raw_index", "source", "speaker", "transcript"], newest_files=True).drop("file_name", "row_index")
+    """The last rows after an append lie in its parts; only their row groups are read."""
+    rows = I.raw_rows(spark, sf)
+    cut = rows.count() - 100
+    folder = _parts(spark, sf, "tail", rows=rows.where(F.col("raw_index") < cut))
+    W.sink_parquet(rows.where(F.col("raw_index") >= cut).coalesce(1).sortWithinPartitions("raw_index"), folder, append=True)
+    wanted = ["raw_index", "source", "speaker", "transcript"]
+    return P.tail_of_parts(spark, folder, K.TAIL_ROWS, wanted).drop("file_name", "row_index")
 
 
 @query(
@@ -123,9 +137,8 @@ def shard_by_size(spark, sf):
     f"WITH {I.RAW} SELECT raw_index, source, transcription, row_number() OVER (ORDER BY raw_index) - 1 AS global_row, (SELECT count(*) FROM raw) AS total FROM raw",
 )
 def merge_shards(spark, sf):
-    parts = D.scan_parquet_parts(spark, _parts(spark, sf, "shards", 6))
-    folder = work_path(spark, "merged")
-    total = W.merge_shards(parts, folder, rows_per_file=400)
+    shards, folder = _parts(spark, sf, "shards", 6), work_path(spark, "merged")
+    total = W.merge_shards(shards, folder, rows_per_file=400)
     merged = D.with_global_row(D.scan_parquet_parts(spark, folder))
     return merged.select("raw_index", "source", "transcription", "global_row", F.lit(total).cast("long").alias("total"))
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import measured
+from . import parts as P
+from .parts import PART_NAME
 
 CODES = T.ArrayType(T.ArrayType(T.IntegerType()))
 MANIFEST = T.StructType([T.StructField(n, T.StringType()) for n in ("audio", "text", "ref_audio", "language")])
@@ -14,9 +16,6 @@ MANIFEST_WITH_CODES = T.StructType([*MANIFEST.fields, T.StructField("audio_codes
 VOICE_DESIGN_MANIFEST = T.StructType([*MANIFEST_WITH_CODES.fields, T.StructField("instruct", T.StringType())])
 PREFERENCE_MANIFEST = T.StructType([*VOICE_DESIGN_MANIFEST.fields, T.StructField("dispreferred_audio_codes", CODES)])
 
-# Fixed value: names of numbered parts; the engine's own suffix after the number is accepted too.
-PART_NAME = r"^part-(\d+)(?:-[^/]*)?\.parquet$"
-
 
 def scan_jsonl_manifest(spark: SparkSession, path: str, schema: T.StructType = MANIFEST) -> DataFrame:
     """One JSON object per line; a malformed line stops the job, an empty line is skipped.
@@ -44,10 +43,12 @@ def join_audio_bytes(rows: DataFrame, files: DataFrame, on: str, into: str = "by
 
 def scan_parquet_parts(spark: SparkSession, folder: str, schema: T.StructType | None = None, pattern: str | None = PART_NAME,
                        recursive: bool = False) -> DataFrame:
-    """Rows of a folder of parts with ``file_name``, ``row_index`` and, for numbered parts, ``part``.
+    """Rows of a folder of parts with ``file_name``, ``file_path``, ``row_index`` and, for numbered parts, ``part``.
 
-    ``pattern=None`` takes every ``*.parquet`` file; ``recursive`` looks below sub-folders as well.
+    ``pattern=None`` takes every ``*.parquet`` file; ``recursive`` looks below sub-folders as well. A commit that was
+    broken off is carried to its end first.
     """
+    P.recover(spark, folder)
     reader = spark.read.option("pathGlobFilter", "*.parquet")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
@@ -55,7 +56,7 @@ def scan_parquet_parts(spark: SparkSession, folder: str, schema: T.StructType |
         reader = reader.schema(schema)
     rows = reader.parquet(folder)
     meta = F.col("_metadata")
-    rows = rows.select("*", meta["file_name"].alias("file_name"), meta["row_index"].alias("row_index"))
+    rows = rows.select("*", meta["file_name"].alias("file_name"), meta["file_path"].alias("file_path"), meta["row_index"].alias("row_index"))
     if pattern is None:
         return rows
     return rows.where(F.col("file_name").rlike(pattern)).withColumn(
@@ -68,12 +69,15 @@ def next_part(parts: DataFrame) -> DataFrame:
     return parts.agg(F.coalesce(F.max("part") + 1, F.lit(0)).alias("next_part"))
 
 
-def with_global_row(parts: DataFrame, into: str = "global_row") -> DataFrame:
-    """Position over all files in name order: the file's offset plus the row's place inside the file.
+def with_global_row(parts: DataFrame, into: str = "global_row", listed: DataFrame | None = None) -> DataFrame:
+    """Position over all files: the rows of the files before plus the row's place inside its file.
 
-    Only the list of files is ordered, so the rows themselves are not shuffled.
+    Files go by folder, part number and name, and are told apart by their whole path. ``listed`` takes the row counts from
+    footers (``parts.footers``); without it they are counted by a scan without columns. Only the list of files is
+    ordered, so the rows themselves are not shuffled.
     """
-    counts = parts.groupBy("file_name").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("file_name").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    return parts.join(measured(offsets), "file_name").withColumn(into, F.col("_before") + F.col("row_index")).drop("_before")
+    if listed is None:
+        listed = P._numbered(parts.groupBy("file_path", "file_name").agg(F.count(F.lit(1)).alias("n_rows")), None)
+        listed = listed.withColumn("row_group", F.lit(0))
+    offsets = P.offsets(listed).groupBy("file_path").agg(F.min("before").alias("_before"))
+    return parts.join(measured(offsets), "file_path").withColumn(into, F.col("_before") + F.col("row_index")).drop("_before")

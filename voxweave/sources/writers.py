@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from ..operators.ordering import dense_position, whole
+from . import parts, readers
 
 
 class SchemaMismatch(ValueError):
@@ -44,21 +45,22 @@ def exists(spark: SparkSession, path: str) -> bool:
     return any(not f.getPath().getName().startswith(("_", ".")) for f in system.listStatus(where))
 
 
-def sink_parquet(df: DataFrame, path: str, overwrite: bool = False, append: bool = False, rows_per_file: int | None = None) -> None:
-    """Write a directory of parts under the commit protocol.
+def sink_parquet(df: DataFrame, path: str, overwrite: bool = False, append: bool = False, rows_per_file: int | None = None,
+                 note: dict | None = None) -> None:
+    """Write numbered parts; all of a write becomes visible at once, or none of it.
 
-    A non-empty target is refused unless overwriting (old parts go first) or appending, which checks the schema
-    of what is there.
+    A non-empty target is refused unless overwriting (old files go when the new ones are whole) or appending, which
+    checks the schema of what is there and goes on after the last number, so the order of names is the order of writes.
+    ``note`` is kept with the commit.
     """
     spark = df.sparkSession
-    if append and exists(spark, path):
+    parts.recover(spark, path)
+    there = exists(spark, path)
+    if append and there:
         df = schema_lock(df, spark.read.parquet(path).schema)
-    elif exists(spark, path) and not overwrite:
+    elif there and not overwrite:
         raise FileExistsError(f"{path} is not empty")
-    writer = df.write.mode("append" if append else "overwrite")
-    if rows_per_file:
-        writer = writer.option("maxRecordsPerFile", rows_per_file)
-    writer.parquet(path)
+    parts.write_parts(df, path, there and not append, rows_per_file, note)
 
 
 def sink_jsonl(df: DataFrame, path: str, overwrite: bool = False) -> None:
@@ -150,19 +152,27 @@ def shard_by_size(df: DataFrame, folder: str, split: str, order: list[str], span
     return [f"{folder}/{name}" for name in names]
 
 
-def merge_shards(parts: DataFrame, folder: str, rows_per_file: int = 10_000_000, bytes_per_file: int = 1 << 30) -> int:
-    """Concatenate parts in (file, row) order and return the row count.
+def merge_shards(source: DataFrame | str, folder: str, rows_per_file: int = 10_000_000, bytes_per_file: int = 1 << 30) -> int:
+    """Concatenate parts in (file, row) order into the numbered parts of an empty folder and return the row count.
 
-    The result is as many range-partitioned files as its bytes (estimated by ``row_bytes``) or rows ask for, named in
-    row order, so no task holds more than about one file.
+    ``source`` is a folder of numbered parts, whose row groups are copied run by run without a shuffle of rows, or a frame
+    of ``scan_parquet_parts`` that may have been filtered. That one becomes as many range-partitioned files as its bytes
+    (estimated by ``row_bytes``) or rows ask for, so no task holds more than about one file.
     """
-    spark = parts.sparkSession
-    expected, size = parts.agg(F.count(F.lit(1)), F.sum(row_bytes(parts))).first()
+    if isinstance(source, str):
+        spark = SparkSession.getActiveSession()
+        if parts.openable(source):
+            return parts.concat_parts(spark, source, folder, rows_per_file, bytes_per_file)
+        source = readers.scan_parquet_parts(spark, source)
+    spark = source.sparkSession
+    if exists(spark, folder):
+        raise FileExistsError(f"{folder} is not empty")
+    expected, size = source.agg(F.count(F.lit(1)), F.sum(row_bytes(source))).first()
     files = max(1, -(-expected // rows_per_file), -(-(size or 0) // bytes_per_file))
-    keys = ["file_name", "row_index"]
-    rows = parts.repartitionByRange(files, *keys)
-    columns = [c for c in parts.columns if c not in (*keys, "part")]
-    rows.sortWithinPartitions(*keys).select(*columns).write.mode("overwrite").parquet(folder)
+    keys = [c for c in ("part", "file_name", "row_index") if c in source.columns]
+    rows = source.repartitionByRange(files, *keys)
+    columns = [c for c in source.columns if c not in (*keys, "file_path")]
+    parts.write_parts(rows.sortWithinPartitions(*keys).select(*columns), folder)
     written = spark.read.parquet(folder).count()
     if written != expected:
         raise ValueError(f"merged {written} of {expected} rows")
