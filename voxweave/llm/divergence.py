@@ -30,8 +30,8 @@ from .sizing import groups_for, text_bytes
 
 LEAST_DOCS = 30
 TOP_TERMS = 50
-SLICE = 8 << 20
-GROUP_BYTES = 24 << 20
+SLICE = 4 << 20
+GROUP_BYTES = 16 << 20
 FAN_IN = 4096
 BLOCK_ENTRIES = 200_000
 STRIPE = 512
@@ -78,8 +78,7 @@ def _codes(column) -> tuple[np.ndarray, pa.Array]:
 
 
 def _weighted(table: pa.Table) -> pa.Table:
-    """(lang, source, term, n, docs) of the collapsed rows; every distinct text is tokenized once."""
-    table = _collapse(table)
+    """(lang, source, term, n, docs) of collapsed rows with equal texts side by side; each distinct text is tokenized once."""
     lang, langs = _codes(table.column("lang"))
     source, sources = _codes(table.column("source"))
     text, texts = _codes(table.column("text"))
@@ -110,8 +109,14 @@ def _weighted(table: pa.Table) -> pa.Table:
     })
 
 
-def _blobs(table: pa.Table) -> pa.Table:
-    return _weighted(K.from_streams(table.column("texts"), _FIELDS))
+def _counted(streams: pa.Table) -> pa.Table:
+    """Weighted counts of one group of texts, worked out a few megabytes of text at a time."""
+    rows = _collapse(K.from_streams(streams.column("texts"), _FIELDS)).sort_by([("lang", "ascending"), ("text", "ascending")])
+    batches = [part for batch in rows.to_batches() for part in K.slices(batch, "text", SLICE)]
+    tables = [_weighted(pa.Table.from_batches([batch])) for batch in batches]
+    keys = ["lang", "source", "term"]
+    total = pa.concat_tables(tables).group_by(keys, use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
+    return total.select([*keys, "n_sum", "docs_sum"]).rename_columns([*keys, "n", "docs"])
 
 
 def term_counts(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
@@ -119,8 +124,9 @@ def term_counts(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     docs = _named(docs, "text").withColumn("part", F.spark_partition_id())
     groups = groups_for(text_bytes(docs), GROUP_BYTES)
     routed = docs.mapInArrow(_route(groups), "home int, salt int, texts binary")
-    found = routed.groupBy("home", "salt").applyInArrow(_blobs, "lang string, source string, term string, n long, docs long")
-    found = found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    found = routed.groupBy("home", "salt").applyInArrow(_counted, "lang string, source string, term string, n long, docs long")
+    # Groups are sums already, so one shuffle by term serves the counts of sources and the documents of a language.
+    found = found.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     everywhere = F.sum("docs").over(Window.partitionBy("lang", "term"))
     return found.withColumn("_docs", everywhere).where(F.col("_docs") >= least_docs).select("lang", "source", "term", "n")
 
