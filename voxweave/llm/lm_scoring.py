@@ -59,14 +59,14 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def _tokens(batches):
+def _tokens(batches, limit: int = SLICE):
     for whole in batches:
-        for batch in K.slices(whole, "text", SLICE):
+        for batch in K.slices(whole, "text", limit):
             yield batch, M.tokens(*K.utf8(batch.column(batch.schema.get_field_index("text"))))
 
 
 def _count(batches):
-    for _, t in _tokens(batches):
+    for _, t in _tokens(batches, 2 * SLICE):  # what a slice holds twice is one row
         hashes, at, n = np.unique(t.hash, return_index=True, return_counts=True)
         yield pa.RecordBatch.from_arrays(
             [pa.array(hashes.view(np.int64)), pa.array(t.slot[at]), pa.array(n)], names=["hash", "slot", "n"]
@@ -170,13 +170,12 @@ def _score(shared):
     def run(batches):
         class_bias, slot_bias, by_class, by_slot, denominators, hashes, counts = shared.value
         weights, logs = M.Weights(class_bias, slot_bias, by_class, by_slot), np.append(np.log(counts + 1.0), 0)
+        frequent_words = M.Lookup(hashes)
         for batch, t in _tokens(batches):
             texts = batch.num_rows
             value = M.log_probs(weights, t) - denominators[t.slot]
-            at = np.searchsorted(hashes, t.hash)
-            known = at < len(hashes)
-            known[known] = hashes[at[known]] == t.hash[known]
-            seen = logs[np.where(known, at, len(counts))]
+            at = frequent_words.find(t.hash)
+            known, seen = at < len(hashes), logs[at]
             value += seen
             head = t.first[:-1]
             rest = np.flatnonzero(~known)

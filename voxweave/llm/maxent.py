@@ -30,14 +30,17 @@ CLASSES = 64
 SLOTS = 32
 PAIRS = 4096
 SHARED = 1 << 15
-BATCH = 1 << 14
-RATE = 0.15
+BATCH = 1 << 11  # tokens of one step; their scores fit the processor's cache
+RATE = 0.12
+MOST = 20.0
 _ALL = CLASSES * SLOTS
 START = _ALL  # stands before the first word
 END_SLOT = (CLASSES - 1) * SLOTS
 END_HASH = np.uint64(0x454E44)
 _SKIPS = 3
 CLASS_ROWS = _SKIPS * (_ALL + 1) + PAIRS
+_UPTO = np.triu(np.ones((8, 8), np.float32))
+_BLOCKS = np.repeat(np.eye(8, dtype=np.float32), 8, axis=0)
 _letter = K.class_table([*range(48, 58), *range(97, 123), *range(128, 256)])
 
 
@@ -118,8 +121,7 @@ def _scores(table: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> tuple[np.n
     for r in rows[1:]:
         z += table.take(r, 0)
     z += bias
-    np.minimum(z, 60, out=z)
-    np.exp(z, out=z)
+    np.exp(z, out=z)  # weights are at most MOST, and biases not above 0
     return z, z @ np.ones(z.shape[1], np.float32) + np.float32(1e-30)
 
 
@@ -144,18 +146,37 @@ class Learner:
         self.w, self.rate, self.rng = w, rate, np.random.default_rng(seed)
         self.tables = [w.by_class.copy(), w.by_slot.copy()]
         self.seen = [np.full(x.shape, 1.0, np.float32) for x in self.tables]
+        self.grad = [np.zeros(x.size, np.float32) for x in self.tables]
+        self.mark = [np.zeros(x.size, np.int32) for x in self.tables]
+
+    def _expected(self, k: int, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
+        """One draw for each token from the softmax: a block of 8 by the blocks' sums, then one of the block."""
+        z, _ = _scores(self.tables[k], rows, bias)
+        n, width = z.shape
+        sums = z @ _BLOCKS[:width, : width // 8]
+        upto = sums @ _UPTO[: width // 8, : width // 8]
+        left = self.rng.random(n, np.float32) * upto[:, -1]
+        block = np.minimum((upto < left[:, None]).astype(np.float32) @ np.ones(width // 8, np.float32), width // 8 - 1).astype(np.int64)
+        each = np.arange(n)
+        left -= upto[each, block] - sums[each, block]
+        inside = z.reshape(n, width // 8, 8)[each, block] @ _UPTO
+        return block * 8 + np.minimum((inside < left[:, None]).astype(np.float32) @ np.ones(8, np.float32), 7).astype(np.int64)
 
     def _step(self, k: int, rows: np.ndarray, bias: np.ndarray, target: np.ndarray) -> None:
-        table, seen = self.tables[k], self.seen[k]
-        z, total = _scores(table, rows, bias)
-        np.cumsum(z, axis=1, out=z)
-        drawn = (z >= (self.rng.random(len(z), np.float32) * z[:, -1])[:, None]).argmax(1)
-        width = table.shape[1]
-        at = rows.astype(np.int64) * width
-        grad = np.bincount((at + target).ravel(), minlength=table.size) - np.bincount((at + drawn).ravel(), minlength=table.size)
-        grad = grad.astype(np.float32).reshape(table.shape)
-        seen += grad * grad
-        table += self.rate * grad / np.sqrt(seen)
+        """Add what was seen and take off what was drawn."""
+        table, seen, grad, mark = self.tables[k].reshape(-1), self.seen[k].reshape(-1), self.grad[k], self.mark[k]
+        flat = rows.astype(np.int64) * self.tables[k].shape[1]
+        real, drawn = (flat + target).ravel(), (flat + self._expected(k, rows, bias)).ravel()
+        np.add.at(grad, real, np.float32(1))
+        np.add.at(grad, drawn, np.float32(-1))
+        places = np.concatenate([real, drawn])
+        order = np.arange(len(places), dtype=np.int32)
+        mark[places] = order  # the last of equal places stands for them
+        own = places[mark[places] == order]
+        g = grad[own]
+        grad[own] = 0
+        seen[own] += g * g
+        table[own] = np.clip(table[own] + self.rate * g / np.sqrt(seen[own]), -MOST, MOST)
 
     def learn(self, t: Tokens) -> None:
         rows = features(t)
@@ -183,3 +204,26 @@ def log_denominators(tokens_of: np.ndarray, words_of: np.ndarray) -> np.ndarray:
     out = np.log(tokens_of + words_of + 1.0)
     out[END_SLOT] = np.log(tokens_of[END_SLOT] + 1.0)
     return out
+
+
+class Lookup:
+    """Places of hashes in an ascending array of them, by a directory of their leading bits."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes, self.shift = hashes, np.uint64(64 - max(1, int(len(hashes)).bit_length()))
+        self.start = np.searchsorted(hashes >> self.shift, np.arange((1 << (64 - int(self.shift))) + 1, dtype=np.uint64))
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """Place of each wanted hash, or the number of hashes where it is not among them."""
+        out = np.full(len(wanted), len(self.hashes))
+        top = (wanted >> self.shift).astype(np.int64)
+        at, end, open_at = self.start[top], self.start[top + 1], np.arange(len(wanted))
+        while True:
+            live = np.flatnonzero(at < end)
+            if not len(live):
+                return out
+            at, end, open_at = at[live], end[live], open_at[live]
+            hit = self.hashes[at] == wanted[open_at]
+            out[open_at[hit]] = at[hit]
+            miss = ~hit
+            at, end, open_at = at[miss] + 1, end[miss], open_at[miss]
