@@ -12,12 +12,19 @@ contaminated if one of these has ``COVERAGE`` of the item's windows and passes;
 
 Items of fewer words than a window have one window of their own length. Windows that are mostly placeholders, and all of
 items under ``LEAST_WORDS`` words, are looked for by their values, in lower case and without punctuation around words, so
-they are found verbatim only. ``COVERAGE`` is of all windows, or of those with a template alone. Rows: null and empty texts have no words and match nothing; a null id is a document or item like any other;
-copies of rows are one document. Columns other than ids and texts are not read.
+they are found verbatim only. ``COVERAGE`` is of all windows, or of those with a template alone. Besides, a run of at least
+``RUN_WORDS`` of an item's words at one shift, with the same values, is enough: a long excerpt of a longer item.
+
+Rows: null and empty texts have no words and match nothing; a null id is a document or item like any other. Documents
+are told apart by id and a hash of the text, so rows of different texts that share an id (or have none) are judged one
+by one, and copies of a row are one document; items likewise. Columns other than ids and texts are not read.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +36,8 @@ WINDOW = 6
 COVERAGE = 0.3
 MAX_CLASHES = 0.2
 LEAST_WORDS = 4
+RUN_WORDS = 50
+_DOC, _ITEM = ["doc_id", "_text"], ["item_id", "_wording"]
 # Placeholders are private-use characters, which no pattern below takes for letters or punctuation.
 NUMBER, MEASURE, UNIT, NAME = "\ue000", "\ue001", "\ue002", "\ue003"
 _SLOTS = f"[{NUMBER}{MEASURE}{UNIT}{NAME}]"
@@ -67,11 +76,24 @@ def _bare(raw: Column) -> Column:
     return F.lower(F.regexp_replace(raw, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}%]+$", ""))
 
 
-def _worded(table: DataFrame, key: str) -> DataFrame:
-    """(key, w, m, b): canonical words, a mark for each (1: placeholder), and bare values where a window may need them."""
-    rows = table.select(key, "text", words(F.col("text")).alias("w"))
-    rows = rows.select(key, "text", "w", F.array_join(F.transform("w", lambda x: F.when(x.isin(NUMBER, MEASURE, UNIT, NAME), "1").otherwise("0")), "").alias("m"))
-    return rows.select(key, "w", "m", F.when(F.size("w") > 0, F.transform(raw_words(F.col("text")), _bare)).alias("b"))
+def _mostly_slots(m: Column, size: int) -> Column:
+    """False only if no window of ``size`` marks is more than half placeholders: enough of them stand close together."""
+    least = size // 2 + 1
+    return m.rlike("1" + f"[01]{{0,{size - least}}}1" * (least - 1))
+
+
+def _worded(table: DataFrame, sizes: list[int] | None = None) -> DataFrame:
+    """``table`` with w, m, b for its text: canonical words, a mark for each (1: placeholder), and bare values.
+
+    With ``sizes``, the values are worked out only for texts in which a window of one of these sizes may need them.
+    """
+    keys = [c for c in table.columns if c != "text"]
+    rows = table.select(*keys, "text", words(F.col("text")).alias("w"))
+    rows = rows.select(*keys, "text", "w", F.array_join(F.transform("w", lambda x: F.when(x.isin(NUMBER, MEASURE, UNIT, NAME), "1").otherwise("0")), "").alias("m"))
+    some = F.size("w") > 0
+    if sizes is not None and min(sizes, default=LEAST_WORDS) >= LEAST_WORDS:
+        some = reduce(or_, [_mostly_slots(F.col("m"), size) for size in sizes], F.lit(False))
+    return rows.select(*keys, "w", "m", F.when(some, F.transform(raw_words(F.col("text")), _bare)).alias("b"))
 
 
 def _exact(m: Column, place: Column, size: int) -> Column:
@@ -82,120 +104,147 @@ def _exact(m: Column, place: Column, size: int) -> Column:
 
 
 def _windows(size: int) -> Column:
-    """(place, (key, exact)) of every window of ``size`` words; places start at 0."""
+    """(size, place, key, exact) of every window of ``size`` words; places start at 0."""
     places = F.sequence(F.lit(0), F.size("w") - size)
-    plain = lambda i: F.struct(F.xxhash64(F.slice("w", i + 1, size), F.lit(size)).alias("key"), F.lit(False).alias("exact"))
-    valued = lambda i: F.struct(F.xxhash64(F.slice("b", i + 1, size), F.lit(size), F.lit("exact")).alias("key"), F.lit(True).alias("exact"))
+
+    def window(i, key, exact):
+        return F.struct(F.lit(size).alias("size"), i.alias("place"), key.alias("key"), F.lit(exact).alias("exact"))
+
+    plain = lambda i: window(i, F.xxhash64(F.slice("w", i + 1, size), F.lit(size)), False)
+    valued = lambda i: window(i, F.xxhash64(F.slice("b", i + 1, size), F.lit(size), F.lit("exact")), True)
     either = F.transform(places, lambda i: F.when(_exact(F.col("m"), i, size), valued(i)).otherwise(plain(i)))
-    # Few texts have enough placeholders for such a window.
-    some = F.lit(True) if size < LEAST_WORDS else F.length(F.translate("m", "0", "")) * 2 > size
-    return F.when(F.size("w") >= size, F.when(some, either).otherwise(F.transform(places, plain)))
+    none = F.array().cast("array<struct<size:int,place:int,key:bigint,exact:boolean>>")
+    found = F.when(F.col("b").isNotNull(), either).otherwise(F.transform(places, plain))
+    return F.when(F.size("w") >= size, found).otherwise(none)
 
 
-def _clean(table: DataFrame, key: str, name: str) -> DataFrame:
-    return table.where(F.col("text").isNotNull()).select(F.col(key).cast("long").alias(name), F.col("text").cast("string").alias("text"))
+def _clean(table: DataFrame, key: str, name: str, text_key: str) -> DataFrame:
+    """(name, text_key, text) of rows with a text; ``text_key`` is a hash of it."""
+    text = F.col("text").cast("string")
+    return table.where(F.col("text").isNotNull()).select(F.col(key).cast("long").alias(name), F.xxhash64(text).alias(text_key), text.alias("text"))
 
 
-def template_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, item_id, size, place, item_place, exact) of every window of a document that is a window of an item."""
-    items = cut_lineage(_worded(_clean(benchmark, "item_id", "item_id"), "item_id").where(F.size("w") > 0).distinct())
-    sizes = [r[0] for r in items.select(F.least(F.size("w"), F.lit(window)).alias("s")).distinct().collect()]
-    canonical = _worded(_clean(docs, "doc_id", "doc_id"), "doc_id")
-    item_windows, doc_windows = [], []
-    for size in sorted(sizes):
-        own = items.where(F.least(F.size("w"), F.lit(window)) == size)
-        item_windows.append(own.select(F.lit(size).alias("size"), "item_id", F.posexplode(_windows(size)).alias("item_place", "k")).select("size", "k.key", "item_id", "item_place"))
-        doc_windows.append(canonical.select("doc_id", F.lit(size).alias("size"), F.posexplode(_windows(size)).alias("place", "k")).select("doc_id", "size", "place", "k.*"))
-    if not sizes:
-        spark = docs.sparkSession
-        return spark.createDataFrame([], "doc_id long, item_id long, size int, place int, item_place int, exact boolean")
-    one, many = item_windows[0], doc_windows[0]
-    for x, y in zip(item_windows[1:], doc_windows[1:]):
-        one, many = one.unionAll(x), many.unionAll(y)
-    found = many.join(small(one), ["key", "size"])
-    return found.select("doc_id", "item_id", "size", "place", "item_place", "exact")
+def _documents(docs: DataFrame) -> DataFrame:
+    return _clean(docs, "doc_id", *_DOC)
+
+
+def _items(benchmark: DataFrame) -> DataFrame:
+    return _clean(benchmark, "item_id", *_ITEM)
+
 
+def template_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(doc_id, _text, item_id, _wording, size, place, item_place, exact) of every window of a document that is one of an item.
 
-def _slots(table: DataFrame, key: str, place: str, value: str) -> DataFrame:
-    """(key, place, kind, value) of every placeholder."""
+    Documents are read and put into words once, whatever the sizes of the items.
+    """
+    items = cut_lineage(_worded(_items(benchmark)).where(F.size("w") > 0).distinct())
+    sizes = sorted(r[0] for r in items.select(F.least(F.size("w"), F.lit(window)).alias("s")).distinct().collect())
+    if not sizes:
+        keys = "doc_id long, _text long, item_id long, _wording long"
+        return docs.sparkSession.createDataFrame([], f"{keys}, size int, place int, item_place int, exact boolean")
+    own = F.lit(None)
+    for size in sizes:
+        own = F.when(F.least(F.size("w"), F.lit(window)) == size, _windows(size)).otherwise(own)
+    one = items.select(*_ITEM, F.explode(own).alias("k")).select(*_ITEM, "k.size", F.col("k.place").alias("item_place"), "k.key")
+    found = _worded(_documents(docs), sizes).select(*_DOC, F.explode(F.concat(*[_windows(size) for size in sizes])).alias("k"))
+    found = found.select(*_DOC, "k.*").join(small(one), ["key", "size"])
+    return found.select(*_DOC, *_ITEM, "size", "place", "item_place", "exact")
+
+
+def _slots(table: DataFrame, place: str, value: str) -> DataFrame:
+    """(keys of ``table``, place, kind, value) of every placeholder."""
+    keys = [c for c in table.columns if c != "text"]
     pairs = F.arrays_zip(words(F.col("text")).alias("w"), raw_words(F.col("text")).alias("r"))
-    rows = table.select(key, F.posexplode(pairs).alias(place, "p"))
+    rows = table.select(*keys, F.posexplode(pairs).alias(place, "p"))
     rows = rows.where(F.col("p.w").rlike(f"^{_SLOTS}$"))
-    return rows.select(key, place, F.col("p.w").alias("kind"), _bare(F.col("p.r")).alias(value))
+    return rows.select(*keys, place, F.col("p.w").alias("kind"), _bare(F.col("p.r")).alias(value))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
-    """One row a contaminated (document, item): windows matched and in all, slots compared, clashes, and whether values differ."""
+def _beside(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", more: Column | None = None) -> DataFrame:
+    """Join on keys of which the first may be null on both sides; the right side's keys are dropped."""
+    other = right.withColumnsRenamed({c: f"{c}_" for c in keys})
+    same = reduce(and_, [F.col(keys[0]).eqNullSafe(F.col(f"{keys[0]}_")), *[F.col(c) == F.col(f"{c}_") for c in keys[1:]]])
+    return left.join(other, same if more is None else same & more, how).drop(*[f"{c}_" for c in keys])
+
+
+def judged(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE, run_words: int = RUN_WORDS) -> DataFrame:
+    """As ``contaminated``, with ``_text``, the hash of the document's text."""
     matches = cut_lineage(template_matches(docs, benchmark, window))
-    items = _clean(benchmark, "item_id", "item_id")
-    n_words = _worded(items, "item_id").select("item_id", "m", F.length("m").alias("n"))
+    items = _items(benchmark)
+    n_words = _worded(items).select(*_ITEM, "m", F.length("m").alias("n"))
     places = F.sequence(F.lit(0), F.greatest(F.col("n") - window, F.lit(0)))
     templates = F.when(F.col("n") >= window, F.size(F.filter(places, lambda i: ~_exact(F.col("m"), i, window)))).otherwise(F.lit(1))
-    n_windows = n_words.groupBy("item_id").agg(
+    n_windows = small(n_words.groupBy(*_ITEM).agg(
         F.max(F.greatest(F.col("n") - window + 1, F.lit(1))).alias("item_windows"), F.max(templates).alias("item_templates")
-    )
-    aligned = cut_lineage(_alignments(matches, n_windows, window))
-    pairs = aligned.select("*", F.explode("_parts").alias("part")).groupBy("doc_id", "item_id", "part").agg(
+    ))
+    aligned = cut_lineage(_alignments(matches, n_windows, window, run_words))
+    parted = [*_DOC, *_ITEM, "part"]
+    pairs = aligned.select("*", F.explode("_parts").alias("part")).groupBy(*parted).agg(
         F.countDistinct("item_place").alias("windows"), F.countDistinct(F.when(~F.col("exact"), F.col("item_place"))).alias("templates")
     )
-    pairs = _with_items(pairs, n_windows)
+    pairs = _beside(pairs, n_windows, _ITEM)
     most = (F.col("templates") > 0) & (F.col("templates") >= coverage * F.col("item_templates"))
-    pairs = pairs.where((F.col("windows") >= coverage * F.col("item_windows")) | most)
-    item_slots = _slots(items, "item_id", "slot", "item_value").withColumnRenamed("item_id", "_item")
-    inside = aligned.join(
-        small(item_slots),
-        F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("slot") >= F.col("item_place")) & (F.col("slot") < F.col("item_place") + F.col("size")),
-    )
-    inside = inside.select("doc_id", "item_id", "kind", "slot", "item_value", (F.col("slot") + F.col("shift")).alias("at"), F.explode("_parts").alias("part")).distinct()
+    excerpt = (F.col("part.level") == 3) & (F.col("windows") >= run_words - window + 1)
+    pairs = pairs.where((F.col("windows") >= coverage * F.col("item_windows")) | most | excerpt)
+    inside = (F.col("slot") >= F.col("item_place")) & (F.col("slot") < F.col("item_place") + F.col("size"))
+    inside = _beside(aligned, small(_slots(items, "slot", "item_value")), _ITEM, more=inside)
+    inside = inside.select(*_DOC, *_ITEM, "kind", "slot", "item_value", (F.col("slot") + F.col("shift")).alias("at"), F.explode("_parts").alias("part")).distinct()
     inside = cut_lineage(inside)
-    wanted = small(inside.select(F.col("doc_id").alias("_doc")).distinct())
-    sources = _clean(docs, "doc_id", "doc_id").join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi")
-    doc_slots = _slots(sources, "doc_id", "at", "doc_value").select(F.col("doc_id").alias("_doc"), F.col("at").alias("_at"), "doc_value")
-    compared = inside.join(doc_slots, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("at") == F.col("_at")))
-    values = compared.groupBy("doc_id", "item_id", "part", "kind", "item_value").agg(
+    wanted = small(inside.select(*_DOC).distinct())
+    doc_slots = _slots(_beside(_documents(docs), wanted, _DOC), "at", "doc_value").select(*_DOC, F.col("at").alias("_at"), "doc_value").distinct()
+    compared = _beside(inside, doc_slots, _DOC, more=F.col("at") == F.col("_at"))
+    values = compared.groupBy(*parted, "kind", "item_value").agg(
         F.countDistinct("doc_value").alias("images"), F.max((F.col("doc_value") != F.col("item_value")).cast("int")).alias("changed")
     )
-    slots = values.groupBy("doc_id", "item_id", "part").agg(
+    slots = values.groupBy(*parted).agg(
         F.count("*").alias("slots"), F.sum((F.col("images") > 1).cast("long")).alias("clashes"), F.max("changed").alias("changed")
     )
-    slots = slots.select(F.col("doc_id").alias("_doc"), F.col("item_id").alias("_item"), F.col("part").alias("_part"), "slots", "clashes", "changed")
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("part") == F.col("_part"))
+    slots = slots.withColumnsRenamed({c: f"{c}_" for c in parted})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in parted])
     rows = pairs.join(slots, same, "left").select(
-        "doc_id", "item_id", "part", F.col("windows").cast("long").alias("windows"), F.col("item_windows").cast("long").alias("item_windows"),
+        *parted, F.col("windows").cast("long").alias("windows"), F.col("item_windows").cast("long").alias("item_windows"),
         F.coalesce("slots", F.lit(0)).cast("long").alias("slots"), F.coalesce("clashes", F.lit(0)).cast("long").alias("clashes"),
         (F.coalesce("changed", F.lit(0)) > 0).alias("reparameterised"),
     )
-    passed = rows.where(F.col("clashes") <= MAX_CLASHES * F.col("slots"))
+    passed = rows.where((F.col("clashes") <= MAX_CLASHES * F.col("slots")) & ((F.col("part.level") < 3) | ~F.col("reparameterised")))
     shown = ("windows", "item_windows", "slots", "clashes", "reparameterised")
     order = F.struct(F.col("part.level"), -F.col("windows"), F.col("clashes"), -F.col("slots"), F.col("part.at"))
-    best = passed.groupBy("doc_id", "item_id").agg(F.min_by(F.struct(*shown), order).alias("best"))
-    return best.select("doc_id", "item_id", *[f"best.{c}" for c in shown])
+    best = passed.groupBy(*_DOC, *_ITEM).agg(F.min_by(F.struct(*shown), order).alias("best"))
+    return best.select(*_DOC, "item_id", *[f"best.{c}" for c in shown])
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE, run_words: int = RUN_WORDS) -> DataFrame:
+    """One row a contaminated (document, item): windows matched and in all, slots compared, clashes, and whether values differ."""
+    return judged(docs, benchmark, window, coverage, run_words).drop("_text")
 
 
-def _alignments(matches: DataFrame, n_windows: DataFrame, window: int) -> DataFrame:
+def _alignments(matches: DataFrame, n_windows: DataFrame, window: int, run_words: int) -> DataFrame:
     """``matches`` with ``shift`` and ``_parts``, the sets of places that a match is judged in, as (level, at).
 
-    Level 0 is the whole pair, 1 a group of shifts no further apart than half the item, 2 a single shift.
+    Level 0 is the whole pair, 1 a group of shifts no further apart than half the item, 2 a single shift, 3 a run of
+    places of one shift without a gap, as long as ``run_words`` asks for.
     """
-    aligned = matches.select("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("shift"), "item_place", "size", "exact").distinct()
-    pair = Window.partitionBy("doc_id", "item_id")
+    keys = [*_DOC, *_ITEM]
+    aligned = matches.select(*keys, (F.col("place") - F.col("item_place")).alias("shift"), "item_place", "size", "exact").distinct()
+    pair = Window.partitionBy(*keys)
     order = pair.orderBy("shift")
     far = F.col("shift") - F.lag("shift").over(order) > (F.col("item_windows") + window - 1) / 2
-    aligned = _with_items(aligned, n_windows).withColumn("_far", F.coalesce(far, F.lit(False)).cast("int"))
+    aligned = _beside(aligned, n_windows, _ITEM).withColumn("_far", F.coalesce(far, F.lit(False)).cast("int"))
     aligned = aligned.withColumn("_group", F.sum("_far").over(order)).withColumn("_one", F.min("shift").over(pair) == F.max("shift").over(pair))
+    # windows without a gap share the difference of place and rank
+    straight = Window.partitionBy(*keys, "shift")
+    aligned = aligned.withColumn("_run", F.col("item_place") - F.dense_rank().over(straight.orderBy("item_place")))
+    aligned = aligned.withColumn("_long", F.count(F.lit(1)).over(Window.partitionBy(*keys, "shift", "_run")) >= run_words - window + 1)
     part = lambda level, at: F.struct(F.lit(level).alias("level"), at.cast("long").alias("at"))
     parts = F.when(F.col("_one"), F.array(part(0, F.lit(0)))).otherwise(
         F.array(part(0, F.lit(0)), part(1, F.col("_group")), part(2, F.col("shift")))
     )
-    return aligned.select("doc_id", "item_id", "shift", "item_place", "size", "exact", parts.alias("_parts"))
-
-
-def _with_items(pairs: DataFrame, n_windows: DataFrame) -> DataFrame:
-    other = small(n_windows.withColumnRenamed("item_id", "_item"))
-    return pairs.join(other, F.col("item_id").eqNullSafe(F.col("_item"))).drop("_item")
+    runs = F.when(F.col("_long"), F.array(part(3, F.xxhash64("shift", "_run")))).otherwise(F.array().cast("array<struct<level:int,at:bigint>>"))
+    return aligned.select(*keys, "shift", "item_place", "size", "exact", F.concat(parts, runs).alias("_parts"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without contaminated documents, columns as they are."""
-    found = small(contaminated(docs, benchmark).select(F.col("doc_id").alias("_doc")).distinct())
-    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["_doc"]), "left_anti")
+    """``docs`` without contaminated documents, columns as they are; a document is told by its id and text."""
+    found = small(judged(docs, benchmark).select(F.col("doc_id").alias("_doc"), F.col("_text").alias("_hash")).distinct())
+    text = F.xxhash64(docs["text"].cast("string"))
+    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["_doc"]) & (text == found["_hash"]), "left_anti")
