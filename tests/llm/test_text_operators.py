@@ -165,28 +165,23 @@ def lines_by_hand(rows):
                 out.append((first, i))
                 first = i + 1
             before = h
-        return parts, [c for c in out if c[1] > c[0] and WORD.search("".join(parts[c[0] : c[1] + 1]))]
+        out = [c for c in out if c[1] > c[0] + 1] + [(i, i + 1) for i in range(len(parts) - 1)]
+        return parts, [c for c in out if WORD.search("".join(parts[c[0] : c[1] + 1]))]
 
-    at, gone = {}, {}
+    at, out = {}, []
     for r in rows:
         if r[1] is not None:
             parts, own = chunks(r[1])
             for a, b in own:
                 body = "\n".join(parts[a : b + 1])
                 at[body] = min(at.get(body, (1 << 62, 0)), (key(r[0]), a))
-    for r in rows:
-        if r[1] is not None:
-            parts, own = chunks(r[1])
-            for a, b in own:
-                if at["\n".join(parts[a : b + 1])] != (key(r[0]), a):
-                    gone.setdefault(key(r[0]), set()).update(range(a, b + 1))
-    out = []
     for r in rows:
         if r[1] is None:
             out.append((r[0], None, 0, 0))
             continue
-        parts, lost = r[1].split("\n"), gone.get(key(r[0]), set())
-        out.append((r[0], "\n".join(x for i, x in enumerate(parts) if i not in lost), len(parts), len(lost)))
+        parts, own = chunks(r[1])
+        gone = {i for a, b in own if at["\n".join(parts[a : b + 1])] != (key(r[0]), a) for i in range(a, b + 1)}
+        out.append((r[0], "\n".join(x for i, x in enumerate(parts) if i not in gone), len(parts), len(gone)))
     return Counter(out)
 
 
@@ -206,6 +201,52 @@ def test_lines(spark):
     assert lines.drop_repeated_chunks(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("span_bytes", [0, 32 << 20])
+def test_lines_of_shared_ids(spark, monkeypatch, span_bytes):
+    """Rows of different texts under one id, or none, lose only their own lines."""
+    monkeypatch.setattr(lines, "SPAN_BYTES", span_bytes)
+    rng = random.Random(4)
+    passage = [" ".join(prose(rng, 6)) for _ in range(35)]
+    other = [" ".join(prose(rng, 6)) for _ in range(40)]
+    rows = [row(1, "\n".join(passage)), row(7, "\n".join(passage)), row(7, "\n".join(other))]
+    got = Counter(tuple(r) for r in lines.drop_repeated_chunks(frame(spark, rows)).select("doc_id", "text", "n_lines", "n_removed").collect())
+    assert got == lines_by_hand(rows) and {r[3] for r in got} == {0, 35}
+    rows += [row(None, "\n".join(x)) for x in (passage[3:9], other[:5], other[:5], ["new line", *passage[10:12]])]
+    rows += [row(7, "\n".join(["head", *other[4:9], "tail"])), row(0, "\n".join(other[30:]))]
+    got = Counter(tuple(r) for r in lines.drop_repeated_chunks(frame(spark, rows)).select("doc_id", "text", "n_lines", "n_removed").collect())
+    assert got == lines_by_hand(rows)
+
+
+def test_short_passages_are_found(spark):
+    """Shared passages of 2 to 8 lines, planted once in each of many texts, go from all but the first."""
+    rng = random.Random(9)
+    passages = [[" ".join(prose(rng, 9, 90000)) for _ in range(n)] for n in range(2, 9)]
+    rows = []
+    for i in range(70):
+        body = [" ".join(prose(rng, 9, 90000)) for _ in range(rng.randrange(6, 14))]
+        at = rng.randrange(len(body))
+        rows.append(row(i, "\n".join(body[:at] + passages[i % 7] + body[at:])))
+    got = {r.doc_id: r.n_removed for r in lines.drop_repeated_chunks(frame(spark, rows)).collect()}
+    assert got == {i: 0 if i < 7 else len(passages[i % 7]) for i in range(70)}
+
+
+@pytest.mark.parametrize("batch", [1 << 20, 60])
+def test_substrings_of_shared_ids(spark, monkeypatch, batch):
+    monkeypatch.setattr(substrings, "BATCH_WORDS", batch)
+    rng = random.Random(6)
+    passage = prose(rng, 40, 5000)
+    rows = [row(1, " ".join(passage)), row(5, " ".join(prose(rng, 30, 90000) + passage)), row(5, " ".join(prose(rng, 80, 90000)))]
+    got = Counter(tuple(r)[:4] for r in substrings.repeated_windows(frame(spark, rows, 1), 20).collect())
+    assert got == substrings_by_hand(rows, 20) and sorted(r[2] for r in got) == [0, 0, 40]
+    for i in range(9):  # null ids and one id with the passage at several places
+        rows.append(row((None, 5, 5)[i % 3], " ".join(prose(rng, 7 * i, 90000) + passage[: 20 + i] + prose(rng, 5, 90000))))
+    rows += rows[3:6]
+    for seed in (1, 2):
+        random.Random(seed).shuffle(rows)
+        got = Counter(tuple(r)[:4] for r in substrings.repeated_windows(frame(spark, rows, 1 + seed), 20).collect())
+        assert got == substrings_by_hand(rows, 20)
+
+
 def test_quality_counts(spark):
     rows = corpus() + [row(900, "a b c d e " * 7 + "# $ |\nsame line\nsame line\n\n \n same line")]
     docs = frame(spark, rows)

@@ -125,9 +125,11 @@ u AS (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS
 h AS (SELECT *, ('0x' || substr(md5(line), 1, 15))::BIGINT % 2147483647 AS v FROM u),
 b AS (SELECT *, (coalesce(lag(v) OVER (PARTITION BY doc_id ORDER BY i), 0) * 1000003 + v) % 2147483647 % 4 = 0 OR i = n AS ends FROM h),
 c AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM b),
-k AS (SELECT doc_id, min(i) AS first, max(i) AS last, string_agg(line, chr(10) ORDER BY i) AS body FROM c GROUP BY doc_id, chunk HAVING count(*) > 1),
-f AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, first) AS nth FROM k WHERE regexp_matches(body, '[^\\x20\\x09-\\x0D]')),
-gone AS (SELECT doc_id, unnest(range(first, last + 1)) AS i FROM f WHERE nth > 1),
+p AS (SELECT doc_id, i AS first, i + 1 AS last, line || chr(10) || lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS body FROM u),
+k AS (SELECT doc_id, min(i) AS first, max(i) AS last, string_agg(line, chr(10) ORDER BY i) AS body FROM c GROUP BY doc_id, chunk HAVING count(*) > 2
+      UNION ALL SELECT * FROM p WHERE body IS NOT NULL),
+f AS (SELECT *, rank() OVER (PARTITION BY body ORDER BY doc_id, first) AS nth FROM k WHERE regexp_matches(body, '[^\\x20\\x09-\\x0D]')),
+gone AS (SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS i FROM f WHERE nth > 1),
 kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n FROM u ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
 SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text, coalesce(len(l.lines), 0)::BIGINT AS n_lines,
        (coalesce(len(l.lines), 0) - coalesce(k.n, 0))::BIGINT AS n_removed
