@@ -140,6 +140,23 @@ def test_licences(spark, scanner):
     assert licenses.scan(frame(spark, []), model).count() == 0
 
 
+@pytest.mark.parametrize("texts", [[], [None, None], ["", " \n "], ["Released under the MIT License."] * 3])
+def test_licences_learnt_from_hardly_any_text(spark, texts):
+    docs = frame(spark, [row(i, t) for i, t in enumerate(texts)])
+    model = licenses.fit(docs)
+    rows = [row(1, "Released under the MIT License."), row(1, "Released under the MIT License."), row(2, "hello world"), row(None, None)]
+    got = [(r.doc_id, r.family) for r in licenses.scan(frame(spark, rows), model).collect()]
+    assert got == [(1, "MIT"), (1, "MIT")]
+    assert licenses.scan(docs, model).count() == len([t for t in texts if t and "MIT" in t])
+
+
+def test_very_long_paragraph(spark, scanner):
+    _, model = scanner
+    rng = random.Random(12)
+    rows = [row(1, text(rng, "en", 20000) + " Released under the MIT License. " + text(rng, "en", 2000)), row(2, text(rng, "en", 20000))]
+    assert {r.doc_id for r in licenses.scan(frame(spark, rows), model).collect()} <= {1}
+
+
 MIT = (
     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
     'documentation files (the "Software"), to deal in the Software without restriction, including without limitation the '

@@ -125,13 +125,17 @@ def _best(scored: DataFrame) -> DataFrame:
     p = vector_to_array("probability")
     licence = F.slice(p, 1, len(CLASSES) - 1)
     top = F.array_max(licence)
-    return scored.withColumn("_ordinary", F.element_at(p, len(CLASSES))).withColumn("_top", top).withColumn(
+    ordinary = F.coalesce(F.get(p, F.lit(len(CLASSES) - 1)), F.lit(0.0))  # a corpus without ordinary paragraphs trains no such class
+    return scored.withColumn("_ordinary", ordinary).withColumn("_top", top).withColumn(
         "_class", F.array_position(licence, top).cast("int") - 1
     ).withColumn("_odds", F.log((F.col("_top") + 1e-9) / (1 - F.col("_top") + 1e-9)))
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    rows = cut_lineage(_termed(_training_rows(docs, sample)).select("label", "terms", (F.pmod("i", F.lit(4)) == 3).alias("held")).coalesce(4))
+    rows = _termed(_training_rows(docs, sample)).select("label", "terms", (F.pmod("i", F.lit(4)) == 3).alias("held"))
+    # A paragraph without a known term is ordinary, also where the corpus has no paragraph to learn that from.
+    bare = docs.sparkSession.range(16).select(F.lit(float(CLASSES.index(ORDINARY))).alias("label"), F.array().cast("array<string>").alias("terms"), (F.col("id") % 4 == 3).alias("held"))
+    rows = cut_lineage(rows.unionAll(bare).coalesce(4))
     terms = CountVectorizer(inputCol="terms", outputCol="features", vocabSize=FEATURES, minDF=LEAST_ROWS, binary=True).fit(rows)
     rows = cut_lineage(terms.transform(rows).drop("terms"))
     learner = LogisticRegression(family="multinomial", regParam=1e-4, maxIter=60)
