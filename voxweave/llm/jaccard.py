@@ -37,7 +37,8 @@ from .sizing import groups_for, text_bytes
 
 SHINGLE = 5
 SHARE = 75  # per cent of the union
-BATCH = 1 << 20
+BATCH = 1 << 19
+SLICE = 2 << 20
 BUCKET_BYTES = 8 << 20
 SKETCH_BITS = 24
 SLICE_BITS = 16
@@ -146,12 +147,13 @@ def _send_halves(buckets: int):
     def run(batches):
         held = _Half(buckets)
         for whole in batches:
-            for batch in K.slices(whole, "text"):
+            for batch in K.slices(whole, "text", SLICE):
                 held.add(_ids(batch.column(0)), *shingle_sets(*K.utf8(batch.column(1))))
                 if held.total >= BATCH:
                     yield held.rows()
         if held.ids:
             yield held.rows()
+        K.give_back()
 
     return run
 
@@ -357,6 +359,7 @@ def _file(shared, cut: int):
                     [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(heavy)), pa.array(ids[who]), pa.array(n[who].astype(np.int32)), pa.array(mean[who]), pa.array(np.concatenate(place).astype(np.int32))],
                     names=["key", "heavy", "_id", "n", "w", "place"],
                 )
+        K.give_back()
 
     return run
 

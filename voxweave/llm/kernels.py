@@ -7,6 +7,7 @@ with a bijective mixer. Work is done in blocks, so memory beside the text is a f
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
@@ -68,6 +69,14 @@ def cache() -> dict:
     return vars(sys).setdefault("_voxweave_tables", {})
 
 
+def give_back() -> None:
+    """Return freed memory of this worker to the system; workers are used again by later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """``base ** i`` and its inverse for i up to ``n``; ``base`` is odd."""
     have = cache().get(base)

@@ -245,6 +245,7 @@ def _score(model: Model, at: int):
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, *more], names=[*batch.schema.names, "lang_pred", "score", "rejected"]
                 )
+        K.give_back()
 
     return run
 

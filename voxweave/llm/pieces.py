@@ -16,7 +16,6 @@ Rows: a null text has null ids and counts; an empty one has no ids. Columns othe
 
 from __future__ import annotations
 
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +29,8 @@ from . import kernels as K
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN_COST = 10.0
 MARK = "▁"
-_CELLS = 1 << 21
+SLICE = 2 << 20
+_CELLS = 1 << 20
 
 
 @dataclass
@@ -61,7 +61,11 @@ def load(model_file: str = MODEL_FILE) -> Vocabulary:
 
 
 class Automaton:
-    """Dense transitions (state x byte), the first output state of each state, and the next one after it."""
+    """Transitions (state x class of bytes), the first output state of each state, and the next one after it.
+
+    Bytes that no piece holds share one column, and states are numbered in 16 bits where they fit, so the table is a third
+    of a dense one. It is built once, on the driver, and goes to tasks as a broadcast variable.
+    """
 
     def __init__(self, v: Vocabulary):
         children: list[dict[int, int]] = [{}]
@@ -74,7 +78,10 @@ class Automaton:
                     children.append({})
             piece_at[state] = k
         n = len(children)
-        self.go = np.zeros((n, 256), np.int32)
+        used = np.zeros(256, bool)
+        used[list({b for p in v.pieces for b in p})] = True
+        self.column = np.where(used, np.cumsum(used), 0).astype(np.int16)  # 0: bytes of no piece
+        self.go = np.zeros((n, int(used.sum()) + 1), np.uint16 if n <= 1 << 16 else np.int32)
         fail = np.zeros(n, np.int32)
         self.piece = np.full(n, -1, np.int32)
         for state, k in piece_at.items():
@@ -91,16 +98,14 @@ class Automaton:
                     self.next[state] = self.out[link]
                     self.out[state] = state if self.piece[state] >= 0 else self.out[link]
                 for byte, child in children[state].items():
-                    fail[child] = self.go[link, byte] if state else 0
-                    self.go[state, byte] = child
+                    fail[child] = self.go[link, self.column[byte]] if state else 0
+                    self.go[state, self.column[byte]] = child
                     below.append(child)
             level = below
         self.length = np.array([len(p) for p in v.pieces], np.int32)
         self.scores = v.scores
         self.unknown = float(v.scores.min()) - UNKNOWN_COST
         self.ids, self.byte_ids = v.ids, v.byte_ids
-        used = np.zeros(256, bool)
-        used[list({b for p in v.pieces for b in p})] = True
         self.alone = ~used[:128]  # ASCII bytes of no piece stand by themselves
         self.splits = not any(b" " in p.lstrip(b" ") for p in v.pieces)
         size = np.ones(v.size, np.int64)
@@ -126,7 +131,7 @@ def _viterbi(a: Automaton, data: np.ndarray, start: np.ndarray, length: np.ndarr
         k = int(np.searchsorted(-length, -t, "left"))  # stretches longer than t
         rows = np.arange(k)
         byte = data[start[:k] + t]
-        state[:k] = a.go[state[:k], byte]
+        state[:k] = a.go[state[:k], a.column[byte]]
         follow = np.zeros(k, np.uint8)
         more = length[:k] > t + 1
         follow[more] = data[start[:k][more] + t + 1]
@@ -256,22 +261,11 @@ def encode_texts(a: Automaton, data: np.ndarray, at: np.ndarray) -> tuple[np.nda
     )
 
 
-def _key(v: Vocabulary) -> str:
-    return f"pieces-{v.size}-{zlib.crc32(b'/'.join(v.pieces))}-{float(v.scores.sum())}"
-
-
-def _automaton(v: Vocabulary, key: str) -> Automaton:
-    """One automaton a process and vocabulary."""
-    if key not in K.cache():
-        K.cache()[key] = Automaton(v)
-    return K.cache()[key]
-
-
-def _encode(shared, key: str):
+def _encode(shared):
     def run(batches):
-        a = _automaton(shared.value, key)
+        a = shared.value
         for whole in batches:
-            for batch in K.slices(whole, "text", 6 << 20):
+            for batch in K.slices(whole, "text", SLICE):
                 column = batch.column(1)
                 ids, bounds, same = encode_texts(a, *K.utf8(column))
                 valid = np.asarray(column.is_valid())
@@ -280,21 +274,21 @@ def _encode(shared, key: str):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), counts, lists, pa.array(same, mask=~valid)], names=["doc_id", "n_tokens", "ids", "round_trip"]
                 )
+        K.give_back()
 
     return run
 
 
 def tokenize(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(doc_id, n_tokens, ids, round_trip) for every row; whole texts are encoded."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = docs.sparkSession.sparkContext.broadcast(Automaton(vocabulary))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    key = _key(vocabulary)
-    return docs.mapInArrow(_encode(shared, key), "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
+    return docs.mapInArrow(_encode(shared), "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
 
 
-def _decode(shared, key: str):
+def _decode(shared):
     def run(batches):
-        a = _automaton(shared.value, key)
+        a = shared.value
         for batch in batches:
             lists = batch.column(1)
             lists = lists.fill_null([]) if lists.null_count else lists
@@ -310,6 +304,5 @@ def _decode(shared, key: str):
 
 def detokenize(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(doc_id, text) from (doc_id, ids); null ids give a null text."""
-    shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
-    key = _key(vocabulary)
-    return rows.select("doc_id", "ids").mapInArrow(_decode(shared, key), "doc_id long, text string")
+    shared = rows.sparkSession.sparkContext.broadcast(Automaton(vocabulary))
+    return rows.select("doc_id", "ids").mapInArrow(_decode(shared), "doc_id long, text string")
