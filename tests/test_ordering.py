@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -108,3 +109,26 @@ def plan(df):
 def test_no_single_task_over_all_rows(rows):
     for df in (O.cap_per_source(rows, 20, span=16), O.assign_global_index(rows, ["big", "mid"], span=16), O.fixed_batches(rows, span=16)):
         assert "SinglePartition" not in plan(df)
+
+
+def test_even_spans(spark):
+    """Dense, hashed, clustered and missing order values all give short spans in the order of the values."""
+    rng = random.Random(3)
+    rows = [("dense", i) for i in range(400)] + [("hashed", rng.randrange(-(1 << 62), 1 << 62)) for _ in range(400)]
+    rows += [("clustered", rng.choice((0, 10**15)) + rng.randrange(500)) for _ in range(600)] + [(None, i * 7) for i in range(30)]
+    rows += [("dense", None)] * 300 + [("hashed", None)] * 5 + [("one", 4)] * 3
+    df = spark.createDataFrame([(s, v, i) for i, (s, v) in enumerate(rows)], "source string, raw_index long, i int").repartition(4)
+    spans = O.even_spans(df, ["source"], "raw_index", 20).collect()
+    sizes = Counter((r.source, r._span) for r in spans if r.raw_index is not None)
+    assert max(sizes.values()) <= 80 and len(sizes) < 400
+    assert max(Counter(r._span for r in spans if r.source == "dense" and r.raw_index is None).values()) < 60
+    got = O.fixed_batches(df, 7, even=20).collect()
+    for source in {r.source for r in got}:
+        own = [r for r in got if r.source == source]
+        want = sorted((r.raw_index for r in own if r.raw_index is not None))
+        placed = sorted(own, key=lambda r: (r.batch, r.slot))
+        assert [r.raw_index for r in placed] == want + [None] * (len(own) - len(want))
+        assert [(r.batch, r.slot) for r in placed] == [(k // 7, k % 7) for k in range(len(own))]
+    assert O.cap_per_source(df, 15, even=20).groupBy("source").count().where("count > 15").count() == 0
+    assert [r.raw_index for r in O.take_limit(df.where("source = 'hashed'"), 9, ["raw_index"], even=50).orderBy("raw_index").collect()] == sorted(v for s, v in rows if s == "hashed" and v is not None)[:9]
+    assert O.fixed_batches(df.limit(0), 7, even=20).count() == 0

@@ -80,19 +80,26 @@ def pad_left(values: Column | str, width: Column, fill: Column) -> Column:
     return F.concat(repeat(fill, width - F.size(values)), values)
 
 
-def flags(width: Column, test) -> Column:
-    """Boolean array of ``width`` positions; ``test`` maps a 0-based position to a boolean column."""
-    return F.when(width <= 0, F.array().cast("array<boolean>")).otherwise(
-        F.transform(F.sequence(_int(0), width.cast("int") - 1), test)
-    )
+def flag_runs(width: Column, *runs: tuple[Column | int, bool]) -> Column:
+    """Boolean array of ``width`` positions from runs (end, value) in order; what is left is false.
+
+    A run is one repeated value, so nothing is worked out position by position. Ends beyond the width are cut.
+    """
+    width = F.greatest(width.cast("int"), _int(0))
+    parts, at = [], _int(0)
+    for end, value in (*runs, (width, False)):
+        end = F.least(F.greatest(_int(end) if isinstance(end, int) else end.cast("int"), at), width)
+        parts.append(repeat(F.lit(value), end - at))
+        at = end
+    return F.concat(*parts)
 
 
 def right_mask(length: Column, width: Column) -> Column:
-    return flags(width, lambda i: i < length)
+    return flag_runs(width, (length, True))
 
 
 def left_mask(length: Column, width: Column) -> Column:
-    return flags(width, lambda i: i >= width - length)
+    return flag_runs(width, (width - length, False), (width, True))
 
 
 # ---------------------------------------------------------------- training layout
@@ -146,12 +153,12 @@ def attention_mask(length: Column, width: Column) -> Column:
 
 def codec_embedding_mask(length: Column, width: Column) -> Column:
     """Positions 3.. of the sequence except 6, which is kept for the speaker vector."""
-    return flags(width, lambda i: (i >= 3) & (i < length) & (i != 6))
+    return flag_runs(width, (F.least(_int(3), length), False), (F.least(_int(6), length), True), (F.least(_int(7), length), False), (length, True))
 
 
 def codec_mask(text_length: Column, frames: Column, width: Column) -> Column:
     """The positions that hold code frames."""
-    return flags(width, lambda i: (i >= text_length + 7) & (i < text_length + 7 + frames))
+    return flag_runs(width, (text_length + 7, False), (text_length + 7 + frames, True))
 
 
 # ---------------------------------------------------------------- preference and generation layouts

@@ -43,21 +43,60 @@ def span_offsets(df: DataFrame, part: list[str], below: int | None = None) -> Da
     return measured(offsets if below is None else offsets.where(F.col("_before") < below))
 
 
+def even_spans(df: DataFrame, part: list[str], order: str, rows: int = SPAN // 4, levels: int = 3) -> DataFrame:
+    """``df`` with ``_span``: cells of about ``rows`` rows of each part whatever its order values look like.
+
+    The values of a part are cut into equal ranges, and a range that still holds too many rows is cut again, up to
+    ``levels`` times. Each level is one narrow pass that counts cells on the map side; only the list of cells that are
+    too full goes on to the next. Rows without an order value follow all others and are dealt by a hash of the row. Cells
+    compare as (cell, cell inside it, ...), in the order of the values.
+    """
+    value, cells = F.col(order).cast("double"), [f"_cell{k}" for k in range(levels)]
+    hashed = F.xxhash64(*df.columns)
+    inside = [F.col(c) for c in part]
+    for k, cell in enumerate(cells):
+        sizes = df.groupBy(*inside, *cells[:k]).agg(
+            F.count(value).alias("_n"), F.min(value).alias("_low"), F.max(value).alias("_high"), F.count_if(value.isNull()).alias("_none")
+        )
+        sizes = sizes.where((F.col("_n") > rows) | (F.col("_none") > rows)) if k else sizes
+        listed = measured(sizes.select(
+            *[F.col(c).alias(f"_at_{i}") for i, c in enumerate([*part, *cells[:k]])], "_low", "_high",
+            F.ceil(F.col("_n") / rows).alias("_cells"), F.ceil(F.col("_none") / rows).alias("_null_cells"),
+        ))
+        same = F.lit(True)
+        for i, c in enumerate([*part, *cells[:k]]):
+            same = same & F.col(c).eqNullSafe(F.col(f"_at_{i}"))
+        width = F.greatest(F.col("_high") - F.col("_low"), F.lit(1e-300))
+        number = F.least(F.floor((value - F.col("_low")) / width * F.col("_cells")), F.col("_cells") - 1)
+        dealt = F.col("_cells") + F.pmod(hashed, F.greatest(F.col("_null_cells"), F.lit(1)))
+        df = df.join(listed, same, "left").withColumn(cell, F.coalesce(F.when(value.isNull(), dealt if k == 0 else None).otherwise(number), F.lit(0)).cast("long"))
+        df = df.drop("_low", "_high", "_cells", "_null_cells", *[f"_at_{i}" for i in range(len(part) + k)])
+        if k + 1 < levels and not sizes.where(F.col("_n") > 4 * rows).take(1):
+            cells = cells[: k + 1]
+            break
+    return df.withColumn("_span", F.struct(*cells)).drop(*cells)
+
+
 def dense_position(
     df: DataFrame, part: list[str], order: list[str], span: Column | None = None, name: str = "position",
-    below: int | None = None, counted: DataFrame | None = None, offsets: DataFrame | None = None,
+    below: int | None = None, counted: DataFrame | None = None, offsets: DataFrame | None = None, even: int | None = None,
 ) -> DataFrame:
     """0-based position of every row inside ``part`` by ``order``.
 
+    ``even`` takes spans of about so many rows from ``even_spans``, for order values that are sparse, hashed or missing.
+
     ``span`` must grow with the first order column (default: ranges of that integer column). Rows whose first order
     column is null come last; a null ``part`` is a part of its own. With ``below`` only positions under it are kept, and spans that start past it are dropped
     before any row is shuffled. ``counted`` may name a cheaper frame with the same rows for the counting pass,
     ``offsets`` counts that are already there.
     """
-    span = F.coalesce(span_of(order[0]) if span is None else span, F.lit(LAST_SPAN))
-    keyed = df.withColumn("_span", span)
+    if even:
+        keyed = even_spans(df, part, order[0], even)
+    else:
+        span = F.coalesce(span_of(order[0]) if span is None else span, F.lit(LAST_SPAN))
+        keyed = df.withColumn("_span", span)
     if offsets is None:
-        offsets = span_offsets(keyed if counted is None else counted.withColumn("_span", span), part, below)
+        offsets = span_offsets(keyed if counted is None or even else counted.withColumn("_span", span), part, below)
     inside = Window.partitionBy(*part, "_span").orderBy(*[F.asc_nulls_last(c) for c in order])
     marks = offsets.select("_before", F.col("_span").alias("_at_span"), *[F.col(c).alias(f"_at_{k}") for k, c in enumerate(part)])
     same = F.col("_span") == F.col("_at_span")
@@ -102,25 +141,25 @@ def assign_global_index(df: DataFrame, sources: list[str], raw_index: str = "raw
 
 
 def cap_per_source(df: DataFrame, cap: int | None, source: str = "source", raw_index: str = "raw_index",
-                   span: int = SPAN) -> DataFrame:
+                   span: int = SPAN, even: int | None = None) -> DataFrame:
     """First ``cap`` surviving rows of every source; filters run before, so only survivors count."""
     if cap is None:
         return df
-    return dense_position(df, [source], [raw_index], span_of(raw_index, span), "_at", below=cap).drop("_at")
+    return dense_position(df, [source], [raw_index], span_of(raw_index, span), "_at", below=cap, even=even).drop("_at")
 
 
 def fixed_batches(df: DataFrame, size: int = K.ENCODE_BATCH, source: str = "source", raw_index: str = "raw_index",
-                  span: int = SPAN) -> DataFrame:
+                  span: int = SPAN, even: int | None = None) -> DataFrame:
     """Batch number and slot inside a source; a batch never spans two sources and the last may be short."""
-    placed = dense_position(df, [source], [raw_index], span_of(raw_index, span), "_at")
+    placed = dense_position(df, [source], [raw_index], span_of(raw_index, span), "_at", even=even)
     return placed.withColumn("batch", whole("_at", size)).withColumn(
         "slot", F.col("_at") % size
     ).drop("_at")
 
 
-def take_limit(df: DataFrame, limit: int, order: list[str], span: Column | None = None) -> DataFrame:
+def take_limit(df: DataFrame, limit: int, order: list[str], span: Column | None = None, even: int | None = None) -> DataFrame:
     """First ``min(limit, rows)`` rows by ``order``; only spans that can reach the limit are sorted."""
-    return dense_position(df.withColumn("_all", F.lit(0)), ["_all"], order, span, "_at", below=limit).drop("_all", "_at")
+    return dense_position(df.withColumn("_all", F.lit(0)), ["_all"], order, span, "_at", below=limit, even=even).drop("_all", "_at")
 
 
 def shuffle_key(row_id: Column | str, epoch: Column | int, seed: int = 0) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.text import _col, match_key
 from ..session import measured
-from .ordering import SPAN, dense_position, source_rank, span_of
+from .ordering import LAST_SPAN, SPAN, dense_position, source_rank, span_of
 
 STATE_JSON = (
     "mode string, next_index long, rows_written long, next_part long, updated_at string, "
@@ -115,9 +115,10 @@ def anchor_sequence_search(anchors: DataFrame, rows: DataFrame, has_key: Column
 
     ``rows`` is (source, raw_index, key) with a null key for rows the source adapter drops; ``has_key`` may give
     a cheaper test for that. A row that equals anchor ``step`` at position ``p`` votes for a match that began at
-    ``p - step``; a start with a vote from every step is a match. Keys are compared before rows are numbered, so
-    only (source, raw_index, steps) is shuffled. One row per anchored source comes back, with a null index when
-    nothing matched.
+    ``p - step``; a start with a vote from every step is a match. One narrow pass counts rows by span and says which
+    spans hold an anchor key: every row of a match lies in one of these. Only they are numbered, from the counts of all,
+    so other spans are neither shuffled nor, where raw indices prune them, read again. One row per anchored source comes
+    back, with a null index when nothing matched.
     """
     present = F.col("key").isNotNull() if has_key is None else has_key
     # The anchors are a handful of rows by construction: found once, then broadcast.
@@ -126,7 +127,16 @@ def anchor_sequence_search(anchors: DataFrame, rows: DataFrame, has_key: Column
     sources = F.broadcast(anchors.select("source").distinct())
     named = rows.where(present).join(sources, "source", "left_semi")
     tagged = named.join(F.broadcast(steps), ["source", "key"], "left").select("source", "raw_index", "_at_step")
-    placed = dense_position(tagged, ["source"], ["raw_index"], span_of("raw_index", span), "_at", counted=named)
+    at_span = F.coalesce(span_of("raw_index", span), F.lit(LAST_SPAN))
+    counts = tagged.groupBy("source", at_span.alias("_span")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.max(F.col("_at_step").isNotNull()).alias("_hit")
+    )
+    before = Window.partitionBy("source").orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = measured(counts.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).where("_hit").drop("_hit"))
+    low, high = spans.agg(F.min("_span"), F.max("_span")).first()
+    if low is not None and high < LAST_SPAN:
+        tagged = tagged.where(F.col("raw_index").between(low * span - span + 1, high * span + span - 1))
+    placed = dense_position(tagged, ["source"], ["raw_index"], span_of("raw_index", span), "_at", offsets=spans)
     votes = placed.select("source", "raw_index", "_at", F.explode("_at_step").alias("_step"))
     total = anchors.select("source", "steps").distinct()
     matches = (

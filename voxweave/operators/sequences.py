@@ -1,58 +1,118 @@
 """Training batches: sequences laid out per row and padded to the longest of their batch.
 
-A batch has a few dozen rows, so the window that finds its longest sequence moves every row once and never
-builds a large group.
+``plan_batches`` numbers slim rows (key, source, lengths) and finds the widest of every batch, so texts and codes move at
+most once, to their batch, and arrays are built where they stay. Without such a plan the widths come from a window over
+the rows themselves; a batch has a few dozen rows, so that never builds a large group.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions import arrays as A
 from ..functions.text import _col
+from ..session import measured
+from .ordering import SPAN, fixed_batches
+
+
+def plan_batches(df: DataFrame, key: str, lengths: dict[str, Column], size: int = K.ENCODE_BATCH, source: str = "source",
+                 span: int = SPAN) -> DataFrame:
+    """(key, source, batch, and for each entry of ``lengths`` the largest in the batch), one slim row for each row of ``df``."""
+    slim = df.select(key, source, *[c.cast("int").alias(f"_{n}") for n, c in lengths.items()])
+    placed = fixed_batches(slim, size, source, key, span).drop("slot")
+    batch = Window.partitionBy(source, "batch")
+    return placed.select(key, source, "batch", *[F.max(f"_{n}").over(batch).alias(n) for n in lengths])
+
+
+def with_plan(df: DataFrame, plan: DataFrame, key: str) -> DataFrame:
+    """``df`` with the columns of its plan; a short plan is broadcast, so that no row of ``df`` moves."""
+    return df.drop(*[c for c in plan.columns if c != key]).join(measured(plan), key)
+
+
+def code_point_ids(df: DataFrame, text: str, into: str, head: tuple[int, ...] = (), tail: tuple[int, ...] = ()) -> DataFrame:
+    """Code points of a text between fixed ids, as ``array<int>``; a null text gives null.
+
+    Texts are brought to four bytes a character a batch at a time, so nothing is done character by character.
+    """
+    schema = T.StructType(list(df.schema.fields)).add(into, T.ArrayType(T.IntegerType()))
+    return df.mapInArrow(_code_points(df.columns.index(text), into, np.array(head, np.int32), np.array(tail, np.int32)), schema)
+
+
+def _code_points(at: int, into: str, head: np.ndarray, tail: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(at)
+            body = "".join(column.fill_null("").to_pylist()).encode("utf-32-le")
+            points = np.frombuffer(body, np.int32)
+            size = np.array(pc.fill_null(pc.utf8_length(column), 0), np.int64)
+            ends = np.cumsum(size)
+            own = np.repeat(np.arange(len(size)), size)
+            keep = points > 0
+            points, own = points[keep], own[keep]
+            size = np.bincount(own, minlength=len(ends)) + len(head) + len(tail)
+            first = np.concatenate([[0], np.cumsum(size)])
+            out = np.empty(int(first[-1]), np.int32)
+            for k, value in enumerate(head):
+                out[first[:-1] + k] = value
+            for k, value in enumerate(tail):
+                out[first[1:] - len(tail) + k] = value
+            index = np.arange(len(points)) - np.concatenate([[0], np.cumsum(size - len(head) - len(tail))])[:-1].repeat(size - len(head) - len(tail))
+            out[first[own] + len(head) + index] = points
+            valid = np.append(np.asarray(column.is_valid()), True)
+            lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32), mask=~valid), pa.array(out))
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, into])
+
+    return run
 
 
 def batch_width(length: Column, batch: list[str]) -> Column:
     return F.max(length).over(Window.partitionBy(*batch))
 
 
-def _measured(df: DataFrame, values: str, batch: list[str]) -> DataFrame:
-    # The length is kept as a column of its own: inside the mask's lambda, the name of the padded column
-    # would mean the padded value.
-    return df.withColumns({"_length": F.size(values), "_width": batch_width(F.size(values), batch)})
+def _measured(df: DataFrame, values: str, batch: list[str], width: str | None = None) -> DataFrame:
+    return df.withColumns({"_length": F.size(values), "_width": batch_width(F.size(values), batch) if width is None else F.col(width)})
 
 
-def pad_right_batch(df: DataFrame, values: str, batch: list[str], fill: Column | int = 0, mask: str = "mask") -> DataFrame:
-    """Values padded on the right to the batch maximum, and a mask of the real positions."""
+def pad_right_batch(df: DataFrame, values: str, batch: list[str], fill: Column | int = 0, mask: str = "mask",
+                    width: str | None = None) -> DataFrame:
+    """Values padded on the right to the batch maximum, and a mask of the real positions. ``width`` is a planned maximum."""
     fill = A._int(fill) if isinstance(fill, int) else fill
-    df = _measured(df, values, batch)
+    df = _measured(df, values, batch, width)
     padded = A.pad_right(values, F.col("_width"), fill)
     return df.withColumns({mask: A.right_mask(F.col("_length"), F.col("_width")), values: padded}).drop("_width", "_length")
 
 
-def pad_left_batch(df: DataFrame, values: str, batch: list[str], fill: Column | int = 0, mask: str = "mask") -> DataFrame:
+def pad_left_batch(df: DataFrame, values: str, batch: list[str], fill: Column | int = 0, mask: str = "mask",
+                   width: str | None = None) -> DataFrame:
     fill = A._int(fill) if isinstance(fill, int) else fill
-    df = _measured(df, values, batch)
+    df = _measured(df, values, batch, width)
     padded = A.pad_left(values, F.col("_width"), fill)
     return df.withColumns({mask: A.left_mask(F.col("_length"), F.col("_width")), values: padded}).drop("_width", "_length")
 
 
-def instruct_pad_mask(df: DataFrame, ids: str, batch: list[str], mask: str = "instruct_mask") -> DataFrame:
+def instruct_pad_mask(df: DataFrame, ids: str, batch: list[str], mask: str = "instruct_mask", width: str | None = None) -> DataFrame:
     """As ``pad_right_batch``; a null instruction is an empty one, so its mask is all false."""
-    return pad_right_batch(df.withColumn(ids, F.coalesce(ids, F.array().cast("array<int>"))), ids, batch, 0, mask)
+    return pad_right_batch(df.withColumn(ids, F.coalesce(ids, F.array().cast("array<int>"))), ids, batch, 0, mask, width)
 
 
-def assemble_sequences(df: DataFrame, text_ids: str, codes: str, batch: list[str], which: set[str] | None = None) -> DataFrame:
+def assemble_sequences(df: DataFrame, text_ids: str, codes: str, batch: list[str], which: set[str] | None = None,
+                       width: str | None = None) -> DataFrame:
     """All training tensors of a batch; ``which`` picks some of them.
 
-    The batch maximum is taken from lengths alone. Layout expressions come after the shuffle, so what moves is
-    the input row and not the padded tensors.
+    With ``width``, the planned maximum of the batch, nothing moves. Without it the maximum is taken by a window, before
+    layout expressions, so what moves is the input row and not the padded tensors.
     """
     text, frames = F.size(_col(text_ids)), F.size(_col(codes))
     length = A.sequence_length(text_ids, codes)
-    df = df.withColumn("_width", batch_width(length, batch))
+    df = df.withColumn("_width", batch_width(length, batch) if width is None else F.col(width))
     width = F.col("_width")
     zero_row = A.ints(*[0] * K.CODEBOOKS)
     made = {
@@ -94,6 +154,12 @@ def masked_frame_gather(df: DataFrame, seq: str, mask: str, codes: str) -> DataF
     )
 
 
+def frames_by_offset(df: DataFrame, seq: str, codes: str, offset: Column) -> DataFrame:
+    """As ``masked_frame_gather`` where the masked positions are the run of frames from ``offset`` on: nothing is padded."""
+    rows = df.select(seq, offset.cast("int").alias("_from"), F.posexplode(codes).alias("_k", "frame"))
+    return rows.select(seq, (F.col("_from") + F.col("_k")).alias("position"), "frame")
+
+
 def subcode_inputs_labels(df: DataFrame, frame: str = "frame", width: int = K.CODEBOOKS) -> DataFrame:
     return df.withColumns({"inputs": F.slice(frame, 1, width - 1), "labels": F.slice(frame, 2, width - 1)})
 

@@ -336,6 +336,28 @@ def fixed_batches(spark, sf):
     return O.fixed_batches(I.clean_rows(spark, sf).select("source", "raw_index"))
 
 
+HASHED_SQL = "('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT"
+
+
+@query(
+    "fixed_batches_hashed",
+    f"""WITH h AS (SELECT doc_id, source, CASE WHEN doc_id % 11 > 0 THEN {HASHED_SQL} END AS hashed FROM documents),
+ n AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY hashed NULLS LAST, doc_id) - 1 AS rn FROM h)
+ SELECT source, doc_id, rn // 32 AS batch, rn % 32 AS slot FROM n WHERE hashed IS NOT NULL
+ UNION ALL SELECT source, NULL, rn // 32, rn % 32 FROM n WHERE hashed IS NULL""",
+)
+def fixed_batches_hashed(spark, sf):
+    """Order values are 60-bit hashes, and every eleventh row has none: spans are even all the same.
+
+    Rows without an order value follow the others in any order, so their ids are not shown.
+    """
+    rows = I.table(spark, sf, "documents").select("source", "doc_id")
+    hashed = F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 15), 16, 10).cast("long")
+    rows = rows.withColumn("hashed", F.when(F.col("doc_id") % 11 > 0, hashed))
+    placed = O.fixed_batches(rows, raw_index="hashed", even=16)
+    return placed.select("source", F.when(F.col("hashed").isNotNull(), F.col("doc_id")).alias("doc_id"), "batch", "slot")
+
+
 @query(
     "length_ratio_batches",
     f"""WITH RECURSIVE {I.CLEANED}, n AS (SELECT source, raw_index, n_chars AS len, row_number() OVER (PARTITION BY source ORDER BY raw_index) AS rn FROM kept),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 SOURCES = ["src_0", "src_1", "src_2"]
 
 
@@ -107,7 +109,7 @@ def clean_rows(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- codes and text ids
 
 
-def code_rows(spark: SparkSession, sf: str, with_end: bool = False, extra: tuple = ()) -> DataFrame:
+def code_rows(spark: SparkSession, sf: str, with_end: bool = False, extra: tuple = (), rows: DataFrame | None = None) -> DataFrame:
     """Codes of ``n_chars / 40 + 1`` frames per document; optionally with an end id in the first code."""
     d = F.col("doc_id")
 
@@ -119,7 +121,7 @@ def code_rows(spark: SparkSession, sf: str, with_end: bool = False, extra: tuple
         return F.transform(F.sequence(F.lit(0), F.lit(15)), code)
 
     frames = F.transform(F.sequence(F.lit(0), F.floor(F.col("n_chars") / 40).cast("int")), frame)
-    rows = table(spark, sf, "documents")
+    rows = spread(table(spark, sf, "documents").select("doc_id", "n_chars", *extra)) if rows is None else rows
     return rows.select("doc_id", "n_chars", frames.alias("codes"), *extra)
 
 
@@ -130,12 +132,14 @@ def sql_codes(with_end: bool = False) -> str:
     return f"list_transform(range(0, n_chars // 40 + 1), lambda t: list_transform(range(0, 16), lambda q: {value}))"
 
 
-def text_ids(c: Column | str) -> Column:
-    """Template ids around the code points of a text."""
-    c = F.col(c) if isinstance(c, str) else c
-    points = F.transform(F.split(c, ""), lambda ch: F.ascii(ch).cast("int"))
-    fixed = [F.array(*[F.lit(i).cast("int") for i in ids]) for ids in ((1, 2, 3), (4, 5, 6, 7, 8))]
-    return F.concat(fixed[0], F.filter(points, lambda p: p > 0), fixed[1])
+HEAD, TAIL = (1, 2, 3), (4, 5, 6, 7, 8)
+
+
+def with_text_ids(rows: DataFrame, into: str = "ids") -> DataFrame:
+    """Template ids around the code points of ``text``."""
+    from ..operators.sequences import code_point_ids
+
+    return code_point_ids(rows, "text", into, HEAD, TAIL)
 
 
 def sql_text_ids(x: str) -> str:
@@ -143,13 +147,20 @@ def sql_text_ids(x: str) -> str:
 
 
 def layout_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Trimmed text ids and codes of every document, with its batch."""
+    """Trimmed text ids and codes of every document, with its batch and the widths of the batch.
+
+    Batches are planned on lengths; ids and codes are built beside their text, which does not move again.
+    """
     from ..functions import arrays as A
-    from ..operators.ordering import fixed_batches
+    from ..operators import sequences as S
 
     source = F.concat(F.lit("src_"), (F.col("doc_id") % 3).cast("string")).alias("source")
-    rows = code_rows(spark, sf, extra=(A.drop_ends(text_ids("text"), 0, 5).alias("text_ids"), source))
-    return fixed_batches(rows, 32, "source", "doc_id").drop("slot")
+    rows = table(spark, sf, "documents").select("doc_id", "n_chars", "text", source)
+    text, frames = F.char_length("text") + len(HEAD), F.floor(F.col("n_chars") / 40) + 1
+    plan = S.plan_batches(rows, "doc_id", {"width": text + frames + 8, "code_width": frames})
+    rows = S.with_plan(spread(rows), plan, "doc_id")
+    rows = with_text_ids(rows, "text_ids").withColumn("text_ids", A.drop_ends("text_ids", 0, 5))
+    return code_rows(spark, sf, extra=("source", "batch", "width", "code_width", "text_ids"), rows=rows)
 
 
 LAYOUT = f"""docs AS (SELECT doc_id, 'src_' || (doc_id % 3) AS source, {sql_codes()} AS codes,

@@ -8,6 +8,7 @@ from ..functions import arrays as A
 from ..functions import audio as U
 from ..functions import text as X
 from ..operators import sequences as S
+from ..session import spread
 from . import inputs as I
 from .registry import query
 
@@ -62,7 +63,7 @@ def prepend_reference_codes(spark, sf):
  {I.sql_show('ids[4:len(ids)-2]')} AS reference_ids, {I.sql_show('ids[4:len(ids)-5]')} AS body_ids FROM t""",
 )
 def trim_template_ids(spark, sf):
-    rows = I.table(spark, sf, "documents").select("doc_id", I.text_ids("text").alias("ids"))
+    rows = I.with_text_ids(spread(I.table(spark, sf, "documents").select("doc_id", "text")))
     return rows.select(
         "doc_id", I.show(A.drop_ends("ids", 0, 5)).alias("text_ids"), I.show(A.drop_ends("ids", 3, 2)).alias("reference_ids"),
         I.show(A.drop_ends("ids", 3, 5)).alias("body_ids"),
@@ -88,7 +89,7 @@ def _padded(x: str, fill: str, extra: str = "width - (lt + lc + 8)") -> str:
 
 
 def _layout(spark, sf, name):
-    return S.assemble_sequences(I.layout_rows(spark, sf), "text_ids", "codes", BATCH, {name})
+    return S.assemble_sequences(I.layout_rows(spark, sf), "text_ids", "codes", BATCH, {name}, "width")
 
 
 @query("sequence_text_channel", f"WITH {I.LAYOUT} SELECT doc_id, {I.sql_show(_padded(SQL_TEXT_CHANNEL, '0'))} AS ids FROM lay")
@@ -122,7 +123,7 @@ def _sql_mask(test: str, width: str = "width") -> str:
 )
 def sequence_masks(spark, sf):
     names = ["attention_mask", "text_embedding_mask", "codec_embedding_mask", "codec_mask"]
-    rows = S.assemble_sequences(I.layout_rows(spark, sf), "text_ids", "codes", BATCH, set(names))
+    rows = S.assemble_sequences(I.layout_rows(spark, sf), "text_ids", "codes", BATCH, set(names), "width")
     return rows.select("doc_id", *[I.show_flags(n).alias(n) for n in names])
 
 
@@ -133,7 +134,7 @@ def sequence_masks(spark, sf):
 )
 def pad_right_batch(spark, sf):
     rows = I.layout_rows(spark, sf).withColumn("c0", A.first_codes("codes"))
-    return S.pad_right_batch(rows, "c0", BATCH, -100).select("doc_id", I.show("c0").alias("c0"), I.show_flags("mask").alias("mask"))
+    return S.pad_right_batch(rows, "c0", BATCH, -100, width="code_width").select("doc_id", I.show("c0").alias("c0"), I.show_flags("mask").alias("mask"))
 
 
 @query(
@@ -143,7 +144,7 @@ def pad_right_batch(spark, sf):
 )
 def pad_left_batch(spark, sf):
     rows = I.layout_rows(spark, sf).withColumn("c0", A.first_codes("codes"))
-    return S.pad_left_batch(rows, "c0", BATCH, 0).select("doc_id", I.show("c0").alias("c0"), I.show_flags("mask").alias("mask"))
+    return S.pad_left_batch(rows, "c0", BATCH, 0, width="code_width").select("doc_id", I.show("c0").alias("c0"), I.show_flags("mask").alias("mask"))
 
 
 INSTRUCT = f"""{I.LAYOUT}, ins0 AS (SELECT *, CASE WHEN doc_id % 3 = 0 OR batch % 4 = 1 THEN [] ELSE text_ids[4:3 + doc_id % 7] END AS ids FROM lay),
@@ -173,7 +174,7 @@ def instruct_pad_mask(spark, sf):
 )
 def instruct_prefix(spark, sf):
     names = {"attention_mask", "codec_mask", "labels", "code_matrix"}
-    rows = S.assemble_sequences(_instruct(spark, sf), "text_ids", "codes", BATCH, names)
+    rows = S.assemble_sequences(_instruct(spark, sf), "text_ids", "codes", BATCH, names, "width")
     return S.instruct_prefix(rows).select(
         "doc_id", I.show_flags("attention_mask").alias("attention_mask"), I.show_flags("codec_mask").alias("codec_mask"),
         I.show("labels").alias("labels"), F.size("code_matrix").cast("long").alias("code_rows"),
@@ -186,7 +187,7 @@ def instruct_prefix(spark, sf):
  SELECT doc_id, {I.sql_show('inputs[1:len(inputs)-1]')} AS inputs, {I.sql_show('labels[2:]')} AS labels FROM s""",
 )
 def shift_for_prediction(spark, sf):
-    rows = S.assemble_sequences(I.layout_rows(spark, sf), "text_ids", "codes", BATCH, {"codec_channel", "labels"})
+    rows = S.assemble_sequences(I.layout_rows(spark, sf), "text_ids", "codes", BATCH, {"codec_channel", "labels"}, "width")
     rows = S.shift_for_prediction(rows, ["codec_channel"], ["labels"])
     return rows.select("doc_id", I.show("codec_channel").alias("inputs"), I.show("labels").alias("labels"))
 
@@ -197,8 +198,8 @@ def shift_for_prediction(spark, sf):
  SELECT doc_id, CAST(lt + 6 + k AS INTEGER) AS position, {I.sql_show('frame')} AS frame FROM g""",
 )
 def masked_frame_gather(spark, sf):
-    rows = S.assemble_sequences(I.layout_rows(spark, sf), "text_ids", "codes", BATCH, {"codec_mask", "code_matrix"})
-    return S.masked_frame_gather(rows, "doc_id", "codec_mask", "code_matrix").withColumn("frame", I.show("frame"))
+    rows = S.frames_by_offset(I.layout_rows(spark, sf), "doc_id", "codes", F.size("text_ids") + 7)
+    return rows.withColumn("frame", I.show("frame"))
 
 
 @query(
@@ -219,7 +220,7 @@ def subcode_inputs_labels(spark, sf):
  {I.sql_show('text_ids[lc + 1:]')} AS remainder FROM a""",
 )
 def align_text_codec(spark, sf):
-    rows = I.code_rows(spark, sf, extra=(A.drop_ends(I.text_ids("text"), 0, 5).alias("text_ids"),))
+    rows = I.with_text_ids(I.code_rows(spark, sf, extra=("text",)), "text_ids").withColumn("text_ids", A.drop_ends("text_ids", 0, 5))
     rows = rows.withColumn("c0", A.first_codes("codes"))
     return rows.select(
         "doc_id", I.show(A.aligned_text("text_ids", "c0")).alias("text_side"), I.show("c0").alias("codec_side"),

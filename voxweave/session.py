@@ -51,6 +51,12 @@ def fits_rows(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt out evenly if it comes in fewer parts than the session has cores (one small file, say); else as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def measured(df: DataFrame, rows: int = 200_000) -> DataFrame:
     """Run a summary once. Up to ``rows`` rows come back as a broadcast table; a longer one stays as it is."""
     got = df.limit(rows + 1).collect()
