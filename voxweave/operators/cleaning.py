@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions import text as X
+from ..session import join_small_or_salted
 from .ordering import cap_per_source
 
 AUDIO = T.StructType([T.StructField("bytes", T.BinaryType()), T.StructField("path", T.StringType())])
@@ -159,7 +160,8 @@ def audio_value_unify(
 
     Looked at in order: plain path, embedded bytes, samples with a rate (WAV), path to a file. Input columns:
     ``audio_path`` (plain string form) and ``audio`` struct<bytes, path, filename, samples, rate>. ``files`` is a
-    (path, content) table; paths that are not in it give null bytes.
+    (path, content) table; paths that are not in it give null bytes. Rows that need no file bypass that join, and paths
+    that very many rows share are joined by themselves.
     """
     from .clips import wav_bytes
 
@@ -173,7 +175,9 @@ def audio_value_unify(
     need = plain | (inner["bytes"].isNull() & ~has_wave)
     rows = rows.withColumn("_lookup", F.when(need, F.col("_lookup")))
     if files is not None:
-        rows = rows.join(files.select(F.col("path").alias("_lookup"), F.col("content").alias("_content")), "_lookup", "left")
+        size = files.agg(F.sum("length")).first()[0] or 0 if "length" in files.columns else None
+        found = files.select(F.col("path").alias("_lookup"), F.col("content").alias("_content"))
+        rows = join_small_or_salted(rows, found, "_lookup", "left", "_content", size=size)
     else:
         rows = rows.withColumn("_content", F.lit(None).cast("binary"))
     wave = F.when(has_wave & ~plain & inner["bytes"].isNull(), wav_bytes(inner["samples"], inner["rate"]))

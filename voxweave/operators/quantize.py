@@ -12,6 +12,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -381,12 +382,6 @@ def grouped_rvq_decode(df: DataFrame, codebooks: DataFrame, groups: int, codes:
 # ---------------------------------------------------------------- statistics over frames
 
 
-def _frame_means(frames: DataFrame, key: str, vec: str, weight: Column) -> DataFrame:
-    slim = frames.select(key, F.col(vec).alias("_v"), weight.alias("_w"))
-    value = F.col("_x").cast("double") * F.col("_w")
-    return sum_vectors(slim, [key], "_v", "_sum", value, [F.sum("_w").alias("_weight")])
-
-
 def _few(means: DataFrame, dim: int) -> DataFrame:
     """Means worked out once and broadcast while they are few; a long clip then stays where its frames are.
 
@@ -395,11 +390,93 @@ def _few(means: DataFrame, dim: int) -> DataFrame:
     return measured(means, max(1, (BROADCAST_BYTES >> 3) // (8 * dim)))
 
 
+KEYS_HELD = 4096
+STATE = "weight double, mean array<double>, m2 array<double>"
+
+
+def _merge(w: np.ndarray, mean: np.ndarray, m2: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One state (weight, mean, sum of squared deviations) for each run of states that begins at ``first``.
+
+    Deviations are taken from the run's own mean, so nothing is lost where values lie far from zero.
+    """
+    run = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(w))))
+    total = np.add.reduceat(w, first)
+    centre = np.add.reduceat(w[:, None] * mean, first) / np.where(total == 0, 1, total)[:, None]
+    gap = mean - centre[run]
+    return total, centre, np.add.reduceat(m2 + w[:, None] * gap * gap, first)
+
+
+def _states(at_key: int):
+    """States of each key in a partition, merged as batches come in, and sent before too many keys are held."""
+
+    def run(batches):
+        held, part = {}, TaskContext.get().partitionId()
+
+        def send():
+            kind = kinds[0]
+            rows = list(held.items())
+            held.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array([k for k, _ in rows], kind), pa.array([part % 64] * len(rows), pa.int32()), pa.array([s[0] for _, s in rows]),
+                 pa.array([s[1] for _, s in rows], pa.list_(pa.float64())), pa.array([s[2] for _, s in rows], pa.list_(pa.float64()))],
+                names=["key", "_salt", "weight", "mean", "m2"],
+            )
+
+        kinds = [None]
+        for batch in batches:
+            batch = batch.filter(pc.and_(batch.column(1).is_valid(), batch.column(2).is_valid()))
+            if not batch.num_rows:
+                continue
+            kinds[0] = batch.column(0).type
+            codes = batch.column(0).dictionary_encode()
+            names, code = codes.dictionary.to_pylist(), codes.indices.fill_null(len(codes.dictionary)).to_numpy(zero_copy_only=False)
+            names.append(None)
+            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(batch.num_rows, -1)
+            by = np.argsort(code, kind="stable")
+            first = np.flatnonzero(np.diff(code[by], prepend=-1))
+            states = _merge(batch.column(2).to_numpy(zero_copy_only=False)[by], x[by], np.zeros_like(x), first)
+            for k, state in zip(code[by][first].tolist(), zip(*states)):
+                have = held.get(names[k])
+                if have is not None:
+                    both = _merge(*(np.stack([np.asarray(a), np.asarray(b)]) for a, b in zip(have, state)), np.array([0]))
+                    state = tuple(b[0] for b in both)
+                held[names[k]] = state
+            if len(held) >= KEYS_HELD:
+                yield send()
+        if held:
+            yield send()
+
+    return run
+
+
+def _merged(table: pa.Table) -> pa.Table:
+    w = table.column("weight").to_numpy()
+    mean, m2 = (table.column(c).combine_chunks().flatten().to_numpy().reshape(len(w), -1) for c in ("mean", "m2"))
+    total, centre, spread = _merge(w, mean, m2, np.array([0]))
+    head = table.slice(0, 1)
+    for name, value in (("weight", total), ("mean", list(centre)), ("m2", list(spread))):
+        at = head.schema.get_field_index(name)
+        head = head.set_column(at, name, pa.array(value, head.schema.field(at).type))
+    return head
+
+
+def moment_states(frames: DataFrame, key: str, vec: str, weight: Column) -> DataFrame:
+    """(key, weight, mean, m2) of the vectors of each key, in one pass.
+
+    A task sends one state for each key it saw, whatever the number of frames; states of a key are merged in up to 64
+    groups and these once more, so a clip that fills half the table is no different from a small one.
+    """
+    slim = frames.select(F.col(key).alias("key"), F.col(vec).cast("array<double>").alias("_v"), weight.cast("double").alias("_w"))
+    kind = slim.schema["key"].dataType.simpleString()
+    states = slim.mapInArrow(_states(0), f"key {kind}, _salt int, {STATE}")
+    states = states.groupBy("key", "_salt").applyInArrow(_merged, f"key {kind}, _salt int, {STATE}")
+    states = states.groupBy("key").applyInArrow(_merged, f"key {kind}, _salt int, {STATE}")
+    return states.select(F.col("key").alias(key), "weight", "mean", "m2")
+
+
 def mean_center_frames(frames: DataFrame, key: str, vec: str, dim: int, into: str = "centered") -> DataFrame:
     """Subtract the per-dimension mean over all frames of a clip."""
-    means = _frame_means(frames, key, vec, F.lit(1.0)).select(
-        key, F.transform("_sum", lambda s: s / F.col("_weight")).alias("_mean")
-    )
+    means = moment_states(frames, key, vec, F.lit(1.0)).select(key, F.col("mean").alias("_mean"))
     centered = F.zip_with(F.col(vec).cast("array<double>"), "_mean", lambda x, m: x - m)
     return frames.join(_few(means, dim), key).withColumn(into, centered).drop("_mean")
 
@@ -407,13 +484,11 @@ def mean_center_frames(frames: DataFrame, key: str, vec: str, dim: int, into: st
 def weighted_mean_std_pool(frames: DataFrame, key: str, vec: str, weight: str, dim: int, epsilon: float = 1e-12) -> DataFrame:
     """Weighted mean and standard deviation per dimension; the weights of a clip sum to 1.
 
-    Two passes, so the variance is a sum of squares of true deviations.
+    One pass: the sum of squared deviations is carried beside the mean. Where weights do not sum to 1, the mean is the
+    weighted sum and deviations are taken from it.
     """
-    means = _frame_means(frames, key, vec, F.col(weight).cast("double")).select(key, F.col("_sum").alias("mean"))
-    means = _few(means, dim)
-    slim = frames.select(key, F.col(vec).cast("array<double>").alias("_v"), F.col(weight).cast("double").alias("_w"))
-    pairs = slim.join(means, key).select(key, "_w", F.arrays_zip(F.col("_v").alias("v"), F.col("mean").alias("m")).alias("_p"))
-    gap = F.col("_x")["v"] - F.col("_x")["m"]
-    spread = sum_vectors(pairs, [key], "_p", "_var", F.col("_w") * gap * gap)
-    std = F.transform("_var", lambda v: F.sqrt(F.greatest(v, F.lit(epsilon))))
-    return means.join(spread, key).select(key, "mean", std.alias("std"))
+    states = moment_states(frames, key, vec, F.col(weight))
+    pooled = F.transform("mean", lambda m: m * F.col("weight"))
+    off = lambda m: m * (1 - F.col("weight"))
+    square = F.zip_with("m2", "mean", lambda s, m: s + F.col("weight") * off(m) * off(m))
+    return states.select(key, pooled.alias("mean"), F.transform(square, lambda v: F.sqrt(F.greatest(v, F.lit(epsilon)))).alias("std"))

@@ -39,17 +39,24 @@ def nearest_codeword_join(spark, sf):
 @query(
     "codeword_lookup",
     f"""WITH {BOOK}, c AS (SELECT doc_id, unnest({I.sql_codes()}) AS f, generate_subscripts({I.sql_codes()}, 1) - 1 AS t FROM documents)
- SELECT doc_id, t, code, round(vec[1], 6) AS first_value, round(vec[64], 6) AS last_value FROM c JOIN book ON book.code = c.f[1] % 16""",
+ SELECT doc_id, t, code, round(vec[1], 6) AS first_value, round(vec[64], 6) AS last_value,
+ round(list_sum(list_transform(vec, lambda x, i: x * i)), 4) AS digest FROM c JOIN book ON book.code = c.f[1] % 16""",
 )
 def codeword_lookup(spark, sf):
     codes = I.code_rows(spark, sf).select("doc_id", F.posexplode("codes").alias("t", "f"))
     codes = codes.select("doc_id", F.col("t").cast("long").alias("t"), (F.col("f")[0] % 16).alias("code"))
     out = Z.codeword_lookup(codes, I.codebook(spark, sf, 16), ["code"])
     return out.select(
-        "doc_id", "t", "code", F.round(F.col("vec")[0], 6).alias("first_value"), F.round(F.col("vec")[63], 6).alias("last_value")
+        "doc_id", "t", "code", F.round(F.col("vec")[0], 6).alias("first_value"), F.round(F.col("vec")[63], 6).alias("last_value"),
+        _digest("vec").alias("digest"),
     )
 
 
+def _digest(c):
+    """All values of a vector in one number: their sum, each times its place."""
+    return F.round(F.aggregate(F.transform(c, lambda x, i: x * (i + 1)), F.lit(0.0), lambda s, x: s + x), 4)
+
+
 @query("l2_normalize", f"WITH {I.VECTORS} SELECT vec_id, {_sql_round('list_transform(vec, lambda x: (x * 3) / greatest(sqrt(list_sum(list_transform(vec, lambda z: z * z * 9))), 1e-12))')} AS vec FROM vectors")
 def l2_normalize(spark, sf):
     rows = I.vectors(spark, sf).select("vec_id", F.transform("vec", lambda x: x * 3).alias("vec"))
@@ -206,8 +213,10 @@ def rvq_encode(spark, sf):
     "rvq_decode",
     f"""WITH {I.VECTORS}, {_sql_books(stages=ALL_STAGES, size=SMALL)}, c AS (SELECT doc_id, generate_subscripts({I.sql_codes()}, 1) - 1 AS t, unnest({I.sql_codes()}) AS f FROM documents),
  l AS (SELECT doc_id, t, unnest(range(0, {ALL_STAGES})) AS stage, unnest(f) % {SMALL} AS code FROM c),
- d AS (SELECT doc_id, t, vec[1] AS x1, vec[33] AS x33, vec[64] AS x64 FROM l JOIN books USING (stage, code))
- SELECT doc_id, t, round(sum(x33), 6) AS middle_value, round(sum(x1), 6) AS first_value, round(sum(x64), 6) AS last_value FROM d GROUP BY doc_id, t""",
+ words AS (SELECT stage, code, vec, list_sum(list_transform(vec, lambda x, i: x * i)) AS weighed FROM books),
+ d AS (SELECT doc_id, t, vec[1] AS x1, vec[33] AS x33, vec[64] AS x64, weighed FROM l JOIN words USING (stage, code))
+ SELECT doc_id, t, round(sum(x33), 6) AS middle_value, round(sum(x1), 6) AS first_value, round(sum(x64), 6) AS last_value, round(sum(weighed), 4) AS digest
+ FROM d GROUP BY doc_id, t""",
 )
 def rvq_decode(spark, sf):
     codes = I.code_rows(spark, sf).select("doc_id", F.posexplode("codes").alias("t", "f"))
@@ -217,7 +226,7 @@ def rvq_decode(spark, sf):
     out = Z.rvq_decode(codes, stage_books(spark, sf, stages=ALL_STAGES, size=SMALL), key=["doc_id", "t"], semantic=1)
     return out.select(
         "doc_id", "t", F.round(F.col("decoded")[32], 6).alias("middle_value"), F.round(F.col("decoded")[0], 6).alias("first_value"),
-        F.round(F.col("decoded")[63], 6).alias("last_value"),
+        F.round(F.col("decoded")[63], 6).alias("last_value"), _digest("decoded").alias("digest"),
     )
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Most bytes a side may hold before the library stops shipping it to every task.
@@ -65,21 +67,72 @@ def measured(df: DataFrame, rows: int = 200_000) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(got, df.schema))
 
 
+def _matches(keys: list[str], values: list[tuple]) -> Column:
+    """Whether the key columns are one of ``values``, as literals that reach a scan."""
+    if len(keys) == 1:
+        return F.col(keys[0]).isin(*[v[0] for v in values])
+    return reduce(or_, [reduce(and_, [F.col(k) == F.lit(x) for k, x in zip(keys, v)]) for v in values])
+
+
+def heavy_keys(left: DataFrame, keys: list[str], share: int) -> list[tuple]:
+    """Keys that hold more than one in ``share`` of the rows with a key; there are fewer than ``share`` of them.
+
+    Keys are counted on the map side, so a key in half of all rows costs a row a task.
+    """
+    counts = left.select(*keys).dropna().groupBy(*keys).count()
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    return [tuple(r[k] for k in keys) for r in counts.where(F.col("count") * share > total).collect()]
+
+
+def join_heavy(
+    left: DataFrame, right: DataFrame, on: str | list[str], how: str = "left", width: Column | None = None, salts: int = 64,
+    limit_bytes: int = BROADCAST_BYTES, salt_by: str | None = None, share: int | None = None,
+) -> DataFrame:
+    """Equi-join of a side that few keys may dominate with one that is unique on ``on``.
+
+    Rows with a null key match nothing and bypass the join. Keys with more than one in ``share`` of the rows (a quarter of
+    a shuffle partition) are found first; their few rows of ``right`` are broadcast, or beyond ``limit_bytes`` repeated
+    ``salts`` times, so no such key is ever one task's. All other rows are joined by hash.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    spark = left.sparkSession
+    share = share or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    heavy = heavy_keys(left, keys, share)
+    held = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    if not heavy:
+        parts = [left.where(held).join(right, keys, how)]
+    else:
+        hot = _matches(keys, heavy)
+        few, most = right.where(hot), left.where(held & hot)
+        size = few.agg(F.sum((F.lit(256) if width is None else width).cast("long"))).first()[0] or 0
+        if size <= limit_bytes:
+            joined = most.join(F.broadcast(few), keys, how)
+        else:
+            spread_by = F.pmod(F.xxhash64(*([salt_by] if salt_by else left.columns)), F.lit(salts)).cast("int")
+            repeated = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+            joined = most.withColumn("_salt", spread_by).join(repeated, [*keys, "_salt"], how).drop("_salt")
+        parts = [joined, left.where(held & ~hot).join(right, keys, how)]
+    if how == "left":
+        own = [f for f in right.schema.fields if f.name not in keys]
+        none = left.where(~held).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in own])
+        parts.append(none)
+    return reduce(DataFrame.unionByName, parts)
+
+
 def join_small_or_salted(
     left: DataFrame, right: DataFrame, on: str | list[str], how: str = "left", bytes_column: str | None = None,
-    salts: int = 64, limit_bytes: int = BROADCAST_BYTES, salt_by: str | None = None, row_bytes: int = 256,
+    salts: int = 64, limit_bytes: int = BROADCAST_BYTES, salt_by: str | None = None, row_bytes: int = 256, size: int | None = None,
 ) -> DataFrame:
     """Equi-join for a key that one value may dominate.
 
-    ``right`` is unique on ``on``. Its size is measured first; a small side is broadcast. A larger one is
-    repeated ``salts`` times and joined on (key, salt), so the hottest key of ``left`` is spread over
-    ``salts`` tasks. Both ways give the same rows.
+    ``right`` is unique on ``on``. Its size is measured first (unless the caller knows it); a small side is broadcast. A
+    larger one is joined by ``join_heavy``, which takes frequent keys out and deals with them by themselves. Both ways
+    give the same rows.
     """
     keys = [on] if isinstance(on, str) else list(on)
     width = F.coalesce(F.length(bytes_column), F.lit(0)) + 64 if bytes_column else F.lit(row_bytes)
-    size = right.agg(F.sum(width.cast("long")).alias("n")).first()["n"] or 0
+    if size is None:
+        size = right.agg(F.sum(width.cast("long")).alias("n")).first()["n"] or 0
     if size <= limit_bytes:
         return left.join(F.broadcast(right), keys, how)
-    spread = F.pmod(F.xxhash64(*([salt_by] if salt_by else left.columns)), F.lit(salts)).cast("int")
-    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.withColumn("_salt", spread).join(repeated, [*keys, "_salt"], how).drop("_salt")
+    return join_heavy(left, right, keys, how, width, salts, limit_bytes, salt_by)

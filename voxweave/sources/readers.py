@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import measured
+from ..session import BROADCAST_BYTES, join_small_or_salted, measured
 from . import parts as P
 from .parts import PART_NAME
 
@@ -35,10 +35,16 @@ def scan_binary_audio(spark: SparkSession, folder: str, glob: str = "*") -> Data
     return files.select(plain.alias("path"), F.regexp_extract(plain, r"([^/]*)$", 1).alias("name"), "content", "length")
 
 
-def join_audio_bytes(rows: DataFrame, files: DataFrame, on: str, into: str = "bytes", key: str = "path") -> DataFrame:
-    """Bytes for a path column; a path without a file gives null."""
+def join_audio_bytes(rows: DataFrame, files: DataFrame, on: str, into: str = "bytes", key: str = "path",
+                     limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Bytes for a path column; a path without a file, and a null one, gives null.
+
+    One clip may serve half of all rows, so frequent paths are joined by themselves. File sizes come from the listing.
+    """
+    size = files.agg(F.sum("length")).first()[0] or 0 if "length" in files.columns else None
     found = files.select(F.col(key).alias(on), F.col("content").alias(into))
-    return rows.join(found, on, "left")
+    joined = join_small_or_salted(rows, found, on, "left", into, limit_bytes=limit_bytes, size=size)
+    return joined.select(on, *[c for c in rows.columns if c != on], into)
 
 
 def scan_parquet_parts(spark: SparkSession, folder: str, schema: T.StructType | None = None, pattern: str | None = PART_NAME,
