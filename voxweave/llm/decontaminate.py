@@ -48,13 +48,26 @@ UNITS = (
     "liters litre litres gallon gallons second seconds minute minutes hour hours day days week weeks month months year "
     "years dollar dollars cent cents euro euros percent degrees mph kmh volt volts watt watts joule joules newton newtons"
 ).split()
+
+
+def _any_of(options: list[str]) -> str:
+    """A pattern of any of these words that looks at each letter once: common beginnings are shared."""
+    ends, heads = "" in options, {}
+    for word in filter(None, options):
+        heads.setdefault(word[0], []).append(word[1:])
+    inner = "|".join(letter + _any_of(rest) for letter, rest in heads.items())
+    if len(heads) == 1 and not ends:
+        return inner
+    return f"(?:{inner})" + ("?" if ends else "") if heads else ""
+
+
 _RULES = (
     # a name is a capitalised word after a lower-case letter, comma or semicolon; then those that follow a name
     (r"([\p{Ll},;]\x20)\p{Lu}\p{Ll}+", f"$1{NAME}"),
     (f"({NAME}\\x20)" + r"\p{Lu}\p{Ll}+", f"$1{NAME}"),
     (r"(^|" + _SPACE + r")[(\[+\-$€£]*[0-9][0-9.,:/%\-]*[)\].,;:!?]*(?=" + _SPACE + "|$)", f"$1{NUMBER}"),
     (r"(^|" + _SPACE + r")[(\[+\-$€£]*[0-9][0-9.,]*\p{L}{1,4}[)\].,;:!?]*(?=" + _SPACE + "|$)", f"$1{MEASURE}"),
-    (r"(?i)(^|" + _SPACE + r")(?:" + "|".join(UNITS) + r")[)\].,;:!?]*(?=" + _SPACE + "|$)", f"$1{UNIT}"),
+    (r"(?i)(^|" + _SPACE + r")" + _any_of(UNITS) + r"[)\].,;:!?]*(?=" + _SPACE + "|$)", f"$1{UNIT}"),
     (r"[^\p{L}\p{N}\x20\x09-\x0D" + NUMBER + MEASURE + UNIT + NAME + "]+", ""),
 )
 _EMPTY = r"^[^\p{L}\p{N}]*$"
@@ -96,26 +109,25 @@ def _worded(table: DataFrame, sizes: list[int] | None = None) -> DataFrame:
     return rows.select(*keys, "w", "m", F.when(some, F.transform(raw_words(F.col("text")), _bare)).alias("b"))
 
 
-def _exact(m: Column, place: Column, size: int) -> Column:
+def _exact(m: Column, place: Column, size: Column | int) -> Column:
     """Whether a window is looked for by its values."""
-    if size < LEAST_WORDS:
-        return F.lit(True)
-    return 2 * F.length(F.translate(F.substring(m, place + 1, F.lit(size)), "1", "")) < size
-
+    size = F.lit(size) if isinstance(size, int) else size
+    return (size < LEAST_WORDS) | (2 * F.length(F.translate(F.substring(m, place + 1, size), "1", "")) < size)
 
-def _windows(size: int) -> Column:
-    """(size, place, key, exact) of every window of ``size`` words; places start at 0."""
-    places = F.sequence(F.lit(0), F.size("w") - size)
 
-    def window(i, key, exact):
-        return F.struct(F.lit(size).alias("size"), i.alias("place"), key.alias("key"), F.lit(exact).alias("exact"))
+def _windows(rows: DataFrame, sizes: list[int]) -> DataFrame:
+    """(keys of ``rows``, size, place, key, exact) of every window of these sizes; places start at 0.
 
-    plain = lambda i: window(i, F.xxhash64(F.slice("w", i + 1, size), F.lit(size)), False)
-    valued = lambda i: window(i, F.xxhash64(F.slice("b", i + 1, size), F.lit(size), F.lit("exact")), True)
-    either = F.transform(places, lambda i: F.when(_exact(F.col("m"), i, size), valued(i)).otherwise(plain(i)))
-    none = F.array().cast("array<struct<size:int,place:int,key:bigint,exact:boolean>>")
-    found = F.when(F.col("b").isNotNull(), either).otherwise(F.transform(places, plain))
-    return F.when(F.size("w") >= size, found).otherwise(none)
+    Places are exploded, not windows: keys are worked out in the generated code that goes on to the join.
+    """
+    keys = [c for c in rows.columns if c not in ("w", "m", "b")]
+    size, place = F.col("size"), F.col("place")
+    rows = rows.select("*", F.explode(F.array(*[F.lit(n) for n in sizes])).alias("size")).where(F.size("w") >= size)
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.size("w") - size)).alias("place"))
+    exact = F.col("b").isNotNull() & _exact(F.col("m"), place, size)
+    valued = F.xxhash64(F.slice("b", place + 1, size), size, F.lit("exact"))
+    key = F.when(exact, valued).otherwise(F.xxhash64(F.slice("w", place + 1, size), size))
+    return rows.select(*keys, "size", "place", key.alias("key"), exact.alias("exact"))
 
 
 def _clean(table: DataFrame, key: str, name: str, text_key: str) -> DataFrame:
@@ -137,17 +149,14 @@ def template_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW
 
     Documents are read and put into words once, whatever the sizes of the items.
     """
-    items = cut_lineage(_worded(_items(benchmark)).where(F.size("w") > 0).distinct())
-    sizes = sorted(r[0] for r in items.select(F.least(F.size("w"), F.lit(window)).alias("s")).distinct().collect())
+    items = _worded(_items(benchmark)).where(F.size("w") > 0).withColumn("n", F.least(F.size("w"), F.lit(window)))
+    items = cut_lineage(items.distinct())
+    sizes = sorted(r[0] for r in items.select("n").distinct().collect())
     if not sizes:
         keys = "doc_id long, _text long, item_id long, _wording long"
         return docs.sparkSession.createDataFrame([], f"{keys}, size int, place int, item_place int, exact boolean")
-    own = F.lit(None)
-    for size in sizes:
-        own = F.when(F.least(F.size("w"), F.lit(window)) == size, _windows(size)).otherwise(own)
-    one = items.select(*_ITEM, F.explode(own).alias("k")).select(*_ITEM, "k.size", F.col("k.place").alias("item_place"), "k.key")
-    found = _worded(_documents(docs), sizes).select(*_DOC, F.explode(F.concat(*[_windows(size) for size in sizes])).alias("k"))
-    found = found.select(*_DOC, "k.*").join(small(one), ["key", "size"])
+    one = _windows(items, sizes).where(F.col("size") == F.col("n")).select(*_ITEM, "size", F.col("place").alias("item_place"), "key")
+    found = _windows(_worded(_documents(docs), sizes), sizes).join(small(one), ["key", "size"])
     return found.select(*_DOC, *_ITEM, "size", "place", "item_place", "exact")
 
 
