@@ -3,6 +3,10 @@
 Every stage takes (spark, docs, sf_dir) and works on all rows that the one before kept; ``run`` writes each stage's rows
 as Parquet to the shared folder and reads them again, so a lost executor never repeats an earlier stage. All but the last
 return the columns of their input. ``n_chars`` follows the text where a stage changes it.
+
+Rows: a null text goes at the first stage; a text that loses all its lines stays as an empty one. A null id is an id like
+any other: rows without one are a group by themselves. Rows that share an id are told apart by their texts where lines
+are removed and where benchmark items are looked for. An empty table gives no rows at any stage.
 """
 
 from __future__ import annotations
@@ -37,7 +41,10 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates: the one with the smallest id."""
+    """Keeps one document of each group of near duplicates: the one with the smallest id.
+
+    Rows that share this id all stay, copies included: the join speaks of documents, and an id is one document.
+    """
     found = jaccard.jaccard_components(docs.select("doc_id", "text"))
     gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
