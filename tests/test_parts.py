@@ -186,3 +186,15 @@ def test_outputs_without_notes_are_compared_by_key(spark, folder):
     assert jobs.cursor(spark, folder) is None and jobs.remaining(rows, folder).count() == 6
     W.sink_parquet(rows.where("raw_index = 2"), folder, append=True)
     assert jobs.cursor(spark, folder) is None and jobs.remaining(rows, folder).count() == 5
+
+
+def test_shards_of_stored_size(spark, folder):
+    """Rows that compress well: shards are as large on disk as asked, not as large as estimated."""
+    df = spark.range(0, 40000).select(F.col("id").alias("raw_index"), F.concat(F.lit("the same words again and again "), F.sha2(F.col("id").cast("string"), 256)).alias("text"))
+    limit = 400_000
+    for stored in (False, True):
+        names = W.shard_by_size(df, f"{folder}-{stored}", "train", ["raw_index"], F.floor(F.col("raw_index") / 5000), limit, 500, stored=stored)
+        sizes = [os.path.getsize(n) for n in names]
+        assert all(0.85 * limit < x < 1.15 * limit for x in sizes[:-1]) == stored and len(sizes) > 2
+        assert spark.read.parquet(*names).count() == 40000
+    assert not glob.glob(f"{folder}-True/_*")

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from ..operators.ordering import dense_position, whole
+from ..session import measured
 from . import parts, readers
 
 
@@ -87,17 +88,15 @@ def row_bytes(df: DataFrame) -> Column:
     return sum((size(F.col(f.name), f.dataType) for f in df.schema.fields), F.lit(0).cast("long"))
 
 
-def shard_plan(df: DataFrame, order: list[str], span: Column | None = None, limit_bytes: int = K.SHARD_BYTES,
-               block_rows: int = K.SHARD_BLOCK_ROWS, size: Column | None = None) -> DataFrame:
-    """``df`` with its ``shard`` number and ``position``.
-
-    Rows are grouped into blocks; a shard closes once its blocks reach the limit. Only the list of blocks (one
-    row per ``block_rows`` rows) is walked in order.
-    """
+def _placed(df: DataFrame, order: list[str], span: Column | None, block_rows: int, size: Column | None) -> DataFrame:
+    """``df`` with ``_bytes``, ``position`` and ``_block``."""
     weighed = df.withColumn("_bytes", row_bytes(df) if size is None else size).withColumn("_all", F.lit(0))
     placed = dense_position(weighed, ["_all"], order, span, "position").drop("_all")
-    placed = placed.withColumn("_block", whole("position", block_rows))
-    blocks = placed.groupBy("_block").agg(F.sum("_bytes").alias("_bytes"))
+    return placed.withColumn("_block", whole("position", block_rows))
+
+
+def _shard_list(placed: DataFrame, limit_bytes: float) -> DataFrame:
+    """(_block, shard): blocks in order, a shard closes once its blocks reach the limit."""
 
     def close(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_block")
@@ -109,8 +108,19 @@ def shard_plan(df: DataFrame, order: list[str], span: Column | None = None, limi
                 shard, filled = shard + 1, 0
         return pd.DataFrame({"_block": pdf["_block"], "shard": shards})
 
-    shards = blocks.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(close, "_block long, shard int")
-    return placed.join(shards, "_block").drop("_block")
+    blocks = placed.groupBy("_block").agg(F.sum("_bytes").alias("_bytes"))
+    return blocks.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(close, "_block long, shard int")
+
+
+def shard_plan(df: DataFrame, order: list[str], span: Column | None = None, limit_bytes: int = K.SHARD_BYTES,
+               block_rows: int = K.SHARD_BLOCK_ROWS, size: Column | None = None) -> DataFrame:
+    """``df`` with its ``shard`` number and ``position``.
+
+    Rows are grouped into blocks; a shard closes once its blocks reach the limit. Only the list of blocks (one
+    row per ``block_rows`` rows) is walked in order.
+    """
+    placed = _placed(df, order, span, block_rows, size)
+    return placed.join(_shard_list(placed, limit_bytes), "_block").drop("_block")
 
 
 def shard_name(split: str, shard: Column, total: Column) -> Column:
@@ -118,34 +128,47 @@ def shard_name(split: str, shard: Column, total: Column) -> Column:
 
 
 def shard_by_size(df: DataFrame, folder: str, split: str, order: list[str], span: Column | None = None,
-                  limit_bytes: int = K.SHARD_BYTES, block_rows: int = K.SHARD_BLOCK_ROWS, size: Column | None = None) -> list[str]:
+                  limit_bytes: int = K.SHARD_BYTES, block_rows: int = K.SHARD_BLOCK_ROWS, size: Column | None = None,
+                  stored: bool = False) -> list[str]:
     """Write ``{split}-{i:05d}-of-{n:05d}.parquet`` files in row order; no rows still give one empty shard.
 
+    Rows are numbered and written once to a hidden folder; blocks, shards and the final files come from there, so the
+    caller's plan runs once. With ``stored`` the limit is of bytes on disk: estimates are scaled by how the hidden
+    folder's files came out, as their footers say.
+
     A folder that already has shards of the split is refused. Every shard is one file whatever the session says about
     rows in a file; a shard in several files, a rename that fails or a wrong number of rows is an error.
     """
     spark = df.sparkSession
-    plan = shard_plan(df, order, span, limit_bytes, block_rows, size)
     path = spark._jvm.org.apache.hadoop.fs.Path
     system = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     if system.globStatus(path(f"{folder}/{split}-*-of-*.parquet")):
         raise FileExistsError(f"{folder} has shards of {split}")
-    last, expected = plan.agg(F.max("shard"), F.count(F.lit(1))).first()
-    total = (last or 0) + 1
-    staged = f"{folder}/_staged_{split}"
-    rows = plan.repartitionById(total, F.col("shard")).sortWithinPartitions("shard", "position").drop("_bytes", "position")
+    staged, numbered = f"{folder}/_staged_{split}", f"{folder}/_numbered_{split}"
+    placed = _placed(df, order, span, block_rows, size)
+    placed.write.mode("overwrite").parquet(numbered)
+    placed = spark.read.schema(placed.schema).parquet(numbered)
+    expected, estimate = placed.agg(F.count(F.lit(1)), F.coalesce(F.sum("_bytes"), F.lit(0))).first()
+    if stored and estimate:
+        written = parts.footers(spark, numbered, None).agg(F.sum("bytes")).first()[0] or 0
+        limit_bytes = limit_bytes * estimate / max(1, written) if written else limit_bytes
+    shards = measured(_shard_list(placed, limit_bytes))
+    total = (shards.agg(F.max("shard")).first()[0] or 0) + 1
+    rows = placed.join(shards, "_block").repartitionById(total, F.col("shard")).sortWithinPartitions("shard", "position")
+    rows = rows.select(*df.columns, "shard")
     rows.write.mode("overwrite").option("maxRecordsPerFile", 0).partitionBy("shard").parquet(staged)
     names = [f"{split}-{i:05d}-of-{total:05d}.parquet" for i in range(total)]
     for i, name in enumerate(names):
-        parts = system.globStatus(path(f"{staged}/shard={i}/part-*"))
-        if not parts:  # only an empty table has a shard without files
+        made = system.globStatus(path(f"{staged}/shard={i}/part-*"))
+        if not made:  # only an empty table has a shard without files
             df.limit(0).coalesce(1).write.mode("overwrite").parquet(f"{staged}/shard={i}")
-            parts = system.globStatus(path(f"{staged}/shard={i}/part-*"))
-        if len(parts) != 1:
-            raise ValueError(f"shard {i} has {len(parts)} files")
-        if not system.rename(parts[0].getPath(), path(f"{folder}/{name}")):
+            made = system.globStatus(path(f"{staged}/shard={i}/part-*"))
+        if len(made) != 1:
+            raise ValueError(f"shard {i} has {len(made)} files")
+        if not system.rename(made[0].getPath(), path(f"{folder}/{name}")):
             raise OSError(f"cannot move shard {i} to {folder}/{name}")
     system.delete(path(staged), True)
+    system.delete(path(numbered), True)
     written = spark.read.parquet(*[f"{folder}/{name}" for name in names]).count()
     if written != expected:
         raise ValueError(f"wrote {written} of {expected} rows")
