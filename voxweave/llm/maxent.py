@@ -7,8 +7,8 @@ has a place in a model of fixed size, and
     P(word | context) = P(class | context) * P(slot | class, context) * P(word | slot).
 
 The first two are softmaxes whose scores are a fixed bias (the log of the unigram shares of classes and slots) plus one
-learnt weight row for each feature of the context: the slots of the three words before (the second and third are skip
-features), and the hashed pair of the two words before. Rows of the second softmax are hashed by (feature, class). The
+learnt weight row for each feature of the context: the slot of the word before, that of the word before it (a skip
+feature), and the hashed pair of the two. Rows of the second softmax are hashed by (feature, class). The
 third factor is ``(c + 1) / (N + V + 1)`` over the training counts of the words that share the slot, the same rule as the
 unigram base, and what is left is the slot's unknown words. The probabilities of all words, the end and the unknown
 words of all slots sum to one.
@@ -37,7 +37,7 @@ _ALL = CLASSES * SLOTS
 START = _ALL  # stands before the first word
 END_SLOT = (CLASSES - 1) * SLOTS
 END_HASH = np.uint64(0x454E44)
-_SKIPS = 3
+_SKIPS = 2
 CLASS_ROWS = _SKIPS * (_ALL + 1) + PAIRS
 _UPTO = np.triu(np.ones((8, 8), np.float32))
 _BLOCKS = np.repeat(np.eye(8, dtype=np.float32), 8, axis=0)
