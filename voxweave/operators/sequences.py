@@ -11,13 +11,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions import arrays as A
+from ..functions.batches import text_slices
 from ..functions.text import _col
 from ..session import measured
 from .ordering import SPAN, fixed_batches
@@ -40,7 +40,8 @@ def with_plan(df: DataFrame, plan: DataFrame, key: str) -> DataFrame:
 def code_point_ids(df: DataFrame, text: str, into: str, head: tuple[int, ...] = (), tail: tuple[int, ...] = ()) -> DataFrame:
     """Code points of a text between fixed ids, as ``array<int>``; a null text gives null.
 
-    Texts are brought to four bytes a character a batch at a time, so nothing is done character by character.
+    Texts are brought to four bytes a character, about ``SLICE`` bytes of them at a time, so nothing is done character by
+    character and a task holds ids of one slice whatever the Arrow batch holds.
     """
     schema = T.StructType(list(df.schema.fields)).add(into, T.ArrayType(T.IntegerType()))
     return df.mapInArrow(_code_points(df.columns.index(text), into, np.array(head, np.int32), np.array(tail, np.int32)), schema)
@@ -48,27 +49,18 @@ def code_point_ids(df: DataFrame, text: str, into: str, head: tuple[int, ...] =
 
 def _code_points(at: int, into: str, head: np.ndarray, tail: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column(at)
-            body = "".join(column.fill_null("").to_pylist()).encode("utf-32-le")
-            points = np.frombuffer(body, np.int32)
-            size = np.array(pc.fill_null(pc.utf8_length(column), 0), np.int64)
-            ends = np.cumsum(size)
-            own = np.repeat(np.arange(len(size)), size)
-            keep = points > 0
-            points, own = points[keep], own[keep]
-            size = np.bincount(own, minlength=len(ends)) + len(head) + len(tail)
-            first = np.concatenate([[0], np.cumsum(size)])
-            out = np.empty(int(first[-1]), np.int32)
-            for k, value in enumerate(head):
-                out[first[:-1] + k] = value
-            for k, value in enumerate(tail):
-                out[first[1:] - len(tail) + k] = value
-            index = np.arange(len(points)) - np.concatenate([[0], np.cumsum(size - len(head) - len(tail))])[:-1].repeat(size - len(head) - len(tail))
-            out[first[own] + len(head) + index] = points
-            valid = np.append(np.asarray(column.is_valid()), True)
-            lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32), mask=~valid), pa.array(out))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, into])
+        for whole in batches:
+            for first, n in text_slices(whole.column(at)):
+                batch = whole.slice(first, n)
+                texts = batch.column(at)
+                parts, ends = [], np.zeros(n + 1, np.int32)
+                for k, value in enumerate(texts.to_pylist()):
+                    points = np.frombuffer((value or "").replace("\0", "").encode("utf-32-le"), np.int32)
+                    parts += [head, points, tail]
+                    ends[k + 1] = ends[k] + len(head) + len(points) + len(tail)
+                valid = np.append(np.asarray(texts.is_valid()), True)
+                lists = pa.ListArray.from_arrays(pa.array(ends, mask=~valid), pa.array(np.concatenate(parts)))
+                yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, into])
 
     return run
 
