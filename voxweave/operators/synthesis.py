@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import text as X
+from ..functions.batches import text_slices
 from ..functions.text import _col
 
 # Words that mark an accelerator running out of memory.
@@ -88,14 +89,27 @@ def attach_codes(df: DataFrame, encoder: Callable[[pd.DataFrame], list], **optio
 
 
 def tokenize_udf(tokenizer: Callable[[str], list[int]]) -> Callable[[Column | str], Column]:
-    """Column function text -> ids from a user tokenizer, called once per text."""
+    """Column function text -> ids from a user tokenizer, called once per text.
 
-    @F.arrow_udf("array<int>")
-    def ids(texts: pa.Array) -> pa.Array:
-        made = [None if t is None else list(tokenizer(t)) for t in texts.to_pylist()]
-        return pa.array(made, pa.list_(pa.int32()))
+    Ids go into Arrow text by text and leave in parts of about ``batches.SLICE`` bytes of text, so a task holds one part.
+    """
+
+    made = F.arrow_udf(_token_ids(tokenizer), "array<int>")
+    return lambda c: made(_col(c))
+
+
+def _token_ids(tokenizer: Callable[[str], list[int]]):
+    def ids(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            for first, n in text_slices(column):
+                texts, parts, ends = column.slice(first, n), [], [0]
+                for text in texts.to_pylist():
+                    parts.append(pa.array([] if text is None else list(tokenizer(text)), pa.int32()))
+                    ends.append(ends[-1] + len(parts[-1]))
+                valid = np.append(np.asarray(texts.is_valid()), True)
+                yield pa.ListArray.from_arrays(pa.array(ends, pa.int32(), mask=~valid), pa.concat_arrays(parts))
 
-    return lambda c: ids(_col(c))
+    return ids
 
 
 def code_points(text: str) -> list[int]:
