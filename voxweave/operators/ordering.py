@@ -87,7 +87,8 @@ def dense_position(
 
     ``span`` must grow with the first order column (default: ranges of that integer column). Rows whose first order
     column is null come last; a null ``part`` is a part of its own. With ``below`` only positions under it are kept, and spans that start past it are dropped
-    before any row is shuffled. ``counted`` may name a cheaper frame with the same rows for the counting pass,
+    before any row is shuffled; up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000) each task sends no more than
+    ``below`` rows of a span. ``counted`` may name a cheaper frame with the same rows for the counting pass,
     ``offsets`` counts that are already there.
     """
     if even:
@@ -102,12 +103,12 @@ def dense_position(
     same = F.col("_span") == F.col("_at_span")
     for k, c in enumerate(part):
         same = same & F.col(c).eqNullSafe(F.col(f"_at_{k}"))
-    numbered = (
-        keyed.join(marks, same)
-        .drop("_at_span", *[f"_at_{k}" for k in range(len(part))])
-        .withColumn(name, F.col("_before") + F.row_number().over(inside) - 1)
-        .drop("_span", "_before")
-    )
+    placed = keyed.join(marks, same).drop("_at_span", *[f"_at_{k}" for k in range(len(part))])
+    placed = placed.withColumn("_nth", F.row_number().over(inside))
+    if below is not None:
+        # Said of the rank itself, so that a task drops what lies behind the first ``below`` rows of a span before it sends them.
+        placed = placed.where(F.col("_nth") <= below)
+    numbered = placed.withColumn(name, F.col("_before") + F.col("_nth") - 1).drop("_span", "_before", "_nth")
     return numbered if below is None else numbered.where(F.col(name) < below)
 
 
