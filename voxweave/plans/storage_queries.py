@@ -21,11 +21,17 @@ from .registry import query
 RAW_SCHEMA = "raw_index long, source string, transcription string, speaker string, language string, n_chars long"
 
 
+def _ranges(rows, files, order="raw_index"):
+    """Rows in order, a range for each file to write: ``files`` of them, or as many as the scan has parts if the rows are many."""
+    files = max(files, min(rows.rdd.getNumPartitions(), rows.count() // 1000))
+    return rows.repartitionByRange(files, order).sortWithinPartitions(order)
+
+
 def _parts(spark, sf, name, files=4, rows=None, order="raw_index"):
     """A folder of ordered parts of the raw rows."""
     folder = work_path(spark, name)
     rows = I.raw_rows(spark, sf) if rows is None else rows
-    W.sink_parquet(rows.repartitionByRange(files, order).sortWithinPartitions(order), folder)
+    W.sink_parquet(_ranges(rows, files, order), folder)
     return folder
 
 
@@ -41,7 +47,7 @@ def scan_parquet_parts(spark, sf):
     first, second = rows.where(F.col("raw_index") < middle), rows.where(F.col("raw_index") >= middle)
     early, late = second.where(F.col("raw_index") < middle + middle // 2), second.where(F.col("raw_index") >= middle + middle // 2)
     for where, some in (("a", first), ("b", early), ("b", late)):
-        W.sink_parquet(some.repartitionByRange(3, "raw_index").sortWithinPartitions("raw_index"), f"{folder}/{where}", append=True)
+        W.sink_parquet(_ranges(some, 3), f"{folder}/{where}", append=True)
     parts = D.scan_parquet_parts(spark, folder, recursive=True)
     placed = D.with_global_row(parts, listed=P.footers(spark, folder, recursive=True))
     return placed.select("raw_index", "source", "global_row", (F.col("part") >= 0).alias("in_part"))
@@ -53,7 +59,7 @@ def tail_rows(spark, sf):
     rows = I.raw_rows(spark, sf)
     cut = rows.count() - 100
     folder = _parts(spark, sf, "tail", rows=rows.where(F.col("raw_index") < cut))
-    W.sink_parquet(rows.where(F.col("raw_index") >= cut).coalesce(1).sortWithinPartitions("raw_index"), folder, append=True)
+    W.sink_parquet(_ranges(rows.where(F.col("raw_index") >= cut), 1), folder, append=True)
     wanted = ["raw_index", "source", "speaker", "transcript"]
     return P.tail_of_parts(spark, folder, K.TAIL_ROWS, wanted).drop("file_name", "row_index")
 
