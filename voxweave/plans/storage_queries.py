@@ -9,7 +9,7 @@ from ..operators import ordering as O
 from ..operators import reports as R
 from ..operators import resume as E
 from ..operators import synthesis as Y
-from ..session import work_path
+from ..session import spread, work_path
 from ..sources import parts as P
 from ..sources import readers as D
 from ..sources import writers as W
@@ -207,12 +207,15 @@ def _clean(rows):
 
 
 def _in_two_runs(spark, sf, name, run, rows=None, order="raw_index"):
-    """Feed a stream half of the rows, let it stop, add the other half, and start it again."""
+    """Feed a stream half of the rows, let it stop, add the other half, and start it again.
+
+    Rows are written as they are scanned, so files grow in number and not in size; a run takes up to 1000 in one batch.
+    """
     folder, checkpoint = work_path(spark, name + "-in"), work_path(spark, name + "-state")
     rows = I.raw_rows(spark, sf) if rows is None else rows
     half = rows.agg(F.floor(F.max(order) / 2)).first()[0] or 0
     for batch in (rows.where(F.col(order) <= half), rows.where(F.col(order) > half)):
-        batch.repartition(2).write.mode("append").parquet(folder)
+        spread(batch).write.mode("append").parquet(folder)
         run(folder, rows.schema, checkpoint).awaitTermination()
 
 
@@ -221,7 +224,7 @@ def stream_prepare(spark, sf):
     out = work_path(spark, "prepared")
 
     def run(folder, schema, checkpoint):
-        return T.stream_prepare(T.new_rows(spark, folder, schema, 2), _clean, out, checkpoint)
+        return T.stream_prepare(T.new_rows(spark, folder, schema), _clean, out, checkpoint)
 
     _in_two_runs(spark, sf, "prepare", run)
     return spark.read.schema("raw_index long, source string, text string, language string").parquet(out)
@@ -232,7 +235,7 @@ def stream_exactly_once(spark, sf):
     out, progress = work_path(spark, "once"), work_path(spark, "once-progress")
 
     def run(folder, schema, checkpoint):
-        return T.stream_exactly_once(T.new_rows(spark, folder, schema, 2), _clean, out, checkpoint, progress)
+        return T.stream_exactly_once(T.new_rows(spark, folder, schema), _clean, out, checkpoint, progress)
 
     _in_two_runs(spark, sf, "once", run)
     done = spark.read.parquet(progress)
@@ -247,7 +250,7 @@ def stream_attach_codes(spark, sf):
         return Y.attach_codes(rows.select("clip_id", "samples"), parity_encoder)
 
     def run(folder, schema, checkpoint):
-        return T.stream_attach_codes(T.new_rows(spark, folder, schema, 2), encode, out, checkpoint)
+        return T.stream_attach_codes(T.new_rows(spark, folder, schema), encode, out, checkpoint)
 
     _in_two_runs(spark, sf, "attach", run, I.clips(spark, sf).select("clip_id", "samples"), "clip_id")
     rows = spark.read.schema("clip_id long, samples array<float>, audio_codes array<array<int>>").parquet(out)
@@ -259,7 +262,7 @@ def stream_progress(spark, sf):
     out = work_path(spark, "progress")
 
     def run(folder, schema, checkpoint):
-        return T.stream_progress(T.new_rows(spark, folder, schema, 2), out, checkpoint)
+        return T.stream_progress(T.new_rows(spark, folder, schema), out, checkpoint)
 
     _in_two_runs(spark, sf, "progress", run)
     return T.latest_report(spark, out)
