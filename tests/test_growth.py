@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from voxweave.operators import ordering as O
+from voxweave.operators import sequences as S
+from voxweave.plans import inputs as I
 from voxweave.plans import storage_queries as Q
 
 
@@ -39,3 +41,14 @@ def test_a_stream_is_fed_with_more_files(spark):
 
     Q._in_two_runs(spark, None, "fed", run, spark.range(0, 8000, 1, 16).withColumnRenamed("id", "raw_index"))
     assert [n for n, _ in seen] == [4000, 8000] and seen[0][1] >= 8 and seen[1][1] >= 16
+
+
+def test_text_of_masks_and_matrix_is_that_of_the_arrays(spark):
+    data = [(i, i % 3, [10 + k for k in range(lt)], [[100 * t + q for q in range(16)] for t in range(lc)]) for i, (lt, lc) in enumerate((a, b) for a in range(3, 8) for b in range(4))]
+    data += [(100, 1, None, [[1] * 16]), (101, 2, [1, 2, 3], None), (102, 0, [1, 2, 3], [[None] * 16, [5] * 16])]
+    rows = spark.createDataFrame(data, "id int, batch int, text_ids array<int>, codes array<array<int>>")
+    masks = ["attention_mask", "text_embedding_mask", "codec_embedding_mask", "codec_mask"]
+    arrays = S.assemble_sequences(rows, "text_ids", "codes", ["batch"], {*masks, "code_matrix"})
+    shown = arrays.select("id", *[I.show_flags(m).alias(m) for m in masks], I.show_rows("code_matrix").alias("code_matrix"))
+    texts = S.assemble_sequences(rows, "text_ids", "codes", ["batch"], {*masks, "code_matrix"}, as_text=True).select(shown.columns)
+    assert sorted(texts.collect(), key=lambda r: r.id) == sorted(shown.collect(), key=lambda r: r.id)

@@ -80,22 +80,31 @@ def pad_left(values: Column | str, width: Column, fill: Column) -> Column:
     return F.concat(repeat(fill, width - F.size(values)), values)
 
 
-def flag_runs(width: Column, *runs: tuple[Column | int, bool]) -> Column:
-    """Boolean array of ``width`` positions from runs (end, value) in order; what is left is false.
-
-    A run is one repeated value, so nothing is worked out position by position. Ends beyond the width are cut.
-    """
+def _run_lengths(width: Column, runs: tuple) -> list[tuple[bool, Column]]:
+    """(value, length) of runs (end, value) in order; what is left of ``width`` is false, ends beyond it are cut."""
     width = F.greatest(width.cast("int"), _int(0))
     parts, at = [], _int(0)
     for end, value in (*runs, (width, False)):
         end = F.least(F.greatest(_int(end) if isinstance(end, int) else end.cast("int"), at), width)
-        parts.append(repeat(F.lit(value), end - at))
+        parts.append((value, end - at))
         at = end
-    return F.concat(*parts)
+    return parts
+
+
+def flag_runs(width: Column, *runs: tuple[Column | int, bool], text: bool = False) -> Column:
+    """Flags of ``width`` positions from runs (end, value) in order, as an array of booleans; what is left is false.
+
+    A run is one repeated value, so nothing is worked out position by position. Ends beyond the width are cut. With
+    ``text`` the flags are a string of 0 and 1, one character a position.
+    """
+    parts = _run_lengths(width, runs)
+    if text:
+        return F.concat(*[F.repeat(F.lit("1" if value else "0"), n) for value, n in parts])
+    return F.concat(*[repeat(F.lit(value), n) for value, n in parts])
 
 
-def right_mask(length: Column, width: Column) -> Column:
-    return flag_runs(width, (length, True))
+def right_mask(length: Column, width: Column, text: bool = False) -> Column:
+    return flag_runs(width, (length, True), text=text)
 
 
 def left_mask(length: Column, width: Column) -> Column:
@@ -147,18 +156,35 @@ def code_matrix(text_ids: Column | str, codes: Column | str, width: int = K.CODE
     return F.concat(repeat(zero, F.size(_col(text_ids)) + 7), _col(codes), F.array(zero))
 
 
-def attention_mask(length: Column, width: Column) -> Column:
-    return right_mask(length, width)
+def code_matrix_text(text_ids: Column | str, codes: Column | str, width: Column, codebooks: int = K.CODEBOOKS) -> Column:
+    """``code_matrix`` padded to ``width`` as text: codes joined by commas, rows by semicolons.
+
+    Rows of zeros are one repeated text; only frames are written code by code.
+    """
+    text, codes = F.size(_col(text_ids)), _col(codes)
+    zero = ",".join(["0"] * codebooks)
+
+    def zeros(n: Column) -> Column:
+        return F.when(n > 0, F.concat(F.lit(zero), F.repeat(F.lit(";" + zero), (n - 1).cast("int"))))
+
+    frames = F.transform(codes, lambda f: F.array_join(f.cast("array<string>"), ","))
+    parts = F.concat(F.array(zeros(text + 7)), frames, F.array(F.lit(zero), zeros(width - sequence_length(text_ids, codes))))
+    return F.when(text.isNotNull() & width.isNotNull(), F.array_join(parts, ";"))
+
+
+def attention_mask(length: Column, width: Column, text: bool = False) -> Column:
+    return right_mask(length, width, text)
 
 
-def codec_embedding_mask(length: Column, width: Column) -> Column:
+def codec_embedding_mask(length: Column, width: Column, text: bool = False) -> Column:
     """Positions 3.. of the sequence except 6, which is kept for the speaker vector."""
-    return flag_runs(width, (F.least(_int(3), length), False), (F.least(_int(6), length), True), (F.least(_int(7), length), False), (length, True))
+    runs = ((F.least(_int(3), length), False), (F.least(_int(6), length), True), (F.least(_int(7), length), False), (length, True))
+    return flag_runs(width, *runs, text=text)
 
 
-def codec_mask(text_length: Column, frames: Column, width: Column) -> Column:
+def codec_mask(text_length: Column, frames: Column, width: Column, text: bool = False) -> Column:
     """The positions that hold code frames."""
-    return flag_runs(width, (text_length + 7, False), (text_length + 7 + frames, True))
+    return flag_runs(width, (text_length + 7, False), (text_length + 7 + frames, True), text=text)
 
 
 # ---------------------------------------------------------------- preference and generation layouts

@@ -96,9 +96,12 @@ def instruct_pad_mask(df: DataFrame, ids: str, batch: list[str], mask: str = "in
 
 
 def assemble_sequences(df: DataFrame, text_ids: str, codes: str, batch: list[str], which: set[str] | None = None,
-                       width: str | None = None) -> DataFrame:
+                       width: str | None = None, as_text: bool = False) -> DataFrame:
     """All training tensors of a batch; ``which`` picks some of them.
 
+    With ``as_text`` the masks (a string of 0 and 1) and the code matrix (codes joined by commas, rows by semicolons) are text,
+    put together run by run, for output that is text anyway.
+
     With ``width``, the planned maximum of the batch, nothing moves. Without it the maximum is taken by a window, before
     layout expressions, so what moves is the input row and not the padded tensors.
     """
@@ -111,11 +114,11 @@ def assemble_sequences(df: DataFrame, text_ids: str, codes: str, batch: list[str
         "text_channel": A.pad_right(A.text_channel(text_ids, codes), width, A._int(0)),
         "codec_channel": A.pad_right(A.codec_channel(text_ids, codes), width, A._int(0)),
         "labels": A.pad_right(A.sequence_labels(text_ids, codes), width, A._int(K.LABEL_IGNORE)),
-        "code_matrix": A.pad_right(A.code_matrix(text_ids, codes), width, zero_row),
-        "attention_mask": A.attention_mask(length, width),
-        "text_embedding_mask": A.attention_mask(length, width),
-        "codec_embedding_mask": A.codec_embedding_mask(length, width),
-        "codec_mask": A.codec_mask(text, frames, width),
+        "code_matrix": A.code_matrix_text(text_ids, codes, width) if as_text else A.pad_right(A.code_matrix(text_ids, codes), width, zero_row),
+        "attention_mask": A.attention_mask(length, width, as_text),
+        "text_embedding_mask": A.attention_mask(length, width, as_text),
+        "codec_embedding_mask": A.codec_embedding_mask(length, width, as_text),
+        "codec_mask": A.codec_mask(text, frames, width, as_text),
     }
     return df.withColumns({k: v for k, v in made.items() if which is None or k in which}).drop("_width")
 

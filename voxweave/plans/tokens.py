@@ -88,8 +88,8 @@ def _padded(x: str, fill: str, extra: str = "width - (lt + lc + 8)") -> str:
     return _cat(x, I.sql_rep(fill, extra))
 
 
-def _layout(spark, sf, name):
-    return S.assemble_sequences(I.layout_rows(spark, sf), "text_ids", "codes", BATCH, {name}, "width")
+def _layout(spark, sf, name, as_text=False):
+    return S.assemble_sequences(I.layout_rows(spark, sf), "text_ids", "codes", BATCH, {name}, "width", as_text)
 
 
 @query("sequence_text_channel", f"WITH {I.LAYOUT} SELECT doc_id, {I.sql_show(_padded(SQL_TEXT_CHANNEL, '0'))} AS ids FROM lay")
@@ -109,7 +109,7 @@ def sequence_labels(spark, sf):
 
 @query("sequence_code_matrix", f"WITH {I.LAYOUT} SELECT doc_id, {I.sql_rows(_padded(SQL_MATRIX, SQL_ZERO))} AS code_matrix FROM lay")
 def sequence_code_matrix(spark, sf):
-    return _layout(spark, sf, "code_matrix").select("doc_id", I.show_rows("code_matrix").alias("code_matrix"))
+    return _layout(spark, sf, "code_matrix", as_text=True).select("doc_id", "code_matrix")
 
 
 def _sql_mask(test: str, width: str = "width") -> str:
@@ -123,8 +123,8 @@ def _sql_mask(test: str, width: str = "width") -> str:
 )
 def sequence_masks(spark, sf):
     names = ["attention_mask", "text_embedding_mask", "codec_embedding_mask", "codec_mask"]
-    rows = S.assemble_sequences(I.layout_rows(spark, sf), "text_ids", "codes", BATCH, set(names), "width")
-    return rows.select("doc_id", *[I.show_flags(n).alias(n) for n in names])
+    rows = S.assemble_sequences(I.layout_rows(spark, sf), "text_ids", "codes", BATCH, set(names), "width", as_text=True)
+    return rows.select("doc_id", *names)
 
 
 @query(
