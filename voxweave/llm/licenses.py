@@ -55,13 +55,12 @@ CLASSES = [*sorted(NOTICES), ORDINARY]
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
 def _pairs(words: str) -> Column:
-    n = F.size(words)
-    joined = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1)))
-    return F.when(n > 1, joined).otherwise(F.array().cast("array<string>"))
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n), lambda a, b: F.concat(a, F.lit(" "), b))
 
 
 def _termed(rows: DataFrame) -> DataFrame:
