@@ -29,7 +29,7 @@ from . import kernels as K
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN_COST = 10.0
 MARK = "▁"
-SLICE = 2 << 20
+SLICE = 1 << 19
 _CELLS = 1 << 20
 
 
