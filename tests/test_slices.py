@@ -5,8 +5,10 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from voxweave.functions import batches as B
+from voxweave.llm import kernels as K
 from voxweave.operators import sequences as S
 from voxweave.operators import synthesis as Y
+from voxweave.session import ARROW_BYTES, ARROW_LIMIT, small_batches
 
 LONG = [None, "ab" * 300_000, "é\U0001f600" * 200_000, "", "x\0y", "z" * 700_000]
 
@@ -39,3 +41,25 @@ def test_token_ids_stay_beside_their_rows(spark):
     got = rows.select("id", F.size(Y.tokenize_udf(Y.code_points)("text")).alias("n")).collect()
     size = {r.id: r.n for r in got}
     assert all((t is None and size[i] in (None, -1)) or size[i] == len(t) for i, t in data) and len(got) == 60
+
+
+def test_arrow_batches_are_bounded_and_an_own_limit_stays(spark):
+    own = spark.newSession()
+    small_batches(own)
+    assert int(own.conf.get(ARROW_LIMIT)) == ARROW_BYTES
+    sizes = own.range(6000).select(F.repeat(F.lit("x"), 3000).alias("t")).coalesce(1).mapInArrow(
+        lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long"
+    )
+    assert max(r.n for r in sizes.collect()) < 2 * ARROW_BYTES
+    own.conf.set(ARROW_LIMIT, "1m")
+    small_batches(own)
+    assert own.conf.get(ARROW_LIMIT) == "1m"
+
+
+def test_given_back_tables_are_made_again():
+    words = K.words(*K.utf8(pa.array(["one two three", "x" * (K.BLOCK + 5) + " y"])))
+    assert K.cache()
+    K.give_back()
+    assert not K.cache()
+    again = K.words(*K.utf8(pa.array(["one two three", "x" * (K.BLOCK + 5) + " y"])))
+    assert (words.hash == again.hash).all()

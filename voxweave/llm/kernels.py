@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 SEPARATORS = (32, 9, 10, 11, 12, 13)
 _U = np.uint64
 
@@ -70,7 +70,8 @@ def cache() -> dict:
 
 
 def give_back() -> None:
-    """Return freed memory of this worker to the system; workers are used again by later stages."""
+    """Return freed memory of this process, tables included, to the system; workers are used again by later stages."""
+    cache().clear()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:

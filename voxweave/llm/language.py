@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import small_batches
 from . import kernels as K
 from .sampling import class_counts, labelled_sample
 
@@ -227,7 +228,9 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     if not counts:
         return train([], [])
     sample = labelled_sample(rows, "lang", counts, per_language)
-    return train(sample.column("text").to_pylist(), sample.column("lang").to_pylist())
+    model = train(sample.column("text").to_pylist(), sample.column("lang").to_pylist())
+    K.give_back()
+    return model
 
 
 def fold(doc_id):
@@ -252,6 +255,7 @@ def _score(model: Model, at: int):
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``rejected`` added; the whole text is read."""
+    small_batches(docs.sparkSession)
     docs = docs.drop("lang_pred", "score", "rejected")
     schema = T.StructType(list(docs.schema.fields)).add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
     return docs.mapInArrow(_score(model, docs.columns.index(text)), schema)

@@ -24,6 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import small_batches
 from . import kernels as K
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -281,7 +282,9 @@ def _encode(shared):
 
 def tokenize(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(doc_id, n_tokens, ids, round_trip) for every row; whole texts are encoded."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(Automaton(vocabulary))
+    K.give_back()
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.mapInArrow(_encode(shared), "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
 

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 # Most bytes a side may hold before the library stops shipping it to every task.
 BROADCAST_BYTES = 256 << 20
+ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+ARROW_BYTES = 4 << 20
 
 _local_folders: dict[str, str] = {}
 
@@ -59,6 +61,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on Arrow batches of this session end at ``ARROW_BYTES``, unless it has a limit of its own.
+
+    Spark's own limit is 10,000 rows, whatever their size, and each running task holds a batch in the JVM and in Python.
+    """
+    if spark.conf.get(ARROW_LIMIT, None) is None:
+        spark.conf.set(ARROW_LIMIT, str(ARROW_BYTES))
+
+
 def measured(df: DataFrame, rows: int = 200_000) -> DataFrame:
     """Run a summary once. Up to ``rows`` rows come back as a broadcast table; a longer one stays as it is."""
     got = df.limit(rows + 1).collect()
