@@ -30,6 +30,21 @@ def test_code_points_leave_in_parts():
         assert r["ids"] == (None if text is None else [1, 2, *[ord(c) for c in text if c != "\0"], 3])
 
 
+def test_batches_of_texts_end_by_bytes(spark, monkeypatch):
+    def sizes(at, into, head, tail):
+        def run(batches):
+            for b in batches:
+                ids = pa.array([[b.nbytes]] * b.num_rows, pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([*b.columns, ids], names=[*b.schema.names, into])
+
+        return run
+
+    monkeypatch.setattr(S, "_code_points", sizes)
+    texts = spark.newSession().range(6000).select(F.repeat(F.lit("x"), 3000).alias("text")).coalesce(1)
+    got = S.code_point_ids(texts, "text", "ids").select(F.col("ids")[0].alias("bytes")).collect()
+    assert len(got) == 6000 and max(r.bytes for r in got) < 2 * ARROW_BYTES
+
+
 def test_token_ids_leave_in_parts():
     out = list(Y._token_ids(Y.code_points)(iter([pa.array(LONG)])))
     assert len(out) > 1 and [x for part in out for x in part.to_pylist()] == [None if t is None else [ord(c) for c in t] for t in LONG]

@@ -19,7 +19,7 @@ from .. import constants as K
 from ..functions import arrays as A
 from ..functions.batches import text_slices
 from ..functions.text import _col
-from ..session import measured
+from ..session import measured, small_batches
 from .ordering import SPAN, fixed_batches
 
 
@@ -41,8 +41,10 @@ def code_point_ids(df: DataFrame, text: str, into: str, head: tuple[int, ...] =
     """Code points of a text between fixed ids, as ``array<int>``; a null text gives null.
 
     Texts are brought to four bytes a character, about ``SLICE`` bytes of them at a time, so nothing is done character by
-    character and a task holds ids of one slice whatever the Arrow batch holds.
+    character and a task holds ids of one slice whatever the Arrow batch holds. Arrow batches end by bytes of text as well
+    as by rows, so a worker's memory follows neither the size of its part nor that of a text, the longest one aside.
     """
+    small_batches(df.sparkSession)
     schema = T.StructType(list(df.schema.fields)).add(into, T.ArrayType(T.IntegerType()))
     return df.mapInArrow(_code_points(df.columns.index(text), into, np.array(head, np.int32), np.array(tail, np.int32)), schema)
 
