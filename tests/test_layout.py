@@ -86,6 +86,35 @@ def test_shift_and_prefix(spark):
     assert [r.x for r in moved] == [[5], []]
 
 
+def shown(c):
+    return F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
+
+
+def test_channels_as_text_equal_the_arrays(spark):
+    names = ["text_channel", "codec_channel", "labels"]
+    odd = spark.createDataFrame([(90, 0, None, [frame(0)]), (91, 0, [1, 2, 3], None), (92, 1, [1, 2, 3], [[None] * 16])], SCHEMA)
+    given = rows(spark).union(odd)
+    arrays = S.assemble_sequences(given, "text_ids", "codes", ["batch"], set(names))
+    texts = S.assemble_sequences(given, "text_ids", "codes", ["batch"], set(names), as_text=True)
+    assert texts.orderBy("id").select("id", *names).collect() == arrays.orderBy("id").select("id", *map(shown, names)).collect()
+    moved = S.shift_for_prediction(arrays, ["codec_channel"], ["labels"]).orderBy("id").select(shown("codec_channel"), shown("labels"))
+    assert S.shift_for_prediction(texts, ["codec_channel"], ["labels"], True).orderBy("id").select("codec_channel", "labels").collect() == moved.collect()
+    short = spark.createDataFrame([("7", "7"), ("", ""), (None, None), ("1,22,333", "1,22,333")], "x string, y string")
+    got = S.shift_for_prediction(short, ["x"], ["y"], as_text=True).collect()
+    assert [tuple(r) for r in got] == [("", ""), ("", ""), (None, None), ("1,22", "22,333")]
+
+
+def test_instruct_prefix_as_text_equals_the_arrays(spark):
+    flags, names = ["attention_mask", "codec_mask"], {"attention_mask", "codec_mask", "labels", "code_matrix"}
+    ids = F.when(F.col("id") % 4 != 0, F.slice("text_ids", 1, F.col("id") % 3))
+    given = S.instruct_pad_mask(rows(spark).withColumn("ids", ids), "ids", ["batch"])
+    arrays = S.instruct_prefix(S.assemble_sequences(given, "text_ids", "codes", ["batch"], names)).orderBy("id")
+    want = arrays.select(*[F.array_join(F.col(c).cast("array<int>").cast("array<string>"), "").alias(c) for c in flags], shown("labels"),
+                         F.expr("array_join(transform(code_matrix, r -> array_join(r, ',')), ';')").alias("code_matrix"))
+    texts = S.assemble_sequences(given, "text_ids", "codes", ["batch"], names, as_text=names)
+    assert S.instruct_prefix(texts, as_text=names).orderBy("id").select(want.columns).collect() == want.collect()
+
+
 def one(spark, c):
     return spark.range(1).select(c.alias("v")).first().v
 

@@ -80,6 +80,17 @@ def pad_left(values: Column | str, width: Column, fill: Column) -> Column:
     return F.concat(repeat(fill, width - F.size(values)), values)
 
 
+def as_text(values: Column | str) -> Column:
+    """Values joined by commas."""
+    return F.array_join(_col(values).cast("array<string>"), ",")
+
+
+def pad_right_text(values: Column | str, width: Column, fill: int) -> Column:
+    """``pad_right`` as text, of values that are not empty; the fill is one repeated text."""
+    values = _col(values)
+    return F.concat(as_text(values), F.repeat(F.lit(f",{fill}"), (width - F.size(values)).cast("int")))
+
+
 def _run_lengths(width: Column, runs: tuple) -> list[tuple[bool, Column]]:
     """(value, length) of runs (end, value) in order; what is left of ``width`` is false, ends beyond it are cut."""
     width = F.greatest(width.cast("int"), _int(0))
@@ -151,6 +162,13 @@ def sequence_labels(text_ids: Column | str, codes: Column | str, eos=K.CODEC_EOS
     )
 
 
+def sequence_labels_text(text_ids: Column | str, codes: Column | str, width: Column, eos=K.CODEC_EOS) -> Column:
+    """``sequence_labels`` padded to ``width`` as text; only first codes are written one by one."""
+    ignored = F.repeat(F.lit(f"{K.LABEL_IGNORE},"), F.size(_col(text_ids)) + 7)
+    rest = width - (F.size(_col(text_ids)) + 7)
+    return F.concat(ignored, pad_right_text(F.concat(first_codes(codes), ints(eos)), rest, K.LABEL_IGNORE))
+
+
 def code_matrix(text_ids: Column | str, codes: Column | str, width: int = K.CODEBOOKS) -> Column:
     zero = ints(*[0] * width)
     return F.concat(repeat(zero, F.size(_col(text_ids)) + 7), _col(codes), F.array(zero))
@@ -200,6 +218,16 @@ def shift_labels(values: Column | str) -> Column:
     return F.slice(values, 2, F.greatest(F.size(values) - 1, _int(0)))
 
 
+def shift_inputs_text(values: Column | str) -> Column:
+    values = _col(values)
+    return values.substr(F.lit(1), F.length(values) - F.length(F.substring_index(values, ",", -1)) - 1)
+
+
+def shift_labels_text(values: Column | str) -> Column:
+    values = _col(values)
+    return values.substr(F.length(F.substring_index(values, ",", 1)) + 2, F.length(values))
+
+
 def prefix(values: Column | str, width: Column, fill: Column) -> Column:
     return F.concat(repeat(fill, width), _col(values))
 

@@ -22,6 +22,10 @@ from ..functions.text import _col
 from ..session import measured, small_batches
 from .ordering import SPAN, fixed_batches
 
+LAYOUT = (
+    "text_channel", "codec_channel", "labels", "code_matrix", "attention_mask", "text_embedding_mask", "codec_embedding_mask", "codec_mask",
+)
+
 
 def plan_batches(df: DataFrame, key: str, lengths: dict[str, Column], size: int = K.ENCODE_BATCH, source: str = "source",
                  span: int = SPAN) -> DataFrame:
@@ -98,11 +102,11 @@ def instruct_pad_mask(df: DataFrame, ids: str, batch: list[str], mask: str = "in
 
 
 def assemble_sequences(df: DataFrame, text_ids: str, codes: str, batch: list[str], which: set[str] | None = None,
-                       width: str | None = None, as_text: bool = False) -> DataFrame:
+                       width: str | None = None, as_text: bool | set[str] = False) -> DataFrame:
     """All training tensors of a batch; ``which`` picks some of them.
 
-    With ``as_text`` the masks (a string of 0 and 1) and the code matrix (codes joined by commas, rows by semicolons) are text,
-    put together run by run, for output that is text anyway.
+    With ``as_text`` (or those it names) the masks (a string of 0 and 1), the channels and labels (joined by commas) and the
+    code matrix (codes joined by commas, rows by semicolons) are text, put together run by run, for output that is text anyway.
 
     With ``width``, the planned maximum of the batch, nothing moves. Without it the maximum is taken by a window, before
     layout expressions, so what moves is the input row and not the padded tensors.
@@ -112,36 +116,52 @@ def assemble_sequences(df: DataFrame, text_ids: str, codes: str, batch: list[str
     df = df.withColumn("_width", batch_width(length, batch) if width is None else F.col(width))
     width = F.col("_width")
     zero_row = A.ints(*[0] * K.CODEBOOKS)
+    texts = set(LAYOUT) if as_text is True else as_text or set()
+
+    def padded(name: str, values: Column, fill: int) -> Column:
+        return A.pad_right_text(values, width, fill) if name in texts else A.pad_right(values, width, A._int(fill))
+
     made = {
-        "text_channel": A.pad_right(A.text_channel(text_ids, codes), width, A._int(0)),
-        "codec_channel": A.pad_right(A.codec_channel(text_ids, codes), width, A._int(0)),
-        "labels": A.pad_right(A.sequence_labels(text_ids, codes), width, A._int(K.LABEL_IGNORE)),
-        "code_matrix": A.code_matrix_text(text_ids, codes, width) if as_text else A.pad_right(A.code_matrix(text_ids, codes), width, zero_row),
-        "attention_mask": A.attention_mask(length, width, as_text),
-        "text_embedding_mask": A.attention_mask(length, width, as_text),
-        "codec_embedding_mask": A.codec_embedding_mask(length, width, as_text),
-        "codec_mask": A.codec_mask(text, frames, width, as_text),
+        "text_channel": padded("text_channel", A.text_channel(text_ids, codes), 0),
+        "codec_channel": padded("codec_channel", A.codec_channel(text_ids, codes), 0),
+        "labels": A.sequence_labels_text(text_ids, codes, width) if "labels" in texts
+        else A.pad_right(A.sequence_labels(text_ids, codes), width, A._int(K.LABEL_IGNORE)),
+        "code_matrix": A.code_matrix_text(text_ids, codes, width) if "code_matrix" in texts
+        else A.pad_right(A.code_matrix(text_ids, codes), width, zero_row),
+        "attention_mask": A.attention_mask(length, width, "attention_mask" in texts),
+        "text_embedding_mask": A.attention_mask(length, width, "text_embedding_mask" in texts),
+        "codec_embedding_mask": A.codec_embedding_mask(length, width, "codec_embedding_mask" in texts),
+        "codec_mask": A.codec_mask(text, frames, width, "codec_mask" in texts),
     }
     return df.withColumns({k: v for k, v in made.items() if which is None or k in which}).drop("_width")
 
 
-def instruct_prefix(df: DataFrame, instruct_mask: str = "instruct_mask") -> DataFrame:
-    """Put the instruction positions in front of attention, codec mask, labels and code matrix."""
+def instruct_prefix(df: DataFrame, instruct_mask: str = "instruct_mask", as_text: set[str] = frozenset()) -> DataFrame:
+    """Put the instruction positions in front of attention, codec mask, labels and code matrix.
+
+    ``as_text`` names those that ``assemble_sequences`` made as text.
+    """
     width = F.size(instruct_mask)
-    return df.withColumns(
-        {
-            "attention_mask": F.concat(F.col(instruct_mask), F.col("attention_mask")),
-            "codec_mask": A.prefix("codec_mask", width, F.lit(False)),
-            "labels": A.prefix("labels", width, A._int(K.LABEL_IGNORE)),
-            "code_matrix": A.prefix("code_matrix", width, A.ints(*[0] * K.CODEBOOKS)),
-        }
-    )
+    zeros = ",".join(["0"] * K.CODEBOOKS)
+    texts = {
+        "attention_mask": F.concat(F.array_join(F.col(instruct_mask).cast("array<int>").cast("array<string>"), ""), F.col("attention_mask")),
+        "codec_mask": F.concat(F.repeat(F.lit("0"), width), F.col("codec_mask")),
+        "labels": F.concat(F.repeat(F.lit(f"{K.LABEL_IGNORE},"), width), F.col("labels")),
+        "code_matrix": F.concat(F.repeat(F.lit(f"{zeros};"), width), F.col("code_matrix")),
+    }
+    arrays = {
+        "attention_mask": F.concat(F.col(instruct_mask), F.col("attention_mask")),
+        "codec_mask": A.prefix("codec_mask", width, F.lit(False)),
+        "labels": A.prefix("labels", width, A._int(K.LABEL_IGNORE)),
+        "code_matrix": A.prefix("code_matrix", width, A.ints(*[0] * K.CODEBOOKS)),
+    }
+    return df.withColumns({k: texts[k] if k in as_text else v for k, v in arrays.items()})
 
 
-def shift_for_prediction(df: DataFrame, inputs: list[str], labels: list[str]) -> DataFrame:
-    return df.withColumns(
-        {**{c: A.shift_inputs(c) for c in inputs}, **{c: A.shift_labels(c) for c in labels}}
-    )
+def shift_for_prediction(df: DataFrame, inputs: list[str], labels: list[str], as_text: bool = False) -> DataFrame:
+    """Inputs without their last value, labels without their first; ``as_text`` takes and gives values joined by commas."""
+    first, last = (A.shift_inputs_text, A.shift_labels_text) if as_text else (A.shift_inputs, A.shift_labels)
+    return df.withColumns({**{c: first(c) for c in inputs}, **{c: last(c) for c in labels}})
 
 
 def masked_frame_gather(df: DataFrame, seq: str, mask: str, codes: str) -> DataFrame:

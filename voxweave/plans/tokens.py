@@ -88,28 +88,28 @@ def _padded(x: str, fill: str, extra: str = "width - (lt + lc + 8)") -> str:
     return _cat(x, I.sql_rep(fill, extra))
 
 
-def _layout(spark, sf, name, as_text=False):
-    return S.assemble_sequences(I.layout_rows(spark, sf), "text_ids", "codes", BATCH, {name}, "width", as_text)
+def _layout(spark, sf, name):
+    return S.assemble_sequences(I.layout_rows(spark, sf), "text_ids", "codes", BATCH, {name}, "width", as_text=True)
 
 
 @query("sequence_text_channel", f"WITH {I.LAYOUT} SELECT doc_id, {I.sql_show(_padded(SQL_TEXT_CHANNEL, '0'))} AS ids FROM lay")
 def sequence_text_channel(spark, sf):
-    return _layout(spark, sf, "text_channel").select("doc_id", I.show("text_channel").alias("ids"))
+    return _layout(spark, sf, "text_channel").select("doc_id", F.col("text_channel").alias("ids"))
 
 
 @query("sequence_codec_channel", f"WITH {I.LAYOUT} SELECT doc_id, {I.sql_show(_padded(SQL_CODEC_CHANNEL, '0'))} AS ids FROM lay")
 def sequence_codec_channel(spark, sf):
-    return _layout(spark, sf, "codec_channel").select("doc_id", I.show("codec_channel").alias("ids"))
+    return _layout(spark, sf, "codec_channel").select("doc_id", F.col("codec_channel").alias("ids"))
 
 
 @query("sequence_labels", f"WITH {I.LAYOUT} SELECT doc_id, {I.sql_show(_padded(SQL_LABELS, '-100'))} AS labels FROM lay")
 def sequence_labels(spark, sf):
-    return _layout(spark, sf, "labels").select("doc_id", I.show("labels").alias("labels"))
+    return _layout(spark, sf, "labels").select("doc_id", "labels")
 
 
 @query("sequence_code_matrix", f"WITH {I.LAYOUT} SELECT doc_id, {I.sql_rows(_padded(SQL_MATRIX, SQL_ZERO))} AS code_matrix FROM lay")
 def sequence_code_matrix(spark, sf):
-    return _layout(spark, sf, "code_matrix", as_text=True).select("doc_id", "code_matrix")
+    return _layout(spark, sf, "code_matrix").select("doc_id", "code_matrix")
 
 
 def _sql_mask(test: str, width: str = "width") -> str:
@@ -173,11 +173,10 @@ def instruct_pad_mask(spark, sf):
  iw + width AS code_rows FROM ins""",
 )
 def instruct_prefix(spark, sf):
-    names = {"attention_mask", "codec_mask", "labels", "code_matrix"}
-    rows = S.assemble_sequences(_instruct(spark, sf), "text_ids", "codes", BATCH, names, "width")
-    return S.instruct_prefix(rows).select(
-        "doc_id", I.show_flags("attention_mask").alias("attention_mask"), I.show_flags("codec_mask").alias("codec_mask"),
-        I.show("labels").alias("labels"), F.size("code_matrix").cast("long").alias("code_rows"),
+    shown = {"attention_mask", "codec_mask", "labels"}
+    rows = S.assemble_sequences(_instruct(spark, sf), "text_ids", "codes", BATCH, {*shown, "code_matrix"}, "width", shown)
+    return S.instruct_prefix(rows, as_text=shown).select(
+        "doc_id", "attention_mask", "codec_mask", "labels", F.size("code_matrix").cast("long").alias("code_rows")
     )
 
 
@@ -187,9 +186,9 @@ def instruct_prefix(spark, sf):
  SELECT doc_id, {I.sql_show('inputs[1:len(inputs)-1]')} AS inputs, {I.sql_show('labels[2:]')} AS labels FROM s""",
 )
 def shift_for_prediction(spark, sf):
-    rows = S.assemble_sequences(I.layout_rows(spark, sf), "text_ids", "codes", BATCH, {"codec_channel", "labels"}, "width")
-    rows = S.shift_for_prediction(rows, ["codec_channel"], ["labels"])
-    return rows.select("doc_id", I.show("codec_channel").alias("inputs"), I.show("labels").alias("labels"))
+    rows = S.assemble_sequences(I.layout_rows(spark, sf), "text_ids", "codes", BATCH, {"codec_channel", "labels"}, "width", as_text=True)
+    rows = S.shift_for_prediction(rows, ["codec_channel"], ["labels"], as_text=True)
+    return rows.select("doc_id", F.col("codec_channel").alias("inputs"), "labels")
 
 
 @query(
