@@ -150,6 +150,34 @@ def test_jaccard_of_shared_ids(spark):
     assert {r.component_id for r in got if r.doc_id in (7, 40, 203, 204, 205)} == {7}
 
 
+@pytest.mark.parametrize("few", [False, True])
+def test_rounds_over_a_long_list(spark, monkeypatch, few):
+    """A list of unlinked sets takes few rounds whichever way its pairs are compared, and every link is found."""
+    for limit in () if few else ("LOOKED", "PAIRS", "EACH", "FEW"):
+        monkeypatch.setattr(jaccard, limit, 0, raising=False)
+    monkeypatch.setattr(jaccard, "DEALT", 500, raising=False)
+    if few:
+        monkeypatch.setattr(jaccard, "PAIRS", 0)
+    rng, rounds, plain = random.Random(4), [], jaccard.links
+    monkeypatch.setattr(jaccard, "links", lambda *a, **k: rounds.append(1) or plain(*a, **k))
+    words = [rng.getrandbits(63) for _ in range(60)]
+    sets = [set(rng.sample(words, 12 if i % 5 else 10)) for i in range(140)]
+    sets += [{*sorted(sets[i])[1:], rng.choice(words)} for i in range(20)]
+    rows = [(i, len(s), np.array(sorted(s), np.uint64).tobytes()) for i, s in enumerate(sets)]
+    members = [(1, i, len(s), rng.random(), 0) for i, s in enumerate(sets)]
+    got = jaccard.linked_components(
+        spark.createDataFrame(members, "key long, _id long, n long, w double, place int"), spark.createDataFrame(rows, "_id long, n long, tokens binary")
+    ).collect()
+    root = list(range(len(sets)))
+    linked = {(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+    for _ in sets:
+        for i, j in linked:
+            root[i] = root[j] = min(root[i], root[j])
+    of = {i for pair in linked for i in pair}
+    assert len(linked) >= 10 and sorted(map(tuple, got)) == sorted((i, root[i]) for i in of)
+    assert len(rounds) <= 6
+
+
 def test_jaccard_of_nothing(spark):
     assert jaccard.jaccard_components(frame(spark, [])).count() == 0
     one = jaccard.jaccard_components(frame(spark, [row(4, None), row(5, " ")])).collect()

@@ -10,11 +10,12 @@
    heavy sets, and light ones large enough to be linked with them, file under each of their first ``n // 4 + 1``
    shingles, and these lists are scanned for heavy members. Two linked sets meet in one of the lists.
 4. In each list the members are compared with the one that has least of its own, the likely middle of a group of copies;
-   members already in one component need no comparison. Lists that still hold several components go on with their next
-   member, or with all pairs of different components once these are few (``PAIRS``); before that, sets that have too few
-   shingles in common with other components are put aside. A pair is compared only if its sizes fit and what follows the
-   meeting place in both sets suffices. Lists with the same members count once. Comparison is exact
-   on whole sets. Nothing is capped.
+   members already in one component need no comparison. A member that no size or place in its list fits leaves the list.
+   Then lists are cut into cells of like sizes, and all pairs of different components that fit are compared, if these are
+   few (``FEW``). Else sets that have too few shingles in common with other components are put aside, and if there are still
+   too many (``LOOKED``, ``PAIRS``), cells go on with their next members, ``HUBS`` times as many each round: the number of rounds
+   grows with the logarithm of the longest list. A pair is compared only if its sizes fit and what follows the meeting
+   place in both sets suffices. Lists with the same members count once. Comparison is exact on whole sets. Nothing is capped.
 
 Rows: null, empty and blank texts have empty sets and are linked with nothing. A null id is the smallest. Rows that share
 an id are one node. Columns other than ``doc_id`` and ``text`` are not read.
@@ -22,13 +23,16 @@ an id are one node. Columns other than ``doc_id`` and ``text`` are not read.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxweave.session import small_batches
+
 from . import kernels as K
 from .graph import components
 from .native import SMALL_ROWS, settle, small
@@ -38,12 +42,18 @@ from .sizing import groups_for, text_bytes
 SHINGLE = 5
 SHARE = 75  # per cent of the union
 BATCH = 1 << 19
-SLICE = 2 << 20
+SLICE = 1 << 20
+TOKENS = 2 << 20  # bytes of sets that are put in order at a time
 BUCKET_BYTES = 8 << 20
 SKETCH_BITS = 24
 SLICE_BITS = 16
-PART_ROWS = 400
-PAIRS = 1 << 24  # so many candidates, or 64 for each list entry, may be looked at in one step
+PART_ROWS = 100
+LOOKED = 1 << 27  # so many candidates, or EACH for each list entry, may be looked at in one step,
+PAIRS = 1 << 24  # so many pairs, or EACH for each list entry, compared,
+EACH = 64
+FEW = 1 << 20  # and so many pairs before sets are put aside
+HUBS = 8
+DEALT = 1 << 20  # candidates of a list that one task looks at
 _U = np.uint64
 _BASE, _SHORT = 0x9FB21C651E98DF25, 0xD1B54A32D192ED03
 
@@ -222,20 +232,22 @@ def _sets_of(texts: pa.Table, wanted: pa.Table) -> pa.Table:
     rows = K.from_streams(texts.column("texts"), {"doc_id": pa.int64(), "text": pa.string()})
     ids = _ids(rows.column("doc_id").combine_chunks())
     rows = rows.filter(pa.array(np.isin(ids, wanted.column("_id").to_numpy())))
-    h, first = shingle_sets(*K.utf8(rows.column("text")))
     node = {(a, b, n): c for a, b, n, c in zip(*(wanted.column(x).to_pylist() for x in ("print1", "print2", "n", "node")))}
-    sizes, prints = np.diff(first), _fingerprints(h, first).view(np.int64)
-    # A row's id may be wanted for another of its texts, and a text may stand under an id more than once.
-    place = {}
-    for i, key in enumerate(zip(prints[0].tolist(), prints[1].tolist(), sizes.tolist())):
-        if key in node:
-            place.setdefault(node[key], i)
-    held = np.fromiter(place.values(), np.int64, len(place))
-    size = sizes[held]
+    place, size, kept = [], [], [np.zeros(0, _U)]
+    for whole in rows.to_batches():
+        for batch in K.slices(whole, "text", SLICE):
+            h, first = shingle_sets(*K.utf8(batch.column(1)))
+            prints = _fingerprints(h, first).view(np.int64)
+            # A row's id may be wanted for another of its texts, and a text may stand under an id more than once.
+            for i, key in enumerate(zip(prints[0].tolist(), prints[1].tolist(), np.diff(first).tolist())):
+                if key in node:
+                    place.append(node.pop(key))
+                    size.append(key[2])
+                    kept.append(h[first[i] : first[i + 1]].copy())
     at = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-    h = h[np.repeat(first[:-1][held] - at[:-1], size) + np.arange(at[-1])]
-    tokens = pa.Array.from_buffers(pa.large_binary(), len(held), [None, pa.py_buffer((at * 8).tobytes()), pa.py_buffer(h.tobytes())])
-    return pa.table({"_id": pa.array(list(place), pa.int64()), "n": pa.array(size), "tokens": tokens.cast(pa.binary())})
+    h = np.concatenate(kept)
+    tokens = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(at * 8), pa.py_buffer(h)])
+    return pa.table({"_id": pa.array(place, pa.int64()), "n": pa.array(size, pa.int64()), "tokens": tokens.cast(pa.binary())})
 
 
 def _sets(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -299,7 +311,7 @@ def _prefixes(level: np.ndarray, batch: pa.RecordBatch, more: int):
 def _cost_rows(shared):
     def run(batches):
         for whole in batches:
-            for batch in K.slices(whole, "tokens"):
+            for batch in K.slices(whole, "tokens", TOKENS):
                 _, n, _, own, first, _ = _prefixes(shared.value, batch, 2)
                 if not len(n):
                     continue
@@ -336,7 +348,7 @@ _FILED = "key long, heavy boolean, _id long, n int, w float, place int"
 def _file(shared, cut: int):
     def run(batches):
         for whole in batches:
-            for batch in K.slices(whole, "tokens"):
+            for batch in K.slices(whole, "tokens", TOKENS):
                 ids, n, h, _, first, mean = _prefixes(shared.value, batch, 2)
                 keys, heavy, who, place = [], [], [], []
                 doc = np.repeat(np.arange(len(n)), np.diff(first))
@@ -381,16 +393,18 @@ def lists(sets: DataFrame) -> DataFrame:
 
 def _compare(share: int):
     def run(table: pa.Table) -> pa.Table:
+        data, at = K.utf8(table.column("tokens"))
+        h, at = data.view(_U), at // 8
         hubs: dict[tuple, list[np.ndarray]] = {}
-        rows = [table.column(c).to_pylist() for c in ("hub", "salt", "_id", "tokens", "is_hub")]
-        for hub, salt, _, tokens, is_hub in zip(*rows):
+        rows = [table.column(c).to_pylist() for c in ("hub", "salt", "_id", "is_hub")]
+        for i, (hub, salt, _, is_hub) in enumerate(zip(*rows)):
             if is_hub:
-                hubs.setdefault((hub, salt), []).append(np.frombuffer(tokens, _U))
+                hubs.setdefault((hub, salt), []).append(h[at[i] : at[i + 1]])
         out = []
-        for hub, salt, doc, tokens, is_hub in zip(*rows):
+        for i, (hub, salt, doc, is_hub) in enumerate(zip(*rows)):
             if is_hub:
                 continue
-            own = np.frombuffer(tokens, _U)
+            own = h[at[i] : at[i + 1]]
             for other in hubs.get((hub, salt), ()):
                 both = int((other[np.minimum(np.searchsorted(other, own), len(other) - 1)] == own).sum())
                 if 100 * both >= share * (len(own) + len(other) - both):
@@ -439,43 +453,71 @@ def _with_strangers(members: DataFrame, sets: DataFrame, share: int) -> DataFram
     return members.join(able, "_id", "left_semi")
 
 
+def _cells(members: DataFrame, share: int) -> DataFrame:
+    """``members`` with every list cut by size: any two sets of a list whose sizes fit are in one cell, each set is in two."""
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(1.001 * 100 / share))
+    cell = F.explode(F.array(band, band + 1)).alias("_cell")
+    return members.select("*", cell).withColumn("key", F.xxhash64("key", "_cell")).drop("_cell")
+
+
+def _beside(hubs: DataFrame, members: DataFrame, each: int | None = None) -> DataFrame:
+    """Every one of ``hubs`` (at most ``each`` in a list) beside the ``members`` of its list.
+
+    A long list is dealt out with salts, its hubs once for each, so that no task looks at more than about ``DEALT`` pairs.
+    """
+    of = F.col("size") if each is None else F.least(F.col("size"), F.lit(each))
+    salts = F.least(F.ceil(F.col("size") * of / DEALT), F.col("size")).cast("int")
+    first = hubs.select(
+        "key", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"),
+        *[F.col(x).alias(y) for x, y in (("_id", "hub"), ("n", "hub_n"), ("c", "hub_c"), ("place", "hub_place"))],
+    )
+    return first.join(members.withColumn("salt", F.pmod(F.xxhash64("_id"), salts).cast("int")), ["key", "salt"])
+
+
 def linked_components(members: DataFrame, sets: DataFrame, share: int = SHARE) -> DataFrame:
     """(_id, component) of all sets that are linked with another, from the lists that they meet in."""
     spark = members.sparkSession
     labels = spark.createDataFrame([], "node long, component long")
-    found, tested, rounds = [], [], 0
+    found, tested, rounds, narrowed, each = [], [], 0, 0, 1
+    entry = ["key", "_id", "n", "w", "place"]
     # Sizes fit, and what follows the meeting place in either set is enough for the overlap (sizes * share / (100 + share)).
     fits = (100 * F.col("n") >= share * F.col("hub_n")) & (100 * F.col("hub_n") >= share * F.col("n"))
     rest = F.least(F.col("n") - F.col("place"), F.col("hub_n") - F.col("hub_place"))
     fits = fits & ((100 + share) * rest >= share * (F.col("n") + F.col("hub_n")))
+    reach = 100 * F.col("n").cast("long") - (100 + share) * F.col("place")  # ``share`` times the largest size that fits
     while True:
         rounds += 1
         named = members.withColumn("c", F.col("_id"))
         if found:
-            named = members.join(labels, F.col("_id") == F.col("node"), "left").select("key", "_id", "n", "w", "place", F.coalesce("component", "_id").alias("c"))
-        open_keys = named.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most"), F.max(F.struct("w", "_id", "n", "c", "place")).alias("hub")).where("least <> most")
-        members, n = settle(named.join(open_keys.select("key", "hub"), "key"))
+            named = members.join(labels, F.col("_id") == F.col("node"), "left").select(*entry, F.coalesce("component", "_id").alias("c"))
+        hub = [F.max(F.struct("w", "_id", "n", "c", "place")).alias("hub")] if rounds == 1 else []
+        open_keys = named.groupBy("key").agg(
+            F.min("c").alias("least"), F.max("c").alias("most"), F.min("n").alias("low"), F.max(reach).alias("high"), F.count("*").alias("size"), *hub
+        )
+        opened = named.join(open_keys.where("least <> most").drop("least", "most"), "key")
+        members, n = settle(opened.where((reach >= share * F.col("low")) & (share * F.col("n") <= F.col("high"))).drop("low", "high"))
         if not n:
             break
-        if rounds in (2, 3):  # most of those left only share passages
-            members = _with_strangers(members, sets, share).select("key", "_id", "n", "w", "place")
-            continue
         last = False
-        if rounds > 3:  # few pairs of different components: compare them all
-            size = members.groupBy("key", "c").count().groupBy("key").agg(F.sum("count").alias("all"), F.sum(F.col("count") * F.col("count")).alias("own"))
-            last = size.agg(F.sum((F.col("all") * F.col("all") - F.col("own")) / 2)).first()[0] <= max(64 * n, PAIRS)
-        if last:
-            first = members.select("key", F.col("_id").alias("hub"), F.col("n").alias("hub_n"), F.col("c").alias("hub_c"), F.col("place").alias("hub_place"))
-            pairs = first.join(members.select("key", "_id", "n", "c", "place"), "key").where("hub_c < c")
-        else:
+        if rounds == 1:
             pairs = members.select("_id", "n", "c", "place", F.col("hub._id").alias("hub"), F.col("hub.place").alias("hub_place"), F.col("hub.n").alias("hub_n"), F.col("hub.c").alias("hub_c"), F.col("hub.w").alias("hub_w")).where("hub_c <> c")
-        pairs = pairs.where(fits).select("hub", "_id", *(["hub_w"] if rounds == 1 else [])).distinct()
-        for done in tested:
-            pairs = pairs.join(done, ["hub", "_id"], "left_anti")
-        if rounds == 1:  # a member's best hub settles most of them
-            pairs = pairs.groupBy("_id").agg(F.max(F.struct("hub_w", "hub")).alias("best")).select("best.hub", "_id")
-        pairs, n = settle(pairs)
-        if n:
+            pairs = pairs.where(fits).select("hub", "_id", "hub_w").distinct()
+            # A member's best hub settles most of them.
+            pairs, m = settle(pairs.groupBy("_id").agg(F.max(F.struct("hub_w", "hub")).alias("best")).select("best.hub", "_id"))
+        else:
+            size = members.groupBy("key", "c").count().groupBy("key").agg(F.sum("count").alias("all"), F.sum(F.col("count") * F.col("count")).alias("own"))
+            if size.agg(F.sum((F.col("all") * F.col("all") - F.col("own")) / 2)).first()[0] <= max(EACH * n, LOOKED):
+                pairs, m = settle(_untested(_beside(members, members).where("hub_c <> c and hub < _id").where(fits), tested))
+                last = m <= (max(EACH * n, PAIRS) if narrowed == 2 else FEW)
+            if not last and narrowed < 2:  # most of those left only share passages
+                members, narrowed = _with_strangers(members, sets, share).select(*entry), narrowed + 1
+                continue
+            if not last:
+                place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("w"), F.desc("_id")))
+                members, _ = settle(members.withColumn("rank", place))
+                pairs, m = settle(_untested(_beside(members.where(F.col("rank") <= each), members, each).where("hub_c <> c").where(fits), tested))
+                members, each = members.where(F.col("rank") > each), each * HUBS
+        if m:
             new, n_links = links(pairs, sets, share)
             if n_links:
                 found.append(new)
@@ -483,15 +525,23 @@ def linked_components(members: DataFrame, sets: DataFrame, share: int = SHARE) -
             tested.append(pairs)
         if last:
             break
-        if not n or rounds > 1:  # the hubs are done with
-            members = members.where(F.col("_id") != F.col("hub._id"))
-        members = members.select("key", "_id", "n", "w", "place")
+        members = _cells(members.select(*entry), share) if rounds == 1 else members.select(*entry)
     return labels.select(F.col("node").alias("_id"), "component")
 
 
+def _untested(pairs: DataFrame, tested: list[DataFrame]) -> DataFrame:
+    """The distinct pairs (hub, _id) that no table of ``tested`` has; either of a pair may stand first there."""
+    pairs = pairs.select(F.greatest("hub", "_id").alias("hub"), F.least("hub", "_id").alias("_id")).distinct()
+    for done in tested:
+        done = done.select(F.greatest("hub", "_id").alias("hub"), F.least("hub", "_id").alias("_id"))
+        pairs = pairs.join(done, ["hub", "_id"], "left_anti")
+    return pairs
+
+
 def jaccard_components(docs: DataFrame, share: int = SHARE) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    small_batches(docs.sparkSession)
     groups = groups_for(text_bytes(docs), BUCKET_BYTES)
     told = docs.mapInArrow(_send_halves(groups), "bucket int, entries binary, info binary").groupBy("bucket").applyInArrow(
         _count_alone(groups), "home int, alone binary, info binary"
