@@ -1,11 +1,13 @@
 """Training layouts for every text length 3..6 and frame count 0..3, written out position by position."""
 
 import itertools
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from voxweave.functions import arrays as A
 from voxweave.operators import sequences as S
+from voxweave.session import CODEC
 
 PAD, BOS, EOS = 151671, 151672, 151673
 CASES = list(itertools.product(range(3, 7), range(0, 4)))
@@ -151,3 +153,22 @@ def test_chunks_tile_the_frames(spark):
         assert [p.start for p in plan] == list(range(0, n, 25))
         assert sum(p.end - p.start for p in plan) == n
         assert all(p.context == (25 if p.start > 25 else p.start) for p in plan)
+
+
+def test_padded_text_takes_little_room_on_disk(spark, folder):
+    """Files of padded text are far smaller than the twentieth that snappy makes of a run; a codec of the session stays."""
+    before = spark.conf.get(CODEC, None)
+    spark.conf.unset(CODEC)
+    try:
+        width = 20_000
+        made = S.assemble_sequences(rows(spark).withColumn("width", F.lit(width)), "text_ids", "codes", ["batch"], {"code_matrix"}, "width", as_text=True)
+        made.select("id", "code_matrix").write.parquet(folder)
+        got = spark.read.parquet(folder).agg(F.sum(F.length("code_matrix")), F.count("*")).first()
+        assert got[0] >= got[1] * (32 * width - 1) and got[1] == len(CASES)
+        on_disk = sum(p.stat().st_size for p in Path(folder.removeprefix("file://")).glob("*.parquet"))
+        assert on_disk * 100 < got[0]
+        spark.conf.set(CODEC, "gzip")
+        S.assemble_sequences(rows(spark).withColumn("width", F.lit(9)), "text_ids", "codes", ["batch"], {"labels"}, "width", as_text=True)
+        assert spark.conf.get(CODEC) == "gzip"
+    finally:
+        spark.conf.unset(CODEC) if before is None else spark.conf.set(CODEC, before)

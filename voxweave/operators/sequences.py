@@ -19,7 +19,7 @@ from .. import constants as K
 from ..functions import arrays as A
 from ..functions.batches import text_slices
 from ..functions.text import _col
-from ..session import measured, small_batches
+from ..session import compact_files, measured, small_batches
 from .ordering import SPAN, fixed_batches
 
 LAYOUT = (
@@ -107,6 +107,7 @@ def assemble_sequences(df: DataFrame, text_ids: str, codes: str, batch: list[str
 
     With ``as_text`` (or those it names) the masks (a string of 0 and 1), the channels and labels (joined by commas) and the
     code matrix (codes joined by commas, rows by semicolons) are text, put together run by run, for output that is text anyway.
+    Parquet that the session writes is compressed with zstd then (``session.compact_files``).
 
     With ``width``, the planned maximum of the batch, nothing moves. Without it the maximum is taken by a window, before
     layout expressions, so what moves is the input row and not the padded tensors.
@@ -117,6 +118,8 @@ def assemble_sequences(df: DataFrame, text_ids: str, codes: str, batch: list[str
     width = F.col("_width")
     zero_row = A.ints(*[0] * K.CODEBOOKS)
     texts = set(LAYOUT) if as_text is True else as_text or set()
+    if texts:
+        compact_files(df.sparkSession)
 
     def padded(name: str, values: Column, fill: int) -> Column:
         return A.pad_right_text(values, width, fill) if name in texts else A.pad_right(values, width, A._int(fill))
