@@ -13,6 +13,7 @@ from hypothesis import strategies as st
 
 from tests.llm.fixtures import corpus, frame, prose, row
 from voxweave.llm import jaccard, kernels as K, lines, quality, substrings
+from voxweave.session import ARROW_LIMIT
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FIRST = -(1 << 63)
@@ -178,6 +179,28 @@ def test_rounds_over_a_long_list(spark, monkeypatch, few):
     assert len(rounds) <= 6
 
 
+def test_jaccard_works_on_slices(spark, monkeypatch):
+    """A worker holds the texts of one slice at a time, and Arrow batches end by bytes."""
+    rows = [row(i, " ".join(prose(random.Random(i), 300))) for i in range(40)]
+    texts = [r[1] for r in rows]
+    h, first = jaccard.shingle_sets(*K.utf8(pa.array(texts)))
+    prints = jaccard._fingerprints(h, first).view(np.int64)
+    batch = pa.record_batch({"doc_id": pa.array(range(40), pa.int64()), "text": pa.array(texts)})
+    wanted = pa.table({"_id": range(1, 40, 2), "print1": prints[0][1::2], "print2": prints[1][1::2], "n": np.diff(first)[1::2], "node": range(500, 520)})
+    held, plain = [], jaccard.shingle_sets
+    monkeypatch.setattr(jaccard, "SLICE", 4000)
+    monkeypatch.setattr(jaccard, "shingle_sets", lambda data, at: held.append(len(data)) or plain(data, at))
+    got = jaccard._sets_of(pa.table({"texts": [K.to_stream(batch)]}), wanted)
+    assert max(held) < 4000 + 2 * max(map(len, texts)) and sum(held) == sum(len(t) for t in texts[1::2])
+    sets = {i: t for i, t in zip(got.column("_id").to_pylist(), got.column("tokens").to_pylist())}
+    assert sets == {500 + k: h[first[2 * k + 1] : first[2 * k + 2]].tobytes() for k in range(20)}
+    before = spark.conf.get(ARROW_LIMIT, None)
+    spark.conf.unset(ARROW_LIMIT)
+    jaccard.jaccard_components(frame(spark, rows[:2]))
+    assert int(spark.conf.get(ARROW_LIMIT)) <= 4 << 20
+    spark.conf.unset(ARROW_LIMIT) if before is None else spark.conf.set(ARROW_LIMIT, before)
+
+
 def test_jaccard_of_nothing(spark):
     assert jaccard.jaccard_components(frame(spark, [])).count() == 0
     one = jaccard.jaccard_components(frame(spark, [row(4, None), row(5, " ")])).collect()
